@@ -112,7 +112,8 @@ def within_radius(points: DataFrame, lat: float, lon: float, radius_m: float, li
     a = (F.pow(F.sin((p2 - p1) / 2), 2)
          + F.cos(p1) * F.cos(p2) * F.pow(F.sin((F.radians(lo) - F.radians(F.lit(lon))) / 2), 2))
     dist = F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(a))
-    out = points.filter(box).withColumn("distance_m", dist).filter(F.col("distance_m") <= radius_m)
+    out = (points.filter(box).withColumn("distance_m", F.round(dist, 3))
+           .filter(F.col("distance_m") <= radius_m))
     out = out.orderBy("distance_m", *[c for c in ("sensor_id", "metric") if c in points.columns])
     return out.limit(limit) if limit else out
 

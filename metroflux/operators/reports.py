@@ -313,18 +313,17 @@ MOBILITY_METRICS = ["bike_available_count", "dock_available_count", "station_cap
 
 
 def mobility_utilization(latest: DataFrame, top: int = 15) -> DataFrame:
-    """Per station max of each mobility metric (fixed pivot list, so no
-    extra pass to discover pivot values); utilisation = 100*bikes/capacity,
-    capacity 0 -> 0; top stations by available bikes."""
+    """Per station (display name) the max of each mobility metric, with
+    a fixed pivot list so no extra pass discovers pivot values; utilisation =
+    100 * bikes / capacity (capacity 0 or absent -> 0); the ``top`` stations
+    by utilisation (a top-k display)."""
     pv = (latest.filter(F.col("metric").isin(MOBILITY_METRICS))
-          .groupBy("sensor_id").pivot("metric", MOBILITY_METRICS).agg(F.max("value")))
+          .groupBy("sensor_name").pivot("metric", MOBILITY_METRICS).agg(F.max("value")))
     bikes, cap = F.col("bike_available_count").cast("double"), F.col("station_capacity").cast("double")
-    return (pv.select("sensor_id",
-                      F.col("bike_available_count").cast("double").alias("bike_available_count"),
-                      F.col("dock_available_count").cast("double").alias("dock_available_count"),
-                      F.col("station_capacity").cast("double").alias("station_capacity"),
+    return (pv.select("sensor_name",
+                      *[F.col(m).cast("double").alias(m) for m in MOBILITY_METRICS],
                       F.coalesce(F.lit(100.0) * bikes / F.nullif(cap, F.lit(0.0)), F.lit(0.0)).alias("utilization_pct"))
-            .orderBy(F.desc("bike_available_count"), "sensor_id").limit(top))
+            .orderBy(F.desc("utilization_pct"), "sensor_name").limit(top))
 
 
 def map_points(network: DataFrame) -> DataFrame:

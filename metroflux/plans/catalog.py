@@ -48,3 +48,4 @@ STALE_CUT = Q.cutoff(STALE_HOURS)
 ASOF = Q.ts(AS_OF)
 
 from . import q_reports  # noqa: E402,F401  (registers report queries)
+from . import q_quality  # noqa: E402,F401
