@@ -49,3 +49,4 @@ ASOF = Q.ts(AS_OF)
 
 from . import q_reports  # noqa: E402,F401  (registers report queries)
 from . import q_quality  # noqa: E402,F401
+from . import q_normalize  # noqa: E402,F401
