@@ -229,11 +229,12 @@ def score_with(events: DataFrame, predict: Callable[[pd.DataFrame], pd.DataFrame
 
 # ------------------------------------------------------------------ M6 / M7
 def predictions(events: DataFrame, scored: Column, model_name: str = MODEL_NAME,
-                model_version: str = MODEL_VERSION, created_at: Column | None = None) -> DataFrame:
+                model_version: str = MODEL_VERSION, created_at: Column | None = None,
+                keep: list[str] | tuple = ()) -> DataFrame:
     """Prediction rows: severity is the label severity when suspicious else low."""
     p = events.withColumn("_p", scored)
     lab = F.col("_p.label")
-    return p.select("event_time", "city", "camera_id", "location_name",
+    return p.select(*keep, "event_time", "city", "camera_id", "location_name",
                     F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude"),
                     F.col("uri").alias("media_uri"), "source_video_uri", "frame_index",
                     F.col("_p.is_suspicious").alias("is_suspicious"), lab.alias("predicted_label"),
@@ -249,12 +250,12 @@ def predictions(events: DataFrame, scored: Column, model_name: str = MODEL_NAME,
                     F.coalesce(F.col("_p.clip_end_seconds").cast("double"), F.lit(0.0)).alias("clip_end_seconds"))
 
 
-def flags(preds: DataFrame, threshold: float = FLAG_THRESHOLD) -> DataFrame:
+def flags(preds: DataFrame, threshold: float = FLAG_THRESHOLD, keep: list[str] | tuple = ()) -> DataFrame:
     """P10/M7: confident, suspicious predictions of a suspicious label."""
-    keep = ((F.col("confidence") >= threshold) & F.col("is_suspicious")
+    cond = ((F.col("confidence") >= threshold) & F.col("is_suspicious")
             & is_suspicious_label(F.col("predicted_label")))
-    return preds.filter(keep).select(
-        "event_time", "city", "camera_id", F.col("media_uri").alias("video_uri"), "clip_start_seconds",
+    return preds.filter(cond).select(
+        *keep, "event_time", "city", "camera_id", F.col("media_uri").alias("video_uri"), "clip_start_seconds",
         "clip_end_seconds", "predicted_label", "display_label", "confidence",
         severity(F.col("predicted_label")).alias("severity"), "model_name", "model_version",
         F.lit("pending").alias("review_status"), "created_at")

@@ -51,3 +51,4 @@ from . import q_reports  # noqa: E402,F401  (registers report queries)
 from . import q_quality  # noqa: E402,F401
 from . import q_normalize  # noqa: E402,F401
 from . import q_safety  # noqa: E402,F401
+from . import q_tables  # noqa: E402,F401

@@ -32,9 +32,9 @@ def _raw_score():
                     F.lit(0.0).alias("clip_start_seconds"), F.lit(0.0).alias("clip_end_seconds"))
 
 
-def preds(spark, sf):
+def preds(spark, sf, keep=()):
     ev = events(spark, sf).withColumn("event_time", F.col("observed_at"))
-    return SF.predictions(ev, _raw_score(), model_name="fixture-scores")
+    return SF.predictions(ev, _raw_score(), model_name="fixture-scores", keep=keep)
 
 
 # ---------------------------------------------------------------- SQL side
@@ -93,7 +93,7 @@ def suspicious(l):
     return f"({norm_label(l)} IN {Q.in_list(S.SUSPICIOUS_LABELS)})"
 
 
-PRED_SQL = f"""SELECT observed_at AS event_time, city, camera_id, location_name, CAST(latitude AS DOUBLE) AS latitude,
+PRED_SQL = f"""SELECT event_id, observed_at AS event_time, city, camera_id, location_name, CAST(latitude AS DOUBLE) AS latitude,
   CAST(longitude AS DOUBLE) AS longitude, uri AS media_uri, source_video_uri, frame_index, raw_suspicious AS is_suspicious,
   raw_label AS predicted_label, {display_label('raw_label')} AS display_label,
   CASE WHEN raw_suspicious THEN CAST(confidence AS DOUBLE) ELSE 1.0 - CAST(confidence AS DOUBLE) END AS crime_score,
@@ -129,12 +129,12 @@ register("keyword_predictions", V(f"""SELECT media_uri AS uri, coalesce(lbl, 'no
     lambda spark, sf: events(spark, sf).select(F.col("uri"), SF.keyword_predict("uri").alias("p")).select(
         "uri", "p.label", "p.confidence", "p.is_suspicious", "p.crime_score", "p.type_score"))
 
-register("media_predictions", V(PRED_SQL))(lambda spark, sf: preds(spark, sf))
-FLAGS_SQL = f"""SELECT event_time, city, camera_id, media_uri AS video_uri, clip_start_seconds, clip_end_seconds,
+register("media_predictions", V(f"SELECT * EXCLUDE (event_id) FROM ({PRED_SQL})"))(lambda spark, sf: preds(spark, sf))
+FLAGS_SQL = f"""SELECT event_id, event_time, city, camera_id, media_uri AS video_uri, clip_start_seconds, clip_end_seconds,
   predicted_label, display_label, confidence, {severity('predicted_label')} AS severity, model_name, model_version,
   'pending' AS review_status, created_at
   FROM ({PRED_SQL}) WHERE confidence >= {SF.FLAG_THRESHOLD} AND is_suspicious AND {suspicious('predicted_label')}"""
-register("media_flags", V(FLAGS_SQL))(lambda spark, sf: SF.flags(preds(spark, sf)))
+register("media_flags", V(f"SELECT * EXCLUDE (event_id) FROM ({FLAGS_SQL})"))(lambda spark, sf: SF.flags(preds(spark, sf)))
 
 _AVGC = Q.avg_exact("CAST(confidence AS DECIMAL(20,10))", 10)
 register("safety_summary", V(f"""SELECT COUNT(*) AS total_predictions,

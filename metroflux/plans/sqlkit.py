@@ -8,7 +8,7 @@ produce the same double.
 
 from __future__ import annotations
 
-import datetime as _dt
+import datetime as _dt  # noqa: F401  (re-exported for query modules)
 
 from ..sources.fixtures import AS_OF
 

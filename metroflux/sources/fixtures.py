@@ -193,4 +193,9 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
     """Prefix ``body`` with CTEs for the named fixture views (and extra CTEs)."""
     ctes = [f"{n} AS ({FIXTURE_SQL[n]})" for n in names]
     ctes += [f"{n} AS ({q})" for n, q in (extra or {}).items()]
-    return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+    if not ctes:
+        return body
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join(ctes) + ",\n" + stripped[5:]
+    return "WITH " + ",\n".join(ctes) + "\n" + body
