@@ -52,3 +52,4 @@ from . import q_quality  # noqa: E402,F401
 from . import q_normalize  # noqa: E402,F401
 from . import q_safety  # noqa: E402,F401
 from . import q_tables  # noqa: E402,F401
+from . import q_messages  # noqa: E402,F401

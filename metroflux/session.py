@@ -14,11 +14,23 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # one from_json per message, not one pruned copy per extracted field
+    "spark.sql.optimizer.enableJsonExpressionOptimization": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+RUNTIME_CONF = {k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.") and "arrow" not in k}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Session-level SQL settings the operators rely on (safe to set on a
+    running session, e.g. one created by a driver program)."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "metroflux", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every job here assumes.
