@@ -54,3 +54,4 @@ from . import q_safety  # noqa: E402,F401
 from . import q_tables  # noqa: E402,F401
 from . import q_messages  # noqa: E402,F401
 from . import q_alerts  # noqa: E402,F401
+from . import q_archive  # noqa: E402,F401
