@@ -26,7 +26,7 @@ STALE_HOURS = 24
 ALL_METRICS = list(S.SUPPORTED_METRICS)
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None):  # noqa: D401
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
@@ -55,3 +55,4 @@ from . import q_tables  # noqa: E402,F401
 from . import q_messages  # noqa: E402,F401
 from . import q_alerts  # noqa: E402,F401
 from . import q_archive  # noqa: E402,F401
+from . import q_stream  # noqa: E402,F401
