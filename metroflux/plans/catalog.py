@@ -56,3 +56,4 @@ from . import q_messages  # noqa: E402,F401
 from . import q_alerts  # noqa: E402,F401
 from . import q_archive  # noqa: E402,F401
 from . import q_stream  # noqa: E402,F401
+from . import q_media_extra  # noqa: E402,F401
