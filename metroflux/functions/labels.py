@@ -10,13 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .text import lookup
 
 
 def _lookup(c: Column, mapping: dict, fallback: Column) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(c == F.lit(k), F.lit(v)) if expr is None else expr.when(c == F.lit(k), F.lit(v))
-    return expr.otherwise(fallback)
+    return lookup(c, mapping, fallback)
 
 
 def title_fallback(c: Column) -> Column:
@@ -35,11 +33,7 @@ def metric_label(c: Column) -> Column:
 
 
 def metric_group(c: Column) -> Column:
-    expr = None
-    for group, metrics in S.METRIC_DOMAINS.items():
-        cond = c.isin(metrics)
-        expr = F.when(cond, F.lit(group)) if expr is None else expr.when(cond, F.lit(group))
-    return expr.otherwise(F.lit("Other"))
+    return lookup(c, {m: g for g, ms in S.METRIC_DOMAINS.items() for m in ms}, F.lit("Other"))
 
 
 def quality_label(c: Column) -> Column:

@@ -35,3 +35,18 @@ def normalize_unit(c) -> Column:
     u = F.lower(go_trim(c))
     u = F.regexp_replace(u, r"(?U)\s+", "")
     return F.translate(u, "µμ³", "uu3")
+
+
+def lookup(key: Column, mapping: dict, default: Column | None = None) -> Column:
+    """Value of ``key`` in a literal map (NULL / ``default`` when absent).
+
+    One map literal instead of a CASE chain: the key expression appears once
+    in the tree, however many entries the catalogue has."""
+    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    v = F.try_element_at(m, key)
+    return v if default is None else F.coalesce(v, default)
+
+
+def pick(index: Column, values: list) -> Column:
+    """``values[index]`` (0-based) from a literal array."""
+    return F.try_element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)

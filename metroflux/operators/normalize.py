@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.keys import dedup_key
-from ..functions.text import go_trim, is_blank, normalize_unit
+from ..functions.text import go_trim, is_blank, lookup, normalize_unit
 from .validate import validation_errors
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
@@ -84,10 +84,8 @@ def normalize_air_quality(latest: DataFrame, sensors: DataFrame, ingested_at) ->
             .agg(F.max_by("r", F.struct("seq", "pos")).alias("s")))
     j = meas.join(meta, ["location_id", "sensor_key"], "left")
     key = F.regexp_replace(F.lower(go_trim(F.col("s.parameter.name"))), "[ _-]", "")
-    metric = want = None
-    for k, (m, u) in _AQ_METRIC.items():
-        metric = F.when(key == k, F.lit(m)) if metric is None else metric.when(key == k, F.lit(m))
-        want = F.when(key == k, F.lit(u)) if want is None else want.when(key == k, F.lit(u))
+    metric = lookup(key, {k: m for k, (m, _) in _AQ_METRIC.items()})
+    want = lookup(key, {k: u for k, (_, u) in _AQ_METRIC.items()})
     src_unit = F.when(is_blank(F.col("s.units")), F.col("s.parameter.units")).otherwise(F.col("s.units"))
     cleaned = normalize_unit(src_unit)
     unit = (F.when((metric == "PM2.5") & cleaned.isin(_PM_UNITS), F.lit("ug/m3"))
@@ -117,11 +115,7 @@ _WX_UNITS = {"°C": "C", "%": "%", "km/h": "km/h", "mm": "mm"}
 
 
 def _wx_unit(c: Column) -> Column:
-    t = go_trim(c)
-    expr = None
-    for k, v in _WX_UNITS.items():
-        expr = F.when(t == k, F.lit(v)) if expr is None else expr.when(t == k, F.lit(v))
-    return expr
+    return lookup(go_trim(c), _WX_UNITS)
 
 
 def normalize_weather(current: DataFrame, ingested_at) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.text import col_
+from ..functions.text import col_, lookup
 
 # --- fixed values: demo locations (name, latitude, longitude) ------------------
 DEMO_LOCATIONS = [
@@ -131,17 +131,11 @@ def parse_notifications(raw: DataFrame, as_of: Column, body_col: str = "body",
 def normalize_label(label) -> Column:
     n = F.replace(F.replace(F.lower(F.regexp_replace(F.coalesce(col_(label), F.lit("")), r"(?U)^\s+|\s+$", "")),
                             F.lit("_"), F.lit(" ")), F.lit("-"), F.lit(" "))
-    expr = None
-    for raw, canon in S.LABEL_ALIASES.items():
-        expr = F.when(n == raw, F.lit(canon)) if expr is None else expr.when(n == raw, F.lit(canon))
-    return expr.otherwise(n)
+    return lookup(n, S.LABEL_ALIASES, n)
 
 
 def _map(n: Column, mapping: dict, fallback: Column) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(n == k, F.lit(v)) if expr is None else expr.when(n == k, F.lit(v))
-    return expr.otherwise(fallback)
+    return lookup(n, mapping, fallback)
 
 
 def display_label(label) -> Column:

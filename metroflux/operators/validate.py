@@ -13,16 +13,12 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.keys import dedup_key
-from ..functions.text import is_blank
+from ..functions.text import is_blank, lookup
 from ..functions.timefn import epoch_seconds
 
 
 def _rule(metric: Column, pick: int) -> Column:
-    expr = None
-    for m, rule in S.METRIC_RULES.items():
-        v = F.lit(rule[pick])
-        expr = F.when(metric == m, v) if expr is None else expr.when(metric == m, v)
-    return expr
+    return lookup(metric, {m: rule[pick] for m, rule in S.METRIC_RULES.items()})
 
 
 def _fmt2(x: float) -> str:

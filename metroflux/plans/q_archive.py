@@ -17,6 +17,7 @@ from ..sources import archive as AR
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
 from .catalog import AS_OF, HOURS, IM, R, register
+from .q_quality import FRESH_SQL, SOURCE_NAME
 from .q_reports import SOURCE_SUMMARY_SQL
 from .q_safety import PRED_SQL, preds
 from .q_tables import ARCH_CUT, ARCHIVE_SQL, RETENTION_HOURS, archive_rows
@@ -95,4 +96,23 @@ def _exec(spark, sf):
                                AR.read_archive(spark, archive_root(spark, sf)), AS_OF, HOURS)
 
 
-register("executive_report", None)(_exec)
+_EXEC_SQL = f"""
+WITH o AS (SELECT COUNT(*) AS total_readings, COUNT(DISTINCT sensor_id) AS active_sensors,
+                  COUNT(DISTINCT source) AS sources, {Q.valid_pct()} AS valid_pct
+           FROM sensor_readings WHERE time >= {Q.cutoff(HOURS)}),
+l AS (SELECT max(time) AS latest_reading_at FROM sensor_readings),
+s AS (SELECT string_agg(source_name, ', ' ORDER BY readings DESC, source) AS names FROM
+      (SELECT *, {SOURCE_NAME} AS source_name FROM ({SOURCE_SUMMARY_SQL}) ORDER BY readings DESC, source LIMIT 5)),
+a AS (SELECT COUNT(*) AS archive_rows FROM ({ARCHIVE_SQL}))
+SELECT 'Chicago has ' || format('{{:,}}', active_sensors) || ' monitored locations across ' || format('{{:,}}', sources)
+         || CASE WHEN sources = 1 THEN ' source group' ELSE ' source groups' END || '.' AS statement_1,
+  'The selected {int(HOURS)}-hour view includes ' || format('{{:,}}', total_readings) || ' readings with '
+         || printf('%.1f', valid_pct) || '% ready for reporting.' AS statement_2,
+  'The latest city update is ' || ({FRESH_SQL}) || '; most recent timestamp: '
+         || coalesce(strftime(latest_reading_at, '%Y-%m-%d %H:%M UTC'), 'n/a') || '.' AS statement_3,
+  'Active source groups: ' || CASE WHEN coalesce(names, '') = '' THEN 'No active source groups in this window'
+         ELSE names END || '.' AS statement_4,
+  'Historical archive status: ' || CASE WHEN archive_rows > 0 THEN 'Cloud archive active'
+         ELSE 'Cloud archive ready' END || '.' AS statement_5
+FROM o, l, s, a"""
+register("executive_report", with_views(_EXEC_SQL, "sensor_readings", "readings_arrival"))(_exec)

@@ -19,7 +19,7 @@ def messages(spark, sf):
     sensor_id on every 40th, value as a string on every 60th, no
     quality_flag on every 30th; publish_time = ingested_at.  One ``to_json``
     per row, variations patched into the text."""
-    r = FX.readings_with_arrival(spark, sf)
+    r = FX.readings_with_arrival(spark, sf, spread=True)
     e = F.col("event_id")
     sent = F.when(e % 40 == 0, F.lit("  ")).otherwise(F.col("sensor_id"))
     body = F.to_json(M.reading_struct().withField("sensor_id", sent))

@@ -34,15 +34,29 @@ _UNITS = {"PM2.5": "ug/m3", "O3": "ppm", "NO2": "ppb", "temperature": "C", "humi
           "dock_available_count": "count", "station_capacity": "count", "water_gage_height": "ft"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table.  ``spread=True`` is for inputs that stand for landed
+    payloads / messages with heavy per-row work: when the scan yields fewer
+    splits than the cluster has cores (a single small file locally), rows are
+    spread round-robin; a large input already has enough splits and is left
+    as is (no shuffle)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if path not in _SPLITS:
+            _SPLITS[path] = df.rdd.getNumPartitions()
+        if _SPLITS[path] < cores:
+            df = df.repartition(cores)
+    return df
+
+
+_SPLITS: dict[str, int] = {}
 
 
 def _case(key: Column, values: list[str]) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(key == i, F.lit(v)) if expr is None else expr.when(key == i, F.lit(v))
-    return expr
+    from ..functions.text import pick
+    return pick(key, values)
 
 
 def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,9 +65,9 @@ def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readings_from(table(spark, sf_dir, "events")).drop("event_id")
 
 
-def readings_with_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings_with_arrival(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Readings plus ``event_id`` as the arrival number (for upsert batches)."""
-    return _readings_from(table(spark, sf_dir, "events"))
+    return _readings_from(table(spark, sf_dir, "events", spread))
 
 
 def _readings_from(ev: DataFrame) -> DataFrame:
@@ -102,7 +116,7 @@ def ingestion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def media_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw model output per media object (pre-label-mapping)."""
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     k = (F.col("event_id") % 9).cast("int")
     raw = _case(k, FIXTURE_RAW_LABELS)
     cam = (F.col("user_id") % 12).cast("string")

@@ -80,11 +80,8 @@ AQ_UNITS = ["µg/m³", "μg/m3", "ppm", "ppb", None]
 
 
 def _pick(key, values):
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v) if v is not None else F.lit(None).cast("string")
-        expr = F.when(key == i, lit) if expr is None else expr.when(key == i, lit)
-    return expr
+    from ..functions.text import pick
+    return pick(key, values).cast("string")
 
 
 def _utc_text(ts):
@@ -92,7 +89,7 @@ def _utc_text(ts):
 
 
 def aq_latest_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     e, u = F.col("event_id"), F.col("user_id")
     coords = F.when(e % 4 == 0, F.lit(None).cast(COORDS)).otherwise(
         F.struct(_lat(u).alias("latitude"), _lon(u).alias("longitude")))
@@ -104,7 +101,7 @@ def aq_latest_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aq_sensors_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").filter(F.col("event_id") % 10 != 0)
+    ev = table(spark, sf_dir, "events", spread=True).filter(F.col("event_id") % 10 != 0)
     e, u = F.col("event_id"), F.col("user_id")
     k7, k5 = (e % 7).cast("int"), (e % 5).cast("int")
     coords = F.when(e % 8 == 0, F.lit(None).cast(COORDS)).otherwise(
@@ -123,7 +120,7 @@ def aq_sensors_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     e, u, ts, v = F.col("event_id"), F.col("user_id"), F.col("ts"), F.col("value")
     local6 = F.date_format(ts - F.expr("INTERVAL 6 HOURS"), "yyyy-MM-dd'T'HH:mm:ss") 
     t = (F.when(e % 17 == 0, F.lit(""))
@@ -145,7 +142,7 @@ def _station_id(u):
 
 
 def gbfs_info_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = table(spark, sf_dir, "events").select("user_id").distinct().filter(F.col("user_id") % 8 != 0)
+    users = table(spark, sf_dir, "events", spread=True).select("user_id").distinct().filter(F.col("user_id") % 8 != 0)
     u = F.col("user_id")
 
     def rec(seq, cap):
@@ -159,7 +156,7 @@ def gbfs_info_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gbfs_status_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     e, u = F.col("event_id"), F.col("user_id")
     epoch = F.unix_seconds(F.col("ts").cast("timestamp"))
     st = F.struct(_station_id(u).alias("station_id"), (e % 20).alias("num_bikes_available"),
@@ -170,7 +167,7 @@ def gbfs_status_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def usgs_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     v = F.col("value").cast("decimal(10,2)")
     site = F.concat(F.lit("0553"), F.lpad(u.cast("string"), 4, "0"))
