@@ -46,6 +46,17 @@ def _dbl(c: Column) -> Column:
     return c.cast("double")
 
 
+def with_row(base: DataFrame, *others: DataFrame) -> DataFrame:
+    """Append the columns of one-row frames (global aggregates) to ``base``
+    as scalar subqueries: each is computed once and broadcast as a value,
+    no join between frames."""
+    out = base
+    for other in others:
+        s = other.select(F.struct(*other.columns).alias("r")).scalar()
+        out = out.select("*", *[s[c].alias(c) for c in other.columns])
+    return out
+
+
 # ---------------------------------------------------------------- A1 overview
 def _derived_ops(readings: DataFrame, as_of, hours: float) -> DataFrame:
     t = F.coalesce(F.col("ingested_at"), F.col("time"))
@@ -77,7 +88,7 @@ def overview(readings: DataFrame, metrics_table: DataFrame, as_of, hours: float
     latest = (ops.filter(has_metrics)
               .unionByName(_derived_ops(readings, as_of, hours).filter(~has_metrics)))
     # three one-row frames: the products are single rows
-    return quality.crossJoin(all_rows).crossJoin(latest)
+    return with_row(quality, all_rows, latest)
 
 
 # ------------------------------------------------------------ A2 options
@@ -305,7 +316,7 @@ def operations_rollup(summary: DataFrame, latest_metrics: DataFrame) -> DataFram
                     F.max("latest_reading_at").alias("latest_reading_at"),
                     F.count(F.lit(1)).cast("bigint").alias("source_count"))
     m = latest_metrics.agg(F.coalesce(F.max("dropped_readings_total"), F.lit(0)).cast("bigint").alias("dropped_readings_total"))
-    return s.crossJoin(m).withColumn(
+    return with_row(s, m).withColumn(
         "service_health", F.when(F.col("dropped_readings_total") > 0, "Degraded").otherwise("Healthy"))
 
 
@@ -348,7 +359,7 @@ def executive_report(overview_df: DataFrame, summary: DataFrame, archive_rows: D
     as_of_c = ts_lit(as_of, overview_df.schema["latest_reading_at"].dataType)
     src_list = F.transform(F.split(F.col("srcs"), "\u0001"), lambda s: source_label(s))
     n_src = F.col("sources")
-    return (o.crossJoin(names).crossJoin(arch).select(
+    return (with_row(o, names, arch).select(
         F.concat(F.lit(f"{city} has "), F.format_number(F.col("active_sensors"), 0),
                  F.lit(" monitored locations across "), F.format_number(n_src, 0), F.lit(" "),
                  F.when(n_src == 1, F.lit("source group")).otherwise(F.lit("source groups")),

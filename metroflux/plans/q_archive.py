@@ -50,7 +50,7 @@ register("archive_summary", None)(lambda spark, sf: AR.archive_summary(files(spa
 register("archive_snapshot", None)(
     lambda spark, sf: AR.archive_snapshot(AR.read_archive(spark, archive_root(spark, sf)), files(spark, sf)))
 register("archive_expire", None)(lambda spark, sf: AR.expired_partitions(files(spark, sf), AS_OF, 365))
-register("archive_age", None)(lambda spark, sf: AR.archive_age(files(spark, sf), _dt.datetime.utcnow()))
+register("archive_age", None)(lambda spark, sf: AR.archive_age(files(spark, sf), _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)))
 
 _ARCH_COLS = ("time, sensor_id, metric, CAST(value AS DOUBLE) AS value, unit, source, CAST(latitude AS DOUBLE) AS latitude, "
               "CAST(longitude AS DOUBLE) AS longitude, quality_flag, ingested_at, schema_version")

@@ -103,7 +103,8 @@ def archive_snapshot(archive: DataFrame, files: DataFrame) -> DataFrame:
                     F.date_format(F.max("time"), "yyyy-MM-dd HH:mm:ss").alias("latest_time"))
     f = files.agg(F.count(F.lit(1)).cast("bigint").alias("object_count"),
                   F.max_by("object_name", "modified_at").alias("latest_object"))
-    return a.crossJoin(f).withColumn(
+    from ..operators.reports import with_row
+    return with_row(a, f).withColumn(
         "status", F.when((F.col("object_count") > 0) | (F.col("row_count") > 0), "Cloud archive active")
         .otherwise("Cloud archive ready"))
 

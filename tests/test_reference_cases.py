@@ -56,9 +56,9 @@ def test_dedup_key_and_partition_path(spark):
     assert df.select(partition_path()).first()[0].startswith("source=a_b_c/metric=unknown/")
 
 
-def _aq(spark, name, units, param_units="", m_coords=(41.9, -87.6), s_coords=(41.8, -87.5), sid=200):
+def _aq(spark, name, units, param_units="", m_coords=(41.9, -87.6), s_coords=(41.8, -87.5), sid=200, value=12.0):
     latest = spark.createDataFrame(
-        [(1, [((("2026-05-21T10:00:00Z", "x"), 12.0, m_coords if m_coords else None, sid, 1))])],
+        [(1, [((("2026-05-21T10:00:00Z", "x"), value, m_coords if m_coords else None, sid, 1))])],
         P.AQ_LATEST)
     sensors = spark.createDataFrame(
         [(1, 1, [(sid, "s", (2, name, param_units), units, s_coords if s_coords else None)])], P.AQ_SENSORS)
@@ -71,7 +71,7 @@ def test_air_quality_cases(spark):
     assert N.published(_aq(spark, "co", "ppm")).count() == 0
     assert N.published(_aq(spark, "no2", "µg/m³")).count() == 0
     assert "unsupported OpenAQ unit" in N.skipped(_aq(spark, "no2", "µg/m³")).first().skip_reason
-    r = N.published(_aq(spark, "o3", "ppm", m_coords=None, s_coords=(41.7, -87.7))).first()
+    r = N.published(_aq(spark, "o3", "ppm", m_coords=None, s_coords=(41.7, -87.7), value=0.04)).first()
     assert (r.latitude, r.longitude) == (41.7, -87.7)
     out = _aq(spark, "pm25", None, param_units="µg/m³")
     assert N.published(out).count() == 1 and N.skipped(out).count() == 0

@@ -103,3 +103,17 @@ def test_alert_states_have_all_states(spark, sf001):
     import __spark_entry__ as E
     states = {r.state for r in E.queries()["alert_states"](spark, sf001).select("state").distinct().collect()}
     assert {"normal", "pending", "firing"} <= states
+
+
+def test_csv_export_and_listing(spark):
+    from metroflux.sources import files as FL
+    base = tempfile.mkdtemp(prefix="mf-csv-")
+    assert FL.export_csv(reading(spark).limit(0), base + "/empty") is False
+    assert not os.path.exists(base + "/empty")
+    assert FL.export_csv(reading(spark), base + "/one") is True
+    back = spark.read.option("header", True).csv(base + "/one").collect()
+    assert len(back) == 1 and back[0].sensor_id == "SIM-CHI-AQ-001"
+    with open(base + "/listing.csv", "w") as fh:
+        fh.write("name,size\nds/Assault/a.png,10\nds/Robbery/b.png,x\nds/Normal/c.png,\n")
+    rows = {r.path: r.size for r in FL.read_listing_csv(spark, base + "/listing.csv").collect()}
+    assert rows == {"ds/Assault/a.png": 10, "ds/Robbery/b.png": 0, "ds/Normal/c.png": 0}
