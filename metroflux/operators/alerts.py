@@ -88,49 +88,56 @@ def _states(values: DataFrame) -> DataFrame:
 
 def alert_states(readings: DataFrame, metrics: DataFrame, as_of, span_hours: float = 24,
                  window_minutes: int = 15) -> DataFrame:
+    """E5 over a 1-minute grid of ``span_hours`` ending at ``as_of``.
+
+    Readings are scanned ONCE: a single aggregate keyed by (source, minute
+    of visibility) yields the last ingestion time and the non-valid count;
+    rows older than the grid collapse into one 'prior' row per source.  E1,
+    E2 and E3 are then derived from that small frame."""
     spark = readings.sparkSession
     like = readings.schema["ingested_at"].dataType
     end = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
     start = end - _dt.timedelta(hours=span_hours)
     early = start - _dt.timedelta(minutes=window_minutes)
-    grid = _grid(spark, start, end, like)
     one_min = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))
     ing = F.col("ingested_at")
-    start_l, end_l = ts_lit(start, like), ts_lit(end, like)
-    # rows visible at t: ingested strictly before t
-    recent = readings.filter((ing >= ts_lit(early, like)) & (ing < end_l))
-
-    # Running max of per-minute maxima, seeded with the max before the grid
-    prior = readings.filter(ing < start_l).agg(F.max("ingested_at")).scalar()
-    m1 = (recent.filter(ing >= start_l).groupBy((time_bucket("ingested_at", "1 minute") + one_min).alias("t"))
-          .agg(F.max("ingested_at").alias("m")))
+    start_l, end_l, early_l = ts_lit(start, like), ts_lit(end, like), ts_lit(early, like)
+    grid = _grid(spark, start, end, like)
+    egrid = _grid(spark, early, end, like)
+
+    # one pass: rows visible at t are those ingested strictly before t; a row
+    # ingested in minute b becomes visible at t = b + 1 minute
+    visible_at = F.when(ing >= early_l, time_bucket("ingested_at", "1 minute") + one_min)
+    per = (readings.filter(ing < end_l)
+           .groupBy("source", visible_at.alias("t"))
+           .agg(F.max("ingested_at").alias("m"), F.count(F.when(F.col("quality_flag") != 1, 1)).alias("bad")))
+    before = F.col("t").isNull() | (F.col("t") <= start_l)
+    prior_src = per.filter(before).groupBy("source").agg(F.max("m").alias("prior"))
+    in_grid = per.filter(~before)
+
+    # Running max of per-minute maxima, seeded with the last ingestion before the grid
+    prior = prior_src.agg(F.max("prior")).scalar()
+    m1 = in_grid.groupBy("t").agg(F.max("m").alias("m"))
     wg = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # grid-sized
     e1 = (grid.join(m1, "t", "left")
           .withColumn("last", F.greatest(F.max("m").over(wg), prior))
           .select(F.lit(RULES[0][0]).alias("rule"), "t",
                   F.coalesce(seconds_between(F.col("t"), F.col("last")) / 60.0, F.lit(NO_DATA)).alias("value")))
 
-    # The same per source, then the worst source per t
-    src_prior = readings.filter(ing < start_l).groupBy("source").agg(F.max("ingested_at").alias("prior"))
-    sources = readings.filter(ing < end_l).select("source").distinct()
+    # The same per source (grid generated per source row), worst source per t
     n = int((end - start).total_seconds() // 60)
+    sources = per.select("source").distinct()
     sgrid = sources.select("source", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("i")).select(
         "source", (start_l + F.make_dt_interval(F.lit(0), F.lit(0), F.col("i"))).alias("t"))
-    m2 = (recent.filter(ing >= start_l)
-          .groupBy("source", (time_bucket("ingested_at", "1 minute") + one_min).alias("t"))
-          .agg(F.max("ingested_at").alias("m")))
     ws = Window.partitionBy("source").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    e2 = (sgrid.join(m2, ["source", "t"], "left").join(src_prior, "source", "left")
+    e2 = (sgrid.join(in_grid.select("source", "t", "m"), ["source", "t"], "left").join(prior_src, "source", "left")
           .withColumn("last", F.greatest(F.max("m").over(ws), F.col("prior")))
           .groupBy("t").agg(F.max(seconds_between(F.col("t"), F.col("last")) / 60.0).alias("age"))
           .select(F.lit(RULES[1][0]).alias("rule"), "t", F.coalesce("age", F.lit(NO_DATA)).alias("value")))
 
-    # Rolling 15-minute count of non-valid rows; grid starts early so the
-    # first evaluations see their whole window
-    egrid = _grid(spark, early, end, like)
-    m3 = (recent.filter(F.col("quality_flag") != 1)
-          .groupBy((time_bucket("ingested_at", "1 minute") + one_min).alias("t"))
-          .agg(F.count(F.lit(1)).alias("c")))
+    # Rolling 15-minute count of non-valid rows (grid starts early so the
+    # first evaluations see their whole window)
+    m3 = per.filter(F.col("t").isNotNull()).groupBy("t").agg(F.sum("bad").alias("c"))
     wr = Window.orderBy("t").rowsBetween(-(window_minutes - 1), Window.currentRow)
     e3 = (egrid.join(m3, "t", "left").withColumn("v", F.sum(F.coalesce("c", F.lit(0))).over(wr).cast("double"))
           .filter(F.col("t") >= start_l).select(F.lit(RULES[2][0]).alias("rule"), "t", F.col("v").alias("value")))

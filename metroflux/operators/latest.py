@@ -51,8 +51,8 @@ def display_columns(df: DataFrame, station_names: DataFrame | None = None) -> Da
     """source_name, metric_name, metric_group, quality, sensor_name.
 
     ``station_names`` (station_id, name) is the bike-share dimension (S19);
-    it is joined with a broadcast hint because station catalogues are a few
-    thousand rows, never proportional to readings."""
+    its size is not bounded by contract, so the join is left to AQE, which
+    broadcasts it at runtime only when it is measured small."""
     out = df
     cols = set(df.columns)
     if "source" in cols:
@@ -65,7 +65,7 @@ def display_columns(df: DataFrame, station_names: DataFrame | None = None) -> Da
     if {"sensor_id", "source"} <= cols:
         name = L.sensor_display_name(F.col("sensor_id"), F.col("source"))
         if station_names is not None:
-            st = F.broadcast(station_names.select(F.col("station_id").alias("_sid"), F.col("name").alias("_sname")))
+            st = station_names.select(F.col("station_id").alias("_sid"), F.col("name").alias("_sname"))
             is_bike = (F.lower(F.col("source")) == "gbfs") | F.col("sensor_id").startswith("GBFS-")
             out = out.join(st, F.regexp_replace(F.col("sensor_id"), "^GBFS-", "") == F.col("_sid"), "left")
             name = F.when(is_bike & F.col("_sname").isNotNull(), F.col("_sname")).otherwise(name)

@@ -210,7 +210,8 @@ def normalize_river(payload: DataFrame, ingested_at) -> DataFrame:
     series_fail = (F.when(~param_ok, F.concat(F.lit("unsupported USGS parameter/unit "), F.coalesce(code, F.lit("")),
                                                F.lit("/"), F.coalesce(unit_code, F.lit(""))))
                    .when(F.coalesce(site, F.lit("")) == "", F.lit("missing USGS site code")))
-    meas = F.flatten(F.transform(F.coalesce(F.col("ts.values"), F.array()), lambda g: F.coalesce(g["value"], F.array())))
+    # values[].value[] flattened without a lambda (missing lists count as empty)
+    meas = F.flatten(F.array_compact(F.coalesce(F.col("ts.values.value"), F.array())))
     dummy = F.array(F.struct(F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("dateTime")))
     x = ser.select(site.alias("site"), series_fail.alias("series_fail"),
                    F.col("ts.sourceInfo.geoLocation.geogLocation.latitude").alias("lat"),

@@ -60,10 +60,12 @@ def is_media(path) -> Column:
 
 
 def _last_part_value(path, key: str, skip_empty: bool = True) -> Column:
-    vals = F.regexp_extract_all(F.regexp_replace(col_(path), r"\\", "/"), F.lit(f"(?:^|/){key}=([^/]*)"), 1)
-    if skip_empty:
-        return F.try_element_at(F.filter(vals, lambda v: v != ""), F.lit(-1))
-    return F.nullif(F.try_element_at(vals, F.lit(-1)), F.lit(""))
+    """Value of the last ``key=value`` path part (the last non-empty one when
+    ``skip_empty``).  A greedy prefix makes one regex find the last match,
+    which stays inside generated code (no lambda)."""
+    value = "[^/]+" if skip_empty else "[^/]*"
+    v = F.regexp_extract(F.regexp_replace(col_(path), r"\\", "/"), f"^.*(?:^|/){key}=({value})", 1)
+    return F.nullif(v, F.lit(""))
 
 
 def infer_city_camera(path, default_city: str = DEFAULT_CITY, default_camera: str = DEFAULT_CAMERA):
@@ -84,9 +86,9 @@ def infer_demo_metadata(path, as_of: Column) -> dict[str, Column]:
     lon = F.when(idx == 0, F.lit(DEMO_LOCATIONS[0][2]))
     for i, (n, la, lo) in enumerate(DEMO_LOCATIONS[1:], start=1):
         name, lat, lon = name.when(idx == i, F.lit(n)), lat.when(idx == i, F.lit(la)), lon.when(idx == i, F.lit(lo))
-    tokens = F.split(F.regexp_replace(file_stem(path), "-", "_"), "_")
-    frames = F.filter(tokens, lambda t: F.lower(t).startswith("frame") & F.substring(t, 6, 1 << 20).rlike("^[0-9]+$"))
-    frame = F.substring(F.try_element_at(frames, F.lit(-1)), 6, 1 << 20).try_cast("int")
+    stem = F.regexp_replace(file_stem(path), "-", "_")
+    # last "_"-separated token that is "frame" + digits
+    frame = F.nullif(F.regexp_extract(stem, r"^.*(?:^|_)(?i:frame)([0-9]+)(?:_|$)", 1), F.lit("")).try_cast("int")
     src = F.when(col_(path).contains("source_video="), _last_part_value(path, "source_video", skip_empty=False))
     return {"event_time": as_of - F.make_dt_interval(F.lit(0), F.lit(0), minutes),
             "location_name": name, "latitude": lat, "longitude": lon,

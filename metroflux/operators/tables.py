@@ -165,6 +165,6 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, key: list[str
         touched = latest.select(*partition_cols).distinct()
         part = base.join(touched, partition_cols, "left_semi")
         merged = upsert(part, batch, key, arrival).select(*base.columns).checkpoint()
-    (merged.repartition(*[F.col(c) for c in partition_cols])
+    (merged.hint("rebalance", *partition_cols)          # AQE splits hot partitions
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))

@@ -44,11 +44,13 @@ def archive_frame(readings: DataFrame) -> DataFrame:
 
 def write_archive(readings: DataFrame, root: str, max_records_per_file: int = 5_000_000) -> bool:
     """Append one export run.  Empty input writes nothing (a LIMIT 1
-    probe, not a count).  One shuffle groups rows by partition so each task
-    writes whole partitions; ``maxRecordsPerFile`` bounds file size."""
+    probe, not a count).  One shuffle groups rows by partition keys; the
+    REBALANCE hint lets AQE split a hot partition (one source-day holding a
+    third of the rows) over several writer tasks and merge tiny ones, and
+    ``maxRecordsPerFile`` bounds file size."""
     if readings.isEmpty():
         return False
-    (archive_frame(readings).repartition(*[F.col(c) for c in PARTITION_COLUMNS])
+    (archive_frame(readings).hint("rebalance", *PARTITION_COLUMNS)
      .write.mode("append").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*PARTITION_COLUMNS).parquet(root))
     return True
