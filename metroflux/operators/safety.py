@@ -41,17 +41,23 @@ def object_name(uri) -> Column:
 
 
 def file_name(path) -> Column:
-    return F.regexp_extract(F.regexp_replace(col_(path), r"\\", "/"), r"([^/]*)$", 1)
+    """Last path segment (``/`` or ``\\`` separated) - plain string functions, no regex."""
+    return F.substring_index(F.translate(col_(path), "\\", "/"), "/", -1)
 
 
-def file_stem(path) -> Column:
+def extension(path) -> Column:
+    """``Path(name).suffix.lower()``: text from the last dot, '' when the only
+    dot leads the name or the name ends with a dot."""
     n = file_name(path)
-    return F.when(n.rlike(r"^.+\.[^.]*$"), F.regexp_extract(n, r"^(.+)\.[^.]*$", 1)).otherwise(n)
+    has = (F.locate(".", n, 2) > 0) & ~n.endswith(".")
+    return F.lower(F.when(has, F.concat(F.lit("."), F.substring_index(n, ".", -1))).otherwise(F.lit("")))
 
 
-def extension(path) -> Column:
+def file_stem(path) -> Column:
     n = file_name(path)
-    return F.lower(F.when(n.rlike(r"^.+\.[^.]*$"), F.regexp_extract(n, r"(\.[^.]*)$", 1)).otherwise(F.lit("")))
+    has = (F.locate(".", n, 2) > 0) & ~n.endswith(".")
+    cut = F.length(n) - F.length(F.substring_index(n, ".", -1)) - 1
+    return F.when(has, n.substr(F.lit(1), cut)).otherwise(n)
 
 
 def is_media(path) -> Column:
