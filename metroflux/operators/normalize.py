@@ -51,7 +51,13 @@ def _validated(df: DataFrame) -> DataFrame:
     errs = F.array_join(validation_errors(), "; ")
     reason = F.when(F.col("skip_reason").isNull() & (errs != ""),
                     F.concat(F.lit("invalid reading "), dedup_key(), F.lit(": "), errs)).otherwise(F.col("skip_reason"))
-    return df.withColumn("skip_reason", reason)
+    out = df.withColumn("skip_reason", reason)
+    # Fence: callers filter on ``skip_reason``; without it the optimizer
+    # pushes that filter below this projection and copies the whole reason /
+    # validation expression into the filter, doubling the generated code
+    # (past the 64 KB method limit for air quality).  A filter on generator
+    # output stays above the (one-row) inline.
+    return out.select(F.inline(F.array(F.struct(*out.columns))))
 
 
 def published(df: DataFrame) -> DataFrame:
@@ -210,13 +216,18 @@ def normalize_river(payload: DataFrame, ingested_at) -> DataFrame:
     series_fail = (F.when(~param_ok, F.concat(F.lit("unsupported USGS parameter/unit "), F.coalesce(code, F.lit("")),
                                                F.lit("/"), F.coalesce(unit_code, F.lit(""))))
                    .when(F.coalesce(site, F.lit("")) == "", F.lit("missing USGS site code")))
-    # values[].value[] flattened without a lambda (missing lists count as empty)
-    meas = F.flatten(F.array_compact(F.coalesce(F.col("ts.values.value"), F.array())))
-    dummy = F.array(F.struct(F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("dateTime")))
-    x = ser.select(site.alias("site"), series_fail.alias("series_fail"),
+    # values[].value[] by two explodes (missing lists count as empty); a failed
+    # series yields exactly one placeholder row that carries its reason
+    dummy_m = F.struct(F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("dateTime"))
+    groups = F.when(series_fail.isNotNull(), F.array(F.struct(F.array(dummy_m).alias("value")))).otherwise(
+        F.coalesce(F.col("ts.values"), F.array().cast("array<struct<value:array<struct<value:string,dateTime:string>>>>")))
+    g = ser.select(site.alias("site"), series_fail.alias("series_fail"),
                    F.col("ts.sourceInfo.geoLocation.geogLocation.latitude").alias("lat"),
                    F.col("ts.sourceInfo.geoLocation.geogLocation.longitude").alias("lon"),
-                   F.explode(F.when(series_fail.isNotNull(), dummy).otherwise(meas)).alias("m"))
+                   F.explode(groups).alias("g"))
+    x = g.select("site", "series_fail", "lat", "lon",
+                 F.explode(F.coalesce(F.col("g.value"), F.array().cast("array<struct<value:string,dateTime:string>>")))
+                 .alias("m"))
     t = parse_rfc3339(F.col("m.dateTime"))
     v, ok = go_parse_float(F.col("m.value"))
     reason = (F.when(F.col("series_fail").isNotNull(), F.col("series_fail"))

@@ -1,6 +1,6 @@
 """Reading validation (V1-V5) and the valid / quarantine split.
 
-All rules are evaluated per row as one ``array_compact(array(...))`` of
+All rules are evaluated per row as one ``array_remove(array(...), '')`` of
 error strings, so every error is reported (not just the first) and the
 whole check is a single projection inside whole-stage codegen.  The rule
 table is the 11-entry metric catalogue, inlined as CASE literals.
@@ -57,7 +57,9 @@ def validation_errors(reference: Column | None = None) -> Column:
         F.when(known & (F.coalesce(F.col("unit"), F.lit("")) != unit),
                F.concat(metric, F.lit(' unit must be "'), unit, F.lit('"'))),
     ]
-    return F.array_compact(F.array(*checks))
+    # array_remove of "" (not array_compact, which is a lambda filter and
+    # would take the whole stage out of generated code)
+    return F.array_remove(F.array(*[F.coalesce(c, F.lit("")) for c in checks]), "")
 
 
 def validate_readings(readings: DataFrame, reference: Column | None = None) -> DataFrame:

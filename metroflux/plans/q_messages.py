@@ -14,6 +14,9 @@ from .catalog import AS_OF, ASOF, R, register
 from .q_quality import DEDUP_SQL, REASON_SQL
 
 
+_CHECKPOINTED: dict = {}
+
+
 def messages(spark, sf):
     """FIXTURES 3.5: JSON bodies of the readings; '{' on every 50th, blank
     sensor_id on every 40th, value as a string on every 60th, no
@@ -31,8 +34,11 @@ def messages(spark, sf):
     # The messages stand for landed data: checkpoint them (to the shared
     # checkpoint dir) so the decoder sees a plain column, as it would in
     # deployment, instead of re-inlining the generator expressions.
-    shared_dir(spark, "fixtures")
-    return landed.checkpoint(eager=True)
+    key = (id(spark), sf, spark.conf.get("spark.checkpoint.dir", ""))
+    if key not in _CHECKPOINTED:
+        shared_dir(spark, "fixtures")
+        _CHECKPOINTED[key] = landed.checkpoint(eager=True)
+    return _CHECKPOINTED[key]
 
 
 def checked(spark, sf):
