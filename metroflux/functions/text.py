@@ -14,13 +14,19 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# --- fixed values: Unicode White_Space characters (what Go's TrimSpace strips)
+WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680"
+               + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def go_trim(c) -> Column:
     """Strip leading/trailing Unicode white space (Spark ``trim`` strips only
-    ASCII spaces).  ``(?U)`` makes ``\\s`` Unicode-aware in Java regex."""
-    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+    ASCII spaces); ``btrim`` with the character set, no regex."""
+    return F.btrim(col_(c), F.lit(WHITE_SPACE))
 
 
 def is_blank(c) -> Column:
+    """NULL, empty or only Unicode white space."""
     return F.coalesce(go_trim(c), F.lit("")) == ""
 
 
@@ -31,10 +37,8 @@ def partition_value(c) -> Column:
 
 
 def normalize_unit(c) -> Column:
-    """lower, drop spaces, micro signs -> u, superscript three -> 3."""
-    u = F.lower(go_trim(c))
-    u = F.regexp_replace(u, r"(?U)\s+", "")
-    return F.translate(u, "µμ³", "uu3")
+    """lower, drop (ASCII) spaces, micro signs -> u, superscript three -> 3."""
+    return F.translate(F.replace(F.lower(go_trim(c)), F.lit(" "), F.lit("")), "µμ³", "uu3")
 
 
 def lookup(key: Column, mapping: dict, default: Column | None = None) -> Column:

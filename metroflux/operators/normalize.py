@@ -89,7 +89,7 @@ def normalize_air_quality(latest: DataFrame, sensors: DataFrame, ingested_at) ->
             .groupBy("location_id", F.col("r.id").alias("sensor_key"))
             .agg(F.max_by("r", F.struct("seq", "pos")).alias("s")))
     j = meas.join(meta, ["location_id", "sensor_key"], "left")
-    key = F.regexp_replace(F.lower(go_trim(F.col("s.parameter.name"))), "[ _-]", "")
+    key = F.translate(F.lower(go_trim(F.col("s.parameter.name"))), " _-", "")
     metric = lookup(key, {k: m for k, (m, _) in _AQ_METRIC.items()})
     want = lookup(key, {k: u for k, (_, u) in _AQ_METRIC.items()})
     src_unit = F.when(is_blank(F.col("s.units")), F.col("s.parameter.units")).otherwise(F.col("s.units"))
@@ -129,9 +129,9 @@ def normalize_weather(current: DataFrame, ingested_at) -> DataFrame:
     payload with one reason.  ``sensor_id`` names the requested point."""
     raw_t = F.col("current.time")
     txt = go_trim(raw_t)
-    t = F.coalesce(F.try_to_timestamp(txt, F.lit(RFC3339)),
-                   F.try_to_timestamp(F.concat(txt, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mmX")))
-    t = F.when(F.length(txt) > 0, t)
+    # pick the layout by shape (a failed parse is an exception per row)
+    t = (F.when(F.length(txt) == 16, F.try_to_timestamp(F.concat(txt, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mmX")))
+         .when(F.length(txt) > 16, F.try_to_timestamp(txt, F.lit(RFC3339))))
     bad = F.concat(F.lit("invalid Open-Meteo timestamp "), go_quote(raw_t), F.lit(": "),
                    F.when(F.coalesce(txt, F.lit("")) == "", F.lit("time is required"))
                    .otherwise(F.lit("cannot parse as RFC3339 or 2006-01-02T15:04")))
@@ -140,8 +140,10 @@ def normalize_weather(current: DataFrame, ingested_at) -> DataFrame:
                                F.lit(None).cast("string").alias("fail")) for m, f in _WX])
     fail = F.array(F.struct(F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"),
                             F.lit(None).cast("string").alias("unit"), bad.alias("fail")))
-    x = current.select("*", t.alias("_t"), F.explode(F.when(t.isNotNull(), items).otherwise(fail)).alias("i"))
     sid = F.format_string("OPENMETEO-%.4f-%.4f", F.col("request_latitude"), F.col("request_longitude"))
+    x = (current.select("*", t.alias("_t"), sid.alias("_sid"))      # once per payload, before the unpivot
+         .select("*", F.explode(F.when(F.col("_t").isNotNull(), items).otherwise(fail)).alias("i")))
+    sid = F.col("_sid")
     reason = (F.when(F.col("i.fail").isNotNull(), F.col("i.fail"))
               .when(F.col("i.unit").isNull(), F.concat(F.lit("unsupported Open-Meteo unit for "), F.col("i.metric"))))
     out = x.select(*_reading(F.col("_t"), sid, F.col("i.metric"), F.col("i.value"), F.col("i.unit"), "openmeteo",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.text import col_, lookup
+from ..functions.text import col_, go_trim, lookup
 
 # --- fixed values: demo locations (name, latitude, longitude) ------------------
 DEMO_LOCATIONS = [
@@ -137,7 +137,7 @@ def parse_notifications(raw: DataFrame, as_of: Column, body_col: str = "body",
 
 # ------------------------------------------------------------------ M3 labels
 def normalize_label(label) -> Column:
-    n = F.replace(F.replace(F.lower(F.regexp_replace(F.coalesce(col_(label), F.lit("")), r"(?U)^\s+|\s+$", "")),
+    n = F.replace(F.replace(F.lower(go_trim(F.coalesce(col_(label), F.lit("")))),
                             F.lit("_"), F.lit(" ")), F.lit("-"), F.lit(" "))
     return lookup(n, S.LABEL_ALIASES, n)
 

@@ -10,11 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..sources import fixtures as FX
-from ..sources.fixtures import with_views
 from . import sqlkit as Q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +24,8 @@ STALE_HOURS = 24
 ALL_METRICS = list(S.SUPPORTED_METRICS)
 
 
-def register(name: str, sql: str | None = None):  # noqa: D401
+def register(name: str, sql: str | None = None):
+    """Add ``fn`` to the catalogue under ``name`` (with its oracle SQL if given)."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
@@ -47,7 +46,7 @@ CUT = Q.cutoff(HOURS)
 STALE_CUT = Q.cutoff(STALE_HOURS)
 ASOF = Q.ts(AS_OF)
 
-from . import q_reports  # noqa: E402,F401  (registers report queries)
+from . import q_reports  # noqa: E402,F401  (each module registers its queries)
 from . import q_quality  # noqa: E402,F401
 from . import q_normalize  # noqa: E402,F401
 from . import q_safety  # noqa: E402,F401

@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 
-from pyspark.sql import functions as F
 
 from ..operators import reports as RP
 from ..session import shared_dir

@@ -12,7 +12,7 @@ from ..sources import fixtures as FX
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
 from .catalog import register
-from .q_safety import EVENTS_SQL, FNAME, events, norm_label
+from .q_safety import EVENTS_SQL, events, norm_label
 
 
 def listing(spark, sf):

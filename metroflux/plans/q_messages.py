@@ -9,7 +9,6 @@ from ..session import shared_dir
 from ..operators import messages as M
 from ..sources import fixtures as FX
 from ..sources.fixtures import with_views
-from . import sqlkit as Q
 from .catalog import AS_OF, ASOF, R, register
 from .q_quality import DEDUP_SQL, REASON_SQL
 

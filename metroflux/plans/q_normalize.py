@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..operators import normalize as N
 from ..sources import payloads as P
-from . import sqlkit as Q
 from .catalog import AS_OF, ASOF, register
 
 READING_COLS = ["time", "sensor_id", "metric", "value", "unit", "source", "latitude", "longitude",

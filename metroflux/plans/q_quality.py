@@ -12,8 +12,8 @@ from ..operators import reports as RP
 from ..operators import validate as V
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
-from .catalog import ALL_METRICS, AS_OF, ASOF, CUT, HOURS, IM, R, STALE_HOURS, register
-from .q_reports import LATEST_SQL, NETWORK_SQL, SOURCE_SUMMARY_SQL, SCOPE
+from .catalog import ALL_METRICS, AS_OF, ASOF, HOURS, R, STALE_HOURS, register
+from .q_reports import LATEST_SQL, NETWORK_SQL
 
 DEDUP_SQL = ("sensor_id || '|' || strftime(time, '%Y-%m-%dT%H:%M:%S') || "
              "regexp_replace(strftime(time, '.%f'), '\\.?0+$', '') || 'Z' || '|' || metric")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import latest as LT
 from ..operators import reports as RP
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
-from .catalog import ALL_METRICS, AS_OF, ASOF, CUT, HOURS, IM, R, STALE_CUT, STALE_HOURS, register
+from .catalog import ALL_METRICS, AS_OF, CUT, HOURS, IM, R, STALE_CUT, STALE_HOURS, register
 
 AVG_V = Q.avg_exact("value", 6)
 VP = Q.valid_pct()

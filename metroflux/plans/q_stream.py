@@ -9,11 +9,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import reports as RP
 from ..session import shared_dir
 from ..sources import fixtures as FX
 from ..streaming import jobs as J
-from .catalog import AS_OF, R, ORACLES, register
+from .catalog import AS_OF, ORACLES, register
 from .q_messages import messages
 
 _LANDED: dict[str, str] = {}
