@@ -1,8 +1,8 @@
 """Archive queries.
 
 The archive is written once per session into the shared checkpoint folder
-(two export runs over the readings view, the second re-exporting every 4th
-row as the platform's export job does) and then read back."""
+(two export runs over the readings view, the second re-selecting the
+oldest rows as the platform's export job does) and then read back."""
 
 from __future__ import annotations
 
@@ -22,10 +22,11 @@ from .q_safety import PRED_SQL, preds
 from .q_tables import ARCH_CUT, ARCHIVE_SQL, RETENTION_HOURS, archive_rows
 
 _WRITTEN: set[str] = set()
+ARCHIVE_LAYOUT = "two-runs-oldest-rows-v2"   # changes when the export runs change
 
 
 def archive_root(spark, sf) -> str:
-    tag = hashlib.sha1(sf.encode()).hexdigest()[:10]
+    tag = hashlib.sha1((sf + ARCHIVE_LAYOUT).encode()).hexdigest()[:10]
     root = shared_dir(spark, f"archive-{tag}") + "/sensor_readings"
     key = spark.conf.get("spark.checkpoint.dir", "") + root
     if key not in _WRITTEN:

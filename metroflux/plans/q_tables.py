@@ -13,28 +13,38 @@ from . import sqlkit as Q
 from .catalog import AS_OF, ASOF, IM, R, register
 from .q_safety import FLAGS_SQL, PRED_SQL, preds
 
+# batches are cut by time (a natural delivery boundary), never by id subsets
+MID = "2024-01-16 00:00:00"          # second half of the month is re-delivered / new
+LAST_WEEK = "2024-01-24 00:00:00"    # ...and its last week is delivered twice
+OLDEST = "2024-01-08 00:00:00"       # rows an export run without progress marker re-selects
+
 RCOLS = "time, sensor_id, metric, value, unit, source, latitude, longitude, quality_flag, ingested_at, schema_version"
 KEY = ["time", "sensor_id", "metric"]
 
 
 # ---------------------------------------------------------------- S8 upsert_readings
+def _at(df, value):
+    return ts_lit(value, df.schema["time"].dataType)
+
+
 def reading_batch(spark, sf):
-    """Batch 2 (FIXTURES 3.5): every 10th row re-sent with value + 1 an hour
-    later; every 100th key sent twice, the later arrival with value + 2."""
+    """Batch 2: every reading of the second half of the month re-sent with
+    value + 1 an hour later; the last week's readings sent twice, the later
+    arrival with value + 2 (last writer wins)."""
     base = FX.readings_with_arrival(spark, sf)
     hour = F.expr("INTERVAL 1 HOUR")
-    a = base.filter(F.col("event_id") % 10 == 0).withColumn("value", (F.col("value") + 1).cast("decimal(18,6)")) \
+    a = base.filter(F.col("time") >= _at(base, MID)).withColumn("value", (F.col("value") + 1).cast("decimal(18,6)")) \
         .withColumn("ingested_at", F.col("ingested_at") + hour).withColumn("arrival", F.col("event_id") * 2)
-    b = base.filter(F.col("event_id") % 100 == 0).withColumn("value", (F.col("value") + 2).cast("decimal(18,6)")) \
+    b = base.filter(F.col("time") >= _at(base, LAST_WEEK)).withColumn("value", (F.col("value") + 2).cast("decimal(18,6)")) \
         .withColumn("ingested_at", F.col("ingested_at") + hour).withColumn("arrival", F.col("event_id") * 2 + 1)
     return a.unionByName(b).drop("event_id")
 
 
 BATCH_SQL = f"""SELECT {RCOLS.replace('value,', 'CAST(value + 1 AS DECIMAL(18,6)) AS value,').replace('ingested_at,', 'ingested_at + INTERVAL 1 HOUR AS ingested_at,')}, event_id * 2 AS arrival
-  FROM readings_arrival WHERE event_id % 10 = 0
+  FROM readings_arrival WHERE time >= {Q.ts(MID)}
   UNION ALL
   SELECT {RCOLS.replace('value,', 'CAST(value + 2 AS DECIMAL(18,6)) AS value,').replace('ingested_at,', 'ingested_at + INTERVAL 1 HOUR AS ingested_at,')}, event_id * 2 + 1
-  FROM readings_arrival WHERE event_id % 100 = 0"""
+  FROM readings_arrival WHERE time >= {Q.ts(LAST_WEEK)}"""
 register("upsert_readings", with_views(f"""
 WITH batch AS ({BATCH_SQL}),
 latest AS (SELECT DISTINCT ON (time, sensor_id, metric) * FROM batch ORDER BY time, sensor_id, metric, arrival DESC)
@@ -47,14 +57,14 @@ UNION ALL SELECT {RCOLS} FROM latest""", "readings_arrival", "sensor_readings"))
 # ---------------------------------------------------------------- S10 upsert_metrics
 def metrics_batch(spark, sf):
     im = IM(spark, sf)
-    even = F.dayofmonth("recorded_at") % 2 == 0
-    return (im.filter(even).withColumn("readings_per_second", F.col("readings_per_second") + 1)
+    return (im.filter(F.col("recorded_at") >= ts_lit(MID, im.schema["recorded_at"].dataType))
+            .withColumn("readings_per_second", F.col("readings_per_second") + 1)
             .withColumn("arrival", F.unix_seconds(F.col("recorded_at").cast("timestamp"))))
 
 
 register("upsert_metrics", with_views(f"""
 WITH batch AS (SELECT * REPLACE (readings_per_second + 1 AS readings_per_second) FROM ingestion_metrics
-               WHERE dayofmonth(recorded_at) % 2 = 0)
+               WHERE recorded_at >= {Q.ts(MID)})
 SELECT * FROM ingestion_metrics m WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.recorded_at = m.recorded_at)
 UNION ALL SELECT * FROM batch""", "ingestion_metrics"))(
     lambda spark, sf: TB.upsert(IM(spark, sf), metrics_batch(spark, sf), ["recorded_at"], "arrival"))
@@ -70,11 +80,10 @@ def _pred_keyed(df):
 
 def insert_predictions(spark, sf):
     p = _pred_keyed(preds(spark, sf, keep=["event_id"]))
-    table = p.filter(F.col("event_id") % 2 == 0).drop("event_id")
-    batch = (p.filter(F.col("event_id") % 3 == 0).withColumn("model_version", F.lit("v2"))
-             .withColumn("arrival", F.col("event_id")))
-    dup = (p.filter(F.col("event_id") % 9 == 0).withColumn("model_version", F.lit("v3"))
-           .withColumn("arrival", F.col("event_id") + 100000000))
+    table = p.filter(F.col("event_time") < ts_lit(MID, p.schema["event_time"].dataType)).drop("event_id")
+    # the whole listing is scored again (v2) and delivered twice (v3 later): first writer wins
+    batch = p.withColumn("model_version", F.lit("v2")).withColumn("arrival", F.col("event_id"))
+    dup = p.withColumn("model_version", F.lit("v3")).withColumn("arrival", F.col("event_id") + 100000000)
     out = TB.insert_absent(table, batch.unionByName(dup).drop("event_id"), PKEY, "arrival")
     return out.drop("frame_key")
 
@@ -82,9 +91,9 @@ def insert_predictions(spark, sf):
 _P = f"SELECT *, coalesce(frame_index, -1) AS frame_key FROM ({PRED_SQL})"
 register("insert_predictions", with_views(f"""
 WITH p AS ({_P}),
-t AS (SELECT * FROM p WHERE event_id % 2 = 0),
-b AS (SELECT * REPLACE ('v2' AS model_version), event_id AS arrival FROM p WHERE event_id % 3 = 0
-      UNION ALL SELECT * REPLACE ('v3' AS model_version), event_id + 100000000 FROM p WHERE event_id % 9 = 0),
+t AS (SELECT * FROM p WHERE event_time < {Q.ts(MID)}),
+b AS (SELECT * REPLACE ('v2' AS model_version), event_id AS arrival FROM p
+      UNION ALL SELECT * REPLACE ('v3' AS model_version), event_id + 100000000 FROM p),
 f AS (SELECT DISTINCT ON (media_uri, frame_key, predicted_label) * FROM b ORDER BY media_uri, frame_key, predicted_label, arrival)
 SELECT * EXCLUDE (event_id, frame_key) FROM t
 UNION ALL SELECT * EXCLUDE (event_id, frame_key, arrival) FROM f
@@ -100,9 +109,8 @@ FLAG_REPLACE = ["event_time", "clip_end_seconds", "display_label", "confidence",
 
 def merge_flags(spark, sf):
     f = SF.flags(preds(spark, sf, keep=["event_id"]), keep=["event_id"])
-    table = f.filter(F.col("event_id") % 2 == 0).drop("event_id")
-    batch = (f.filter(F.col("event_id") % 3 == 0)
-             .withColumn("city", F.lit("evanston")).withColumn("review_status", F.lit("reviewed"))
+    table = f.filter(F.col("event_time") < ts_lit(MID, f.schema["event_time"].dataType)).drop("event_id")
+    batch = (f.withColumn("city", F.lit("evanston")).withColumn("review_status", F.lit("reviewed"))
              .withColumn("model_version", F.lit("v2"))
              .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 DAY"))
              .withColumn("arrival", F.col("event_id")).drop("event_id"))
@@ -113,9 +121,9 @@ _FCOLS = ("event_time, city, camera_id, video_uri, clip_start_seconds, clip_end_
           "display_label, confidence, severity, model_name, model_version, review_status, created_at")
 register("merge_flags", with_views(f"""
 WITH f AS ({FLAGS_SQL}),
-t AS (SELECT * FROM f WHERE event_id % 2 = 0),
+t AS (SELECT * FROM f WHERE event_time < {Q.ts(MID)}),
 b0 AS (SELECT * REPLACE ('evanston' AS city, 'reviewed' AS review_status, 'v2' AS model_version,
-                         created_at + INTERVAL 1 DAY AS created_at) FROM f WHERE event_id % 3 = 0),
+                         created_at + INTERVAL 1 DAY AS created_at) FROM f),
 b AS (SELECT DISTINCT ON (video_uri, clip_start_seconds, predicted_label) * FROM b0
       ORDER BY video_uri, clip_start_seconds, predicted_label, event_id DESC)
 SELECT b.event_time, t.city, t.camera_id, t.video_uri, t.clip_start_seconds, b.clip_end_seconds, t.predicted_label,
@@ -133,20 +141,20 @@ RETENTION_HOURS = 72
 
 def archive_rows(spark, sf):
     """Two export runs: run 1 exported every row older than the retention
-    cut; run 2 re-exported every 4th of them (no progress marker), one hour
-    later in ingested_at."""
+    cut; run 2 (no progress marker) re-selected the oldest rows again, one
+    hour later in ingested_at."""
     base = FX.readings_with_arrival(spark, sf)
     cut = ts_lit(Q._dt.datetime.fromisoformat(AS_OF) - Q._dt.timedelta(hours=RETENTION_HOURS),
                  base.schema["time"].dataType)
     old = base.filter(F.col("time") < cut)
-    again = old.filter(F.col("event_id") % 4 == 0).withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR"))
+    again = old.filter(F.col("time") < ts_lit(OLDEST, old.schema["time"].dataType)).withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR"))
     return old.unionByName(again).drop("event_id")
 
 
 ARCH_CUT = Q.cutoff(RETENTION_HOURS)
 ARCHIVE_SQL = f"""SELECT {RCOLS} FROM readings_arrival WHERE time < {ARCH_CUT}
   UNION ALL SELECT {RCOLS.replace('ingested_at,', 'ingested_at + INTERVAL 1 HOUR AS ingested_at,')}
-  FROM readings_arrival WHERE time < {ARCH_CUT} AND event_id % 4 = 0"""
+  FROM readings_arrival WHERE time < {ARCH_CUT} AND time < {Q.ts(OLDEST)}"""
 DEDUP_ARCHIVE_SQL = f"""SELECT DISTINCT ON (time, sensor_id, metric) {RCOLS} FROM ({ARCHIVE_SQL})
   ORDER BY time, sensor_id, metric, ingested_at DESC"""
 register("archive_dedup", with_views(DEDUP_ARCHIVE_SQL, "readings_arrival"))(
