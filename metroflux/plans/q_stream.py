@@ -53,7 +53,10 @@ register("stream_ingest", ORACLES["decode_validate"])(stream_ingest)
 
 
 def bounded_consume(spark, sf):
-    base, _ = _ingest(spark, sf, max_files=1)
+    """Consume until 5,000 messages were accepted (one file per micro-batch)."""
+    base = shared_dir(spark, f"bounded-{uuid.uuid4().hex[:8]}")
+    J.bounded_consume(spark, landing_dir(spark, sf), base + "/hot", base + "/dead_letter", base + "/metrics",
+                      limit=5000, checkpoint=base + "/_checkpoint", now=AS_OF)
     return spark.read.parquet(base + "/metrics").select("batch_id", "accepted", "rejected")
 
 

@@ -83,6 +83,31 @@ def _event_time(readings: DataFrame) -> DataFrame:
     return readings
 
 
+def bounded_consume(spark: SparkSession, landing_dir: str, table_path: str, dead_letter_path: str,
+                    metrics_path: str, limit: int, checkpoint: str | None = None,
+                    max_files_per_trigger: int = 1, now=None, poll_seconds: float = 0.5) -> int:
+    """Consume until at least ``limit`` messages were accepted, then stop
+    (or when the available input is exhausted).  Micro-batches are bounded by
+    ``maxFilesPerTrigger``; after each committed batch the driver reads the
+    batch's one-row metric (progress metadata, not data) to decide whether
+    to stop.  Returns the number of accepted messages."""
+    checkpoint = checkpoint or shared_dir(spark, f"stream-bounded-{uuid.uuid4().hex[:8]}")
+    q = stream_ingest(spark, landing_dir, table_path, dead_letter_path, metrics_path, checkpoint,
+                      available_now=True, max_files_per_trigger=max_files_per_trigger, now=now)
+    accepted, seen = 0, -1
+    while q.isActive:
+        q.awaitTermination(poll_seconds)
+        progress = q.recentProgress
+        if progress and progress[-1]["batchId"] != seen:
+            seen = progress[-1]["batchId"]
+            accepted = spark.read.parquet(metrics_path).agg(F.coalesce(F.sum("accepted"), F.lit(0))).first()[0]
+            if accepted >= limit:
+                q.stop()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(metrics_path).agg(F.coalesce(F.sum("accepted"), F.lit(0))).first()[0]
+
+
 def hourly_rollup(readings: DataFrame, watermark: str = "2 hours") -> DataFrame:
     """Watermarked hourly aggregate of valid readings (emit in update
     mode; state per (hour, sensor, metric) is dropped behind the watermark)."""

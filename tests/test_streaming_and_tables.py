@@ -117,3 +117,15 @@ def test_csv_export_and_listing(spark):
         fh.write("name,size\nds/Assault/a.png,10\nds/Robbery/b.png,x\nds/Normal/c.png,\n")
     rows = {r.path: r.size for r in FL.read_listing_csv(spark, base + "/listing.csv").collect()}
     assert rows == {"ds/Assault/a.png": 10, "ds/Robbery/b.png": 0, "ds/Normal/c.png": 0}
+
+
+def test_bounded_consume_stops_after_limit(spark):
+    base = tempfile.mkdtemp(prefix="mf-bounded-")
+    land = os.path.join(base, "landing")
+    t0 = dt.datetime(2026, 5, 20, 12, 0)
+    for f in range(3):
+        _land(spark, [dict(time=t0 + dt.timedelta(minutes=10 * f + i), value=1.0) for i in range(2)], land)
+    got = J.bounded_consume(spark, land, base + "/hot", base + "/dead", base + "/metrics", limit=3,
+                            checkpoint=base + "/ckpt")
+    assert got >= 3
+    assert spark.read.parquet(base + "/hot").count() == got
