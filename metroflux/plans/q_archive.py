@@ -1,6 +1,6 @@
 """Archive queries.
 
-The archive is written once per session into the shared checkpoint folder
+The archive is written once per application into the shared checkpoint folder
 (two export runs over the readings view, the second re-selecting the
 oldest rows as the platform's export job does) and then read back."""
 
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
-
+import uuid
 
 from ..operators import reports as RP
 from ..session import shared_dir
@@ -21,23 +21,21 @@ from .q_reports import SOURCE_SUMMARY_SQL
 from .q_safety import PRED_SQL, preds
 from .q_tables import ARCH_CUT, ARCHIVE_SQL, RETENTION_HOURS, archive_rows
 
-_WRITTEN: set[str] = set()
+_ROOTS: dict = {}
 ARCHIVE_LAYOUT = "two-runs-oldest-rows-v2"   # changes when the export runs change
 
 
 def archive_root(spark, sf) -> str:
-    tag = hashlib.sha1((sf + ARCHIVE_LAYOUT).encode()).hexdigest()[:10]
-    root = shared_dir(spark, f"archive-{tag}") + "/sensor_readings"
-    key = spark.conf.get("spark.checkpoint.dir", "") + root
-    if key not in _WRITTEN:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(root + "/_EXPORTED")
-        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(jpath):
-            two_runs = archive_rows(spark, sf)
-            AR.write_archive(two_runs, root)
-            fs.create(jpath, True).close()
-        _WRITTEN.add(key)
-    return root
+    """Write the archive once per application into a fresh folder under the
+    shared checkpoint location (never appended to an earlier, possibly
+    half-written run)."""
+    key = (spark.sparkContext.applicationId, sf, ARCHIVE_LAYOUT)
+    if key not in _ROOTS:
+        tag = hashlib.sha1((sf + ARCHIVE_LAYOUT).encode()).hexdigest()[:8]
+        root = shared_dir(spark, f"archive-{tag}-{uuid.uuid4().hex[:8]}") + "/sensor_readings"
+        AR.write_archive(archive_rows(spark, sf), root)
+        _ROOTS[key] = root
+    return _ROOTS[key]
 
 
 def files(spark, sf):

@@ -33,7 +33,7 @@ def messages(spark, sf):
     # The messages stand for landed data: checkpoint them (to the shared
     # checkpoint dir) so the decoder sees a plain column, as it would in
     # deployment, instead of re-inlining the generator expressions.
-    key = (id(spark), sf, spark.conf.get("spark.checkpoint.dir", ""))
+    key = (spark.sparkContext.applicationId, sf, spark.conf.get("spark.checkpoint.dir", ""))
     if key not in _CHECKPOINTED:
         shared_dir(spark, "fixtures")
         _CHECKPOINTED[key] = landed.checkpoint(eager=True)
