@@ -40,9 +40,14 @@ def upsert(table: DataFrame, batch: DataFrame, key: list[str], arrival: str = "a
 
 def insert_absent(table: DataFrame, batch: DataFrame, key: list[str], arrival: str = "arrival") -> DataFrame:
     """ON CONFLICT DO NOTHING: the first batch row of a new key is inserted,
-    existing keys keep their row."""
+    existing keys keep their row.
+
+    The table is only probed with the batch keys (a semi join whose build
+    side is the batch, which AQE broadcasts when it is small), so a large
+    table is filtered in place instead of shuffled for the anti join."""
     first = dedup_batch(batch, key, arrival, "first").drop(arrival)
-    new = first.join(table.select(*key), key, "left_anti")
+    existing = table.select(*key).join(first.select(*key), key, "left_semi")
+    new = first.join(existing, key, "left_anti")
     return table.unionByName(new.select(*table.columns))
 
 
@@ -50,20 +55,19 @@ def merge_columns(table: DataFrame, batch: DataFrame, key: list[str], replace: l
                   arrival: str = "arrival") -> DataFrame:
     """Column-selective upsert: on a key match only ``replace`` columns take
     the (last) batch value, all others keep the table's first-written value;
-    unmatched batch rows are inserted whole."""
+    unmatched batch rows are inserted whole.
+
+    Written as matched (inner) + table-only (anti) + batch-only (anti against
+    the matched keys) rather than one full outer join, so every join has the
+    batch on its build side and a small batch never shuffles the table."""
     latest = dedup_batch(batch, key, arrival, "last").drop(arrival)
-    t = table.select(*key, *[F.col(c).alias("t_" + c) for c in table.columns if c not in key], F.lit(True).alias("_t"))
-    b = latest.select(*key, *[F.col(c).alias("b_" + c) for c in latest.columns if c not in key], F.lit(True).alias("_b"))
-    j = t.join(b, key, "full_outer")
-    out = []
-    for c in table.columns:
-        if c in key:
-            out.append(F.col(c))
-        elif c in replace:
-            out.append(F.when(F.col("_b"), F.col("b_" + c)).otherwise(F.col("t_" + c)).alias(c))
-        else:
-            out.append(F.when(F.col("_t"), F.col("t_" + c)).otherwise(F.col("b_" + c)).alias(c))
-    return j.select(*out)
+    b = latest.select(*key, *[F.col(c).alias("_b_" + c) for c in replace])
+    matched = table.join(b, key, "inner").select(
+        *[F.col("_b_" + c).alias(c) if c in replace else F.col(c) for c in table.columns])
+    table_only = table.join(latest.select(*key), key, "left_anti")
+    matched_keys = matched.select(*key)
+    batch_only = latest.join(matched_keys, key, "left_anti").select(*table.columns)
+    return matched.unionByName(table_only).unionByName(batch_only)
 
 
 # ------------------------------------------------------------------ archive / retention
