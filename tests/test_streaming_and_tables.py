@@ -129,3 +129,26 @@ def test_bounded_consume_stops_after_limit(spark):
                             checkpoint=base + "/ckpt")
     assert got >= 3
     assert spark.read.parquet(base + "/hot").count() == got
+
+
+def test_archive_expiry_deletes_old_partitions(spark):
+    root = tempfile.mkdtemp(prefix="mf-expire-") + "/a"
+    old = reading(spark, time=dt.datetime(2025, 1, 1, 12, 0))
+    new = reading(spark, time=dt.datetime(2026, 5, 20, 12, 0))
+    AR.write_archive(old.unionByName(new), root)
+    files = AR.archive_files(spark, root)
+    expired = AR.expired_partitions(files, "2026-05-21 00:00:00", days=365).collect()
+    assert [r.date for r in expired] == [dt.date(2025, 1, 1)]
+    assert AR.delete_partitions(spark, root, [r.partition for r in expired]) == 1
+    assert [r.time.year for r in AR.read_archive(spark, root).collect()] == [2026]
+
+
+def test_model_hook_scores_batches(spark):
+    import pandas as pd
+    from metroflux.operators import safety as SF
+
+    def predict(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"uri": pdf["uri"], "label": "robbery", "confidence": 0.9})
+    events = spark.createDataFrame([("gs://b/a.png",), ("gs://b/b.png",)], "uri string")
+    out = SF.score_with(events, predict, "uri string, label string, confidence double").collect()
+    assert sorted(r.uri for r in out) == ["gs://b/a.png", "gs://b/b.png"] and all(r.label == "robbery" for r in out)
