@@ -184,34 +184,40 @@ def keyword_predict(uri, clip_seconds: int = 10) -> Column:
                     F.when(sus, conf).alias("type_score"))
 
 
+def _normalized(results: Column) -> Column:
+    """Score list with labels normalised once (not in every later lambda)."""
+    return F.transform(results, lambda x: F.struct(
+        F.replace(normalize_label(x["label"]), F.lit("-"), F.lit(" ")).alias("label"),
+        F.coalesce(x["score"], F.lit(0.0)).alias("score")))
+
+
 def _best(results: Column, fallback: str):
-    """(normalised label, score) of the highest score, first on ties;
-    (fallback, 0.0) for an empty list."""
+    """(label, score) of the highest score, first on ties; (fallback, 0.0)
+    for an empty list.  ``results`` has normalised labels."""
     best = F.array_max(F.transform(results, lambda x, i: F.struct(
-        F.coalesce(x["score"], F.lit(0.0)).alias("score"), (-i).alias("neg_pos"), x["label"].alias("label"))))
+        x["score"].alias("score"), (-i).alias("neg_pos"), x["label"].alias("label"))))
     empty = F.coalesce(F.size(results), F.lit(0)) == 0
-    return (F.when(empty, F.lit(fallback)).otherwise(normalize_label(best["label"])),
+    return (F.when(empty, F.lit(fallback)).otherwise(best["label"]),
             F.when(empty, F.lit(0.0)).otherwise(best["score"]))
 
 
 def _score_for(results: Column, wanted: list[str]) -> Column:
-    return F.array_max(F.transform(
-        F.filter(results, lambda x: F.replace(normalize_label(x["label"]), F.lit("-"), F.lit(" ")).isin(wanted)),
-        lambda x: F.coalesce(x["score"], F.lit(0.0))))
+    return F.array_max(F.transform(F.filter(results, lambda x: x["label"].isin(wanted)), lambda x: x["score"]))
 
 
 def two_stage_decision(binary: Column, types: Column, threshold: float = 0.5, clip_seconds: int = 10) -> Column:
     """M5 on score lists (array<struct<label,score>>) from a binary
     crime/normal classifier and an activity-type classifier.  Null when the
     binary list is empty (no prediction)."""
-    normal = _score_for(binary, ["normal", "normal videos"])
-    crime = _score_for(binary, ["crime", "abnormal", "suspicious"])
-    b_label, b_score = _best(binary, "normal")
+    nb, nt = _normalized(binary), _normalized(types)
+    normal = _score_for(nb, ["normal", "normal videos"])
+    crime = _score_for(nb, ["crime", "abnormal", "suspicious"])
+    b_label, b_score = _best(nb, "normal")
     is_normal = b_label.contains("normal")
     crime_score = F.coalesce(crime, F.when(is_normal, F.lit(1.0) - b_score).otherwise(b_score))
     normal_score = F.when(crime.isNull() & is_normal, b_score).otherwise(normal)
     sus = crime_score >= threshold
-    t_label, t_score = _best(types, "suspicious activity")
+    t_label, t_score = _best(nt, "suspicious activity")
     conf = F.when(sus, crime_score).otherwise(F.coalesce(normal_score, F.greatest(F.lit(0.0), F.lit(1.0) - crime_score)))
     decision = F.struct(F.when(sus, t_label).otherwise(F.lit("normal")).alias("label"), conf.alias("confidence"),
                         F.lit(0.0).alias("clip_start_seconds"), F.lit(float(clip_seconds)).alias("clip_end_seconds"),
