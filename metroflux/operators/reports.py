@@ -46,6 +46,13 @@ def _dbl(c: Column) -> Column:
     return c.cast("double")
 
 
+def distinct_small(col: str) -> Column:
+    """Exact distinct count of a catalogue-bounded column (metric, source):
+    a bounded set per group, so the aggregate stays single-phase and only
+    the unbounded column (sensor_id) needs Spark's distinct aggregation."""
+    return F.size(F.collect_set(col)).cast("bigint")
+
+
 def with_row(base: DataFrame, *others: DataFrame) -> DataFrame:
     """Append the columns of one-row frames (global aggregates) to ``base``
     as scalar subqueries: each is computed once and broadcast as a value,
@@ -74,8 +81,8 @@ def overview(readings: DataFrame, metrics_table: DataFrame, as_of, hours: float
     quality = scope.agg(
         F.count(F.lit(1)).cast("bigint").alias("total_readings"),
         F.countDistinct("sensor_id").cast("bigint").alias("active_sensors"),
-        F.countDistinct("metric").cast("bigint").alias("metrics"),
-        F.countDistinct("source").cast("bigint").alias("sources"),
+        distinct_small("metric").alias("metrics"),
+        distinct_small("source").alias("sources"),
         valid_pct().alias("valid_pct"))
     all_rows = readings.agg(F.max("time").alias("latest_reading_at"),
                             F.max("ingested_at").alias("latest_ingested_at"))
@@ -105,7 +112,7 @@ def source_summary(readings: DataFrame, as_of, hours: float = 24) -> DataFrame:
     return (scoped(readings, as_of, hours).groupBy("source")
             .agg(F.count(F.lit(1)).cast("bigint").alias("readings"),
                  F.countDistinct("sensor_id").cast("bigint").alias("sensors"),
-                 F.countDistinct("metric").cast("bigint").alias("metrics"),
+                 distinct_small("metric").alias("metrics"),
                  F.max("time").alias("latest_reading_at"),
                  F.max("ingested_at").alias("latest_ingested_at"),
                  valid_pct().alias("valid_pct"))
@@ -218,7 +225,7 @@ def readiness_score(distribution: DataFrame) -> DataFrame:
 
 def metric_coverage(readings: DataFrame, as_of, hours: float = 24) -> DataFrame:
     return (scoped(readings, as_of, hours).groupBy("metric")
-            .agg(F.countDistinct("source").cast("bigint").alias("sources"),
+            .agg(distinct_small("source").alias("sources"),
                  F.countDistinct("sensor_id").cast("bigint").alias("sensors"),
                  F.count(F.lit(1)).cast("bigint").alias("readings"),
                  F.min("time").alias("first_reading_at"),
