@@ -152,3 +152,18 @@ def test_model_hook_scores_batches(spark):
     events = spark.createDataFrame([("gs://b/a.png",), ("gs://b/b.png",)], "uri string")
     out = SF.score_with(events, predict, "uri string, label string, confidence double").collect()
     assert sorted(r.uri for r in out) == ["gs://b/a.png", "gs://b/b.png"] and all(r.label == "robbery" for r in out)
+
+
+def test_alert_state_machine_pending_then_firing(spark):
+    from metroflux.operators import alerts as AL
+    t0 = dt.datetime(2026, 5, 20, 0, 0)
+    readings = reading(spark, time=t0, ingested_at=t0 + dt.timedelta(seconds=30))
+    metrics = spark.createDataFrame([], "recorded_at timestamp, dropped_readings_total bigint")
+    states = {(r.rule, r.eval_time): r.state for r in
+              AL.alert_states(readings, metrics, "2026-05-20 01:00:00", span_hours=1).collect()}
+    e1 = "no_recent_ingestion"
+    at = lambda m: states[(e1, t0 + dt.timedelta(minutes=m))]
+    assert at(10) == "normal"                  # last ingestion 9.5 min ago
+    assert at(21) == "pending"                 # 20.5 min > 20: breach starts
+    assert at(25) == "pending" and at(26) == "firing"   # held for 5 minutes
+    assert states[("quality_exceptions", t0 + dt.timedelta(minutes=30))] == "normal"
