@@ -52,18 +52,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_BASE: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A directory under the cluster's shared checkpoint location.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster; it is only
-    filled in with a local scratch folder when unset (tests, local runs).
-    """
+    ``spark.checkpoint.dir`` names the shared folder on a cluster and is
+    read from the session.  Only when it is unset (tests, local runs) a
+    local scratch folder is used for this application; the setting itself
+    cannot be changed on a running session, so the folder is registered
+    with ``setCheckpointDir`` instead."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="metroflux-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_BASE:
+            _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="metroflux-ckpt-")
+        base = _LOCAL_BASE[app]
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     path = base.rstrip("/") + "/" + name
     if "://" not in path:
