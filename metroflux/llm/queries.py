@@ -6,20 +6,44 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from metroflux.llm import bpe, exact_dedup
+from metroflux.llm import bpe, decontaminate, exact_dedup, langid, ngram_join, substring, toxicity
 from metroflux.llm.common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op8_exact_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op4_ngram_jaccard, op5_toxicity, op7_substring_dedup, op8_exact_dedup, op9_language_id, op10_byte_bpe)}
 
-ORACLES = {"op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op4_ngram_jaccard": ngram_join.ORACLE,
+           "op7_substring_dedup": substring.ORACLE,
+           "op8_exact_dedup": exact_dedup.ORACLE}
