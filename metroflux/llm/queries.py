@@ -8,14 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroflux.llm import bpe, decontaminate, exact_dedup, langid, ngram_join, substring, toxicity
+from metroflux.llm import bpe, decontaminate, exact_dedup, langid, line_dedup, ngram_join, sharding, substring, toxicity, warc
 from metroflux.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
@@ -24,6 +33,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -42,8 +55,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op4_ngram_jaccard, op5_toxicity, op7_substring_dedup, op8_exact_dedup, op9_language_id, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_warc, op4_ngram_jaccard, op5_toxicity, op6_sharding,
+                                    op7_substring_dedup, op8_exact_dedup, op9_language_id, op10_byte_bpe)}
 
-ORACLES = {"op2_decontamination": decontaminate.ORACLE, "op4_ngram_jaccard": ngram_join.ORACLE,
+ORACLES = {"op1_line_dedup": line_dedup.ORACLE, "op2_decontamination": decontaminate.ORACLE, "op3_warc": warc.ORACLE, "op4_ngram_jaccard": ngram_join.ORACLE,
            "op7_substring_dedup": substring.ORACLE,
            "op8_exact_dedup": exact_dedup.ORACLE}
