@@ -253,6 +253,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"), "spans")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col)))
+    gone = contamination(keyed, benchmark, "__key", text_col).where("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
+    return keyed.join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

@@ -175,6 +175,20 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(docs[id_col], docs[text_col].cast("string")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model, min_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is found with at
+    least ``min_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shared.value.predict(t.as_py()) for t in b.column(at)]
+            yield b.filter(pa.array([lang != "und" and score >= min_score for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """Train on the documents outside the held-out fold (crc32 of the id mod
     4 is 2), predict all: doc_id, held_out, lang_pred, score."""

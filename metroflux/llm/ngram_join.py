@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metroflux.llm.common import LOWER_WORDS, materialise, mix, text_blocks, word_hashes
@@ -193,9 +193,13 @@ def linked(high: np.ndarray, size: np.ndarray, test=None) -> np.ndarray:
     return component
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n, node and cells of every row; a task gives the cells of a
-    node once in a while only."""
+    """doc_id, key, n, node and cells of every row; a task gives the cells of
+    a node once in a while only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -213,12 +217,12 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     out[2].append(telling.tobytes())
                     out[3].append([{"cell": x, "class": c, "size": len(s), "high": count_vector(s, vector_groups(int(UPPER[c]))).tobytes()} for x, c in few])
             kind = pa.list_(pa.struct([("cell", pa.int64()), ("class", pa.int32()), ("size", pa.int64()), ("high", pa.binary())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), pa.array(out[3], kind)],
-                                             ["doc_id", "n", "node", "telling", "few"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), pa.array(out[3], kind)],
+                                             ["doc_id", "key", "n", "node", "telling", "few"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col], docs[text_col].cast("string")).mapInArrow(
-        run, f"doc_id {kind}, n long, node binary, telling binary, few array<struct<cell: long, class: int, size: long, high: binary>>")
+    return docs.select(docs[id_col], docs[text_col].cast("string"), row_key(id_col, text_col).alias("key")).mapInArrow(
+        run, f"doc_id {kind}, key long, n long, node binary, telling binary, few array<struct<cell: long, class: int, size: long, high: binary>>")
 
 
 def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -402,17 +406,32 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
             .mapInArrow(run, "a binary, b binary"))
 
 
-def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``."""
+def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int) -> DataFrame:
+    """doc_id, key, n, c (a node that names the component) of every row."""
     sets = materialise(document_sets(docs, id_col, text_col), "sets")
     blocking = connected_components(telling_edges(sets).unionByName(few_edges(sets)))
     found = connected_components(verified_links(docs, sets, blocking, id_col, text_col, part_bytes))
-    named = sets.select("doc_id", "n", "node").join(found, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("c"))
+    return sets.select("doc_id", "key", "n", "node").join(found, "node", "left").select("doc_id", "key", "n", F.coalesce("component", "node").alias("c"))
+
+
+def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``."""
+    named = _components(docs, id_col, text_col, part_bytes)
     names = named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     return named.join(names, "c", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, of which each component keeps the
+    one with the smallest id; documents without words stay."""
+    named = materialise(_components(docs, id_col, text_col, part_bytes).where("n > 0"), "components")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
+    first = named.groupBy("c").agg(F.min(place).alias("first"))
+    gone = named.join(first, "c").where(place != F.col("first")).select(F.col("key").alias("__gone")).distinct()
+    return docs.withColumn("__key", row_key(id_col, text_col)).join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+
+
 ORACLE = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
