@@ -100,8 +100,9 @@ def benchmark_slices(benchmark: DataFrame, id_col: str = "item_id", text_col: st
 
 
 def build_index(docs: DataFrame, terms: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per block: its documents (ids, word offsets) and the postings
-    of ``terms`` (term number -> sorted word positions in the block)."""
+    """One row per block: its documents (ids, hashes of id and text, word
+    offsets) and the postings of ``terms`` (term number -> sorted word
+    positions in the block)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(terms)
 
@@ -122,15 +123,15 @@ def build_index(docs: DataFrame, terms: np.ndarray, id_col: str = "doc_id", text
                 present, start = np.unique(number, return_index=True)
                 gaps = np.diff(at, prepend=0)
                 gaps[start] = at[start]
-                row = [pa.array([block]), pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), b.column(0).slice(i, j - i)),
+                row = [pa.array([block]), *[pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), b.column(c).slice(i, j - i)) for c in (0, 2)],
                        pa.array([first.astype(np.int32).tolist()], pa.list_(pa.int32()))]
                 row += [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (present, np.append(start, len(at)), gaps)]
-                yield pa.RecordBatch.from_arrays(row, ["block", "ids", "first", "terms", "starts", "gaps"])
+                yield pa.RecordBatch.from_arrays(row, ["block", "ids", "keys", "first", "terms", "starts", "gaps"])
                 block += 1
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"block long, ids array<{kind}>, first array<int>, terms binary, starts binary, gaps binary"
-    return docs.select(docs[id_col], docs[text_col].cast("string")).mapInArrow(run, schema)
+    schema = f"block long, ids array<{kind}>, keys array<long>, first array<int>, terms binary, starts binary, gaps binary"
+    return docs.select(docs[id_col], docs[text_col].cast("string"), F.xxhash64(id_col, text_col).alias("key")).mapInArrow(run, schema)
 
 
 def find(windows: Windows, numbers: np.ndarray, present: np.ndarray, starts: np.ndarray, positions: np.ndarray,
@@ -175,7 +176,7 @@ def find(windows: Windows, numbers: np.ndarray, present: np.ndarray, starts: np.
 
 
 def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
-    """One row per document with matches: block, doc (its number in the
+    """One row per document with matches: id, key, doc (its number in the
     block), items (ids of the items with occurring windows), spans (int32
     pairs: first word and end of every matched stretch, document-relative)."""
     shared = index.sparkSession.sparkContext.broadcast(windows)
@@ -194,22 +195,23 @@ def search(index: DataFrame, windows: Windows, slop: int = 0) -> DataFrame:
                 w, at, doc = find(windows, numbers, present, starts, positions, first, slop)
                 order = np.lexsort((at, doc))
                 w, at, doc = w[order], at[order], doc[order]
-                out = ([], [], [], [])
+                out = ([], [], [], [], [])
                 for d, lo, hi in zip(*_groups(doc), strict=True):
                     start, end = at[lo:hi] - first[d], at[lo:hi] - first[d] + windows.length[w[lo:hi]]
-                    out[0].append(r["block"])
-                    out[1].append(d)
-                    out[2].append(sorted({i for x in np.unique(w[lo:hi]).tolist() for i in windows.items[x]}))
-                    out[3].append(union(np.stack([start, end], axis=1)).astype(np.int32).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.string())),
-                                                  pa.array(out[3], pa.binary())], ["block", "doc", "items", "spans"])
+                    row = (r["ids"][d], r["keys"][d], d, sorted({i for x in np.unique(w[lo:hi]).tolist() for i in windows.items[x]}),
+                           union(np.stack([start, end], axis=1)).astype(np.int32).tobytes())
+                    for to, x in zip(out, row, strict=True):
+                        to.append(x)
+                kinds = [b.schema.field("ids").type.value_type, pa.int64(), pa.int32(), pa.list_(pa.string()), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["id", "key", "doc", "items", "spans"])
 
-    return index.select("block", "first", "terms", "starts", "gaps").mapInArrow(run, "block long, doc int, items array<string>, spans binary")
+    kind = index.schema["ids"].dataType.elementType.simpleString()
+    return index.select("ids", "keys", "first", "terms", "starts", "gaps").mapInArrow(run, f"id {kind}, key long, doc int, items array<string>, spans binary")
 
 
 def _groups(sorted_values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
     value, lo = np.unique(sorted_values, return_index=True)
-    return value.tolist(), lo.tolist(), [*lo[1:].tolist(), len(sorted_values)]
+    return value.tolist(), lo.tolist(), [*lo.tolist(), len(sorted_values)][1:len(lo) + 1]
 
 
 def union(spans: np.ndarray) -> np.ndarray:
@@ -241,13 +243,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 out[2].append(hashlib.sha256(",".join(names).encode()).hexdigest())
                 out[3].append(both.tolist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()),
-                                              pa.array(out[3], pa.list_(pa.list_(pa.int32())))], ["block", "doc", "n_hit", "n_items", "items_sha256", "spans"])
+                                              pa.array(out[3], pa.list_(pa.list_(pa.int32())))], ["id", "key", "n_hit", "n_items", "items_sha256", "spans"])
 
-    hits = (reduce(DataFrame.unionByName, found).groupBy("block", "doc").agg(F.collect_list("items").alias("items"), F.collect_list("spans").alias("spans"))
-            .mapInArrow(merge, "block long, doc int, n_hit long, n_items long, items_sha256 string, spans array<array<int>>"))
-    rows = index.select("block", F.posexplode(F.arrays_zip("ids", F.slice("first", 1, F.size("ids")).alias("lo"), F.slice("first", 2, F.size("ids")).alias("hi"))).alias("doc", "d"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    hits = (reduce(DataFrame.unionByName, found).groupBy("id", "key").agg(F.collect_list("items").alias("items"), F.collect_list("spans").alias("spans"))
+            .mapInArrow(merge, f"id {kind}, key long, n_hit long, n_items long, items_sha256 string, spans array<array<int>>"))
+    rows = index.select(F.explode(F.arrays_zip("ids", "keys", F.slice("first", 1, F.size("ids")).alias("lo"), F.slice("first", 2, F.size("ids")).alias("hi"))).alias("d"))
     n_hit, n_words = F.coalesce("n_hit", F.lit(0)), (F.col("d.hi") - F.col("d.lo")).cast("long")
-    return rows.join(hits, ["block", "doc"], "left").select(
+    return rows.join(hits, F.col("d.ids").eqNullSafe(F.col("id")) & (F.col("d.keys") == F.col("key")), "left").select(
         F.col("d.ids").alias("doc_id"), n_words.alias("n_words"), n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("items_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= n_words)).alias("contaminated"), "spans")

@@ -417,7 +417,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int) ->
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     named = _components(docs, id_col, text_col, part_bytes)
-    names = named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    names = materialise(named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id")), "names")
     return named.join(names, "c", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -427,7 +427,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     one with the smallest id; documents without words stay."""
     named = materialise(_components(docs, id_col, text_col, part_bytes).where("n > 0"), "components")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
-    first = named.groupBy("c").agg(F.min(place).alias("first"))
+    first = materialise(named.groupBy("c").agg(F.min(place).alias("first")), "first")
     gone = named.join(first, "c").where(place != F.col("first")).select(F.col("key").alias("__gone")).distinct()
     return docs.withColumn("__key", row_key(id_col, text_col)).join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
 
