@@ -32,16 +32,32 @@ def _norm_class(x: str) -> str:
             f"WHEN {n} IN {Q.in_list(SM.STEAL_ALIASES)} THEN 'stealing' ELSE replace({n}, ' ', '') END")
 
 
-_WANTED = sorted({SM.normalize_class_py(c) for c in SM.DEFAULT_CLASSES})
+_WANTED = "[" + ", ".join(_norm_class(f"'{c}'") for c in SM.DEFAULT_CLASSES) + "]"
 _LISTING_SQL = f"""SELECT 'kaggle/' || raw_label || '/' || regexp_extract(media_uri, '([^/]*)$', 1) AS path,
   CAST(confidence * 100000 AS BIGINT) AS size FROM media_raw"""
 register("class_from_path", with_views(f"""SELECT path,
-  list_filter(list_transform(string_split(path, '/'), lambda p: {_norm_class('p')}), lambda c: c IN {Q.in_list(_WANTED)})[1] AS class_name
+  list_filter(list_transform(string_split(path, '/'), lambda p: {_norm_class('p')}), lambda c: list_contains({_WANTED}, c))[1] AS class_name
   FROM ({_LISTING_SQL})""", "media_raw"))(
     lambda spark, sf: listing(spark, sf).select("path", SM.class_from_path(F.col("path"), SM.DEFAULT_CLASSES)
                                                .alias("class_name")))
 
-register("capped_sample")(
+# every candidate in (turn, class) order, taken or blocking its class
+_SAMPLE_SQL = f"""
+WITH RECURSIVE media_raw AS ({FX.MEDIA_RAW_SQL}),
+f AS (SELECT path, size, list_filter(list_transform(string_split(path, '/'), lambda p: {_norm_class('p')}), lambda c: list_contains({_WANTED}, c))[1] AS class_name
+      FROM ({_LISTING_SQL}) WHERE lower(regexp_extract(path, '(\\.[^./]*)$', 1)) IN {Q.in_list(SM.IMAGE_EXTENSIONS)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY class_name ORDER BY path) AS k FROM f WHERE class_name IS NOT NULL),
+c AS (SELECT *, row_number() OVER (ORDER BY k, class_name) AS n FROM r WHERE k <= CASE WHEN class_name = 'normal' THEN 70 ELSE 15 END),
+s AS (SELECT 0::BIGINT AS n, 0::BIGINT AS total, []::VARCHAR[] AS blocked, false AS taken
+      UNION ALL
+      SELECT c.n, CASE WHEN ok THEN total + size ELSE total END, CASE WHEN ok THEN blocked ELSE list_append(blocked, class_name) END, ok
+      FROM (SELECT c.n, c.size, c.class_name, s.total, s.blocked, NOT list_contains(s.blocked, c.class_name) AND s.total + c.size <= 2000000 AS ok
+            FROM s JOIN c ON c.n = s.n + 1) c)
+SELECT class_name, path, size, k - 1 AS class_index, total AS total_bytes,
+       'city=chicago/camera=demo-' || class_name || '/' || CASE class_name WHEN 'normal' THEN 'Normal' WHEN 'roadaccidents' THEN 'RoadAccidents'
+         ELSE upper(class_name[1]) || class_name[2:] END || '_' || printf('%04d', k - 1) || lower(regexp_extract(path, '(\\.[^./]*)$', 1)) AS target
+FROM s JOIN c USING (n) WHERE taken"""
+register("capped_sample", _SAMPLE_SQL)(
     lambda spark, sf: SM.capped_sample(listing(spark, sf), limit_bytes=2_000_000, max_normal=70, max_anomaly=15))
 
 register("media_metadata", with_views(f"""SELECT uri, location_name, latitude, longitude, event_time, source_video_uri,

@@ -62,41 +62,36 @@ def test_archive_write_empty_and_one_row(spark):
     assert len(AR.read_archive(spark, root).columns) == 11
 
 
-def _brute(listing, wanted, limit, max_normal, max_anomaly):
-    grouped = {}
+NAMES = {"Assault": "assault", "Robbery": "robbery", "NormalVideos": "normal"}
+
+
+def _sampled(listing, limit, caps):
+    """Files in (turn, class) order; the first that does not fit ends its class."""
+    by_class = {}
     for path, size in sorted(listing):
-        parts = [SM.normalize_class_py(p) for p in path.split("/")]
-        hit = next((p for p in parts if p in wanted), None)
-        if hit and os.path.splitext(path)[1].lower() in SM.IMAGE_EXTENSIONS:
-            grouped.setdefault(hit, []).append((path, size))
-    taken = {c: 0 for c in grouped}
-    total, out, again = 0, [], True
-    while again:
-        again = False
-        for c in sorted(grouped):
-            cap = max_normal if c == "normal" else max_anomaly
-            if taken[c] >= cap or taken[c] >= len(grouped[c]):
-                continue
-            path, size = grouped[c][taken[c]]
-            if total + size > limit:
-                continue
+        name = NAMES.get(path.split("/")[1])
+        if name and not path.endswith("txt"):
+            by_class.setdefault(name, []).append((path, size))
+    queue = sorted((turn, name, path, size) for name, files in by_class.items() for turn, (path, size) in enumerate(files[:caps[name]]))
+    out, total, ended = [], 0, set()
+    for _, name, path, size in queue:
+        if name not in ended and total + size <= limit:
             total += size
-            out.append(path)
-            taken[c] += 1
-            again = True
+            out.append((path, total))
+        else:
+            ended.add(name)
     return sorted(out)
 
 
-def test_capped_sample_matches_brute_force(spark):
+def test_capped_sample_matches_brute_force(spark, monkeypatch):
     rnd = random.Random(7)
-    classes = ["Assault", "Robbery", "NormalVideos"]
-    listing = [(f"ds/{rnd.choice(classes + ['Other'])}/f{i:03d}.{rnd.choice(['png', 'jpg', 'txt'])}", rnd.randint(1, 50))
+    listing = [(f"ds/{rnd.choice([*NAMES, 'Other'])}/f{i:03d}.{rnd.choice(['png', 'jpg', 'txt'])}", rnd.randint(1, 50))
                for i in range(300)]
-    wanted = {SM.normalize_class_py(c) for c in classes}
-    for limit, mn, ma in [(400, 6, 3), (10_000, 50, 20), (90, 10, 10)]:
-        df = spark.createDataFrame(listing, "path string, size long")
-        got = sorted(r.path for r in SM.capped_sample(df, classes, limit, mn, ma).collect())
-        assert got == _brute(listing, wanted, limit, mn, ma)
+    df = spark.createDataFrame(listing, "path string, size long")
+    for limit, mn, ma, block in [(400, 6, 3, 1024), (10_000, 50, 20, 4), (90, 10, 10, 1024), (800, 500, 500, 7), (3, 5, 5, 1)]:
+        monkeypatch.setattr(SM, "TURN_BLOCK", block)
+        got = sorted((r.path, r.total_bytes) for r in SM.capped_sample(df, list(NAMES), limit, mn, ma).collect())
+        assert got == _sampled(listing, limit, {"normal": mn, "assault": ma, "robbery": ma})
 
 
 def test_alert_states_have_all_states(spark, sf001):
