@@ -189,19 +189,23 @@ def repeats(parts: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def all_repeats(parts: DataFrame, groups: int) -> DataFrame:
-    """(doc_id, hash, gaps): the starts of repeated windows, by document and
-    group."""
+    """The starts of repeated windows, packed by bucket of documents."""
 
     def emit(parts: list[dict]) -> Iterator[pa.RecordBatch]:
         found = list(repeats(parts))
-        if found:
-            d, x, s = (np.concatenate([f[i] for f in found]) for i in range(3))
-            by = np.lexsort((s, x, d))
-            d, x, s = d[by], x[by], s[by]
-            head = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])])) if len(d) else np.zeros(0, np.int64)
-            cells = np.split(s.astype("<i4"), head[1:])
-            yield pa.RecordBatch.from_arrays([pa.array(d[head]), pa.array(x[head]), pa.array([c.tobytes() for c in cells][:len(head)], pa.binary())],
-                                             ["doc_id", "hash", "starts"])
+        if not found:
+            return
+        d, x, s = (np.concatenate([f[i] for f in found]) for i in range(3))
+        bucket = (d % groups + x % groups) % groups
+        by = np.lexsort((s, x, d, bucket))
+        d, x, s, bucket = d[by], x[by], s[by], bucket[by]
+        new = np.concatenate([[True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])]) if len(d) else np.zeros(0, bool)
+        doc = np.cumsum(new) - 1
+        heads = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        for i, j in zip(heads, [*heads[1:], len(d)], strict=True):
+            row = pack_starts(doc[i:j], s[i:j].astype(np.int64), d[new], x[new])
+            yield pa.RecordBatch.from_arrays([pa.array([int(bucket[i])], pa.int32()), *[pa.array([c], pa.binary()) for c in row]],
+                                             ["bucket", "docs", "hashes", "counts", "gaps"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, parts = None, []
@@ -213,7 +217,26 @@ def all_repeats(parts: DataFrame, groups: int) -> DataFrame:
                 parts.append(r)
         yield from emit(parts)
 
-    return parts.repartitionById(groups, "grp").sortWithinPartitions("grp").mapInArrow(run, "doc_id long, hash int, starts binary")
+    return (parts.repartitionById(groups, "grp").sortWithinPartitions("grp")
+            .mapInArrow(run, "bucket int, docs binary, hashes binary, counts binary, gaps binary"))
+
+
+class Starts:
+    """Repeats of a bucket's documents, by (id, hash)."""
+
+    def __init__(self, parts: list[tuple]):
+        found = [unpack_starts(*p) for p in parts]
+        count = [f[2] for f in found]
+        d, x, s = (np.concatenate(a) if a else np.zeros(0, np.int64) for a in (
+            [np.repeat(f[0], c) for f, c in zip(found, count, strict=True)], [np.repeat(f[1], c) for f, c in zip(found, count, strict=True)], [f[3] for f in found]))
+        by = np.lexsort((x, d))
+        d, x, self.start = d[by], x[by], s[by]
+        head = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (x[1:] != x[:-1])])) if len(d) else np.zeros(0, np.int64)
+        self.at = dict(zip(zip(d[head].tolist(), x[head].tolist(), strict=True), zip(head.tolist(), [*head[1:].tolist(), len(d)], strict=False), strict=True))
+
+    def of(self, doc_id: int, text_hash: int) -> np.ndarray | None:
+        span = self.at.get((doc_id, text_hash))
+        return None if span is None else self.start[span[0]:span[1]]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -226,27 +249,40 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts = word_counts(rows)
     groups = int(counts.sum() // group_words) + 1
     found = all_repeats(suffixes(rows, counts > group_words, groups, width), groups)
-    by_doc = found.groupBy(F.col("doc_id").alias("d"), F.col("hash").alias("x")).agg(F.collect_list("starts").alias("starts"))
+    key = F.coalesce("doc_id", F.lit(int(_LAST)))
+    bucket = F.pmod(F.pmod(key, F.lit(groups)) + F.pmod(F.col("hash"), F.lit(groups)), F.lit(groups)).cast("int")
+    # a bucket's repeats come before its documents, which stream past them
+    both = rows.select(bucket.alias("bucket"), F.lit(1).alias("kind"), "doc_id", "hash", "text").unionByName(
+        found.withColumn("kind", F.lit(0)), allowMissingColumns=True)
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts, starts = None, [], None
         for b in batches:
-            out = ([], [], [])
-            for text, starts in zip(b.column(1), b.column(2), strict=True):
+            out = ([], [], [], [])
+            for bucket, kind, doc_id, text_hash, text, *packed in zip(*(b.column(i) for i in range(9)), strict=True):
+                if bucket.as_py() != held:
+                    held, parts, starts = bucket.as_py(), [], None
+                if kind.as_py() == 0:
+                    parts.append(tuple(x.as_py() for x in packed))
+                    continue
+                if starts is None:
+                    starts, parts = Starts(parts), []
                 words = text.as_buffer().to_pybytes().split()
                 n = len(words)
-                if starts.is_valid:
-                    s = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in starts.values])
+                s = starts.of(_LAST if not doc_id.is_valid else doc_id.as_py(), text_hash.as_py())
+                if s is not None:
                     edge = np.bincount(s, minlength=n + 1) - np.bincount(s + width, minlength=n + 1)
                     words = [w for w, c in zip(words, np.cumsum(edge)[:n].tolist(), strict=True) if c == 0]
-                out[0].append(n)
-                out[1].append(n - len(words))
-                out[2].append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()).cast(pa.string())],
+                out[0].append(doc_id.as_py())
+                out[1].append(n)
+                out[2].append(n - len(words))
+                out[3].append(b" ".join(words))
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary()).cast(pa.string())],
                                              ["doc_id", "n_words", "n_removed", "kept"])
 
-    joined = rows.join(by_doc, (F.coalesce("doc_id", F.lit(int(_LAST))) == F.col("d")) & (F.col("hash") == F.col("x")), "left")
-    return (joined.select("doc_id", "text", "starts").mapInArrow(rebuild, "doc_id long, n_words long, n_removed long, kept string")
-            .withColumn("doc_id", F.col("doc_id").cast(kind)))
+    return (both.repartitionById(groups, "bucket").sortWithinPartitions("bucket", "kind")
+            .select("bucket", "kind", "doc_id", "hash", "text", "docs", "hashes", "counts", "gaps")
+            .mapInArrow(rebuild, "doc_id long, n_words long, n_removed long, kept string").withColumn("doc_id", F.col("doc_id").cast(kind)))
 
 
 ORACLE = r"""
