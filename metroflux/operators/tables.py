@@ -8,8 +8,8 @@ merged at once:
 * anti / outer join to the table on the key (hash-partitioned on the full
   key, so one hot sensor does not concentrate a partition: the key includes
   the timestamp),
-* union.  ``write_upsert`` persists the result for the touched partitions
-  only, as a new version directory, then switches a pointer file.
+* union.  ``sources.versioned`` persists the result for the touched days
+  only, as new version directories, then switches a pointer file.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_lit
@@ -141,34 +141,3 @@ def reconcile(hot: DataFrame, archive: DataFrame, minimum: int = 1) -> DataFrame
               .when(h != a, "count_mismatch").otherwise("ok"))
     return j.select("source", "metric", "day", h.cast("bigint").alias("hot_rows"), a.cast("bigint").alias("archive_rows"),
                     status.alias("status"))
-
-
-# ------------------------------------------------------------------ persisted upsert
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
-
-
-def write_upsert(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partition_cols: list[str],
-                 arrival: str = "arrival") -> None:
-    """Persist ``upsert`` into a partitioned Parquet table, rewriting only
-    the partitions the batch touches (dynamic partition overwrite).
-
-    The merged partitions are ``checkpoint()``-ed to the cluster's shared
-    checkpoint directory first, so the write never reads the path it
-    overwrites and a lost executor recomputes from the checkpoint, not from
-    a half-overwritten table.  Replaying the same batch yields the same table
-    (the merge is idempotent)."""
-    from ..session import shared_dir
-    shared_dir(spark, "upsert")
-    latest = dedup_batch(batch, key, arrival, "last").drop(arrival)
-    if not _exists(spark, path):
-        merged = latest
-    else:
-        base = spark.read.parquet(path)
-        touched = latest.select(*partition_cols).distinct()
-        part = base.join(touched, partition_cols, "left_semi")
-        merged = upsert(part, batch, key, arrival).select(*base.columns).checkpoint()
-    (merged.hint("rebalance", *partition_cols)          # AQE splits hot partitions
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources import fixtures as FX
+from ..sources.fixtures import with_views
 from ..streaming import jobs as J
 from .catalog import AS_OF, ORACLES, register
 from .q_messages import messages
+from .q_quality import REASON_SQL
 
 _LANDED: dict[str, str] = {}
 
@@ -27,8 +29,8 @@ def landing_dir(spark, sf) -> str:
     path = shared_dir(spark, f"landing-{tag}-{uuid.uuid4().hex[:6]}") + "/messages"
     m = messages(spark, sf)
     cols = ["body", "attributes", F.col("publish_time").cast("timestamp").alias("publish_time")]
-    m.select(*cols).repartition(4).write.mode("append").json(path)
-    m.filter(F.col("event_id") % 4 == 0).select(*cols).coalesce(1).write.mode("append").json(path)
+    m.select(*cols).write.mode("append").json(path)
+    m.filter(F.col("event_id") % 4 == 0).select(*cols).write.mode("append").json(path)
     _LANDED[tag] = path
     return path
 
@@ -43,33 +45,39 @@ def _ingest(spark, sf, max_files=None):
 
 def stream_ingest(spark, sf):
     base, _ = _ingest(spark, sf)
-    hot = spark.read.parquet(base + "/hot")
-    return hot.select(F.col("time").cast("timestamp_ntz").alias("time"), "sensor_id", "metric", "value", "unit",
-                      "source", "latitude", "longitude", "quality_flag",
-                      F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), "schema_version")
+    return J.hot_table(spark, base + "/hot").select(F.col("time").cast("timestamp_ntz").alias("time"), "sensor_id", "metric", "value", "unit",
+                                                      "source", "latitude", "longitude", "quality_flag",
+                                                      F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), "schema_version")
 
 
 register("stream_ingest", ORACLES["decode_validate"])(stream_ingest)
 
 
 def bounded_consume(spark, sf):
-    """Consume until 5,000 messages were accepted (one file per micro-batch)."""
+    """Consume until 5,000 messages were accepted: the first in arrival order."""
     base = shared_dir(spark, f"bounded-{uuid.uuid4().hex[:8]}")
     J.bounded_consume(spark, landing_dir(spark, sf), base + "/hot", base + "/dead_letter", base + "/metrics",
                       limit=5000, checkpoint=base + "/_checkpoint", now=AS_OF)
-    return spark.read.parquet(base + "/metrics").select("batch_id", "accepted", "rejected")
+    return J.batch_metrics(spark, base + "/metrics").agg(F.sum("accepted").alias("accepted"))
 
 
-register("bounded_consume")(bounded_consume)
+# every 4th message is landed twice
+_LANDED_SQL = "(SELECT * FROM readings_arrival UNION ALL SELECT * FROM readings_arrival WHERE event_id % 4 = 0)"
+_GOOD_SQL = f"""(SELECT count(*) FROM (SELECT event_id, {REASON_SQL} AS reason FROM (SELECT * REPLACE (
+  CASE WHEN event_id % 40 = 0 THEN '  ' ELSE sensor_id END AS sensor_id, CASE WHEN event_id % 30 = 0 THEN CAST(0 AS SMALLINT) ELSE quality_flag END AS quality_flag)
+  FROM {_LANDED_SQL})) WHERE event_id % 50 <> 0 AND event_id % 60 <> 0 AND reason = '')"""
+register("bounded_consume", with_views(f"SELECT CAST(least(5000, {_GOOD_SQL}) AS HUGEINT) AS accepted", "readings_arrival"))(bounded_consume)
 
 
 def throughput(spark, sf):
-    _, q = _ingest(spark, sf, max_files=2)
-    rows = J.throughput_metrics([p for p in q.recentProgress], queued=0, capacity=10000)
-    return spark.createDataFrame(rows, "batch_id long, input_rows long, rows_per_second double, channel_fill_pct int")
+    base, _ = _ingest(spark, sf)
+    rows = J.throughput_metrics(J.batch_metrics(spark, base + "/metrics"))
+    return rows.select("batch_id", "input_rows", "accepted", "rejected", "channel_fill_pct", "dropped_readings_total")
 
 
-register("throughput_metrics")(throughput)
+register("throughput_metrics", with_views(f"""SELECT 0::BIGINT AS batch_id, n AS input_rows, ok AS accepted, n - ok AS rejected,
+  CAST(least(100, 100 * n // 10000) AS SMALLINT) AS channel_fill_pct, n - ok AS dropped_readings_total
+  FROM (SELECT count(*) AS n, {_GOOD_SQL} AS ok FROM {_LANDED_SQL})""", "readings_arrival"))(throughput)
 
 
 def _accepted_stream(spark, sf):
@@ -111,14 +119,13 @@ def media_notifications(spark, sf):
     body = (F.when(F.col("event_id") % 97 == 0, F.lit("{not json"))
             .otherwise(F.to_json(F.struct(F.lit("bucket").alias("bucket"), name.alias("name")))))
     path = shared_dir(spark, f"notify-{uuid.uuid4().hex[:8]}")
-    raw.select(body.alias("body")).repartition(2).write.json(path + "/in")
+    raw.select(body.alias("body")).write.json(path + "/in")
     J.run_to_table(J.notification_stream(spark, path + "/in", AS_OF), path + "/out")
     return spark.read.parquet(path + "/out").drop("batch_id")
 
 
 def _notifications_sql():
     from .q_safety import EVENTS_SQL, NAME
-    from ..sources.fixtures import with_views
     ok = EVENTS_SQL.replace("SELECT event_id, raw_label, confidence, is_suspicious AS raw_suspicious, event_time AS observed_at,",
                             "SELECT event_id,")
     return with_views(f"""

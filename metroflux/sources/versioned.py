@@ -1,0 +1,122 @@
+"""A date-partitioned Parquet table with version directories and a pointer.
+
+Layout: ``<path>/p_date=<day>/version=<n>-<job>/part-*.parquet`` holds the
+rows of a day as written for pointer ``n`` (with a part of the writer's own,
+so the remains of a job that died are never taken for a later one's); ``<path>/_pointer/<n>.json`` lists
+the version in force for every day.  The pointer with the largest number is
+the table.  An upsert reads and rewrites only the days its batch touches,
+writes them as new version directories, and then adds one pointer file by
+rename.  A job that dies before the rename leaves the old table in force,
+and a replayed batch merges to the same rows; readers of an older pointer
+keep their files until ``vacuum``.
+
+The pointer holds one entry per calendar day of the table, and an upsert
+brings the distinct days of its batch to the driver: both are bounded by
+the table's span in days, not by its rows.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.tables import upsert
+
+DATE, VERSION = "p_date", "version"
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _pointers(spark: SparkSession, path: str) -> list[int]:
+    fs, folder = _fs(spark, f"{path}/_pointer")
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def pointer(spark: SparkSession, path: str, number: int | None = None) -> tuple[int, dict[str, str]]:
+    """(number, day -> version) of the table in force (0 and none at first)."""
+    known = _pointers(spark, path)
+    if not known:
+        return 0, {}
+    number = known[-1] if number is None else number
+    rows = spark.read.text(f"{path}/_pointer/{number}.json", wholetext=True).collect()
+    return number, json.loads(rows[0][0])
+
+
+def _switch(spark: SparkSession, path: str, number: int, days: dict[str, str]) -> None:
+    """Put ``days`` in force; fails if another writer took the number."""
+    fs, folder = _fs(spark, f"{path}/_pointer")
+    fs.mkdirs(folder)
+    _, tmp = _fs(spark, f"{path}/_pointer/.{number}.json.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps(days, sort_keys=True).encode()))
+    out.close()
+    _, final = _fs(spark, f"{path}/_pointer/{number}.json")
+    if fs.exists(final) or not fs.rename(tmp, final):
+        raise RuntimeError(f"{path}: version {number} was written by another job")
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, days: list[str] | None = None) -> DataFrame:
+    """The table in force (columns of ``schema`` and ``p_date``), or only the
+    given days of it; an empty frame before the first write."""
+    full = T.StructType([f for f in schema.fields if f.name != DATE] + [T.StructField(DATE, T.DateType())])
+    _, current = pointer(spark, path)
+    wanted = {d: v for d, v in current.items() if days is None or d in set(days)}
+    if not wanted:
+        return spark.createDataFrame([], full)
+    folders = [f"{path}/{DATE}={d}/{VERSION}={v}" for d, v in sorted(wanted.items())]
+    df = (spark.read.schema(T.StructType([*full.fields, T.StructField(VERSION, T.StringType())]))
+          .option("basePath", path).parquet(*folders).drop(VERSION))
+    if days is not None:
+        df = df.filter(F.col(DATE).isin([dt.date.fromisoformat(d) for d in wanted]))
+    return df
+
+
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: list[str], arrival: str = "arrival") -> int:
+    """Merge ``batch`` (with ``p_date`` and an arrival order) into the table;
+    the version now in force.  An empty batch changes nothing."""
+    days = [r[0].isoformat() for r in batch.select(DATE).distinct().collect() if r[0] is not None]
+    number, current = pointer(spark, path)
+    if not days:
+        return number
+    schema = T.StructType([f for f in batch.schema.fields if f.name != arrival])
+    merged = upsert(read_table(spark, path, schema, days), batch.filter(F.col(DATE).isNotNull()), key, arrival)
+    number += 1
+    version = f"{number}-{uuid.uuid4().hex[:12]}"
+    (merged.withColumn(VERSION, F.lit(version)).hint("rebalance", DATE)      # AQE splits hot days
+     .write.mode("append").partitionBy(DATE, VERSION).parquet(path))
+    _switch(spark, path, number, current | dict.fromkeys(days, version))
+    return number
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete the version directories that none of the last ``keep``
+    pointers uses, and the older pointers; the number of directories deleted."""
+    known = _pointers(spark, path)
+    kept = known[-keep:]
+    used = {(d, v) for n in kept for d, v in pointer(spark, path, n)[1].items()}
+    fs, root = _fs(spark, path)
+    gone = 0
+    for day in fs.listStatus(root):
+        name = day.getPath().getName()
+        if not name.startswith(f"{DATE}="):
+            continue
+        for v in fs.listStatus(day.getPath()):
+            version = v.getPath().getName().removeprefix(f"{VERSION}=")
+            number = version.partition("-")[0]
+            if number.isdigit() and int(number) <= known[-1] and (name[len(DATE) + 1:], version) not in used:
+                fs.delete(v.getPath(), True)
+                gone += 1
+    for n in known[:-keep]:
+        fs.delete(_fs(spark, f"{path}/_pointer/{n}.json")[1], False)
+    return gone

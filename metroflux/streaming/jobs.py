@@ -5,7 +5,7 @@ deployment the same jobs read ``format("kafka")`` and only the source line
 changes.  Sinks are ``foreachBatch`` functions, so every micro-batch is an
 ordinary batch DataFrame: decode + validate, keyed upsert into the hot
 table (idempotent: replaying a batch rewrites the same keys with the same
-values), dead letters appended with their batch id.  The checkpoint
+values), dead letters and one metric row in the batch id's own folder.  The checkpoint
 location replaces message acknowledgement: a batch is "acked" when its
 offsets commit after the sink succeeded, so a lost executor or a restart
 replays it.
@@ -13,16 +13,18 @@ replays it.
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import messages as M
 from ..operators import safety as SF
-from ..operators.tables import write_upsert
+from ..operators.messages import fill_pct
 from ..session import shared_dir
+from ..sources.versioned import read_table, upsert_table
 
 MESSAGE_FILE_SCHEMA = T.StructType([
     T.StructField("body", T.StringType()),
@@ -39,38 +41,115 @@ def message_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     return reader.json(landing_dir)
 
 
-def ingest_batch(spark: SparkSession, table_path: str, dead_letter_path: str, metrics_path: str, now=None):
-    """The foreachBatch sink of ``stream_ingest``."""
+HOT_SCHEMA = T.StructType([
+    T.StructField("time", T.TimestampType()), T.StructField("sensor_id", T.StringType()), T.StructField("metric", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("unit", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()), T.StructField("quality_flag", T.ShortType()),
+    T.StructField("ingested_at", T.TimestampType()), T.StructField("schema_version", T.IntegerType()),
+])
+#: one row per micro-batch: the columns of ``ingestion_metrics``, then the batch's counts
+METRICS_SCHEMA = T.StructType([
+    T.StructField("recorded_at", T.TimestampType()), T.StructField("readings_per_second", T.DoubleType()),
+    T.StructField("channel_fill_pct", T.ShortType()), T.StructField("pubsub_lag_ms", T.IntegerType()),
+    T.StructField("gcs_write_latency_ms", T.IntegerType()), T.StructField("dropped_readings_total", T.LongType()),
+    T.StructField("accepted", T.LongType()), T.StructField("rejected", T.LongType()), T.StructField("batch_id", T.LongType()),
+])
+DEAD_LETTER_SCHEMA = T.StructType([
+    T.StructField("dedup_key", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("body", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+
+def _batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table of batch_id folders; empty before the first batch."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def hot_table(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, HOT_SCHEMA)
+
+
+def dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    return _batches(spark, path, DEAD_LETTER_SCHEMA)
+
+
+def batch_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return _batches(spark, path, METRICS_SCHEMA)
+
+
+def arrival_order() -> Column:
+    """Arrival of a message: publish time, then the producer's time, then
+    the body (files and partitions are in no order)."""
+    return F.struct(F.col("publish_time").alias("published"), F.col("ingested_at").alias("ingested"), F.xxhash64("body").alias("body"))
+
+
+def ingest_batch(spark: SparkSession, table_path: str, dead_letter_path: str, metrics_path: str, now=None,
+                 capacity: int = 10_000, limit: int | None = None):
+    """The foreachBatch sink of ``stream_ingest``.
+
+    Running a batch id again changes nothing: the upsert merges the same
+    rows, and dead letters and the metric row overwrite their batch_id
+    folder.  With ``limit``, only messages up to the one that makes the
+    accepted total reach it (in arrival order) are consumed."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        checked = M.decode_validate(batch).withColumn("arrival", F.monotonically_increasing_id())
+        started = time.monotonic()
+        before = (batch_metrics(spark, metrics_path).filter(F.col("batch_id") < batch_id)
+                  .agg(F.coalesce(F.sum("accepted"), F.lit(0)).alias("accepted"), F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected")).first())
+        checked = M.decode_validate(batch)
+        if limit is not None:
+            checked = first_accepted(checked, limit - before["accepted"])
         checked = checked.persist()
         try:
             good = checked.filter(F.col("reason").isNull()).select(
-                *[c for c in ["time", "sensor_id", "metric", "value", "unit", "source", "latitude", "longitude",
-                              "quality_flag", "ingested_at", "schema_version"]], "arrival",
-                F.to_date("time").alias("p_date"))
-            write_upsert(spark, table_path, good, READING_KEY, ["p_date"], "arrival")
-            (M.dead_letter(checked, F.lit(batch_id).cast("long"))
-             .write.mode("append").parquet(dead_letter_path))
+                *[f.name for f in HOT_SCHEMA.fields], arrival_order().alias("arrival"), F.to_date("time").alias("p_date"))
+            upsert_table(spark, table_path, good, READING_KEY)
+            (M.dead_letter(checked).drop("batch_id")
+             .write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}"))
             clock = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-            (checked.agg(F.count(F.when(F.col("reason").isNull(), 1)).cast("bigint").alias("accepted"),
-                         F.count(F.col("reason")).cast("bigint").alias("rejected"),
-                         F.avg(M.delivery_lag_ms("publish_time", clock)).alias("avg_lag_ms"),
-                         F.max(M.delivery_lag_ms("publish_time", clock)).alias("max_lag_ms"))
-             .select(F.lit(batch_id).cast("long").alias("batch_id"), clock.alias("recorded_at"), "*")
-             .write.mode("append").parquet(metrics_path))
+            accepted, rejected = F.count(F.when(F.col("reason").isNull(), 1)), F.count(F.col("reason"))
+            lag = F.avg(M.delivery_lag_ms("publish_time", clock))
+            seconds = max(time.monotonic() - started, 1e-3)
+            (checked.agg(accepted.alias("accepted"), rejected.alias("rejected"), lag.alias("lag"))
+             .select(clock.alias("recorded_at"), (F.col("accepted") / F.lit(seconds)).alias("readings_per_second"),
+                     F.least(F.lit(100), fill_pct(F.col("accepted") + F.col("rejected"), F.lit(capacity))).cast("smallint").alias("channel_fill_pct"),
+                     F.least(F.col("lag"), F.lit(2147483647.0)).cast("int").alias("pubsub_lag_ms"), F.lit(None).cast("int").alias("gcs_write_latency_ms"),
+                     (F.col("rejected") + F.lit(before["rejected"])).cast("long").alias("dropped_readings_total"),
+                     F.col("accepted").cast("long").alias("accepted"), F.col("rejected").cast("long").alias("rejected"))
+             .write.mode("overwrite").parquet(f"{metrics_path}/batch_id={batch_id}"))
         finally:
             checked.unpersist()
     return run
 
 
+def first_accepted(checked: DataFrame, n: int) -> DataFrame:
+    """Messages up to the n-th accepted one in arrival order.  The n-th
+    arrival is found by a top-n of the (short) arrival values, so no task
+    holds all messages."""
+    if n <= 0:
+        return checked.limit(0)
+    at = checked.withColumn("arrival", arrival_order())
+    # of equal messages each one counts: the last of the n smallest is the cut
+    last = (at.filter(F.col("reason").isNull()).select("arrival").orderBy("arrival").limit(n)
+            .agg(F.max("arrival").alias("cut"), F.count(F.lit(1)).alias("n")).first())
+    if last["n"] < n:
+        return checked
+    cut = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(last["cut"], at.schema["arrival"].dataType.fields, strict=True)])
+    upto = at.filter(F.col("arrival") < cut)
+    surplus = n - upto.filter(F.col("reason").isNull()).count()
+    return upto.unionByName(at.filter((F.col("arrival") == cut) & F.col("reason").isNull()).limit(surplus)).drop("arrival")
+
+
 def stream_ingest(spark: SparkSession, landing_dir: str, table_path: str, dead_letter_path: str,
                   metrics_path: str, checkpoint: str | None = None, available_now: bool = True,
-                  processing_time: str = "1 second", max_files_per_trigger: int | None = None, now=None):
+                  processing_time: str = "1 second", max_files_per_trigger: int | None = None, now=None,
+                  capacity: int = 10_000, limit: int | None = None):
     """Start the continuous ingest query (returns the StreamingQuery)."""
     checkpoint = checkpoint or shared_dir(spark, f"stream-ingest-{uuid.uuid4().hex[:8]}")
     w = (message_stream(spark, landing_dir, max_files_per_trigger).writeStream
-         .foreachBatch(ingest_batch(spark, table_path, dead_letter_path, metrics_path, now))
+         .foreachBatch(ingest_batch(spark, table_path, dead_letter_path, metrics_path, now, capacity, limit))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
@@ -85,27 +164,15 @@ def _event_time(readings: DataFrame) -> DataFrame:
 
 def bounded_consume(spark: SparkSession, landing_dir: str, table_path: str, dead_letter_path: str,
                     metrics_path: str, limit: int, checkpoint: str | None = None,
-                    max_files_per_trigger: int = 1, now=None, poll_seconds: float = 0.5) -> int:
-    """Consume until at least ``limit`` messages were accepted, then stop
-    (or when the available input is exhausted).  Micro-batches are bounded by
-    ``maxFilesPerTrigger``; after each committed batch the driver reads the
-    batch's one-row metric (progress metadata, not data) to decide whether
-    to stop.  Returns the number of accepted messages."""
-    checkpoint = checkpoint or shared_dir(spark, f"stream-bounded-{uuid.uuid4().hex[:8]}")
+                    max_files_per_trigger: int | None = None, now=None) -> int:
+    """Consume what is available until exactly ``limit`` messages were
+    accepted.  The batch that reaches the limit is cut in arrival order
+    inside the sink, and later batches consume nothing, so the result does
+    not depend on timing.  Returns the number of accepted messages."""
     q = stream_ingest(spark, landing_dir, table_path, dead_letter_path, metrics_path, checkpoint,
-                      available_now=True, max_files_per_trigger=max_files_per_trigger, now=now)
-    accepted, seen = 0, -1
-    while q.isActive:
-        q.awaitTermination(poll_seconds)
-        progress = q.recentProgress
-        if progress and progress[-1]["batchId"] != seen:
-            seen = progress[-1]["batchId"]
-            accepted = spark.read.parquet(metrics_path).agg(F.coalesce(F.sum("accepted"), F.lit(0))).first()[0]
-            if accepted >= limit:
-                q.stop()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(metrics_path).agg(F.coalesce(F.sum("accepted"), F.lit(0))).first()[0]
+                      available_now=True, max_files_per_trigger=max_files_per_trigger, now=now, limit=limit)
+    q.awaitTermination()
+    return batch_metrics(spark, metrics_path).agg(F.coalesce(F.sum("accepted"), F.lit(0))).first()[0]
 
 
 def hourly_rollup(readings: DataFrame, watermark: str = "2 hours") -> DataFrame:
@@ -147,14 +214,8 @@ def run_to_table(df: DataFrame, path: str, mode: str = "append", checkpoint: str
     return path
 
 
-def throughput_metrics(progress: list[dict], queued: int | None = None, capacity: int | None = None) -> list[dict]:
-    """T5: per micro-batch rows/s from StreamingQueryProgress (driver-side
-    progress objects, one per batch - not data)."""
-    out = []
-    for p in progress:
-        fill = None
-        if queued is not None and capacity:
-            fill = int(100 * queued // capacity)
-        out.append({"batch_id": p.get("batchId"), "input_rows": p.get("numInputRows"),
-                    "rows_per_second": p.get("processedRowsPerSecond"), "channel_fill_pct": fill})
-    return out
+def throughput_metrics(metrics: DataFrame) -> DataFrame:
+    """T5: per micro-batch counts, fill percentage and dropped total, from
+    the table the sink maintains (complete for a stream of any length)."""
+    return metrics.select("batch_id", (F.col("accepted") + F.col("rejected")).alias("input_rows"), "accepted", "rejected",
+                          "channel_fill_pct", "dropped_readings_total", "readings_per_second")
