@@ -12,7 +12,7 @@ and falls back to a sort-merge join when it is not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -79,16 +79,18 @@ _PM_UNITS = ["ug/m3", "ugm-3", "ugm3"]
 
 
 def normalize_air_quality(latest: DataFrame, sensors: DataFrame, ingested_at) -> DataFrame:
-    """Latest measurements joined to sensor metadata of the same location
-    (duplicate sensor ids: the last listed wins)."""
-    meas = (latest.select("location_id", F.explode("results").alias("r"))
-            .select("location_id", F.col("r.sensorsId").alias("sensor_key"), F.col("r.value").alias("value"),
+    """Latest measurements joined to sensor metadata of the same poll and
+    location (duplicate sensor ids: the last listed wins); a missing number
+    is 0."""
+    meas = (latest.select("poll_id", "location_id", F.explode("results").alias("r"))
+            .select("poll_id", "location_id", F.col("r.sensorsId").alias("sensor_key"), F.coalesce(F.col("r.value"), F.lit(0.0)).alias("value"),
                     F.col("r.coordinates.latitude").alias("m_lat"), F.col("r.coordinates.longitude").alias("m_lon"),
                     F.col("r.datetime.utc").alias("utc")))
-    meta = (sensors.select("location_id", "seq", F.posexplode("results").alias("pos", "r"))
-            .groupBy("location_id", F.col("r.id").alias("sensor_key"))
+    meta = (sensors.select("poll_id", "location_id", "seq", F.posexplode("results").alias("pos", "r"))
+            .groupBy(F.col("poll_id").alias("_poll"), F.col("location_id").alias("_loc"), F.col("r.id").alias("_key"))
             .agg(F.max_by("r", F.struct("seq", "pos")).alias("s")))
-    j = meas.join(meta, ["location_id", "sensor_key"], "left")
+    j = meas.join(meta, F.col("poll_id").eqNullSafe(F.col("_poll")) & (F.col("location_id") == F.col("_loc"))
+                  & (F.col("sensor_key") == F.col("_key")), "left")
     key = F.translate(F.lower(go_trim(F.col("s.parameter.name"))), " _-", "")
     metric = lookup(key, {k: m for k, (m, _) in _AQ_METRIC.items()})
     want = lookup(key, {k: u for k, (_, u) in _AQ_METRIC.items()})
@@ -125,8 +127,8 @@ def _wx_unit(c: Column) -> Column:
 
 
 def normalize_weather(current: DataFrame, ingested_at) -> DataFrame:
-    """Unpivot the 4 current-weather metrics; a bad timestamp drops the whole
-    payload with one reason.  ``sensor_id`` names the requested point."""
+    """Unpivot the 4 current-weather metrics (a missing number is 0); a bad
+    timestamp drops the whole payload with one reason.  ``sensor_id`` names the requested point."""
     raw_t = F.col("current.time")
     txt = go_trim(raw_t)
     # pick the layout by shape (a failed parse is an exception per row)
@@ -135,7 +137,7 @@ def normalize_weather(current: DataFrame, ingested_at) -> DataFrame:
     bad = F.concat(F.lit("invalid Open-Meteo timestamp "), go_quote(raw_t), F.lit(": "),
                    F.when(F.coalesce(txt, F.lit("")) == "", F.lit("time is required"))
                    .otherwise(F.lit("cannot parse as RFC3339 or 2006-01-02T15:04")))
-    items = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"current.{f}").alias("value"),
+    items = F.array(*[F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(f"current.{f}"), F.lit(0.0)).alias("value"),
                                _wx_unit(F.col(f"current_units.{f}")).alias("unit"),
                                F.lit(None).cast("string").alias("fail")) for m, f in _WX])
     fail = F.array(F.struct(F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value"),
@@ -147,28 +149,38 @@ def normalize_weather(current: DataFrame, ingested_at) -> DataFrame:
     reason = (F.when(F.col("i.fail").isNotNull(), F.col("i.fail"))
               .when(F.col("i.unit").isNull(), F.concat(F.lit("unsupported Open-Meteo unit for "), F.col("i.metric"))))
     out = x.select(*_reading(F.col("_t"), sid, F.col("i.metric"), F.col("i.value"), F.col("i.unit"), "openmeteo",
-                             F.col("latitude"), F.col("longitude"), _ingest_lit(ingested_at), reason))
+                             F.coalesce("latitude", F.lit(0.0)), F.coalesce("longitude", F.lit(0.0)), _ingest_lit(ingested_at), reason))
     return _validated(out)
 
 
 # ------------------------------------------------------------------ N3 bike share
 def station_information(info: DataFrame) -> DataFrame:
-    """Station dimension, one row per station_id: the last listing wins."""
-    return (info.select("seq", F.posexplode("data.stations").alias("pos", "st"))
-            .groupBy(F.col("st.station_id").alias("station_id"))
+    """Station dimension, one row per poll and station_id: the last listing
+    of the poll wins; a missing number is 0."""
+    return (info.select("poll_id", "seq", F.posexplode("data.stations").alias("pos", "st"))
+            .groupBy("poll_id", F.col("st.station_id").alias("station_id"))
             .agg(F.max_by("st", F.struct("seq", "pos")).alias("st"))
-            .select("station_id", "st.name", "st.lat", "st.lon", "st.capacity"))
+            .select("poll_id", "station_id", "st.name", *[F.coalesce(f"st.{c}", F.lit(0)).alias(c) for c in ("lat", "lon", "capacity")]))
+
+
+def station_names(info: DataFrame) -> DataFrame:
+    """(station_id, name): the name in the latest poll that lists it."""
+    return station_information(info).groupBy("station_id").agg(F.max_by("name", "poll_id").alias("name"))
 
 
 def normalize_bike_share(info: DataFrame, status: DataFrame, ingested_at, limit: int = 0) -> DataFrame:
-    """Status (sorted by station_id, ``limit`` applied BEFORE the join) left
-    joined to station information; 3 readings per station."""
-    st = status.select(F.col("last_updated").alias("feed_updated"), F.explode("data.stations").alias("s")).select(
-        "feed_updated", "s.*")
+    """Station states left joined to the station information of the same
+    poll; 3 readings per station.  ``limit`` keeps the first stations of
+    every poll by station_id, before the join; a missing number is 0."""
+    st = status.select("poll_id", F.col("last_updated").alias("feed_updated"), F.explode("data.stations").alias("s")).select(
+        "poll_id", "feed_updated", "s.station_id", *[F.coalesce(f"s.{c}", F.lit(0)).alias(c)
+                                                     for c in ("num_bikes_available", "num_docks_available", "last_reported")])
     if limit and limit > 0:
-        st = st.orderBy("station_id").limit(limit)      # top-k, bounded by limit
-    j = st.join(station_information(info).withColumnRenamed("station_id", "_sid"),
-                F.col("station_id") == F.col("_sid"), "left")
+        # one poll's stations are one feed response; equal ids fall back to the other columns
+        first = Window.partitionBy("poll_id").orderBy("station_id", "last_reported", "num_bikes_available", "num_docks_available")
+        st = st.withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= limit).drop("_k")
+    j = st.join(station_information(info).withColumnsRenamed({"station_id": "_sid", "poll_id": "_poll"}),
+                (F.col("station_id") == F.col("_sid")) & F.col("poll_id").eqNullSafe(F.col("_poll")), "left")
     ing = _ingest_lit(ingested_at)
     t = (F.when(F.col("last_reported") > 0, F.timestamp_seconds("last_reported"))
          .when(F.col("feed_updated") > 0, F.timestamp_seconds("feed_updated")).otherwise(ing))
@@ -224,8 +236,7 @@ def normalize_river(payload: DataFrame, ingested_at) -> DataFrame:
     groups = F.when(series_fail.isNotNull(), F.array(F.struct(F.array(dummy_m).alias("value")))).otherwise(
         F.coalesce(F.col("ts.values"), F.array().cast("array<struct<value:array<struct<value:string,dateTime:string>>>>")))
     g = ser.select(site.alias("site"), series_fail.alias("series_fail"),
-                   F.col("ts.sourceInfo.geoLocation.geogLocation.latitude").alias("lat"),
-                   F.col("ts.sourceInfo.geoLocation.geogLocation.longitude").alias("lon"),
+                   *[F.coalesce(f"ts.sourceInfo.geoLocation.geogLocation.{c}", F.lit(0.0)).alias(c[:3]) for c in ("latitude", "longitude")],
                    F.explode(groups).alias("g"))
     x = g.select("site", "series_fail", "lat", "lon",
                  F.explode(F.coalesce(F.col("g.value"), F.array().cast("array<struct<value:string,dateTime:string>>")))

@@ -87,20 +87,26 @@ WX_SQL = " UNION ALL ".join(
     for m, expr, u, cond in [("temperature", "value * 0.1::DOUBLE - 20", "C", " AND event_id % 6 <> 0"),
                              ("humidity", "fmod(value, 100)", "%", ""),
                              ("wind_speed", "value * 0.2::DOUBLE", "km/h", ""),
-                             ("precipitation", "value * 0.01::DOUBLE", "mm", "")])
+                             ("precipitation", "CASE WHEN event_id % 19 <> 0 THEN value * 0.01::DOUBLE ELSE 0 END", "mm", "")])
 register("normalize_weather", WX_SQL)(lambda spark, sf: _pub(wx(spark, sf)))
 
 # ---------------------------------------------------------------- N3
 _EPOCH = "epoch(date_trunc('second', ts))"
 _BIKE_T = (f"CASE WHEN event_id % 5 <> 0 THEN date_trunc('second', ts) "
            f"WHEN event_id % 10 <> 0 THEN date_trunc('hour', ts) ELSE {ASOF} END")
+_BIKES = "CASE WHEN event_id % 9 <> 0 THEN event_id % 20 ELSE 0 END"
+_DOCKS = "CAST(trunc(value) AS BIGINT) % 25"
 BIKE_SQL = " UNION ALL ".join(
     _reading_sql(_BIKE_T, "'GBFS-' || lpad(CAST(user_id AS VARCHAR), 4, '0')", f"'{m}'", expr, "'count'", "gbfs",
                  LAT, LON) + " FROM events WHERE user_id % 8 <> 0"
-    for m, expr in [("bike_available_count", "event_id % 20"),
-                    ("dock_available_count", "CAST(trunc(value) AS BIGINT) % 25"),
-                    ("station_capacity", "CASE WHEN user_id % 20 = 0 THEN 25 ELSE 20 END + user_id % 15")])
+    for m, expr in [("bike_available_count", _BIKES), ("dock_available_count", _DOCKS),
+                    ("station_capacity", "CASE WHEN user_id % 20 = 0 THEN 25 ELSE 20 END + user_id % 15 + CAST(floor(epoch(ts) / 3600) AS BIGINT) % 2")])
 register("normalize_bike_share", BIKE_SQL)(lambda spark, sf: _pub(bike(spark, sf)))
+# the poller's station limit: the first stations of every poll
+_FIRST = f"""(SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY floor(epoch(ts) / 3600) ORDER BY lpad(CAST(user_id AS VARCHAR), 4, '0'),
+  CASE WHEN event_id % 5 = 0 THEN 0 ELSE floor(epoch(ts)) END, {_BIKES}, {_DOCKS}) AS k FROM events) WHERE k <= 5)"""
+register("bike_share_station_limit", BIKE_SQL.replace("FROM events", f"FROM {_FIRST}"))(lambda spark, sf: _pub(
+    N.normalize_bike_share(P.gbfs_info_fixture(spark, sf), P.gbfs_status_fixture(spark, sf), AS_OF, limit=5)))
 
 # ---------------------------------------------------------------- N4
 _V1 = ("CASE WHEN event_id % 9 = 0 THEN 'Ice' WHEN event_id % 50 = 0 THEN '1e400' WHEN event_id % 60 = 0 THEN 'NaN' "
@@ -139,4 +145,4 @@ register("normalize_stats", STATS_SQL)(
 # ---------------------------------------------------------------- S19 station names
 register("station_names", """SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 4, '0') AS station_id,
   'Station ' || CAST(user_id AS VARCHAR) AS name FROM events WHERE user_id % 8 <> 0""")(
-    lambda spark, sf: N.station_information(P.gbfs_info_fixture(spark, sf)).select("station_id", "name"))
+    lambda spark, sf: N.station_names(P.gbfs_info_fixture(spark, sf)))

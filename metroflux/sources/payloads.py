@@ -3,8 +3,9 @@
 In deployment every poll lands one JSON document per line under a source
 directory; ``read_landed`` reads such a directory batch-wise, and the
 streaming jobs read the same layout with ``readStream``.  Each landed line
-carries the request context the poller had (location id, requested point,
-feed sequence) next to the API body.
+carries the request context the poller had (poll number, location id,
+requested point, feed sequence) next to the API body; responses of one poll
+are joined with each other only.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ def _s(*fields) -> T.StructType:
 
 
 COORDS = _s(("latitude", D), ("longitude", D))
-AQ_SENSORS = _s(("location_id", L), ("seq", I), ("results", T.ArrayType(_s(
+AQ_SENSORS = _s(("poll_id", L), ("location_id", L), ("seq", I), ("results", T.ArrayType(_s(
     ("id", L), ("name", S_), ("parameter", _s(("id", L), ("name", S_), ("units", S_))),
     ("units", S_), ("coordinates", COORDS)))))
-AQ_LATEST = _s(("location_id", L), ("results", T.ArrayType(_s(
+AQ_LATEST = _s(("poll_id", L), ("location_id", L), ("results", T.ArrayType(_s(
     ("datetime", _s(("utc", S_), ("local", S_))), ("value", D), ("coordinates", COORDS),
     ("sensorsId", L), ("locationsId", L)))))
 _WX_FIELDS = ["temperature_2m", "relative_humidity_2m", "wind_speed_10m", "precipitation"]
@@ -34,9 +35,9 @@ WEATHER = _s(("request_latitude", D), ("request_longitude", D), ("latitude", D),
              ("current_units", _s(("time", S_), *[(f, S_) for f in _WX_FIELDS])),
              ("current", _s(("time", S_), *[(f, D) for f in _WX_FIELDS])))
 GBFS_DISCOVERY = _s(("data", T.MapType(S_, _s(("feeds", T.ArrayType(_s(("name", S_), ("url", S_))))))))
-GBFS_INFO = _s(("seq", I), ("last_updated", L), ("data", _s(("stations", T.ArrayType(_s(
+GBFS_INFO = _s(("poll_id", L), ("seq", I), ("last_updated", L), ("data", _s(("stations", T.ArrayType(_s(
     ("station_id", S_), ("name", S_), ("lat", D), ("lon", D), ("capacity", L)))))))
-GBFS_STATUS = _s(("last_updated", L), ("data", _s(("stations", T.ArrayType(_s(
+GBFS_STATUS = _s(("poll_id", L), ("last_updated", L), ("data", _s(("stations", T.ArrayType(_s(
     ("station_id", S_), ("num_bikes_available", L), ("num_docks_available", L), ("last_reported", L)))))))
 _CODE = T.ArrayType(_s(("value", S_)))
 USGS = _s(("value", _s(("timeSeries", T.ArrayType(_s(
@@ -88,8 +89,13 @@ def _utc_text(ts):
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def _hour(ts):
+    """Number of the poll that fetched an event: its hour."""
+    return F.floor(F.unix_seconds(ts.cast("timestamp")) / 3600).cast("long")
+
+
 def aq_latest_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     e, u = F.col("event_id"), F.col("user_id")
     coords = F.when(e % 4 == 0, F.lit(None).cast(COORDS)).otherwise(
         F.struct(_lat(u).alias("latitude"), _lon(u).alias("longitude")))
@@ -97,11 +103,11 @@ def aq_latest_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = F.struct(F.struct(utc.alias("utc"), utc.alias("local")).alias("datetime"),
                    F.col("value").alias("value"), coords.alias("coordinates"),
                    e.alias("sensorsId"), u.alias("locationsId"))
-    return ev.select(u.alias("location_id"), F.array(res).alias("results"))
+    return ev.select(_hour(F.col("ts")).alias("poll_id"), u.alias("location_id"), F.array(res).alias("results"))
 
 
 def aq_sensors_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events", spread=True).filter(F.col("event_id") % 10 != 0)
+    ev = table(spark, sf_dir, "events").filter(F.col("event_id") % 10 != 0)
     e, u = F.col("event_id"), F.col("user_id")
     k7, k5 = (e % 7).cast("int"), (e % 5).cast("int")
     coords = F.when(e % 8 == 0, F.lit(None).cast(COORDS)).otherwise(
@@ -112,15 +118,19 @@ def aq_sensors_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.struct(k7.cast("long").alias("id"), _pick(k7, AQ_PARAMS).alias("name"),
                                          _pick(k7, AQ_PARAM_UNITS).alias("units")).alias("parameter"),
                                 units.alias("units"), coords.alias("coordinates")))
-    first = ev.select(u.alias("location_id"), F.lit(1).alias("seq"), res(_pick(k5, AQ_UNITS)).alias("results"))
+    poll = _hour(F.col("ts"))
+    first = ev.select(poll.alias("poll_id"), u.alias("location_id"), F.lit(1).alias("seq"), res(_pick(k5, AQ_UNITS)).alias("results"))
     # every 20th sensor is listed again later with another unit: last one wins
     dup = (ev.filter(e % 20 == 1)
-           .select(u.alias("location_id"), F.lit(2).alias("seq"), res(F.lit("ppb")).alias("results")))
-    return first.unionByName(dup)
+           .select(poll.alias("poll_id"), u.alias("location_id"), F.lit(2).alias("seq"), res(F.lit("ppb")).alias("results")))
+    # the next poll lists every 3rd sensor with another unit: its own business
+    later = (ev.filter(e % 3 == 1)
+             .select((poll + 1).alias("poll_id"), u.alias("location_id"), F.lit(3).alias("seq"), res(F.lit("ppm")).alias("results")))
+    return first.unionByName(dup).unionByName(later)
 
 
 def weather_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     e, u, ts, v = F.col("event_id"), F.col("user_id"), F.col("ts"), F.col("value")
     local6 = F.date_format(ts - F.expr("INTERVAL 6 HOURS"), "yyyy-MM-dd'T'HH:mm:ss") 
     t = (F.when(e % 17 == 0, F.lit(""))
@@ -131,7 +141,7 @@ def weather_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("%").alias("relative_humidity_2m"), F.lit("km/h").alias("wind_speed_10m"),
                      F.lit("mm").alias("precipitation"))
     cur = F.struct(t.alias("time"), (v * 0.1 - 20).alias("temperature_2m"), (v % 100).alias("relative_humidity_2m"),
-                   (v * 0.2).alias("wind_speed_10m"), (v * 0.01).alias("precipitation"))
+                   (v * 0.2).alias("wind_speed_10m"), F.when(e % 19 != 0, v * 0.01).alias("precipitation"))
     return ev.select(_lat(u).alias("request_latitude"), _lon(u).alias("request_longitude"),
                      (_lat(u) + F.lit(0.002)).alias("latitude"), (_lon(u) + F.lit(0.002)).alias("longitude"),
                      units.alias("current_units"), cur.alias("current"))
@@ -142,32 +152,35 @@ def _station_id(u):
 
 
 def gbfs_info_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = table(spark, sf_dir, "events", spread=True).select("user_id").distinct().filter(F.col("user_id") % 8 != 0)
-    u = F.col("user_id")
+    """Station listings, one poll an hour: a station's capacity grows by one
+    in odd polls, and every 20th station is listed twice (last one wins)."""
+    seen = table(spark, sf_dir, "events").select(_hour(F.col("ts")).alias("poll_id"), "user_id").distinct().filter(F.col("user_id") % 8 != 0)
+    u, odd = F.col("user_id"), F.col("poll_id") % 2
 
     def rec(seq, cap):
         st = F.struct(_station_id(u).alias("station_id"), F.concat(F.lit("Station "), u.cast("string")).alias("name"),
                       _lat(u).alias("lat"), _lon(u).alias("lon"), cap.alias("capacity"))
-        return F.lit(seq).alias("seq"), F.lit(1704067200).cast("long").alias("last_updated"), \
+        return "poll_id", F.lit(seq).alias("seq"), F.lit(1704067200).cast("long").alias("last_updated"), \
             F.struct(F.array(st).alias("stations")).alias("data")
-    first = users.select(*rec(1, (F.lit(20) + u % 15).cast("long")))
-    dup = users.filter(u % 20 == 0).select(*rec(2, (F.lit(25) + u % 15).cast("long")))
+    first = seen.select(*rec(1, (F.lit(20) + u % 15 + odd).cast("long")))
+    dup = seen.filter(u % 20 == 0).select(*rec(2, (F.lit(25) + u % 15 + odd).cast("long")))
     return first.unionByName(dup)
 
 
 def gbfs_status_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events", spread=True)
+    """Station states, one poll an hour; every 9th has no bike count."""
+    ev = table(spark, sf_dir, "events")
     e, u = F.col("event_id"), F.col("user_id")
     epoch = F.unix_seconds(F.col("ts").cast("timestamp"))
-    st = F.struct(_station_id(u).alias("station_id"), (e % 20).alias("num_bikes_available"),
+    st = F.struct(_station_id(u).alias("station_id"), F.when(e % 9 != 0, e % 20).alias("num_bikes_available"),
                   (F.col("value").cast("long") % 25).alias("num_docks_available"),
                   F.when(e % 5 == 0, F.lit(0).cast("long")).otherwise(epoch).alias("last_reported"))
     feed_updated = F.when(e % 10 == 0, F.lit(0).cast("long")).otherwise(epoch - epoch % 3600)
-    return ev.select(feed_updated.alias("last_updated"), F.struct(F.array(st).alias("stations")).alias("data"))
+    return ev.select(_hour(F.col("ts")).alias("poll_id"), feed_updated.alias("last_updated"), F.struct(F.array(st).alias("stations")).alias("data"))
 
 
 def usgs_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
     v = F.col("value").cast("decimal(10,2)")
     site = F.concat(F.lit("0553"), F.lpad(u.cast("string"), 4, "0"))

@@ -58,10 +58,10 @@ def test_dedup_key_and_partition_path(spark):
 
 def _aq(spark, name, units, param_units="", m_coords=(41.9, -87.6), s_coords=(41.8, -87.5), sid=200, value=12.0):
     latest = spark.createDataFrame(
-        [(1, [((("2026-05-21T10:00:00Z", "x"), value, m_coords if m_coords else None, sid, 1))])],
+        [(1, 1, [((("2026-05-21T10:00:00Z", "x"), value, m_coords if m_coords else None, sid, 1))])],
         P.AQ_LATEST)
     sensors = spark.createDataFrame(
-        [(1, 1, [(sid, "s", (2, name, param_units), units, s_coords if s_coords else None)])], P.AQ_SENSORS)
+        [(1, 1, 1, [(sid, "s", (2, name, param_units), units, s_coords if s_coords else None)])], P.AQ_SENSORS)
     return N.normalize_air_quality(latest, sensors, "2026-05-21 10:01:00")
 
 
@@ -94,11 +94,28 @@ def test_weather_cases(spark):
 
 
 def _bike(spark, infos, statuses, limit=0):
-    info = spark.createDataFrame([(1, 0, ([(s, "n", 41.0, -87.0, c) for s, c in infos],))], P.GBFS_INFO)
-    status = spark.createDataFrame([(0, ([(s, b, d, 1716300000) for s, b, d in statuses],))], P.GBFS_STATUS)
+    return _bike_polls(spark, [(1, infos, statuses)], limit)
+
+
+def _bike_polls(spark, polls, limit=0):
+    info = spark.createDataFrame([(n, 1, 0, ([(s, "n", 41.0, -87.0, c) for s, c in infos],)) for n, infos, _ in polls], P.GBFS_INFO)
+    status = spark.createDataFrame([(n, 0, ([(s, b, d, 1716300000 + (n or 0)) for s, b, d in statuses],)) for n, _, statuses in polls], P.GBFS_STATUS)
     return N.normalize_bike_share(info, status, "2026-05-21 15:00:00", limit)
 
 
+def test_bike_share_limit_and_metadata_are_per_poll(spark):
+    stations = [("b", 1, 2), ("a", 7, 13), ("c", 3, 4)]
+    polls = [(n, [("a", 20 + n), ("b", 10 + n), ("c", 5)], stations) for n in (1, 2, 3)]
+    rows = N.published(_bike_polls(spark, polls, limit=2)).collect()
+    assert len(rows) == 3 * 2 * 3 and {r.sensor_id for r in rows} == {"GBFS-a", "GBFS-b"}
+    capacity = {(r.time.second, r.sensor_id): r.value for r in rows if r.metric == "station_capacity"}
+    assert len(set(capacity.values())) == 6                                   # each poll keeps its own capacities
+    missing = N.published(_bike_polls(spark, [(1, [("a", None)], [("a", None, 4)])])).collect()
+    assert sorted(r.value for r in missing) == [0.0, 0.0, 4.0]
+    assert N.published(_bike_polls(spark, [(None, [("a", 3)], [("a", 1, 2)])])).count() == 3
+    assert N.skipped(_bike_polls(spark, [(1, [("a", 3)], []), (2, [], [("a", 1, 2)])])).count() == 1
+
+
 def test_bike_share_cases(spark):
     out = N.published(_bike(spark, [("a", 20)], [("a", 7, 13)]))
     assert sorted(r.value for r in out.collect()) == [7.0, 13.0, 20.0]
