@@ -1,19 +1,21 @@
 """Reading messages (S7, N5, T3, T4): encode, strict decode, validate,
 dead-letter, delivery lag.
 
-A message is (body JSON text, attributes map, publish_time).  Decoding is
-``from_json`` with the fixed reading schema plus a corrupt-record column;
-``try_parse_json`` separates malformed text from type mismatches.  Missing
-fields take the zero values the producer's decoder gives them (0 / "" /
-zero time), so a missing quality flag becomes 0 (Suspect) and a missing
-schema version fails validation.
+A message is (body JSON text, attributes map, publish_time).  The body is
+parsed once to a map of variants, and every field's JSON type is checked:
+text fields must be strings, numbers numbers (not quoted, in range),
+integers integers, times RFC 3339 strings; anything else rejects the body.
+Field names match in any case, the last of several wins, unknown fields are
+ignored.  Missing and null fields take the zero values the producer's
+decoder gives them (0 / "" / zero time), so a missing quality flag becomes 0
+(Suspect), a missing schema version fails validation, and a missing
+``ingested_at`` is the zero time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.keys import dedup_key
@@ -21,14 +23,11 @@ from ..functions.timefn import rfc3339_nano
 from .normalize import RFC3339
 from .validate import validation_errors
 
-MESSAGE_BODY_SCHEMA = T.StructType([
-    T.StructField("time", T.StringType()), T.StructField("sensor_id", T.StringType()),
-    T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType()),
-    T.StructField("unit", T.StringType()), T.StructField("source", T.StringType()),
-    T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()),
-    T.StructField("quality_flag", T.ShortType()), T.StructField("ingested_at", T.StringType()),
-    T.StructField("schema_version", T.IntegerType()), T.StructField("_corrupt", T.StringType()),
-])
+TEXT_FIELDS = ["sensor_id", "metric", "unit", "source"]
+NUMBER_FIELDS = ["value", "latitude", "longitude"]
+INTEGER_FIELDS = {"quality_flag": "smallint", "schema_version": "int"}
+TIME_FIELDS = ["time", "ingested_at"]
+ZERO_TIME = "0001-01-01 00:00:00"
 ATTRIBUTES = ["schema_version", "source", "metric", "sensor_id", "dedup_key"]
 
 
@@ -53,33 +52,53 @@ def encode(readings: DataFrame) -> DataFrame:
     return readings.select(F.to_json(reading_struct()).alias("body"), attributes().alias("attributes"))
 
 
+def _field(name: str) -> Column:
+    """The variant of a field: by its name, or - where a body has names in
+    other cases or several times - the last entry that matches."""
+    matching = F.filter(F.map_entries("_m"), lambda e: F.lower(e["key"]) == name)
+    return F.when(F.col("_odd"), F.try_element_at(matching, F.lit(-1))["value"]).otherwise(F.try_element_at(F.col("_m"), F.lit(name)))
+
+
 def decode(messages: DataFrame, body_col: str = "body") -> DataFrame:
-    """N5 step 1: body text -> reading columns + ``decode_error``.
-
-    Parses each body once: per-field JSON pruning (which would re-parse the
-    body for every extracted field) is switched off for the session."""
-    messages.sparkSession.conf.set("spark.sql.optimizer.enableJsonExpressionOptimization", "false")
-    p = F.from_json(F.col(body_col), MESSAGE_BODY_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
-    x = messages.withColumn("_p", p)
-    malformed = F.try_parse_json(F.col(body_col)).isNull()
-    mismatch = F.col("_p._corrupt").isNotNull() | (F.col("_p").isNull() & ~malformed)
-    err = (F.when(malformed, F.lit("decode sensor reading: malformed JSON"))
-           .when(mismatch, F.lit("decode sensor reading: field type mismatch")))
-
-    def t(name):
-        txt = F.col(f"_p.{name}")
-        return F.try_to_timestamp(txt, F.lit(RFC3339))
-    return x.select(
-        "*", t("time").alias("time"), F.coalesce(F.col("_p.sensor_id"), F.lit("")).alias("sensor_id"),
-        F.coalesce(F.col("_p.metric"), F.lit("")).alias("metric"),
-        F.coalesce(F.col("_p.value"), F.lit(0.0)).alias("value"), F.coalesce(F.col("_p.unit"), F.lit("")).alias("unit"),
-        F.coalesce(F.col("_p.source"), F.lit("")).alias("source"),
-        F.coalesce(F.col("_p.latitude"), F.lit(0.0)).alias("latitude"),
-        F.coalesce(F.col("_p.longitude"), F.lit(0.0)).alias("longitude"),
-        F.coalesce(F.col("_p.quality_flag"), F.lit(0).cast("smallint")).alias("quality_flag"),
-        t("ingested_at").alias("ingested_at"),
-        F.coalesce(F.col("_p.schema_version"), F.lit(0)).alias("schema_version"),
-        err.alias("decode_error")).drop("_p")
+    """N5 step 1: body text -> reading columns + ``decode_error``."""
+    body = F.col(body_col)
+    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    parsed = messages.select("*", F.from_json(body, "map<string,variant>", options).alias("_m"), F.try_parse_json(body).alias("_j"))
+    keys = F.map_keys("_m")
+    odd = F.exists(keys, lambda k: k != F.lower(k)) | (F.size(F.array_distinct(keys)) < F.size(keys))
+    names = [*TEXT_FIELDS, *NUMBER_FIELDS, *INTEGER_FIELDS, *TIME_FIELDS]
+    fields = parsed.select("*", F.coalesce(odd, F.lit(False)).alias("_odd")).select("*", *[_field(n).alias(f"_v_{n}") for n in names])
+    fields = fields.select("*", *[F.schema_of_variant(f"_v_{n}").alias(f"_t_{n}") for n in names],
+                           *[F.try_variant_get(f"_v_{n}", "$", "string").alias(f"_s_{n}") for n in [*TEXT_FIELDS, *TIME_FIELDS]],
+                           *[F.try_variant_get(f"_v_{n}", "$", "double").alias(f"_n_{n}") for n in NUMBER_FIELDS],
+                           *[F.try_variant_get(f"_v_{n}", "$", t).alias(f"_n_{n}") for n, t in INTEGER_FIELDS.items()])
+    fields = fields.select("*", *[F.try_to_timestamp(f"_s_{n}", F.lit(RFC3339)).alias(f"_d_{n}") for n in TIME_FIELDS])
+
+    def wrong(name: str, ok: Column) -> Column:
+        """The field is there and not null, and not ``ok``."""
+        return F.coalesce((F.col(f"_t_{name}") != "VOID") & ~ok, F.lit(False))
+
+    bad = F.lit(False)
+    for n in TEXT_FIELDS:
+        bad = bad | wrong(n, F.col(f"_t_{n}") == "STRING")
+    for n in NUMBER_FIELDS:
+        bad = bad | wrong(n, F.col(f"_t_{n}").rlike("^(BIGINT|DOUBLE|DECIMAL)") & F.coalesce(F.abs(f"_n_{n}") < float("inf"), F.lit(False)))
+    for n in INTEGER_FIELDS:
+        bad = bad | wrong(n, (F.col(f"_t_{n}") == "BIGINT") & F.col(f"_n_{n}").isNotNull())
+    for n in TIME_FIELDS:
+        bad = bad | wrong(n, (F.col(f"_t_{n}") == "STRING") & F.col(f"_d_{n}").isNotNull())
+    whole = F.coalesce(F.btrim(body), F.lit(""))
+    malformed = (F.col("_m").isNull() & F.col("_j").isNull()) | (F.col("_m").isNotNull() & ~F.endswith(F.rtrim(body), F.lit("}")))
+    other = F.col("_m").isNull() & (whole != "null")      # a JSON null sets no field
+    error = (F.when(malformed, F.lit("decode sensor reading: malformed JSON"))
+             .when(other | bad, F.lit("decode sensor reading: field type mismatch")))
+    return fields.select(
+        *messages.columns, F.col("_d_time").alias("time"), *[F.coalesce(f"_s_{n}", F.lit("")).alias(n) for n in ("sensor_id", "metric")],
+        F.coalesce("_n_value", F.lit(0.0)).alias("value"), *[F.coalesce(f"_s_{n}", F.lit("")).alias(n) for n in ("unit", "source")],
+        *[F.coalesce(f"_n_{n}", F.lit(0.0)).alias(n) for n in ("latitude", "longitude")],
+        F.coalesce("_n_quality_flag", F.lit(0).cast("smallint")).alias("quality_flag"),
+        F.when(error.isNull(), F.coalesce("_d_ingested_at", F.lit(ZERO_TIME).cast("timestamp"))).alias("ingested_at"),
+        F.coalesce("_n_schema_version", F.lit(0)).alias("schema_version"), error.alias("decode_error"))
 
 
 def decode_validate(messages: DataFrame, body_col: str = "body") -> DataFrame:

@@ -14,19 +14,32 @@ from .q_quality import DEDUP_SQL, REASON_SQL
 
 
 _CHECKPOINTED: dict = {}
+# by event_id % 101: what a body has in place of what; 5 and 6 are accepted
+ODD_BODIES = {
+    1: ('"sensor_id":"[^"]*"', '"sensor_id":5'), 2: ('"sensor_id":"[^"]*"', '"sensor_id":{"id":"x"}'),
+    3: ('"ingested_at":"[^"]*"', '"ingested_at":"abc"'), 4: ('"ingested_at":"[^"]*"', '"ingested_at":123'),
+    5: (',"ingested_at":"[^"]*"', ''), 6: ('"sensor_id"', '"SENSOR_ID"'), 7: ('"value":[^,}]+', '"value":"NaN"'),
+    8: ('"time":"[^"]*"', '"time":"yesterday"'), 9: ("^.*$", "[1, 2]"),
+}
+MISMATCH_SQL = "(event_id % 60 = 0 OR event_id % 101 IN (1, 2, 3, 4, 7, 8, 9))"
 
 
 def messages(spark, sf):
     """FIXTURES 3.5: JSON bodies of the readings; '{' on every 50th, blank
     sensor_id on every 40th, value as a string on every 60th, no
-    quality_flag on every 30th; publish_time = ingested_at.  One ``to_json``
-    per row, variations patched into the text."""
+    quality_flag on every 30th, and by event_id % 101 the bodies of
+    ``ODD_BODIES``; publish_time = ingested_at.  One ``to_json`` per row,
+    variations patched into the text."""
     r = FX.readings_with_arrival(spark, sf, spread=True)
     e = F.col("event_id")
     sent = F.when(e % 40 == 0, F.lit("  ")).otherwise(F.col("sensor_id"))
     body = F.to_json(M.reading_struct().withField("sensor_id", sent))
     body = F.when(e % 60 == 0, F.regexp_replace(body, '"value":([^,}]+)', '"value":"$1"')).otherwise(body)
     body = F.when(e % 30 == 0, F.regexp_replace(body, ',"quality_flag":[^,}]+', "")).otherwise(body)
+    pattern, by = F.lit("$^"), F.lit("")        # matches nothing
+    for k, (p, b) in ODD_BODIES.items():
+        pattern, by = F.when(e % 101 == k, F.lit(p)).otherwise(pattern), F.when(e % 101 == k, F.lit(b)).otherwise(by)
+    body = F.regexp_replace(body, pattern, by)
     body = F.when(e % 50 == 0, F.lit("{")).otherwise(body)
     landed = r.select("event_id", body.alias("body"), M.attributes().alias("attributes"),
                       F.col("ingested_at").alias("publish_time"))
@@ -45,8 +58,9 @@ def checked(spark, sf):
 
 
 _ACC = f"""SELECT * REPLACE (CASE WHEN event_id % 40 = 0 THEN '  ' ELSE sensor_id END AS sensor_id,
-    CASE WHEN event_id % 30 = 0 THEN CAST(0 AS SMALLINT) ELSE quality_flag END AS quality_flag)
-  FROM readings_arrival WHERE event_id % 50 <> 0 AND event_id % 60 <> 0"""
+    CASE WHEN event_id % 30 = 0 THEN CAST(0 AS SMALLINT) ELSE quality_flag END AS quality_flag,
+    CASE WHEN event_id % 101 = 5 THEN TIMESTAMP '0001-01-01' ELSE ingested_at END AS ingested_at)
+  FROM readings_arrival WHERE event_id % 50 <> 0 AND NOT {MISMATCH_SQL}"""
 register("decode_validate", with_views(f"""SELECT time, sensor_id, metric, CAST(value AS DOUBLE) AS value, unit, source,
   CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, quality_flag, ingested_at, schema_version
   FROM ({_ACC}) WHERE {REASON_SQL} = ''""", "readings_arrival"))(
@@ -55,11 +69,11 @@ register("decode_validate", with_views(f"""SELECT time, sensor_id, metric, CAST(
 
 register("dead_letter", with_views(f"""
 SELECT dedup_key, CASE WHEN event_id % 50 = 0 THEN 'decode sensor reading: malformed JSON'
-                       WHEN event_id % 60 = 0 THEN 'decode sensor reading: field type mismatch'
+                       WHEN {MISMATCH_SQL} THEN 'decode sensor reading: field type mismatch'
                        ELSE 'validate pubsub reading ' || {DEDUP_SQL.replace('sensor_id ||', 'sent_id ||')} || ': ' || reason END AS reason
 FROM (SELECT *, {DEDUP_SQL} AS dedup_key, {REASON_SQL.replace('trim(sensor_id)', 'trim(sent_id)')} AS reason
       FROM (SELECT *, CASE WHEN event_id % 40 = 0 THEN '  ' ELSE sensor_id END AS sent_id FROM readings_arrival))
-WHERE event_id % 50 = 0 OR event_id % 60 = 0 OR reason <> ''""", "readings_arrival"))(
+WHERE event_id % 50 = 0 OR {MISMATCH_SQL} OR reason <> ''""", "readings_arrival"))(
     lambda spark, sf: M.dead_letter(checked(spark, sf)).select("dedup_key", "reason"))
 
 register("message_encode", with_views(f"""SELECT CAST(schema_version AS VARCHAR) AS attr_schema_version,
@@ -81,7 +95,7 @@ def _lag(spark, sf):
                  F.max(M.delivery_lag_ms("publish_time", now)).alias("max_lag_ms")))
 
 
-_LAGX = f"CAST(greatest(0, (epoch_us({ASOF}) - epoch_us(ingested_at)) // 1000) AS BIGINT)"
-register("delivery_lag", with_views(f"""SELECT CAST(ingested_at AS DATE) AS day, COUNT(*) AS messages,
+_LAGX = f"CAST(greatest(0, (epoch_us({ASOF}) - epoch_us(published)) // 1000) AS BIGINT)"
+register("delivery_lag", with_views(f"""SELECT CAST(published AS DATE) AS day, COUNT(*) AS messages,
   AVG({_LAGX}) AS avg_lag_ms, MAX({_LAGX}) AS max_lag_ms
-  FROM ({_ACC}) WHERE {REASON_SQL} = '' GROUP BY 1""", "readings_arrival"))(_lag)
+  FROM ({_ACC.replace("FROM readings_arrival", "FROM (SELECT *, ingested_at AS published FROM readings_arrival)")}) WHERE {REASON_SQL} = '' GROUP BY 1""", "readings_arrival"))(_lag)

@@ -14,7 +14,7 @@ from ..sources import fixtures as FX
 from ..sources.fixtures import with_views
 from ..streaming import jobs as J
 from .catalog import AS_OF, ORACLES, register
-from .q_messages import messages
+from .q_messages import MISMATCH_SQL, messages
 from .q_quality import REASON_SQL
 
 _LANDED: dict[str, str] = {}
@@ -65,7 +65,7 @@ def bounded_consume(spark, sf):
 _LANDED_SQL = "(SELECT * FROM readings_arrival UNION ALL SELECT * FROM readings_arrival WHERE event_id % 4 = 0)"
 _GOOD_SQL = f"""(SELECT count(*) FROM (SELECT event_id, {REASON_SQL} AS reason FROM (SELECT * REPLACE (
   CASE WHEN event_id % 40 = 0 THEN '  ' ELSE sensor_id END AS sensor_id, CASE WHEN event_id % 30 = 0 THEN CAST(0 AS SMALLINT) ELSE quality_flag END AS quality_flag)
-  FROM {_LANDED_SQL})) WHERE event_id % 50 <> 0 AND event_id % 60 <> 0 AND reason = '')"""
+  FROM {_LANDED_SQL})) WHERE event_id % 50 <> 0 AND NOT {MISMATCH_SQL} AND reason = '')"""
 register("bounded_consume", with_views(f"SELECT CAST(least(5000, {_GOOD_SQL}) AS HUGEINT) AS accepted", "readings_arrival"))(bounded_consume)
 
 

@@ -188,3 +188,30 @@ def test_sampler_and_class_names(spark):
     assert len(out) == 2 and sum(r.size for r in out) <= 25 and {r.class_name for r in out} == {"assault", "normal"}
     names = spark.createDataFrame([("NormalVideos",), ("Normal Videos",), ("normal",)], "c string")
     assert {r[0] for r in names.select(SM.normalize_class_name(F.col("c"))).collect()} == {"normal"}
+
+
+def test_decode_checks_every_field_type(spark):
+    from metroflux.operators import messages as M
+    good = ('{"time":"2026-05-20T12:00:00Z","sensor_id":"S","metric":"PM2.5","value":1.5,"unit":"ug/m3","source":"openaq",'
+            '"latitude":41.9,"longitude":-87.6,"quality_flag":1,"ingested_at":"2026-05-20T12:00:01Z","schema_version":1}')
+
+    def change(old, new):
+        assert old in good
+        return good.replace(old, new)
+
+    malformed = ["{", "", None, good[:-1], good + " x", good.replace('"S"', "S")]
+    mismatch = [change('"S"', "5"), change('"S"', '{"a":1}'), change('"2026-05-20T12:00:01Z"', '"abc"'), change('"2026-05-20T12:00:01Z"', "123"),
+                change('"2026-05-20T12:00:00Z"', '"yesterday"'), change("1.5", '"1.5"'), change("1.5", '"NaN"'), change("1.5", "1e400"), change("1.5", "true"),
+                change('"quality_flag":1', '"quality_flag":1.5'), change('"quality_flag":1', '"quality_flag":99999'), change('"schema_version":1', '"schema_version":"1"'),
+                "[1]", "5", '"text"']
+    fine = [good, change('"sensor_id"', '"Sensor_ID"'), change(',"ingested_at":"2026-05-20T12:00:01Z"', ""), change('"unit":"ug/m3"', '"unit":"ug/m3","other":[1]'),
+            change('"value":1.5', '"value":9,"value":1.5'), change('"value":1.5', '"VALUE":9,"value":1.5'), change('"quality_flag":1', '"quality_flag":null'), "  " + good + " "]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(malformed + mismatch + fine + ["null"])], "n int, body string")
+    rows = M.decode(df).withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz")).orderBy("n").collect()
+    errors = [r.decode_error for r in rows]
+    a, b = len(malformed), len(malformed) + len(mismatch)
+    assert all(e and e.endswith("malformed JSON") for e in errors[:a]), errors[:a]
+    assert all(e and e.endswith("type mismatch") for e in errors[a:b]), errors[a:b]
+    assert errors[b:] == [None] * (len(fine) + 1)
+    assert {(r.sensor_id, r.value) for r in rows[b:-1]} == {("S", 1.5)} and rows[b + 2].ingested_at.year == 1 and rows[b + 6].quality_flag == 0
+    assert rows[-1].sensor_id == "" and rows[-1].time is None           # a JSON null sets nothing
