@@ -96,6 +96,7 @@ def quality_exceptions(readings: DataFrame, as_of, hours: float = 24) -> DataFra
 
 
 EARTH_RADIUS_M = 6_371_000.0
+MAX_RADIUS_M = 25_000
 
 
 def within_radius(points: DataFrame, lat: float, lon: float, radius_m: float, limit: int | None = None) -> DataFrame:
@@ -103,7 +104,8 @@ def within_radius(points: DataFrame, lat: float, lon: float, radius_m: float, li
 
     A bounding-box pre-filter on the raw columns is pushed to the scan; the
     exact haversine distance is then a codegen expression."""
-    radius_m = max(1.0, min(25000.0, float(radius_m)))
+    if not 1 <= radius_m <= MAX_RADIUS_M:
+        raise ValueError(f"radius must be between 1 and {MAX_RADIUS_M} m, not {radius_m}")
     dlat = math.degrees(radius_m / EARTH_RADIUS_M)
     dlon = dlat / max(math.cos(math.radians(lat)), 1e-6)
     la, lo = F.col("latitude").cast("double"), F.col("longitude").cast("double")
@@ -116,12 +118,3 @@ def within_radius(points: DataFrame, lat: float, lon: float, radius_m: float, li
            .filter(F.col("distance_m") <= radius_m))
     out = out.orderBy("distance_m", *[c for c in ("sensor_id", "metric") if c in points.columns])
     return out.limit(limit) if limit else out
-
-
-def dropped_increase(metrics_table: DataFrame, as_of, minutes: float = 15) -> DataFrame:
-    """Increase of the dropped counter over a window = max - min, 0 if empty."""
-    from ..functions.timefn import hours_before
-    cut = hours_before(as_of, minutes / 60.0, metrics_table.schema["recorded_at"].dataType)
-    return (metrics_table.filter(F.col("recorded_at") >= cut)
-            .agg(F.coalesce(F.max("dropped_readings_total") - F.min("dropped_readings_total"), F.lit(0))
-                 .cast("bigint").alias("dropped_increase")))

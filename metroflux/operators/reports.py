@@ -18,8 +18,31 @@ from ..functions.timefn import hours_before, seconds_between, time_bucket, ts_li
 from .. import schema as S
 
 
+DAY = "p_date"      # partition column of the hot table, when it is read as stored
+
+
 def _since(df: DataFrame, column: str, as_of, hours: float) -> Column:
-    return F.col(column) >= hours_before(as_of, hours, df.schema[column].dataType)
+    """The recency predicate; on a table partitioned by the day of ``time``
+    also the day predicate, so that older days are not even listed."""
+    cut = hours_before(as_of, hours, df.schema[column].dataType)
+    since = F.col(column) >= cut
+    return since & (F.col(DAY) >= F.to_date(cut)) if column == "time" and DAY in df.columns else since
+
+
+def _unless(rows: DataFrame, cut: Column) -> Column:
+    """``cut``, or the end of time when ``rows`` has a row - one scalar
+    subquery, known before the scan it filters."""
+    never = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
+    return rows.limit(1).agg(F.when(F.count(F.lit(1)) > 0, never).otherwise(cut.cast("timestamp_ntz")).alias("cut")).scalar()
+
+
+def _visible_since(readings: DataFrame, cut: Column) -> DataFrame:
+    """Readings whose ingestion time (else their time) is at or after
+    ``cut``, as predicates on the plain columns."""
+    kind = readings.schema["time"].dataType
+    at = cut.cast(kind)
+    out = readings.filter((F.col("ingested_at") >= at) | (F.col("ingested_at").isNull() & (F.col("time") >= at)))
+    return out
 
 
 def scoped(readings: DataFrame, as_of, hours: float = 24, source: str | None = None,
@@ -46,13 +69,6 @@ def _dbl(c: Column) -> Column:
     return c.cast("double")
 
 
-def distinct_small(col: str) -> Column:
-    """Exact distinct count of a catalogue-bounded column (metric, source):
-    a bounded set per group, so the aggregate stays single-phase and only
-    the unbounded column (sensor_id) needs Spark's distinct aggregation."""
-    return F.size(F.collect_set(col)).cast("bigint")
-
-
 def with_row(base: DataFrame, *others: DataFrame) -> DataFrame:
     """Append the columns of one-row frames (global aggregates) to ``base``
     as scalar subqueries: each is computed once and broadcast as a value,
@@ -65,11 +81,11 @@ def with_row(base: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A1 overview
-def _derived_ops(readings: DataFrame, as_of, hours: float) -> DataFrame:
+def _derived_ops(readings: DataFrame, present: DataFrame, as_of, hours: float) -> DataFrame:
     t = F.coalesce(F.col("ingested_at"), F.col("time"))
     cut = hours_before(as_of, hours, readings.schema["time"].dataType)
     span = seconds_between(F.max(t), F.min(t))
-    return (readings.filter(t >= cut)
+    return (_visible_since(readings, _unless(present, cut))
             .agg(F.lit(0).cast("bigint").alias("dropped_readings_total"),
                  F.lit(0).cast("int").alias("channel_fill_pct"),
                  F.coalesce(F.count(F.lit(1)).cast("double") / F.nullif(span, F.lit(0.0)),
@@ -81,8 +97,8 @@ def overview(readings: DataFrame, metrics_table: DataFrame, as_of, hours: float
     quality = scope.agg(
         F.count(F.lit(1)).cast("bigint").alias("total_readings"),
         F.countDistinct("sensor_id").cast("bigint").alias("active_sensors"),
-        distinct_small("metric").alias("metrics"),
-        distinct_small("source").alias("sources"),
+        F.countDistinct("metric").cast("bigint").alias("metrics"),
+        F.countDistinct("source").cast("bigint").alias("sources"),
         valid_pct().alias("valid_pct"))
     all_rows = readings.agg(F.max("time").alias("latest_reading_at"),
                             F.max("ingested_at").alias("latest_ingested_at"))
@@ -93,7 +109,7 @@ def overview(readings: DataFrame, metrics_table: DataFrame, as_of, hours: float
         F.coalesce(_dbl(F.avg("readings_per_second")), F.lit(0.0)).alias("avg_readings_per_second"))
     has_metrics = in_window.exists()
     latest = (ops.filter(has_metrics)
-              .unionByName(_derived_ops(readings, as_of, hours).filter(~has_metrics)))
+              .unionByName(_derived_ops(readings, in_window, as_of, hours).filter(~has_metrics)))
     # three one-row frames: the products are single rows
     return with_row(quality, all_rows, latest)
 
@@ -112,7 +128,7 @@ def source_summary(readings: DataFrame, as_of, hours: float = 24) -> DataFrame:
     return (scoped(readings, as_of, hours).groupBy("source")
             .agg(F.count(F.lit(1)).cast("bigint").alias("readings"),
                  F.countDistinct("sensor_id").cast("bigint").alias("sensors"),
-                 distinct_small("metric").alias("metrics"),
+                 F.countDistinct("metric").cast("bigint").alias("metrics"),
                  F.max("time").alias("latest_reading_at"),
                  F.max("ingested_at").alias("latest_ingested_at"),
                  valid_pct().alias("valid_pct"))
@@ -225,7 +241,7 @@ def readiness_score(distribution: DataFrame) -> DataFrame:
 
 def metric_coverage(readings: DataFrame, as_of, hours: float = 24) -> DataFrame:
     return (scoped(readings, as_of, hours).groupBy("metric")
-            .agg(distinct_small("source").alias("sources"),
+            .agg(F.countDistinct("source").cast("bigint").alias("sources"),
                  F.countDistinct("sensor_id").cast("bigint").alias("sensors"),
                  F.count(F.lit(1)).cast("bigint").alias("readings"),
                  F.min("time").alias("first_reading_at"),
@@ -251,14 +267,15 @@ def ingestion_trend(metrics_table: DataFrame, readings: DataFrame, as_of, hours:
                     _dbl(F.avg("gcs_write_latency_ms")).alias("gcs_write_latency_ms")))
     t = F.coalesce(F.col("ingested_at"), F.col("time"))
     cut = hours_before(as_of, hours, readings.schema["time"].dataType)
-    fallback = (readings.filter(t >= cut)
+    in_window = metrics_table.filter(_since(metrics_table, "recorded_at", as_of, hours))
+    fallback = (_visible_since(readings, _unless(in_window, cut))
                 .groupBy(time_bucket(t, "1 minute").alias("bucket"))
                 .agg((F.count(F.lit(1)).cast("double") / F.lit(60.0)).alias("readings_per_second"),
                      F.lit(0).cast("int").alias("channel_fill_pct"),
                      F.lit(0).cast("bigint").alias("dropped_readings_total"),
                      F.lit(None).cast("double").alias("pubsub_lag_ms"),
                      F.lit(None).cast("double").alias("gcs_write_latency_ms")))
-    has_primary = metrics_table.filter(_since(metrics_table, "recorded_at", as_of, hours)).exists()
+    has_primary = in_window.exists()
     return primary.filter(has_primary).unionByName(fallback.filter(~has_primary)).orderBy("bucket")
 
 
@@ -279,7 +296,7 @@ def latest_ingestion(metrics_table: DataFrame, readings: DataFrame, as_of, hours
     second = _metric_row(metrics_table.orderBy(F.desc("recorded_at")).limit(1))
     t = F.coalesce(F.col("ingested_at"), F.col("time"))
     cut = hours_before(as_of, hours, readings.schema["time"].dataType)
-    third = (readings.filter(t >= cut)
+    third = (_visible_since(readings, _unless(metrics_table, cut))
              .agg(F.max(t).alias("recorded_at"),
                   F.coalesce(F.count(F.lit(1)).cast("double") / F.nullif(seconds_between(F.max(t), F.min(t)), F.lit(0.0)),
                              F.lit(0.0)).alias("readings_per_second"),
@@ -365,12 +382,12 @@ def executive_report(overview_df: DataFrame, summary: DataFrame, archive_rows: D
              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(
                  F.struct((-F.col("readings")).alias("k"), F.col("source").alias("s")))),
                  lambda x: x["s"]), "\u0001").alias("srcs")))
-    arch = archive_rows.agg(F.count(F.lit(1)).cast("bigint").alias("archive_rows"))
+    has_archive = archive_rows.exists()
     o = overview_df.select("total_readings", "active_sensors", "sources", "valid_pct", "latest_reading_at")
     as_of_c = ts_lit(as_of, overview_df.schema["latest_reading_at"].dataType)
     src_list = F.transform(F.split(F.col("srcs"), "\u0001"), lambda s: source_label(s))
     n_src = F.col("sources")
-    return (with_row(o, names, arch).select(
+    return (with_row(o, names).select(
         F.concat(F.lit(f"{city} has "), F.format_number(F.col("active_sensors"), 0),
                  F.lit(" monitored locations across "), F.format_number(n_src, 0), F.lit(" "),
                  F.when(n_src == 1, F.lit("source group")).otherwise(F.lit("source groups")),
@@ -387,5 +404,5 @@ def executive_report(overview_df: DataFrame, summary: DataFrame, archive_rows: D
                         F.lit("No active source groups in this window"))
                  .otherwise(F.array_join(src_list, ", ")), F.lit(".")).alias("statement_4"),
         F.concat(F.lit("Historical archive status: "),
-                 F.when(F.col("archive_rows") > 0, F.lit("Cloud archive active"))
+                 F.when(has_archive, F.lit("Cloud archive active"))
                  .otherwise(F.lit("Cloud archive ready")), F.lit(".")).alias("statement_5")))

@@ -10,6 +10,8 @@ import datetime as _dt
 import hashlib
 import uuid
 
+from pyspark.sql import functions as F
+
 from ..operators import reports as RP
 from ..session import shared_dir
 from ..sources import archive as AR
@@ -42,12 +44,45 @@ def files(spark, sf):
     return AR.archive_files(spark, archive_root(spark, sf))
 
 
-register("archive_write", None)(lambda spark, sf: AR.archive_manifest(files(spark, sf)))
-register("archive_manifest", None)(lambda spark, sf: AR.archive_manifest(files(spark, sf)))
-register("archive_summary", None)(lambda spark, sf: AR.archive_summary(files(spark, sf)))
-register("archive_snapshot", None)(
-    lambda spark, sf: AR.archive_snapshot(AR.read_archive(spark, archive_root(spark, sf)), files(spark, sf)))
-register("archive_expire", None)(lambda spark, sf: AR.expired_partitions(files(spark, sf), AS_OF, 365))
+def _rows_per_partition(spark, sf):
+    """Rows and files by partition folder, from the files' own metadata."""
+    m = AR.archive_manifest(files(spark, sf))
+    return m.groupBy(F.regexp_extract("object_name", r"^(.*)/[^/]*$", 1).alias("partition")).agg(
+        F.sum("rows").cast("bigint").alias("rows"), (F.count(F.lit(1)) > 0).alias("has_files"), (F.min("file_size") > 0).alias("has_bytes"))
+
+
+def _fresh_write(spark, sf):
+    """Writes the archive anew and counts what a reader finds by partition."""
+    root = shared_dir(spark, f"archive-write-{uuid.uuid4().hex[:8]}") + "/sensor_readings"
+    AR.write_archive(archive_rows(spark, sf), root)
+    back = AR.archive_frame(AR.read_archive(spark, root))
+    return back.groupBy(*AR.PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+
+
+def _part(c):
+    return f"coalesce(nullif(regexp_replace({c}, '[^A-Za-z0-9._-]', '_', 'g'), ''), 'unknown')"
+
+
+_PARTS = (f"SELECT *, {_part('source')} AS p_source, {_part('metric')} AS p_metric, strftime(time, '%Y') AS year, strftime(time, '%m') AS month, "
+          f"strftime(time, '%d') AS day FROM ({ARCHIVE_SQL})")
+_FOLDER = "'p_source=' || p_source || '/p_metric=' || p_metric || '/year=' || year || '/month=' || month || '/day=' || day"
+EXPIRE_AS_OF = "2025-01-15 00:00:00"      # a year after the first half of the month
+register("archive_write", with_views(f"""SELECT p_source, p_metric, year, month, day, count(*) AS rows, min(time) AS first_time, max(time) AS last_time
+  FROM ({_PARTS}) GROUP BY ALL""", "readings_arrival"))(_fresh_write)
+register("archive_manifest", with_views(f"""SELECT {_FOLDER} AS partition, count(*) AS rows, true AS has_files, true AS has_bytes
+  FROM ({_PARTS}) GROUP BY 1""", "readings_arrival"))(_rows_per_partition)
+register("archive_summary", with_views(f"""SELECT p_source AS source, p_metric AS metric, year || '-' || month || '-' || day AS date, count(*) AS rows
+  FROM ({_PARTS}) GROUP BY ALL""", "readings_arrival"))(
+    lambda spark, sf: AR.archive_summary(files(spark, sf)).select("source", "metric", "date", "rows"))
+register("archive_totals", with_views(f"""SELECT count(DISTINCT {_FOLDER}) AS partitions, count(*) AS rows FROM ({_PARTS})""", "readings_arrival"))(
+    lambda spark, sf: AR.archive_totals(AR.archive_summary(files(spark, sf))).select("partitions", "rows"))
+register("archive_snapshot", with_views(f"""SELECT count(*) AS row_count, strftime(max(time), '%Y-%m-%d %H:%M:%S') AS latest_time,
+  CASE WHEN count(*) > 0 THEN 'Cloud archive active' ELSE 'Cloud archive ready' END AS status FROM ({_PARTS})""", "readings_arrival"))(
+    lambda spark, sf: AR.archive_snapshot(AR.read_archive(spark, archive_root(spark, sf)), files(spark, sf)).select("row_count", "latest_time", "status"))
+register("archive_expire", with_views(f"""SELECT {_FOLDER} AS partition, CAST(time AS DATE) AS date, count(*) AS rows FROM ({_PARTS})
+  WHERE CAST(time AS DATE) < DATE '2024-01-16' GROUP BY ALL""", "readings_arrival"))(
+    lambda spark, sf: AR.expired_partitions(files(spark, sf), EXPIRE_AS_OF, 365).select("partition", "date", "rows"))
+# the age of files just written has no SQL answer: no oracle, unit test only
 register("archive_age", None)(lambda spark, sf: AR.archive_age(files(spark, sf), _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)))
 
 _ARCH_COLS = ("time, sensor_id, metric, CAST(value AS DOUBLE) AS value, unit, source, CAST(latitude AS DOUBLE) AS latitude, "
@@ -61,12 +96,25 @@ register("archive_candidates", with_views(f"""SELECT * FROM sensor_readings WHER
   ORDER BY time, source, metric, sensor_id LIMIT 1000""", "sensor_readings"))(
     lambda spark, sf: AR.export_candidates(R(spark, sf), AS_OF, RETENTION_HOURS, limit=1000))
 
+
+def _second_batch(spark, sf):
+    first = AR.export_candidates(R(spark, sf), AS_OF, RETENTION_HOURS, limit=1000)
+    order = ["time", "source", "metric", "sensor_id"]
+    last = first.agg(F.max(F.struct(*order)).alias("k")).first()["k"]      # one key
+    return AR.export_candidates(R(spark, sf), AS_OF, RETENTION_HOURS, limit=1000, after=tuple(last))
+
+
+register("archive_candidates_next", with_views(f"""SELECT * FROM sensor_readings WHERE time < {ARCH_CUT}
+  ORDER BY time, source, metric, sensor_id LIMIT 1000 OFFSET 1000""", "sensor_readings"))(_second_batch)
+
 # ---------------------------------------------------------------- A14 table counts
 register("table_counts", with_views(f"""SELECT 'sensor_readings' AS table_name, COUNT(*) AS row_count FROM sensor_readings
   UNION ALL SELECT 'ingestion_metrics', COUNT(*) FROM ingestion_metrics
+  UNION ALL SELECT 'archive', COUNT(*) FROM ({ARCHIVE_SQL})
   UNION ALL SELECT 'video_activity_predictions', COUNT(*) FROM ({PRED_SQL})""",
-                                     "sensor_readings", "ingestion_metrics", "media_raw"))(
+                                     "sensor_readings", "ingestion_metrics", "media_raw", "readings_arrival"))(
     lambda spark, sf: RP.table_counts({"sensor_readings": R(spark, sf), "ingestion_metrics": IM(spark, sf),
+                                       "archive": AR.read_archive(spark, archive_root(spark, sf)),
                                        "video_activity_predictions": preds(spark, sf)}))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from .. import schema as S
 from ..operators import latest as LT
+from pyspark.sql import functions as F
+
 from ..operators import reports as RP
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
@@ -141,6 +143,31 @@ SELECT * FROM (SELECT recorded_at, CAST(readings_per_second AS DOUBLE) AS readin
                                          "ingestion_metrics"))(
     lambda spark, sf: RP.latest_ingestion(IM(spark, sf), R(spark, sf), AS_OF, HOURS))
 
+# the same reports while no ingestion metrics have been written: derived from the readings
+def _no_metrics(spark, sf):
+    return IM(spark, sf).filter(F.lit(False))
+
+
+_DERIVED = f"""FROM sensor_readings WHERE coalesce(ingested_at, time) >= {CUT}"""
+_RATE = "coalesce(CAST(count(*) AS DOUBLE) / nullif(%s, 0.0), 0.0)" % Q.seconds_between("max(coalesce(ingested_at, time))", "min(coalesce(ingested_at, time))")
+register("overview_derived", with_views(f"""
+SELECT q.*, a.*, CAST(0 AS BIGINT) AS dropped_readings_total, CAST(0 AS INTEGER) AS channel_fill_pct, d.rate AS avg_readings_per_second FROM
+ (SELECT count(*) AS total_readings, count(DISTINCT sensor_id) AS active_sensors, count(DISTINCT metric) AS metrics,
+         count(DISTINCT source) AS sources, {VP} AS valid_pct FROM ({SCOPE})) q,
+ (SELECT max(time) AS latest_reading_at, max(ingested_at) AS latest_ingested_at FROM sensor_readings) a,
+ (SELECT {_RATE} AS rate {_DERIVED}) d""", "sensor_readings"))(
+    lambda spark, sf: RP.overview(R(spark, sf), _no_metrics(spark, sf), AS_OF, HOURS))
+register("ingestion_trend_derived", with_views(f"""
+SELECT time_bucket(INTERVAL '1 minute', coalesce(ingested_at, time)) AS bucket, CAST(count(*) AS DOUBLE) / 60.0 AS readings_per_second,
+  CAST(0 AS INTEGER) AS channel_fill_pct, CAST(0 AS BIGINT) AS dropped_readings_total, CAST(NULL AS DOUBLE) AS pubsub_lag_ms,
+  CAST(NULL AS DOUBLE) AS gcs_write_latency_ms {_DERIVED} GROUP BY 1""", "sensor_readings"))(
+    lambda spark, sf: RP.ingestion_trend(_no_metrics(spark, sf), R(spark, sf), AS_OF, HOURS))
+register("latest_ingestion_derived", with_views(f"""
+SELECT max(coalesce(ingested_at, time)) AS recorded_at, {_RATE} AS readings_per_second, CAST(0 AS INTEGER) AS channel_fill_pct,
+  CAST(0 AS BIGINT) AS dropped_readings_total, CAST(NULL AS DOUBLE) AS pubsub_lag_ms, CAST(NULL AS DOUBLE) AS gcs_write_latency_ms
+  {_DERIVED}""", "sensor_readings"))(
+    lambda spark, sf: RP.latest_ingestion(_no_metrics(spark, sf), R(spark, sf), AS_OF, HOURS))
+
 # ------------------------------------------------------------------ A12-A14
 register("hourly_aggregates", with_views(f"""SELECT time_bucket(INTERVAL '1 hour', time) AS bucket, sensor_id, metric,
   {AVG_V} AS avg_value, CAST(MIN(value) AS DOUBLE) AS min_value, CAST(MAX(value) AS DOUBLE) AS max_value,

@@ -79,8 +79,11 @@ def _re_escape(s: str) -> str:
 
 
 def archive_manifest(files: DataFrame) -> DataFrame:
-    """Object name (relative to the root, must stay inside it) and rows."""
-    return files.select("object_name", "rows", "file_size").filter(~F.col("object_name").startswith(".."))
+    """Object name (relative to the root) and rows; an object outside
+    the root is an error."""
+    outside = F.col("object_name").startswith("..") | F.col("object_name").startswith("/")
+    name = F.when(outside, F.raise_error(F.concat(F.lit("object outside the archive: "), F.col("object_name")))).otherwise(F.col("object_name"))
+    return files.select(name.alias("object_name"), "rows", "file_size")
 
 
 def _key(path_col: str, key: str):
@@ -95,28 +98,45 @@ def archive_summary(files: DataFrame) -> DataFrame:
     return (files.groupBy(_key("object_name", "p_source").alias("source"), _key("object_name", "p_metric").alias("metric"),
                           date.alias("date"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("files"), F.sum("rows").cast("bigint").alias("rows"),
-                 F.max_by("object_name", "modified_at").alias("latest_object"),
+                 F.max_by("object_name", F.struct("modified_at", "object_name")).alias("latest_object"),
                  F.max("modified_at").alias("latest_modified_at")))
 
 
+def archive_totals(summary: DataFrame) -> DataFrame:
+    """Totals over the summary: partitions, files, rows, latest object."""
+    return summary.agg(F.count(F.lit(1)).cast("bigint").alias("partitions"), F.coalesce(F.sum("files"), F.lit(0)).cast("bigint").alias("files"),
+                       F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),
+                       F.max_by("latest_object", F.struct("latest_modified_at", "latest_object")).alias("latest_object"))
+
+
 def archive_snapshot(archive: DataFrame, files: DataFrame) -> DataFrame:
-    """Row count, max(time) as text, object count, latest object."""
-    a = archive.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"),
-                    F.date_format(F.max("time"), "yyyy-MM-dd HH:mm:ss").alias("latest_time"))
-    f = files.agg(F.count(F.lit(1)).cast("bigint").alias("object_count"),
-                  F.max_by("object_name", "modified_at").alias("latest_object"))
+    """Row count, max(time) as text, object count, latest object.  Rows
+    come from the manifest; the latest time is in the newest day folders, so
+    only those are scanned."""
+    day = F.concat_ws("-", _key("object_name", "year"), _key("object_name", "month"), _key("object_name", "day"))
+    newest = files.agg(F.max(day).alias("d")).scalar()
+    in_newest = F.concat_ws("-", *[F.regexp_extract(F.col("_metadata.file_path"), f"/{k}=([^/]*)/", 1) for k in ("year", "month", "day")]) == newest
+    a = archive.filter(in_newest).agg(F.date_format(F.max("time"), "yyyy-MM-dd HH:mm:ss").alias("latest_time"))
+    f = files.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("row_count"), F.count(F.lit(1)).cast("bigint").alias("object_count"),
+                  F.max_by("object_name", F.struct("modified_at", "object_name")).alias("latest_object"))
     from ..operators.reports import with_row
-    return with_row(a, f).withColumn(
+    return with_row(f, a).withColumn(
         "status", F.when((F.col("object_count") > 0) | (F.col("row_count") > 0), "Cloud archive active")
         .otherwise("Cloud archive ready"))
 
 
 def export_candidates(readings: DataFrame, as_of, retention_hours: float = 72, mode: str = "retention",
-                      limit: int | None = None) -> DataFrame:
+                      limit: int | None = None, after: tuple | None = None) -> DataFrame:
     """Hot rows to export (time < as_of - retention in ``retention``
     mode, all in ``all`` mode) in (time, source, metric, sensor_id) order;
-    ``limit`` is the export batch size (a TakeOrdered when set)."""
+    ``limit`` is the export batch size (a TakeOrdered when set), and
+    ``after`` the last exported (time, source, metric, sensor_id), from which
+    the next batch goes on."""
     out = readings
+    if after is not None:
+        order = ["time", "source", "metric", "sensor_id"]
+        key = F.struct(*[F.lit(v).cast(readings.schema[c].dataType).alias(c) for c, v in zip(order, after, strict=True)])
+        out = out.filter((F.col("time") >= key["time"]) & (F.struct(*order) > key))
     if mode == "retention":
         end = (as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of)))
         out = out.filter(F.col("time") < ts_lit(end - _dt.timedelta(hours=retention_hours), readings.schema["time"].dataType))
@@ -133,6 +153,9 @@ def archive_export(readings: DataFrame, archived: DataFrame | None, as_of, reten
     if archived is None:
         return due
     keys = archived.select("time", "sensor_id", "metric")
+    if mode == "retention":     # the due days bound what has to be read of the archive
+        end = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
+        keys = keys.filter(F.col("time") < ts_lit(end - _dt.timedelta(hours=retention_hours), archived.schema["time"].dataType))
     return due.join(keys, ["time", "sensor_id", "metric"], "left_anti")
 
 
@@ -147,6 +170,13 @@ def expired_partitions(files: DataFrame, as_of, days: int = 365) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("bigint").alias("files"), F.sum("rows").cast("bigint").alias("rows")))
 
 
+def expire_archive(spark: SparkSession, root: str, as_of, days: int = 365) -> int:
+    """C5 as a job: delete the expired day partitions (a list bounded by the
+    archive's days, sources and metrics); the number deleted."""
+    expired = expired_partitions(archive_files(spark, root), as_of, days).select("partition").collect()
+    return delete_partitions(spark, root, [r.partition for r in expired])
+
+
 def delete_partitions(spark: SparkSession, root: str, partitions: list[str]) -> int:
     """Remove expired partition directories (a metadata operation over the
     partition list, which is bounded by the number of days, not rows)."""

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def export_csv(report: DataFrame, path: str, single_file: bool = True) -> bool:
-    """Write a report frame as CSV with a header; an empty frame exports
-    nothing.  Reports are small aggregates, so one output file is the
-    default; pass ``single_file=False`` for large frames."""
+def export_csv(report: DataFrame, path: str, single_file: bool = False) -> bool:
+    """Write a report frame as CSV files with a header; an empty frame
+    exports nothing.  ``single_file`` puts a small aggregate in one file."""
     if report.isEmpty():
         return False
     out = report.coalesce(1) if single_file else report

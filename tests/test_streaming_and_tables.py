@@ -209,3 +209,63 @@ def test_alert_state_machine_pending_then_firing(spark):
     assert at(21) == "pending"                 # 20.5 min > 20: breach starts
     assert at(25) == "pending" and at(26) == "firing"   # held for 5 minutes
     assert states[("quality_exceptions", t0 + dt.timedelta(minutes=30))] == "normal"
+
+
+def test_archive_age_expiry_job_and_manifest(spark):
+    import time
+
+    import pytest
+    root = tempfile.mkdtemp(prefix="mf-age-") + "/a"
+    AR.write_archive(reading(spark, time=dt.datetime(2025, 1, 1, 12, 0)).unionByName(reading(spark, time=dt.datetime(2026, 5, 20, 12, 0))), root)
+    files = AR.archive_files(spark, root)
+    newest = max(os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet"))
+    later = dt.datetime.fromtimestamp(newest, dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=5)
+    assert abs(AR.archive_age(files, later).first().age_hours - 5) < 0.01 and time.time() >= newest
+    totals = AR.archive_totals(AR.archive_summary(files)).first()
+    assert (totals.partitions, totals.files, totals.rows) == (2, 2, 2) and totals.latest_object
+    outside = files.withColumn("object_name", F.lit("../elsewhere.parquet"))
+    with pytest.raises(Exception, match="outside the archive"):
+        AR.archive_manifest(outside).collect()
+    assert AR.expire_archive(spark, root, "2026-05-21 00:00:00", 365) == 1
+    assert [r.time.year for r in AR.read_archive(spark, root).collect()] == [2026]
+
+
+def test_reports_prune_days_and_unused_fallbacks(spark):
+    from metroflux.operators import reports as RP
+    path = tempfile.mkdtemp(prefix="mf-days-") + "/t"
+    t0, key = dt.datetime(2026, 5, 1, 12, 0), ["time", "sensor_id", "metric"]
+    rows = None
+    for d in range(20):
+        r = reading(spark, time=t0 + dt.timedelta(days=d), ingested_at=t0 + dt.timedelta(days=d)).withColumn("arrival", F.lit(1)).withColumn("p_date", F.to_date("time"))
+        rows = r if rows is None else rows.unionByName(r)
+    V.upsert_table(spark, path, rows, key)
+    hot = V.read_table(spark, path, reading(spark).schema)
+    summary = RP.source_summary(hot, "2026-05-20 13:00:00", 48)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "p_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert summary.first().readings == 2
+    metrics = spark.createDataFrame([(dt.datetime(2026, 5, 20, 12, 30), 1.0, 3, 5, 6, 7)],
+                                    "recorded_at timestamp, readings_per_second double, channel_fill_pct int, pubsub_lag_ms int, gcs_write_latency_ms int, dropped_readings_total long")
+    for m, rate, dropped in ((metrics, 1.0, 7), (metrics.limit(0), 2 / 86400, 0)):
+        row = RP.overview(hot, m, "2026-05-20 13:00:00", 48).first()
+        assert abs(row.avg_readings_per_second - rate) < 1e-9 and row.dropped_readings_total == dropped
+        last = RP.latest_ingestion(m, hot, "2026-05-20 13:00:00", 48).collect()
+        assert len(last) == 1 and abs(last[0].readings_per_second - rate) < 1e-9
+        assert RP.ingestion_trend(m, hot, "2026-05-20 13:00:00", 48).count() == (1 if dropped else 2)
+
+
+def test_export_batches_and_radius_limits(spark):
+    import pytest
+
+    from metroflux.operators import latest as LT
+    rows = reading(spark)
+    for i in range(1, 5):
+        rows = rows.unionByName(reading(spark, sensor_id=f"S{i}"))
+    seen, after = [], None
+    while batch := AR.export_candidates(rows, "2026-06-20 00:00:00", limit=2, after=after).collect():
+        seen += [r.sensor_id for r in batch]
+        after = tuple(batch[-1][c] for c in ("time", "source", "metric", "sensor_id"))
+    assert seen == sorted(seen) and len(seen) == 5
+    for bad in (0, 25_001):
+        with pytest.raises(ValueError, match="radius"):
+            LT.within_radius(rows, 41.9, -87.6, bad)
