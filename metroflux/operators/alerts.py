@@ -74,16 +74,19 @@ def _grid(spark, start: _dt.datetime, end: _dt.datetime, like) -> DataFrame:
 
 
 def _states(values: DataFrame) -> DataFrame:
-    """values(rule, t, value, threshold, hold) -> + breach start and state."""
+    """values(rule, t, value, threshold, hold, on_no_data, severity) -> + breach
+    start and state.  A null value is no data: the rule's policy says whether
+    that counts as a breach."""
+    values = values.withColumn("no_data", F.col("value").isNull())
     w = Window.partitionBy("rule").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    breach = F.col("value") > F.col("threshold")
+    breach = F.coalesce(F.col("value") > F.col("threshold"), F.col("on_no_data") == "Alerting")
     x = values.withColumn("breach", breach).withColumn("island", F.sum(F.when(~breach, 1).otherwise(0)).over(w))
     wi = Window.partitionBy("rule", "island")
     x = x.withColumn("breach_start", F.min(F.when(F.col("breach"), F.col("t"))).over(wi))
     held = seconds_between(F.col("t"), F.col("breach_start")) / 60.0
     state = (F.when(~F.col("breach"), F.lit("normal"))
              .when(held >= F.col("hold"), F.lit("firing")).otherwise(F.lit("pending")))
-    return x.select("rule", F.col("t").alias("eval_time"), "value", state.alias("state"))
+    return x.select("rule", F.col("t").alias("eval_time"), "value", state.alias("state"), "severity", "no_data")
 
 
 def alert_states(readings: DataFrame, metrics: DataFrame, as_of, span_hours: float = 24,
@@ -152,6 +155,6 @@ def alert_states(readings: DataFrame, metrics: DataFrame, as_of, span_hours: flo
           .withColumn("v", F.coalesce(F.max("hi").over(wr) - F.min("lo").over(wr), F.lit(0)).cast("double"))
           .filter(F.col("t") >= start_l).select(F.lit(RULES[3][0]).alias("rule"), "t", F.col("v").alias("value")))
 
-    rules = spark.createDataFrame([(r, th, h) for r, th, h, _, _ in RULES], "rule string, threshold double, hold int")
+    rules = spark.createDataFrame(RULES, "rule string, threshold double, hold int, on_no_data string, severity string")
     values = e1.unionByName(e2).unionByName(e3).unionByName(e4).join(F.broadcast(rules), "rule")
     return _states(values)

@@ -17,14 +17,6 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.text import col_, go_trim, lookup
 
-# --- fixed values: demo locations (name, latitude, longitude) ------------------
-DEMO_LOCATIONS = [
-    ("Loop transit corridor", 41.8787, -87.6298),
-    ("Near West Side arterial", 41.8819, -87.6501),
-    ("River North intersection", 41.8925, -87.6341),
-    ("South Loop camera zone", 41.8569, -87.6240),
-    ("West Town commercial block", 41.8957, -87.6722),
-]
 # --- fixed values: keyword classifier candidates, in match order ---------------
 KEYWORD_CANDIDATES = ["robbery", "assault", "fighting", "burglary", "shooting", "shoplifting", "stealing",
                       "theft", "vandalism", "roadaccidents", "road accident", "accident", "crash"]
@@ -80,38 +72,46 @@ def infer_city_camera(path, default_city: str = DEFAULT_CITY, default_camera: st
             F.coalesce(_last_part_value(path, "camera"), F.lit(default_camera)))
 
 
-def infer_demo_metadata(path, as_of: Column) -> dict[str, Column]:
-    """M2: location by the first SHA-1 byte, minutes-ago by the next two
-    bytes mod 720, frame index from the last ``frameNNN`` token, and the
-    last ``source_video=`` part."""
-    h = F.sha1(col_(path).cast("binary"))
-    idx = F.pmod(F.conv(F.substring(h, 1, 2), 16, 10).cast("int"), F.lit(len(DEMO_LOCATIONS)))
-    minutes = F.pmod(F.conv(F.substring(h, 3, 4), 16, 10).cast("int"), F.lit(720))
-    name = F.when(idx == 0, F.lit(DEMO_LOCATIONS[0][0]))
-    lat = F.when(idx == 0, F.lit(DEMO_LOCATIONS[0][1]))
-    lon = F.when(idx == 0, F.lit(DEMO_LOCATIONS[0][2]))
-    for i, (n, la, lo) in enumerate(DEMO_LOCATIONS[1:], start=1):
-        name, lat, lon = name.when(idx == i, F.lit(n)), lat.when(idx == i, F.lit(la)), lon.when(idx == i, F.lit(lo))
+def path_metadata(path) -> dict[str, Column]:
+    """M2: what a path says of a frame: the last ``source_video=`` part and
+    the number of the last ``frameNNN`` token of the file name."""
     stem = F.regexp_replace(file_stem(path), "-", "_")
     # last "_"-separated token that is "frame" + digits
     frame = F.nullif(F.regexp_extract(stem, r"^.*(?:^|_)(?i:frame)([0-9]+)(?:_|$)", 1), F.lit("")).try_cast("int")
     src = F.when(col_(path).contains("source_video="), _last_part_value(path, "source_video", skip_empty=False))
-    return {"event_time": as_of - F.make_dt_interval(F.lit(0), F.lit(0), minutes),
-            "location_name": name, "latitude": lat, "longitude": lon,
-            "source_video_uri": src, "frame_index": frame}
+    return {"source_video_uri": src, "frame_index": frame}
 
 
-def media_events(listing: DataFrame, as_of: Column, uri_col: str = "media_uri",
+PLACE = {"location_name": "string", "latitude": "double", "longitude": "double"}
+
+
+def media_events(listing: DataFrame, event_time: Column, uri_col: str = "media_uri",
                  default_city: str = DEFAULT_CITY, default_camera: str = DEFAULT_CAMERA,
-                 keep: list[str] | tuple = ()) -> DataFrame:
+                 keep: list[str] | tuple = (), cameras: DataFrame | None = None) -> DataFrame:
     """Media objects -> events (non-media files dropped);
-    ``keep`` passes listing columns through (e.g. model scores)."""
+    ``event_time`` is the object's own time, the place comes from the camera
+    dimension ``cameras`` (camera_id, location_name, latitude, longitude; null
+    without it), and ``keep`` passes listing columns through."""
     name = object_name(uri_col)
     city, cam = infer_city_camera(name, default_city, default_camera)
-    md = infer_demo_metadata(name, as_of)
-    return (listing.filter(is_media(uri_col))
-            .select(*keep, F.col(uri_col).alias("uri"), city.alias("city"), cam.alias("camera_id"),
-                    *[c.alias(k) for k, c in md.items()]))
+    events = (listing.filter(is_media(uri_col))
+              .select(*keep, F.col(uri_col).alias("uri"), city.alias("city"), cam.alias("camera_id"), event_time.alias("event_time"),
+                      *[c.alias(k) for k, c in path_metadata(name).items()]))
+    if cameras is None:
+        events = events.withColumns({k: F.lit(None).cast(t) for k, t in PLACE.items()})
+    else:
+        events = events.join(cameras.select("camera_id", *PLACE), "camera_id", "left")
+    kept = [c for c in events.columns if c not in ("uri", "city", "camera_id", "event_time", *PLACE, "source_video_uri", "frame_index")]
+    return events.select(*kept, "uri", "city", "camera_id", "event_time", *PLACE, "source_video_uri", "frame_index")
+
+
+def read_media_listing(spark, path: str) -> DataFrame:
+    """The media objects below ``path`` (media_uri, size, modified_at):
+    names, sizes and times only; no file is opened (the content column of the
+    listing is never selected)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select(F.col("path").alias("media_uri"), F.col("length").alias("size"), F.col("modificationTime").alias("modified_at"))
+            .filter(is_media("media_uri")))
 
 
 def parse_notifications(raw: DataFrame, as_of: Column, body_col: str = "body",
@@ -128,7 +128,7 @@ def parse_notifications(raw: DataFrame, as_of: Column, body_col: str = "body",
                  F.lit("GCS notification must include bucket and name"))
            .when(~is_media(name), F.concat(F.lit("not a supported media object: "), name)))
     city, cam = infer_city_camera(name, default_city, default_camera)
-    md = infer_demo_metadata(name, as_of)
+    md = {"event_time": as_of, **{k: F.lit(None).cast(t) for k, t in PLACE.items()}, **path_metadata(name)}
     ok = err.isNull()
     return raw.select(F.when(ok, F.concat(F.lit("gs://"), bucket, F.lit("/"), name)).alias("uri"),
                       F.when(ok, city).alias("city"), F.when(ok, cam).alias("camera_id"),

@@ -15,7 +15,6 @@ merged at once:
 from __future__ import annotations
 
 import datetime as _dt
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,7 +99,8 @@ def grid_backfill(readings: DataFrame, sensors: DataFrame, as_of, value: Column,
     (sensor_id, latitude, longitude); only points missing from the table are
     produced.  The grid is generated per sensor row with ``sequence`` +
     ``explode`` (narrow; no cross join), then anti-joined on the key.
-    ``value`` is the caller's expression over ``time`` and the sensor row."""
+    ``value`` is the caller's expression over ``time`` and the sensor row,
+    such as the sensor's last observed value."""
     like = readings.schema["time"].dataType
     step = step_minutes * 60
     end = _dt.datetime.fromisoformat(str(as_of)) if not isinstance(as_of, _dt.datetime) else as_of
@@ -122,13 +122,6 @@ def grid_backfill(readings: DataFrame, sensors: DataFrame, as_of, value: Column,
     return points.join(existing, ["time", "sensor_id", "metric"], "left_anti")
 
 
-def diurnal_no2(time_col: str = "time", baseline: float = 22.0, amplitude: float = 8.0) -> Column:
-    """Deterministic 24 h NO2 profile (no random term), floor 0.5, 4 decimals."""
-    hours = F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(3.6e9)
-    v = F.lit(baseline) + F.lit(amplitude) * F.sin(hours * F.lit(2 * math.pi / 24.0))
-    return F.round(F.greatest(F.lit(0.5), v), 4)
-
-
 def reconcile(hot: DataFrame, archive: DataFrame, minimum: int = 1) -> DataFrame:
     """Per (source, metric, date) row counts in hot vs archive, full outer
     joined; status ok / missing_in_archive / missing_in_hot / count_mismatch."""

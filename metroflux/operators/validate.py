@@ -105,6 +105,19 @@ def prediction_checks() -> dict[str, Column]:
     }
 
 
+
+def flag_checks() -> dict[str, Column]:
+    return {
+        "confidence_range": F.col("confidence").between(0, 1),
+        "severity_domain": F.col("severity").isin("low", "medium", "high", "critical"),
+        "review_status_domain": F.col("review_status").isin("pending", "reviewed", "dismissed"),
+    }
+
+
+def metric_checks() -> dict[str, Column]:
+    return {"channel_fill_range": F.col("channel_fill_pct").between(0, 100)}
+
+
 def check_constraints(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """V5: table CHECK rules as data-quality counts, one row per rule, all
     rules computed in one aggregate pass."""

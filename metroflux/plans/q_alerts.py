@@ -63,7 +63,7 @@ e4 AS (SELECT 'dropped_readings' AS rule, t, value FROM
        (SELECT egrid.t, CAST(coalesce(max(hi) OVER w - min(lo) OVER w, 0) AS DOUBLE) AS value
         FROM egrid LEFT JOIN m4 USING (t) WINDOW w AS (ORDER BY egrid.t ROWS BETWEEN 14 PRECEDING AND CURRENT ROW))
        WHERE t >= {START}),
-rules AS (SELECT * FROM (VALUES {", ".join(f"('{r}', {th!r}, {h})" for r, th, h, _, _ in AL.RULES)}) v(rule, threshold, hold)),
+rules AS (SELECT * FROM (VALUES {", ".join(f"('{r}', {th!r}, {h}, '{sev}')" for r, th, h, _, sev in AL.RULES)}) v(rule, threshold, hold, severity)),
 v AS (SELECT * FROM (SELECT * FROM e1 UNION ALL SELECT * FROM e2 UNION ALL SELECT * FROM e3 UNION ALL SELECT * FROM e4)
       JOIN rules USING (rule)),
 b AS (SELECT *, value > threshold AS breach,
@@ -71,7 +71,8 @@ b AS (SELECT *, value > threshold AS breach,
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM v),
 s AS (SELECT *, min(CASE WHEN breach THEN t END) OVER (PARTITION BY rule, island) AS breach_start FROM b)
 SELECT rule, t AS eval_time, value,
-  CASE WHEN NOT breach THEN 'normal' WHEN {_AGE('t', 'breach_start')} >= hold THEN 'firing' ELSE 'pending' END AS state
+  CASE WHEN NOT breach THEN 'normal' WHEN {_AGE('t', 'breach_start')} >= hold THEN 'firing' ELSE 'pending' END AS state,
+  severity, value IS NULL AS no_data
 FROM s"""
 register("alert_states", with_views(STATES_SQL, "sensor_readings", "ingestion_metrics"))(
     lambda spark, sf: AL.alert_states(R(spark, sf), IM(spark, sf), AS_OF))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.timefn import ts_lit
 from ..operators import safety as SF
+from ..operators import validate as VL
 from ..sources import fixtures as FX
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
@@ -19,9 +20,9 @@ def _asof(df, col="event_time"):
 
 def events(spark, sf):
     raw = FX.media_raw(spark, sf)
-    return SF.media_events(raw, _asof(raw), keep=["event_id", "raw_label", "confidence",
-                                                   F.col("is_suspicious").alias("raw_suspicious"),
-                                                   F.col("event_time").alias("observed_at")])
+    return SF.media_events(raw, F.col("event_time"), cameras=FX.cameras(spark, sf),
+                           keep=["event_id", "raw_label", "confidence", F.col("is_suspicious").alias("raw_suspicious"),
+                                 F.col("event_time").alias("observed_at")])
 
 
 def _raw_score():
@@ -55,17 +56,13 @@ def _part(key, skip_empty=True):
     return f"list_filter({vals}, lambda v: v <> '')[-1]" if skip_empty else f"nullif({vals}[-1], '')"
 
 
-def _loc(i):
-    return "CASE " + " ".join(f"WHEN ('0x' || substr(sha1({NAME}), 1, 2))::INT % 5 = {k} THEN {v if isinstance(v, float) else repr(v)}"
-                              for k, v in enumerate(x[i] for x in SF.DEMO_LOCATIONS)) + " END"
-
-
 _FRAMES = (f"list_filter(string_split(replace({_stem(FNAME)}, '-', '_'), '_'), "
            "lambda t: starts_with(lower(t), 'frame') AND regexp_matches(substr(t, 6), '^[0-9]+$'))")
 EVENTS_SQL = f"""SELECT event_id, raw_label, confidence, is_suspicious AS raw_suspicious, event_time AS observed_at,
   media_uri AS uri, coalesce({_part('city')}, 'chicago') AS city, coalesce({_part('camera')}, 'camera-1') AS camera_id,
-  {ASOF} - to_minutes(('0x' || substr(sha1({NAME}), 3, 4))::INT % 720) AS event_time,
-  {_loc(0)} AS location_name, {_loc(1)} AS latitude, {_loc(2)} AS longitude,
+  event_time, 'Camera site ' || substr({_part('camera')}, 5) AS location_name,
+  41.6::DOUBLE + CAST(substr({_part('camera')}, 5) AS DOUBLE) * 0.01::DOUBLE AS latitude,
+  -87.9::DOUBLE + CAST(substr({_part('camera')}, 5) AS DOUBLE) * 0.01::DOUBLE AS longitude,
   CASE WHEN contains({NAME}, 'source_video=') THEN {_part('source_video', False)} END AS source_video_uri,
   TRY_CAST(substr({_FRAMES}[-1], 6) AS INTEGER) AS frame_index
 FROM media_raw WHERE {_ext(FNAME)} IN {Q.in_list(S.MEDIA_EXTENSIONS)}"""
@@ -163,3 +160,26 @@ register("safety_by_label", V(f"""SELECT display_label, severity, COUNT(*) AS co
 register("safety_day_type", V(f"""SELECT CASE WHEN dayofweek(event_time) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type,
   COUNT(*) FILTER (WHERE is_suspicious) AS flagged, COUNT(*) FILTER (WHERE NOT is_suspicious) AS normal,
   COUNT(*) AS total FROM ({PRED_SQL}) GROUP BY ALL"""))(lambda spark, sf: SF.safety_day_type(preds(spark, sf)))
+
+
+# ---------------------------------------------------------------- V5 CHECK rules of the other tables
+_SCORE = "{c} BETWEEN 0 AND 1"
+_SEVERITY = "severity IN ('low', 'medium', 'high', 'critical')"
+_REVIEW = "review_status IN ('pending', 'reviewed', 'dismissed')"
+
+
+def _rules_sql(frm, rules):
+    return " UNION ALL ".join(f"SELECT '{n}' AS rule, count(CASE WHEN NOT coalesce({c}, false) THEN 1 END) AS violations, count(*) AS checked_rows FROM ({frm})"
+                              for n, c in rules.items())
+
+
+register("prediction_constraints", V(_rules_sql(PRED_SQL, {
+    "crime_score_range": _SCORE.format(c="crime_score"), "type_score_range": "type_score IS NULL OR type_score BETWEEN 0 AND 1",
+    "confidence_range": _SCORE.format(c="confidence"), "severity_domain": _SEVERITY, "review_status_domain": _REVIEW})))(
+    lambda spark, sf: VL.check_constraints(preds(spark, sf), VL.prediction_checks()))
+register("flag_constraints", V(_rules_sql(FLAGS_SQL, {
+    "confidence_range": _SCORE.format(c="confidence"), "severity_domain": _SEVERITY, "review_status_domain": _REVIEW})))(
+    lambda spark, sf: VL.check_constraints(SF.flags(preds(spark, sf)), VL.flag_checks()))
+register("metric_constraints", with_views(_rules_sql("SELECT * FROM ingestion_metrics", {"channel_fill_range": "channel_fill_pct BETWEEN 0 AND 100"}),
+                                          "ingestion_metrics"))(
+    lambda spark, sf: VL.check_constraints(FX.ingestion_metrics(spark, sf), VL.metric_checks()))

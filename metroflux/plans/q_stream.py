@@ -13,7 +13,7 @@ from ..session import shared_dir
 from ..sources import fixtures as FX
 from ..sources.fixtures import with_views
 from ..streaming import jobs as J
-from .catalog import AS_OF, ORACLES, register
+from .catalog import AS_OF, ASOF, ORACLES, register
 from .q_messages import MISMATCH_SQL, messages
 from .q_quality import REASON_SQL
 
@@ -129,8 +129,8 @@ def _notifications_sql():
     ok = EVENTS_SQL.replace("SELECT event_id, raw_label, confidence, is_suspicious AS raw_suspicious, event_time AS observed_at,",
                             "SELECT event_id,")
     return with_views(f"""
-SELECT uri, city, camera_id, event_time, location_name, latitude, longitude, source_video_uri, frame_index,
-       CAST(NULL AS VARCHAR) AS error FROM ({ok}) WHERE event_id % 97 <> 0
+SELECT uri, city, camera_id, {ASOF} AS event_time, CAST(NULL AS VARCHAR) AS location_name, CAST(NULL AS DOUBLE) AS latitude,
+       CAST(NULL AS DOUBLE) AS longitude, source_video_uri, frame_index, CAST(NULL AS VARCHAR) AS error FROM ({ok}) WHERE event_id % 97 <> 0
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
        CASE WHEN event_id % 97 = 0 THEN 'invalid notification JSON'

@@ -179,18 +179,19 @@ register("retention_prune", with_views(f"""SELECT * FROM sensor_readings
 # ---------------------------------------------------------------- C4 grid_backfill
 def _no2_sensors(readings):
     return (readings.filter(F.col("metric") == "NO2").groupBy("sensor_id")
-            .agg(F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude")))
+            .agg(F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude"),
+                 F.max_by("value", F.struct("time", "value")).alias("last_value")))
 
 
 register("grid_backfill", with_views(f"""
-WITH s AS (SELECT sensor_id, max(latitude) AS latitude, max(longitude) AS longitude FROM sensor_readings
-           WHERE metric = 'NO2' GROUP BY sensor_id),
+WITH s AS (SELECT sensor_id, max(latitude) AS latitude, max(longitude) AS longitude,
+           max(struct_pack(t := time, v := value)).v AS last_value FROM sensor_readings WHERE metric = 'NO2' GROUP BY sensor_id),
 g AS (SELECT * FROM s, generate_series(time_bucket(INTERVAL '10 minutes', {Q.cutoff(24)}),
                                        time_bucket(INTERVAL '10 minutes', {ASOF}), INTERVAL '10 minutes') AS t(time))
 SELECT time, sensor_id, 'NO2' AS metric,
-  round(greatest(0.5, 22.0 + 8.0 * sin(CAST(epoch_us(time) AS DOUBLE) / 3.6e9 * {2 * 3.141592653589793 / 24.0!r})), 4) AS value,
+  CAST(last_value AS DOUBLE) AS value,
   'ppb' AS unit, 'simulator' AS source, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
   CAST(1 AS SMALLINT) AS quality_flag, {ASOF} AS ingested_at, 1 AS schema_version
 FROM g WHERE NOT EXISTS (SELECT 1 FROM sensor_readings r WHERE r.metric = 'NO2' AND r.time = g.time
                          AND r.sensor_id = g.sensor_id)""", "sensor_readings"))(
-    lambda spark, sf: TB.grid_backfill(R(spark, sf), _no2_sensors(R(spark, sf)), AS_OF, TB.diurnal_no2()))
+    lambda spark, sf: TB.grid_backfill(R(spark, sf), _no2_sensors(R(spark, sf)), AS_OF, F.col("last_value")))

@@ -34,24 +34,8 @@ _UNITS = {"PM2.5": "ug/m3", "O3": "ppm", "NO2": "ppb", "temperature": "C", "humi
           "dock_available_count": "count", "station_capacity": "count", "water_gage_height": "ft"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.  ``spread=True`` is for inputs that stand for landed
-    payloads / messages with heavy per-row work: when the scan yields fewer
-    splits than the cluster has cores (a single small file locally), rows are
-    spread round-robin; a large input already has enough splits and is left
-    as is (no shuffle)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if path not in _SPLITS:
-            _SPLITS[path] = df.rdd.getNumPartitions()
-        if _SPLITS[path] < cores:
-            df = df.repartition(cores)
-    return df
-
-
-_SPLITS: dict[str, int] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(key: Column, values: list[str]) -> Column:
@@ -65,9 +49,9 @@ def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readings_from(table(spark, sf_dir, "events")).drop("event_id")
 
 
-def readings_with_arrival(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def readings_with_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings plus ``event_id`` as the arrival number (for upsert batches)."""
-    return _readings_from(table(spark, sf_dir, "events", spread))
+    return _readings_from(table(spark, sf_dir, "events"))
 
 
 def _readings_from(ev: DataFrame) -> DataFrame:
@@ -116,7 +100,7 @@ def ingestion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def media_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw model output per media object (pre-label-mapping)."""
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     k = (F.col("event_id") % 9).cast("int")
     raw = _case(k, FIXTURE_RAW_LABELS)
     cam = (F.col("user_id") % 12).cast("string")
@@ -137,6 +121,14 @@ def media_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Camera dimension: one row per camera that filed media."""
+    n = F.col("n")
+    return (table(spark, sf_dir, "events").select((F.col("user_id") % 12).alias("n")).distinct()
+            .select(F.concat(F.lit("cam-"), n.cast("string")).alias("camera_id"), F.concat(F.lit("Camera site "), n.cast("string")).alias("location_name"),
+                    (F.lit(41.6) + n * F.lit(0.01)).alias("latitude"), (F.lit(-87.9) + n * F.lit(0.01)).alias("longitude")))
+
+
 # ---------------------------------------------------------------------------
 # DuckDB text of the same views (used only by the oracles)
 # ---------------------------------------------------------------------------

@@ -175,7 +175,7 @@ def test_media_cases(spark):
     flags = {r.video_uri: r.severity for r in SF.flags(preds).collect()}
     assert flags == {"gs://b/robbery-sample.mp4": "critical", "gs://b/Assault001_frame0042.png": "high"}
     md = spark.createDataFrame([("video_inbox/source_video=clip-01/frame000042.jpg",)], "p string")
-    m = SF.infer_demo_metadata(F.col("p"), asof)
+    m = SF.path_metadata(F.col("p"))
     r = md.select(m["source_video_uri"], m["frame_index"]).first()
     assert tuple(r) == ("clip-01", 42)
 
