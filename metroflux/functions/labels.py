@@ -18,8 +18,10 @@ def _lookup(c: Column, mapping: dict, fallback: Column) -> Column:
 
 
 def title_fallback(c: Column) -> Column:
-    """Python ``str.replace('_',' ').title()`` for ASCII words."""
-    return F.initcap(F.regexp_replace(c, "_", " "))
+    """Title case with spaces for underscores: every run of letters starts
+    with a capital, also after a digit, dot or hyphen."""
+    runs = F.regexp_extract_all(F.replace(c, F.lit("_"), F.lit(" ")), F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def source_label(c: Column) -> Column:

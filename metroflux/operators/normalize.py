@@ -197,16 +197,23 @@ def normalize_bike_share(info: DataFrame, status: DataFrame, ingested_at, limit:
     return _validated(out)
 
 
-def feed_discovery(discovery: DataFrame, language: str = "en") -> DataFrame:
-    """S3: feeds of one language from the discovery map; a missing language
-    yields one error row instead of feeds."""
-    feeds = F.try_element_at(F.col("data"), F.lit(language)).getField("feeds")
-    err = F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("url")))
-    return (discovery.select(feeds.isNull().alias("_missing"),
-                             F.explode(F.when(feeds.isNull(), err).otherwise(feeds)).alias("f"))
-            .select(F.lit(language).alias("language"), F.col("f.name").alias("name"), F.col("f.url").alias("url"),
-                    F.when(F.col("_missing"), F.concat(F.lit("GBFS language "), go_quote(F.lit(language)),
-                                                        F.lit(" not found"))).alias("error")))
+REQUIRED_FEEDS = ("station_information", "station_status")
+
+
+def feed_discovery(discovery: DataFrame, language: str = "en", required: tuple = REQUIRED_FEEDS) -> DataFrame:
+    """S3: feeds of one language from the discovery map (entries without a
+    name or URL do not count); a missing language, or the first required
+    feed that is missing, yields one error row instead of feeds."""
+    listed = F.try_element_at(F.col("data"), F.lit(language)).getField("feeds")
+    known = F.filter(listed, lambda f: (F.coalesce(f["name"], F.lit("")) != "") & (F.coalesce(f["url"], F.lit("")) != ""))
+    x = discovery.select(F.map_contains_key("data", F.lit(language)).alias("_there"), F.coalesce(known, F.array().cast("array<struct<name:string,url:string>>")).alias("_feeds"))
+    names = F.transform("_feeds", lambda f: f["name"])
+    error = F.when(~F.coalesce("_there", F.lit(False)), F.concat(F.lit("GBFS language "), go_quote(F.lit(language)), F.lit(" not found")))
+    for feed in required:
+        error = error.when(~F.array_contains(names, feed), F.lit(f"GBFS feed {feed} not found"))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("url")))
+    return (x.select("_feeds", error.alias("error")).select("error", F.explode(F.when(F.col("error").isNull(), F.col("_feeds")).otherwise(none)).alias("f"))
+            .select(F.lit(language).alias("language"), "f.name", "f.url", "error"))
 
 
 # ------------------------------------------------------------------ N4 river gauge
@@ -266,3 +273,14 @@ def normalize_stats(normalized: DataFrame) -> DataFrame:
     return (normalized.groupBy("source")
             .agg(F.count(F.when(F.col("skip_reason").isNull(), 1)).cast("bigint").alias("published"),
                  F.count(F.col("skip_reason")).cast("bigint").alias("skipped")))
+
+
+def air_quality_poll_counts(latest: DataFrame) -> DataFrame:
+    """Locations asked and measurements received, per poll."""
+    return latest.groupBy("poll_id").agg(F.countDistinct("location_id").cast("bigint").alias("locations"),
+                                         F.sum(F.size("results")).cast("bigint").alias("measurements"))
+
+
+def bike_share_poll_counts(status: DataFrame) -> DataFrame:
+    """Stations received, per poll."""
+    return status.groupBy("poll_id").agg(F.sum(F.size("data.stations")).cast("bigint").alias("stations"))

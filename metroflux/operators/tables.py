@@ -56,17 +56,14 @@ def merge_columns(table: DataFrame, batch: DataFrame, key: list[str], replace: l
     the (last) batch value, all others keep the table's first-written value;
     unmatched batch rows are inserted whole.
 
-    Written as matched (inner) + table-only (anti) + batch-only (anti against
-    the matched keys) rather than one full outer join, so every join has the
-    batch on its build side and a small batch never shuffles the table."""
+    One left join gives every table row its update, and one anti join of the
+    batch gives the inserts."""
     latest = dedup_batch(batch, key, arrival, "last").drop(arrival)
-    b = latest.select(*key, *[F.col(c).alias("_b_" + c) for c in replace])
-    matched = table.join(b, key, "inner").select(
-        *[F.col("_b_" + c).alias(c) if c in replace else F.col(c) for c in table.columns])
-    table_only = table.join(latest.select(*key), key, "left_anti")
-    matched_keys = matched.select(*key)
-    batch_only = latest.join(matched_keys, key, "left_anti").select(*table.columns)
-    return matched.unionByName(table_only).unionByName(batch_only)
+    b = latest.select(*key, *[F.col(c).alias("_b_" + c) for c in replace], F.lit(True).alias("_hit"))
+    updated = table.join(b, key, "left").select(
+        *[F.when(F.col("_hit"), F.col("_b_" + c)).otherwise(F.col(c)).alias(c) if c in replace else F.col(c) for c in table.columns])
+    inserted = latest.join(table.select(*key), key, "left_anti").select(*table.columns)
+    return updated.unionByName(inserted)
 
 
 # ------------------------------------------------------------------ archive / retention

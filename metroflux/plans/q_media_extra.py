@@ -124,6 +124,10 @@ def discovery(spark, sf):
                              F.concat(F.lit("https://feeds.example/"), u, F.lit("/station_information.json")).alias("url")),
                     F.struct(F.lit("station_status").alias("name"),
                              F.concat(F.lit("https://feeds.example/"), u, F.lit("/station_status.json")).alias("url")))
+    info, status = feeds[0], feeds[1]
+    nameless = F.struct(F.lit("").alias("name"), F.lit("https://feeds.example/x").alias("url"))
+    feeds = (F.when(e % 11 == 0, F.array(info, nameless)).when(e % 13 == 0, F.slice(feeds, 1, 0))
+             .when(e % 17 == 0, F.array(status, nameless)).otherwise(feeds))
     lang = F.when(e % 7 == 0, F.lit("fr")).otherwise(F.lit("en"))
     return ev.select(F.create_map(lang, F.struct(feeds.alias("feeds"))).alias("data"))
 
@@ -132,6 +136,8 @@ register("feed_discovery", with_views("""
 SELECT 'en' AS language, f.name AS name, f.url AS url, NULL::VARCHAR AS error FROM (
   SELECT unnest([{'name': 'station_information', 'url': 'https://feeds.example/' || CAST(user_id AS VARCHAR) || '/station_information.json'},
                  {'name': 'station_status', 'url': 'https://feeds.example/' || CAST(user_id AS VARCHAR) || '/station_status.json'}]) AS f
-  FROM events WHERE event_id % 7 <> 0)
-UNION ALL SELECT 'en', NULL, NULL, 'GBFS language "en" not found' FROM events WHERE event_id % 7 = 0"""))(
+  FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0)
+UNION ALL SELECT 'en', NULL, NULL, CASE WHEN event_id % 7 = 0 THEN 'GBFS language "en" not found' WHEN event_id % 11 = 0 THEN 'GBFS feed station_status not found'
+  ELSE 'GBFS feed station_information not found' END
+FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0"""))(
     lambda spark, sf: N.feed_discovery(discovery(spark, sf), "en"))

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schema as S
+from ..operators import latest as LT
 from ..operators import normalize as N
 from ..sources import payloads as P
 from .catalog import AS_OF, ASOF, register
@@ -146,3 +148,18 @@ register("normalize_stats", STATS_SQL)(
 register("station_names", """SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 4, '0') AS station_id,
   'Station ' || CAST(user_id AS VARCHAR) AS name FROM events WHERE user_id % 8 <> 0""")(
     lambda spark, sf: N.station_names(P.gbfs_info_fixture(spark, sf)))
+_POLL = "CAST(floor(epoch(ts) / 3600) AS BIGINT)"
+register("air_quality_poll_counts", f"""SELECT {_POLL} AS poll_id, count(DISTINCT user_id) AS locations, count(*) AS measurements
+  FROM events GROUP BY 1""")(lambda spark, sf: N.air_quality_poll_counts(P.aq_latest_fixture(spark, sf)))
+register("bike_share_poll_counts", f"SELECT {_POLL} AS poll_id, count(*) AS stations FROM events GROUP BY 1")(
+    lambda spark, sf: N.bike_share_poll_counts(P.gbfs_status_fixture(spark, sf)))
+
+
+# Bike stations shown by the name in the station dimension
+def _station_display(spark, sf):
+    readings = N.published(bike(spark, sf)).select("sensor_id", "source").distinct()
+    return LT.display_columns(readings, N.station_names(P.gbfs_info_fixture(spark, sf)))
+
+
+register("station_display_names", f"""SELECT DISTINCT 'GBFS-' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS sensor_id, 'gbfs' AS source,
+  '{S.SOURCE_LABELS['gbfs']}' AS source_name, 'Station ' || CAST(user_id AS VARCHAR) AS sensor_name FROM events WHERE user_id % 8 <> 0""")(_station_display)

@@ -215,3 +215,10 @@ def test_decode_checks_every_field_type(spark):
     assert errors[b:] == [None] * (len(fine) + 1)
     assert {(r.sensor_id, r.value) for r in rows[b:-1]} == {("S", 1.5)} and rows[b + 2].ingested_at.year == 1 and rows[b + 6].quality_flag == 0
     assert rows[-1].sensor_id == "" and rows[-1].time is None           # a JSON null sets nothing
+
+
+def test_title_case_of_unknown_labels(spark):
+    from metroflux.functions import labels as L
+    names = ["some_new-metric", "pm2.5x", "NO3_level", "co2eq", "o'neil", "élan_vital", "a1b"]
+    got = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, c string").orderBy("i").select(L.title_fallback(F.col("c"))).collect()
+    assert [r[0] for r in got] == [n.replace("_", " ").title() for n in names]
