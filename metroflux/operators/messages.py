@@ -21,7 +21,7 @@ from .. import schema as S
 from ..functions.keys import dedup_key
 from ..functions.timefn import rfc3339_nano
 from .normalize import RFC3339
-from .validate import validation_errors
+from .validate import fence, validation_errors
 
 TEXT_FIELDS = ["sensor_id", "metric", "unit", "source"]
 NUMBER_FIELDS = ["value", "latitude", "longitude"]
@@ -72,7 +72,13 @@ def decode(messages: DataFrame, body_col: str = "body") -> DataFrame:
                            *[F.try_variant_get(f"_v_{n}", "$", "string").alias(f"_s_{n}") for n in [*TEXT_FIELDS, *TIME_FIELDS]],
                            *[F.try_variant_get(f"_v_{n}", "$", "double").alias(f"_n_{n}") for n in NUMBER_FIELDS],
                            *[F.try_variant_get(f"_v_{n}", "$", t).alias(f"_n_{n}") for n, t in INTEGER_FIELDS.items()])
-    fields = fields.select("*", *[F.try_to_timestamp(f"_s_{n}", F.lit(RFC3339)).alias(f"_d_{n}") for n in TIME_FIELDS])
+    whole = F.coalesce(F.btrim(body), F.lit(""))
+    malformed = (F.col("_m").isNull() & F.col("_j").isNull()) | (F.col("_m").isNotNull() & ~F.endswith(F.rtrim(body), F.lit("}")))
+    other = F.col("_m").isNull() & (whole != "null")      # a JSON null sets no field
+    # fenced: what follows uses the parsed fields as columns, never their expressions
+    fields = fence(fields.select("*", malformed.alias("_malformed"), other.alias("_other"),
+                                 *[F.try_to_timestamp(f"_s_{n}", F.lit(RFC3339)).alias(f"_d_{n}") for n in TIME_FIELDS])
+                   .drop("_m", "_j", "_odd", *[f"_v_{n}" for n in names]))
 
     def wrong(name: str, ok: Column) -> Column:
         """The field is there and not null, and not ``ok``."""
@@ -87,18 +93,15 @@ def decode(messages: DataFrame, body_col: str = "body") -> DataFrame:
         bad = bad | wrong(n, (F.col(f"_t_{n}") == "BIGINT") & F.col(f"_n_{n}").isNotNull())
     for n in TIME_FIELDS:
         bad = bad | wrong(n, (F.col(f"_t_{n}") == "STRING") & F.col(f"_d_{n}").isNotNull())
-    whole = F.coalesce(F.btrim(body), F.lit(""))
-    malformed = (F.col("_m").isNull() & F.col("_j").isNull()) | (F.col("_m").isNotNull() & ~F.endswith(F.rtrim(body), F.lit("}")))
-    other = F.col("_m").isNull() & (whole != "null")      # a JSON null sets no field
-    error = (F.when(malformed, F.lit("decode sensor reading: malformed JSON"))
-             .when(other | bad, F.lit("decode sensor reading: field type mismatch")))
-    return fields.select(
+    error = (F.when(F.col("_malformed"), F.lit("decode sensor reading: malformed JSON"))
+             .when(F.col("_other") | bad, F.lit("decode sensor reading: field type mismatch")))
+    return fence(fields.select(
         *messages.columns, F.col("_d_time").alias("time"), *[F.coalesce(f"_s_{n}", F.lit("")).alias(n) for n in ("sensor_id", "metric")],
         F.coalesce("_n_value", F.lit(0.0)).alias("value"), *[F.coalesce(f"_s_{n}", F.lit("")).alias(n) for n in ("unit", "source")],
         *[F.coalesce(f"_n_{n}", F.lit(0.0)).alias(n) for n in ("latitude", "longitude")],
         F.coalesce("_n_quality_flag", F.lit(0).cast("smallint")).alias("quality_flag"),
         F.when(error.isNull(), F.coalesce("_d_ingested_at", F.lit(ZERO_TIME).cast("timestamp"))).alias("ingested_at"),
-        F.coalesce("_n_schema_version", F.lit(0)).alias("schema_version"), error.alias("decode_error"))
+        F.coalesce("_n_schema_version", F.lit(0)).alias("schema_version"), error.alias("decode_error")))
 
 
 def decode_validate(messages: DataFrame, body_col: str = "body") -> DataFrame:
@@ -108,7 +111,7 @@ def decode_validate(messages: DataFrame, body_col: str = "body") -> DataFrame:
     errs = F.array_join(validation_errors(), "; ")
     reason = F.when(F.col("decode_error").isNotNull(), F.col("decode_error")).when(
         errs != "", F.concat(F.lit("validate pubsub reading "), dedup_key(), F.lit(": "), errs))
-    return d.withColumn("reason", reason)
+    return fence(d.withColumn("reason", reason))
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.keys import dedup_key
 from ..functions.text import go_trim, is_blank, lookup, normalize_unit
-from .validate import validation_errors
+from .validate import fence, validation_errors
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 MINUTE_UTC = "yyyy-MM-dd'T'HH:mm"
@@ -52,12 +52,9 @@ def _validated(df: DataFrame) -> DataFrame:
     reason = F.when(F.col("skip_reason").isNull() & (errs != ""),
                     F.concat(F.lit("invalid reading "), dedup_key(), F.lit(": "), errs)).otherwise(F.col("skip_reason"))
     out = df.withColumn("skip_reason", reason)
-    # Fence: callers filter on ``skip_reason``; without it the optimizer
-    # pushes that filter below this projection and copies the whole reason /
-    # validation expression into the filter, doubling the generated code
-    # (past the 64 KB method limit for air quality).  A filter on generator
-    # output stays above the (one-row) inline.
-    return out.select(F.inline(F.array(F.struct(*out.columns))))
+    # callers filter on ``skip_reason``; unfenced, that would double the
+    # generated code (past the 64 KB method limit for air quality)
+    return fence(out)
 
 
 def published(df: DataFrame) -> DataFrame:

@@ -62,6 +62,13 @@ def validation_errors(reference: Column | None = None) -> Column:
     return F.array_remove(F.array(*[F.coalesce(c, F.lit("")) for c in checks]), "")
 
 
+def fence(df: DataFrame) -> DataFrame:
+    """The same rows, as the output of a one-row generator: the optimizer
+    does not push a filter below it, which would copy the expressions of the
+    columns that the filter names."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def validate_readings(readings: DataFrame, reference: Column | None = None) -> DataFrame:
     """V1: readings plus ``errors`` (array<string>) and ``is_valid``."""
     return (readings.withColumn("errors", validation_errors(reference))
@@ -70,7 +77,7 @@ def validate_readings(readings: DataFrame, reference: Column | None = None) -> D
 
 def split_valid(readings: DataFrame, reference: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """V2: (valid rows in the canonical shape, quarantine rows with key + reasons)."""
-    checked = validate_readings(readings, reference)
+    checked = fence(validate_readings(readings, reference))
     valid = checked.filter("is_valid").drop("errors", "is_valid")
     quarantine = (checked.filter(~F.col("is_valid"))
                   .withColumn("dedup_key", dedup_key())
