@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -72,6 +71,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     path = base.rstrip("/") + "/" + name
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)      # on the file system the path names
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
     return path
