@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 6 << 20
 _MODELS: dict = {}
 
 

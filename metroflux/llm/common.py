@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from metroflux.session import shared_dir
 
 #: text bytes that one vectorised step holds at a time (a longer text is one step)
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -50,8 +50,8 @@ SHINGLE = 3
 STEP = 1.15
 FEW = 3
 SLAB_GROUPS = 4096
-CELL_GROUP = 3_000_000
-PART_BYTES = 16 << 20
+CELL_GROUP = 1_500_000
+PART_BYTES = 8 << 20
 LEAF = 32
 
 _U = [0]

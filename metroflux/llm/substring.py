@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from metroflux.llm.common import _Q, RAW_WORDS, _power_table, mix, ranges, text_blocks, word_hashes
 
 WIDTH = 20
-GROUP_WORDS = 4_000_000
+GROUP_WORDS = 2_000_000
 BIN_BITS = 14
 _LAST = np.iinfo(np.int64).max
 _SUFFIXES = "grp int, docs binary, hashes binary, counts binary, gaps binary, labels binary"
