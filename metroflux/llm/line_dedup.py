@@ -38,7 +38,10 @@ FIELD = "<*>"
 
 def squeezed(line: Column) -> Column:
     """The line's tokens, joined by one space."""
-    return F.btrim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
+    odd = F.contains(line, F.lit("  "))
+    for c in "\t\x0b\x0c\r":
+        odd = odd | F.contains(line, F.lit(c))
+    return F.btrim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
 
 
 def masked(line: Column) -> Column:
@@ -47,21 +50,23 @@ def masked(line: Column) -> Column:
 
 
 def _occurrences(text: Column, part: str) -> Column:
-    return ((F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)).cast("int")
+    return F.when(F.contains(text, F.lit(part)), F.octet_length(text) - F.octet_length(F.replace(text, F.lit(part), F.lit("")))).otherwise(0) / len(part)
 
 
 def line_keys(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Of every line with tokens: document, number, tree leaf, hashes of the
     masked and of the plain tokens, and token counts."""
     lines = docs.where("text <> ''").select("doc_id", "dk", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    plain = lines.select("doc_id", "dk", "line", squeezed(F.col("raw")).alias("plain")).where("plain <> ''")
-    m = plain.withColumn("m", masked(F.col("plain"))).withColumn("n", _occurrences(F.col("m"), " ") + 1)
-    lead = F.substring_index("m", " ", depth)
-    field = F.concat(F.lit(" "), F.replace(F.col("m"), F.lit(" "), F.lit("  ")), F.lit(" "))
-    lead_field = F.concat(F.lit(" "), F.replace(lead, F.lit(" "), F.lit("  ")), F.lit(" "))
+    plain = lines.where(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", "dk", "line", squeezed(F.col("raw")).alias("plain"))
+    m = plain.withColumn("m", masked(F.col("plain"))).withColumn("n", (_occurrences(F.col("m"), " ") + 1).cast("int")).withColumn("lead", F.substring_index("m", " ", depth))
+    lead = F.col("lead")
+
+    def fields(text: Column) -> Column:
+        wide = F.concat(F.lit(" "), F.replace(text, F.lit(" "), F.lit("  ")), F.lit(" "))
+        return F.when(F.contains(text, F.lit(FIELD)), _occurrences(wide, f" {FIELD} ")).otherwise(0).cast("int")
+
     return m.select("doc_id", "dk", "line", "n", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("m").alias("pattern"), F.xxhash64("plain").alias("own"),
-                    (F.col("n") - _occurrences(field, f" {FIELD} ")).alias("plain_tokens"),
-                    (F.least(F.col("n"), F.lit(depth)) - _occurrences(lead_field, f" {FIELD} ")).alias("lead_tokens"))
+                    (F.col("n") - fields(F.col("m"))).alias("plain_tokens"), (F.least(F.col("n"), F.lit(depth)) - fields(lead)).alias("lead_tokens"))
 
 
 def generalised(docs: DataFrame, keys: DataFrame, depth: int = DEPTH, support: int = SUPPORT, similarity: float = SIMILARITY) -> DataFrame:
@@ -97,6 +102,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("dk").alias("dk"), F.col("line").alias("line"))
     recurring = (lines.groupBy("template", "doc_id", "dk").agg(F.min("line").alias("line")).groupBy("template")
                  .agg(F.count(F.lit(1)).alias("docs"), F.min(place).alias("first")).where(F.col("docs") >= min_docs).select("template", "first"))
+    recurring = materialise(recurring, "recurring")  # a table of its own, so that a hot template's join can be split
     dropped = (lines.join(recurring, "template").where(place != F.col("first")).groupBy(F.col("doc_id").alias("d"), F.col("dk").alias("x"))
                .agg(F.collect_set("line").alias("drop")))
     joined = rows.join(dropped, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("dk") == F.col("x")), "left")
