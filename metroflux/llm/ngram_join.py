@@ -1,12 +1,13 @@
 """N-gram Jaccard join over count vectors and R-trees.
 
-A document's set is its distinct 3-word shingles (64-bit hashes); two
-documents link when 100 * |intersection| >= 90 * |union|.
+A document's set is its distinct shingles of ``width`` words (64-bit hashes);
+two documents link when 100 * |intersection| >= ``percent`` * |union|.  The
+defaults, 3 words and 90, are op4's rule.
 
 Points.  Shingles are hashed into groups, and a document is the vector of
 its group counts.  The overlap of two documents is at most the sum of the
 coordinate minima, and their symmetric difference is at most t = (|A| +
-|B|) / 19 when they link.
+|B|) (100 - percent) / (100 + percent) when they link.
 
 Routing.  The vector of a size class (sizes within a factor ``STEP``; a
 document that can link upwards also stands in the next class) is cut into
@@ -26,7 +27,7 @@ compared again.  The result is the connected components of the verified
 links.
 
 Words: A-Z lower-cased, ``[^\\x20\\x09-\\x0D]+``, whole texts; with fewer than
-three words the whole sequence is the one shingle.
+``width`` words the whole sequence is the one shingle.
 
 Defined cases: null, empty and blank texts have the empty set, link with
 nothing and are their own component; a null id does not name a component
@@ -47,6 +48,7 @@ from metroflux.llm.common import LOWER_WORDS, materialise, mix, text_blocks, wor
 from metroflux.llm.components import connected_components
 
 SHINGLE = 3
+PERCENT = 90
 STEP = 1.15
 FEW = 3
 SLAB_GROUPS = 4096
@@ -61,15 +63,15 @@ while _U[-1] < 1 << 40:
 UPPER = np.array(_U, dtype=np.int64)
 
 
-def links(overlap, a, b):
+def links(overlap, a, b, percent: int = PERCENT):
     """The join's rule on set sizes and the size of their intersection."""
-    return 100 * overlap >= 90 * (a + b - overlap)
+    return 100 * overlap >= percent * (a + b - overlap)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     h, _, _, first = word_hashes(data, offsets, LOWER_WORDS)
-    factor = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
+    factor = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, *(int(x) | 1 for x in mix(np.arange(1, max(width - 2, 1), dtype=np.uint64)))]
     s = np.zeros(max(len(h) - width + 1, 0), dtype=np.uint64)
     for k in range(width):
         s += h[k:len(s) + k] * np.uint64(factor[k])
@@ -102,18 +104,18 @@ def vector_groups(size: int) -> int:
     return 1 << max(4, (max(size, 1) // 8).bit_length())
 
 
-def classes(n: int) -> list[int]:
+def classes(n: int, percent: int = PERCENT) -> list[int]:
     own = int(np.searchsorted(UPPER, n))
-    most = int(np.searchsorted(UPPER, 10 * n // 9))  # class of the largest set it can link with
+    most = int(np.searchsorted(UPPER, 100 * n // percent))  # class of the largest set it can link with
     return list(range(own, most + 1))
 
 
-def cells(s: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def cells(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Cells of a set: hashes of the telling ones, (hash, class) of the
     others."""
     telling, others = [], []
-    for c in classes(len(s)):
-        slabs = 2 * int(UPPER[c]) // 19 + 1
+    for c in classes(len(s), percent):
+        slabs = 2 * int(UPPER[c]) * (100 - percent) // (100 + percent) + 1
         if slabs == 1:
             continue  # so small that only equal sets link
         place = mix(s ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(20)  # 44 bits
@@ -135,8 +137,8 @@ class CountTree:
     extent).  ``low`` is not needed: a page's bound is the sum of minima with
     its upper corner and its least set size."""
 
-    def __init__(self, high: np.ndarray, size: np.ndarray):
-        self.high, self.size = high.astype(np.int32), size.astype(np.int64)
+    def __init__(self, high: np.ndarray, size: np.ndarray, percent: int = PERCENT):
+        self.high, self.size, self.percent = high.astype(np.int32), size.astype(np.int64), percent
         order, spread = np.arange(len(size)), [np.arange(len(size))]
         while spread and len(spread[0]) > LEAF:  # halve every page along its widest coordinate
             out = []
@@ -163,19 +165,19 @@ class CountTree:
         """Open entries that may link with the rectangle."""
         some = np.flatnonzero(self.left > 0)
         bound = np.minimum(self.page_high[some], high).sum(axis=1)
-        some = some[links(bound, self.page_size[some], size)]
+        some = some[links(bound, self.page_size[some], size, self.percent)]
         if not len(some):
             return np.zeros(0, dtype=np.int64)
         at = np.concatenate([self.pages[k] for k in some.tolist()])
         at = at[self.open[at]]
-        return at[links(np.minimum(self.high[at], high).sum(axis=1), self.size[at], size)]
+        return at[links(np.minimum(self.high[at], high).sum(axis=1), self.size[at], size, self.percent)]
 
 
-def linked(high: np.ndarray, size: np.ndarray, test=None) -> np.ndarray:
+def linked(high: np.ndarray, size: np.ndarray, test=None, percent: int = PERCENT) -> np.ndarray:
     """Component number of every entry, by growing one component at a time:
     only entries that belong to none yet are searched for.  ``test(p, at)``
     decides the survivors of the bound (None: all link)."""
-    tree, component = CountTree(high, size), np.full(len(size), -1, dtype=np.int64)
+    tree, component = CountTree(high, size, percent), np.full(len(size), -1, dtype=np.int64)
     for seed in range(len(size)):
         if component[seed] >= 0:
             continue
@@ -197,7 +199,7 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, key, n, node and cells of every row; a task gives the cells of
     a node once in a while only."""
 
@@ -206,9 +208,9 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             out = ([], [], [], [])
             for _, _, data, offsets in text_blocks(b.column(1)):
-                for s in shingle_sets(data, offsets):
+                for s in shingle_sets(data, offsets, width):
                     node = node_of(s)
-                    telling, few = (np.zeros(0, np.uint64), []) if node in seen or not len(s) else cells(s)
+                    telling, few = (np.zeros(0, np.uint64), []) if node in seen or not len(s) else cells(s, percent)
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(node)
@@ -304,7 +306,7 @@ def telling_edges(sets: DataFrame) -> DataFrame:
 _PAGE = "cell long, class int, size long, node binary, high binary"
 
 
-def _link_cells(rows: Iterator[dict]) -> Iterator[tuple[dict, list[dict]]]:
+def _link_cells(rows: Iterator[dict], percent: int) -> Iterator[tuple[dict, list[dict]]]:
     """Link the rectangles of each cell (rows come cell by cell): of every
     component, its joint rectangle and the rows in it."""
     def finish(cell: list[dict]):
@@ -312,7 +314,7 @@ def _link_cells(rows: Iterator[dict]) -> Iterator[tuple[dict, list[dict]]]:
             yield cell[0], cell
             return
         high, size = np.stack([np.frombuffer(r["high"], np.uint16) for r in cell]), np.array([r["size"] for r in cell])
-        component = linked(high, size)
+        component = linked(high, size, percent=percent)
         for c in np.unique(component).tolist():
             own = np.flatnonzero(component == c)
             yield cell[own[0]] | {"size": int(size[own].min()), "high": high[own].max(axis=0).tobytes()}, [cell[k] for k in own.tolist()]
@@ -327,7 +329,7 @@ def _link_cells(rows: Iterator[dict]) -> Iterator[tuple[dict, list[dict]]]:
         yield from finish(held)
 
 
-def few_edges(sets: DataFrame) -> DataFrame:
+def few_edges(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges between nodes that share a cell which tells little and pass the
     bound there: linked inside a task first, then rectangle by rectangle."""
     rows = sets.select("node", F.explode("few").alias("f")).select("f.cell", "f.class", "f.size", "node", "f.high")
@@ -335,7 +337,7 @@ def few_edges(sets: DataFrame) -> DataFrame:
     def page(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = {k: [] for k in ("cell", "class", "size", "node", "high", "members")}
-            for rect, members in _link_cells(iter(sorted(b.to_pylist(), key=lambda r: r["cell"]))):
+            for rect, members in _link_cells(iter(sorted(b.to_pylist(), key=lambda r: r["cell"])), percent):
                 for k in ("cell", "class", "size", "node", "high"):
                     out[k].append(rect[k])
                 out["members"].append([m["node"] for m in members])
@@ -344,7 +346,7 @@ def few_edges(sets: DataFrame) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
-            for rect, members in _link_cells(r for b in batches for r in b.to_pylist()):
+            for rect, members in _link_cells((r for b in batches for r in b.to_pylist()), percent):
                 for m in members:
                     for x in m["members"]:
                         if x != rect["node"]:
@@ -362,7 +364,8 @@ def few_edges(sets: DataFrame) -> DataFrame:
     return (rows.mapInArrow(page, _PAGE + ", members array<binary>").repartition("cell").sortWithinPartitions("cell").mapInArrow(meet, "a binary, b binary"))
 
 
-def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col: str, text_col: str, part_bytes: int = PART_BYTES) -> DataFrame:
+def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col: str, text_col: str, part_bytes: int = PART_BYTES,
+                   width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """A spanning set of the true links (a, b) inside the blocking groups
     (node, component)."""
     named = sets.select("doc_id", "node").join(groups, "node").groupBy("node", "component").agg(F.min("doc_id").alias("at"))
@@ -378,7 +381,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
     def check(rows: list[tuple[bytes, str]]) -> Iterator[tuple[bytes, bytes]]:
         sets: list[np.ndarray] = []
         for _, _, data, offsets in text_blocks(pa.array([t for _, t in rows], pa.string())):
-            sets += shingle_sets(data, offsets)
+            sets += shingle_sets(data, offsets, width)
         by_node = {node: s for (node, _), s in zip(rows, sets, strict=True) if node_of(s) == node}  # not a namesake row
         nodes, sets = list(by_node), list(by_node.values())
         if len(nodes) < 2:
@@ -386,7 +389,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
         size = np.array([len(s) for s in sets])
         groups = vector_groups(int(size.max()))
         component = linked(np.stack([count_vector(s, groups) for s in sets]), size, lambda p, at: np.array(
-            [bool(links(np.count_nonzero(sets[p][np.minimum(np.searchsorted(sets[p], sets[q]), len(sets[p]) - 1)] == sets[q]), size[p], size[q])) for q in at.tolist()]))
+            [bool(links(np.count_nonzero(sets[p][np.minimum(np.searchsorted(sets[p], sets[q]), len(sets[p]) - 1)] == sets[q]), size[p], size[q], percent)) for q in at.tolist()]), percent)
         for k, c in enumerate(component.tolist()):
             if k != c:
                 yield nodes[k], nodes[c]
@@ -406,26 +409,28 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
             .mapInArrow(run, "a binary, b binary"))
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int) -> DataFrame:
+def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int, width: int, percent: int) -> DataFrame:
     """doc_id, key, n, c (a node that names the component) of every row."""
-    sets = materialise(document_sets(docs, id_col, text_col), "sets")
-    blocking = connected_components(telling_edges(sets).unionByName(few_edges(sets)))
-    found = connected_components(verified_links(docs, sets, blocking, id_col, text_col, part_bytes))
+    sets = materialise(document_sets(docs, id_col, text_col, width, percent), "sets")
+    blocking = connected_components(telling_edges(sets).unionByName(few_edges(sets, percent)))
+    found = connected_components(verified_links(docs, sets, blocking, id_col, text_col, part_bytes, width, percent))
     return sets.select("doc_id", "key", "n", "node").join(found, "node", "left").select("doc_id", "key", "n", F.coalesce("component", "node").alias("c"))
 
 
-def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES,
+                     width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
-    named = _components(docs, id_col, text_col, part_bytes)
+    named = _components(docs, id_col, text_col, part_bytes, width, percent)
     names = materialise(named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id")), "names")
     return named.join(names, "c", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES,
+                         width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, of which each component keeps the
     one with the smallest id; documents without words stay."""
-    named = materialise(_components(docs, id_col, text_col, part_bytes).where("n > 0"), "components")
+    named = materialise(_components(docs, id_col, text_col, part_bytes, width, percent).where("n > 0"), "components")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
     first = materialise(named.groupBy("c").agg(F.min(place).alias("first")), "first")
     gone = named.join(first, "c").where(place != F.col("first")).select(F.col("key").alias("__gone")).distinct()

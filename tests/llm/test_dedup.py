@@ -155,6 +155,51 @@ def test_drop_near_duplicates_keeps_the_smallest(spark):
     assert sorted(r[0] for r in out) == sorted({c for _, n, c in jaccard_components(pairs)})
 
 
+def near_copies(pairs, width, percent):
+    """Ids that drop_near_duplicates keeps, by comparing all pairs."""
+    words = [FIELDS.findall(t.lower()) for _, t in pairs]
+    sets = [{tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} for w in words]
+    name = list(range(len(pairs)))
+    for a in range(len(pairs)):
+        for b in range(a):
+            k = len(sets[a] & sets[b])
+            if 100 * k >= percent * (len(sets[a]) + len(sets[b]) - k):
+                name = [name[a] if x == name[b] else x for x in name]
+    return sorted(min(pairs[i][0] for i in range(len(pairs)) if name[i] == c) for c in set(name))
+
+
+def test_near_duplicates_of_another_width_and_similarity(spark):
+    rng = np.random.default_rng(6)
+    pairs = []
+    for i, gone in enumerate([0, 1, 6, 8, 9, 10, 11, 12, 13, 14]):  # 500 words, so many scattered ones changed
+        w = [f"d{i}w{x}" for x in rng.integers(0, 10**6, 500)]
+        pairs.append((10 * i, " ".join(w)))
+        for k in range(gone):
+            w[20 + 37 * k if k < 13 else 499] = f"new{k}"
+        pairs.append((10 * i + 1, " ".join(w)))
+    for n in range(4, 40):  # borderline sizes: 1 to 9 words fewer
+        w = [f"s{n}x{k}" for k in range(n)]
+        pairs += [(1000 + 10 * n, " ".join(w)), (1001 + 10 * n, " ".join(w[:n - max(1, n // 5)])), (1002 + 10 * n, " ".join(w[:-1]))]
+    docs = frame(spark, pairs).repartition(4)
+    got = sorted(r.doc_id for r in ngram_join.drop_near_duplicates(docs, width=5, percent=80).select("doc_id").collect())
+    assert got == near_copies(pairs, 5, 80)
+    assert 51 not in got and 51 in near_copies(pairs, 3, 90)  # ten words changed: 0.817 by five words, 0.886 by three
+
+
+def test_linked_documents_share_a_cell_at_every_similarity():
+    rng = np.random.default_rng(7)
+    for percent in (50, 80, 95):
+        for n in (3, 5, 12, 40, 200, 1500):
+            for _ in range(20):
+                s = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+                gone = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+                t = np.unique(np.concatenate([s[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, gone + 1))).astype(np.uint64)]))
+                k = len(np.intersect1d(s, t))
+                if ngram_join.links(k, len(s), len(t), percent) and max(len(s), len(t)) != k:
+                    a, b = ngram_join.cells(s, percent), ngram_join.cells(t, percent)
+                    assert set(a[0].tolist()) & set(b[0].tolist()) or set(a[1]) & set(b[1])
+
+
 def test_ngram_empty_table(spark):
     assert ngram_join.ngram_components(frame(spark, [])).count() == 0
 
