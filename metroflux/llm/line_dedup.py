@@ -76,12 +76,15 @@ def generalised(docs: DataFrame, keys: DataFrame, depth: int = DEPTH, support: i
     chosen = patterns.where(F.col("n") > depth).join(several, "leaf")
     asked = chosen.groupBy(F.col("at.doc_id").alias("d"), F.col("at.dk").alias("x")).agg(
         F.collect_list(F.struct(F.col("at.line").alias("line"), "leaf", "pattern", "n", "lead_tokens")).alias("asked"))
+    copied = docs.groupBy(F.col("doc_id").alias("d"), F.col("dk").alias("x")).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    asked = asked.join(copied, asked["d"].eqNullSafe(copied["d"]) & (asked["x"] == copied["x"]), "left").select(asked["d"], asked["x"], "asked", F.col("rows").isNotNull().alias("copied"))
     found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("dk") == F.col("x"))).withColumn("lines", F.split("text", "\n"))
-    line = found.select(F.explode(F.transform("asked", lambda a: F.struct(a["leaf"].alias("leaf"), a["pattern"].alias("pattern"), a["n"].alias("n"), a["lead_tokens"].alias("lead_tokens"),
-                                                                           F.element_at("lines", a["line"] + 1).alias("raw")))).alias("a")).select("a.*")
-    tokens = (line.withColumn("m", masked(squeezed(F.col("raw")))).select("leaf", "pattern", "n", "lead_tokens", F.posexplode(F.split("m", " ")).alias("place", "token"))
-              .where((F.col("place") >= depth) & (F.col("token") != FIELD)).select("leaf", "pattern", "n", "lead_tokens", "place", F.xxhash64("token").alias("token")))
+    line = found.select("copied", F.explode(F.transform("asked", lambda a: F.struct(a["leaf"].alias("leaf"), a["pattern"].alias("pattern"), a["n"].alias("n"), a["lead_tokens"].alias("lead_tokens"),
+                                                                           F.element_at("lines", a["line"] + 1).alias("raw")))).alias("a")).select("copied", "a.*")
+    tokens = (line.withColumn("m", masked(squeezed(F.col("raw")))).select("copied", "leaf", "pattern", "n", "lead_tokens", F.posexplode(F.split("m", " ")).alias("place", "token"))
+              .where((F.col("place") >= depth) & (F.col("token") != FIELD)).select("copied", "leaf", "pattern", "n", "lead_tokens", "place", F.xxhash64("token").alias("token")))
     tokens = materialise(tokens, "tokens")
+    tokens = tokens.where("not copied").drop("copied").unionByName(tokens.where("copied").drop("copied").distinct())  # equal rows count once
     constant = tokens.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= support).select("leaf", "place", "token")
     kept = tokens.join(constant, ["leaf", "place", "token"]).groupBy("leaf", "pattern").agg(
         F.count(F.lit(1)).alias("k"), F.max("n").alias("n"), F.max("lead_tokens").alias("lead_tokens"), F.bit_xor(F.xxhash64("place", "token")).alias("g"))

@@ -309,6 +309,18 @@ def test_line_templates(spark):
     assert dropped[5] == 1  # the licence line; "page 5 of 40" is half fields and stays
 
 
+def test_repeated_rows_make_no_token_constant(spark):
+    """The only long lines of a leaf stand in rows that are there twice: they
+    share no token, so none of them is a template."""
+    words = "red orange yellow green blue indigo violet black".split()
+    pairs = [(i if i else None, f"the error in {w}1 {w}a {w}b {w}c {w}d") for i, w in enumerate(words)]
+    pairs += [(20 + i, f"one {w} line of its own\nthe error was shared by {w}x {w}y {w}z") for i, w in enumerate(words)]
+    pairs = [p for p in pairs for _ in range(2)]
+    want = line_brute(pairs)
+    assert all(w[2] == 0 for w in want)
+    assert Counter(records(line_dedup.drop_recurring_lines(frame(spark, pairs).repartition(3)))) == Counter(want)
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.drop_recurring_lines(frame(spark, log_lines()[:5]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
