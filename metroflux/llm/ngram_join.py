@@ -368,10 +368,13 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
                    width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """A spanning set of the true links (a, b) inside the blocking groups
     (node, component)."""
-    named = sets.select("doc_id", "node").join(groups, "node").groupBy("node", "component").agg(F.min("doc_id").alias("at"))
-    texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-             .join(named, F.col("doc_id").eqNullSafe(F.col("at"))).select("component", "node", "text"))
+    row = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
+    named = (sets.groupBy("node", row.alias("at")).agg(F.count(F.lit(1)).alias("rows")).join(groups, "node").groupBy("node", "component")
+             .agg(F.min(F.struct("at", "rows")).alias("m")).select("node", "component", F.col("m.at.id").alias("at"), F.col("m.at.key").alias("at_key"), (F.col("m.rows") > 1).alias("copied")))
+    texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("key"))
+             .join(named, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key"))).select("component", "node", "text", "copied"))
     texts = materialise(texts, "candidates")
+    texts = texts.where("not copied").unionByName(texts.where("copied").dropDuplicates(["component", "node"])).drop("copied")  # a node's text once
     parts = texts.groupBy("component").agg((F.sum(F.octet_length("text")) / part_bytes).cast("int").alias("extra")).where("extra > 0")
     split = texts.join(parts, "component", "left").withColumn("extra", F.coalesce("extra", F.lit(0)))
     own = F.pmod(F.xxhash64("node"), F.col("extra") + 1).cast("int")

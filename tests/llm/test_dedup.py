@@ -200,6 +200,27 @@ def test_linked_documents_share_a_cell_at_every_similarity():
                     assert set(a[0].tolist()) & set(b[0].tolist()) or set(a[1]) & set(b[1])
 
 
+def test_ngram_rows_without_an_id_of_their_own_are_fetched_once(spark, monkeypatch):
+    """Near copies whose ids are null or repeated: one text for each node."""
+    rng, sent = np.random.default_rng(8), {}
+    pairs = []
+    for i in range(60):
+        w = [f"h{x}" for x in range(100)]
+        w[int(rng.integers(0, 100))] = f"n{i}"
+        pairs.append((None if i % 2 else 7, " ".join(w)))
+    pairs += [(8, pairs[0][1])] * 5
+    keep = ngram_join.materialise
+
+    def spy(df, name):
+        sent[name] = keep(df, name)
+        return sent[name]
+
+    monkeypatch.setattr(ngram_join, "materialise", spy)
+    got = records(ngram_join.ngram_components(frame(spark, pairs).repartition(4)))
+    assert Counter(got) == Counter(jaccard_components(pairs))
+    assert sent["candidates"].count() == 60
+
+
 def test_ngram_empty_table(spark):
     assert ngram_join.ngram_components(frame(spark, [])).count() == 0
 
