@@ -34,7 +34,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the lineage is cut, and a lost executor costs no recomputation."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_path = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 # --- word tables -----------------------------------------------------------

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroflux.llm import bpe, decontaminate, exact_dedup, langid, line_dedup, ngram_join, sharding, substring, toxicity, warc
+from metroflux.llm import (bpe, collocations, decontaminate, exact_dedup, langid, line_dedup, ngram_join, sharding, simhash, substring,
+                           toxicity, vector_codes, warc)
 from metroflux.llm.common import table
 
 
@@ -55,9 +56,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontamination, op3_warc, op4_ngram_jaccard, op5_toxicity, op6_sharding,
-                                    op7_substring_dedup, op8_exact_dedup, op9_language_id, op10_byte_bpe)}
+                                    op7_substring_dedup, op8_exact_dedup, op9_language_id, op10_byte_bpe, op11_collocations, op12_simhash,
+                                    op13_vector_codes)}
 
 ORACLES = {"op1_line_dedup": line_dedup.ORACLE, "op2_decontamination": decontaminate.ORACLE, "op3_warc": warc.ORACLE, "op4_ngram_jaccard": ngram_join.ORACLE,
            "op7_substring_dedup": substring.ORACLE,
-           "op8_exact_dedup": exact_dedup.ORACLE}
+           "op8_exact_dedup": exact_dedup.ORACLE, "op11_collocations": collocations.ORACLE, "op13_vector_codes": vector_codes.ORACLE}
