@@ -55,7 +55,6 @@ SEGMENTS = 64
 WORD_SEGMENTS = 1024
 #: text bytes of which a task counts stripes at a time
 BLOCK = 4 << 20
-_RANKED_APART = 64
 
 _PIECE_END = [*range(0x0A, 0x0E), *b".,;:!?"]
 #: words [^\x20\x09]+ of pieces, after lower-casing A-Z
@@ -247,9 +246,13 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     best = cuts.groupBy("lang", "phrase").agg(F.min(F.struct(score.alias("score"), "k", "l", "r", "a")).alias("b")).select(
         "lang", "phrase", "b.a", "b.l", "b.r", "b.score")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    apart = best.withColumn("apart", F.pmod(F.xxhash64("phrase"), F.lit(_RANKED_APART)))
-    apart = apart.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "apart").orderBy(*order))).where(F.col("rank") <= top)
-    ranked = apart.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")).where(F.col("rank") <= top)
+    # ranks are places in ranges of the order plus the ranges' sizes before them
+    ranges = materialise(best.repartitionByRange("lang", *order).withColumn("range", F.spark_partition_id()), "ranges")
+    sizes = ranges.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("size"))
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = materialise(sizes.select("lang", "range", F.coalesce(before, F.lit(0)).alias("before")).where(F.col("before") < top), "range-sizes")
+    place = F.row_number().over(Window.partitionBy("lang", "range").orderBy(*order))
+    ranked = (ranges.join(sizes, ["lang", "range"]).withColumn("rank", (place + F.col("before")).cast("bigint")).where(F.col("rank") <= top))
     return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
