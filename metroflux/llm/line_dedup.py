@@ -99,7 +99,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("dk"))
     keys = materialise(line_keys(rows, depth), "lines")
-    templates = keys.join(generalised(rows, keys, depth, support, similarity), ["leaf", "pattern"], "left")
+    # a table of its own, so that a hot pattern's join can be split
+    patterns = materialise(generalised(rows, keys, depth, support, similarity), "generalised")
+    templates = keys.join(patterns, ["leaf", "pattern"], "left")
     plain = F.when(F.col("plain_tokens") >= F.lit(similarity) * F.col("n"), F.xxhash64("pattern", F.lit("pattern"))).otherwise(F.xxhash64("own", F.lit("line")))
     lines = materialise(templates.select("doc_id", "dk", "line", F.coalesce("template", plain).alias("template")), "templates")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("dk").alias("dk"), F.col("line").alias("line"))
