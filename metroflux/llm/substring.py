@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metroflux.llm.common import _Q, RAW_WORDS, _power_table, mix, ranges, text_blocks, word_hashes
 
@@ -62,7 +63,7 @@ def pack_starts(doc: np.ndarray, start: np.ndarray, ids: np.ndarray, hashes: np.
     gaps = np.diff(start, prepend=0)
     gaps[head] = start[head]
     d = doc[head]
-    return (_pack(ids[d], np.int64), hashes[d].astype(np.int32).tobytes(), _pack(np.diff(np.append(head, len(doc))), np.int32), _pack(gaps, np.int32))
+    return (_pack(ids[d], np.int64), hashes[d].astype(np.int64).tobytes(), _pack(np.diff(np.append(head, len(doc))), np.int32), _pack(gaps, np.int32))
 
 
 def unpack_starts(docs: bytes, hashes: bytes, counts: bytes, gaps: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -70,7 +71,7 @@ def unpack_starts(docs: bytes, hashes: bytes, counts: bytes, gaps: bytes) -> tup
     count, gap = _unpack(counts, np.int32).astype(np.int64), _unpack(gaps, np.int32).astype(np.int64)
     total = np.cumsum(gap)
     head = np.cumsum(count) - count
-    return _unpack(docs, np.int64), np.frombuffer(hashes, np.int32), count, total - np.repeat(total[head] - gap[head], count)
+    return _unpack(docs, np.int64), np.frombuffer(hashes, np.int64), count, total - np.repeat(total[head] - gap[head], count)
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
@@ -244,8 +245,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_words, n_removed, kept (the remaining words, joined by one
     space) for every row of ``docs``."""
     kind = docs.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer column, not {kind.simpleString()}")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("hash"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     counts = word_counts(rows)
     groups = int(counts.sum() // group_words) + 1
     found = all_repeats(suffixes(rows, counts > group_words, groups, width), groups)
