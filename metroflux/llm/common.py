@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from metroflux.session import shared_dir
 
@@ -39,6 +39,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return stored
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer form of it that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keep_rows(docs: DataFrame, id_col: str, key: Column, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that ``gone`` (doc_id,
+    key; distinct) names, and one row of each that ``repeated`` names."""
+    name = unused(docs, "row_key")
+    marked = docs.withColumn(name, key)
+
+    def same(named: DataFrame) -> Column:
+        return marked[id_col].eqNullSafe(named["doc_id"]) & (marked[name] == named["key"])
+
+    stay = marked.join(gone, same(gone), "left_anti")
+    repeated = materialise(repeated, "repeated")
+    if repeated.isEmpty():
+        return stay.drop(name)
+    once = stay.join(repeated, same(repeated), "left_semi").dropDuplicates([id_col, name])
+    return stay.join(repeated, same(repeated), "left_anti").unionByName(once).drop(name)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``materialise`` that nothing reads any more."""
     for df in tables:

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import ALNUM_WORDS, materialise, ranges, text_blocks, word_hashes
+from metroflux.llm.common import ALNUM_WORDS, materialise, ranges, text_blocks, unused, word_hashes
 
 WINDOW = 13
 SLICE_WORDS = 2_000_000
@@ -258,9 +258,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col)))
-    gone = contamination(keyed, benchmark, "__key", text_col).where("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
-    return keyed.join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+    name = unused(docs, "row_key")
+    keyed = docs.withColumn(name, F.xxhash64(F.col(id_col), F.col(text_col)))
+    gone = contamination(keyed, benchmark, name, text_col).where("contaminated").select(F.col("doc_id").alias("gone")).distinct()
+    return keyed.join(gone, keyed[name] == gone["gone"], "left_anti").drop(name)
 
 
 ORACLE = r"""

@@ -5,9 +5,8 @@ one space; equality is decided on the SHA-256 of that text.  Misra-Gries
 summaries (``k`` counters per task, merged to ``k``) find the digests that
 can hold more than 1/k of the rows; their exact counts and winners are
 verified by one pre-aggregated pass and broadcast (at most ``k`` rows), so
-rows of heavy digests are decided in the map tasks.  What is left has no
-digest with more than 1/k of the rows and goes through an ordinary shuffle
-of (digest, id).
+rows of heavy digests are decided in the map tasks.  What is left goes
+through an ordinary shuffle of (digest, id).
 
 Defined cases: a null text counts as empty; a null id sorts after every
 other id; of repeated rows (same id, same text) one stays; an empty table
@@ -23,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import materialise
+from metroflux.llm.common import keep_rows, materialise
 
 SPACES = r"[\x20\x09-\x0D]+"
 K = 1024
@@ -46,8 +45,11 @@ def _shrink(counts: dict, k: int) -> dict:
 
 
 def misra_gries(digests: DataFrame, k: int = K) -> DataFrame:
-    """Candidates (digest, weight) for every value of column ``digest`` that
-    more than 1/(k+1) of the rows hold; at most ``k`` rows."""
+    """Frequent values (digest, weight) of column ``digest``, at most ``k``
+    rows.  Every task's summary holds each value of more than 1/(k+1) of its
+    rows; the merge keeps the k values of most summed weight, which is a good
+    choice but no promise, and nothing rests on it: what is not named here
+    goes the ordinary way."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict = {}
@@ -84,13 +86,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    stay = exact_duplicates(docs, id_col, text_col, k).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    marked = docs.withColumn("__sha2", digest(F.col(text_col)))
-    joined = marked.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__sha2") == F.col("__sha")))
-    one = Window.partitionBy("__id", "__sha").orderBy("__sha")
-    return (joined.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*[docs[c] for c in docs.columns]))
+    """The rows of ``docs`` that stay, with all their columns: the texts are
+    read where they are, and only rows that go are named."""
+    rows = materialise(exact_duplicates(docs, id_col, text_col, k).where("not kept"), "duplicates")
+    winner = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    keys = rows.select("doc_id", F.col("text_sha256").alias("key"), winner.alias("winner"))
+    gone = keys.where("not winner").select("doc_id", "key").distinct()
+    repeated = keys.where("winner").select("doc_id", "key").distinct()
+    return keep_rows(docs, id_col, digest(F.col(text_col)), gone, repeated)
 
 
 ORACLE = """

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import LOWER_WORDS, materialise, mix, text_blocks, word_hashes
+from metroflux.llm.common import LOWER_WORDS, keep_rows, materialise, mix, text_blocks, word_hashes
 from metroflux.llm.components import connected_components
 
 SHINGLE = 3
@@ -369,8 +369,9 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
     """A spanning set of the true links (a, b) inside the blocking groups
     (node, component)."""
     row = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
-    named = (sets.groupBy("node", row.alias("at")).agg(F.count(F.lit(1)).alias("rows")).join(groups, "node").groupBy("node", "component")
-             .agg(F.min(F.struct("at", "rows")).alias("m")).select("node", "component", F.col("m.at.id").alias("at"), F.col("m.at.key").alias("at_key"), (F.col("m.rows") > 1).alias("copied")))
+    # one row a node, pre-aggregated, before anything is joined to it
+    named = (sets.groupBy("node", row.alias("at")).agg(F.count(F.lit(1)).alias("rows")).groupBy("node")
+             .agg(F.min(F.struct("at", "rows")).alias("m")).join(groups, "node").select("node", "component", F.col("m.at.id").alias("at"), F.col("m.at.key").alias("at_key"), (F.col("m.rows") > 1).alias("copied")))
     texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("key"))
              .join(named, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key"))).select("component", "node", "text", "copied"))
     texts = materialise(texts, "candidates")
@@ -432,12 +433,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES,
                          width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, of which each component keeps the
-    one with the smallest id; documents without words stay."""
+    one with the smallest id, and one of that one's repeated rows; documents
+    without words stay."""
     named = materialise(_components(docs, id_col, text_col, part_bytes, width, percent).where("n > 0"), "components")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
     first = materialise(named.groupBy("c").agg(F.min(place).alias("first")), "first")
-    gone = named.join(first, "c").where(place != F.col("first")).select(F.col("key").alias("__gone")).distinct()
-    return docs.withColumn("__key", row_key(id_col, text_col)).join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+    gone = named.join(first, "c").where(place != F.col("first")).select("doc_id", "key").distinct()
+    repeated = named.groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
+    return keep_rows(docs, id_col, row_key(id_col, text_col), gone, repeated)
 
 
 ORACLE = r"""

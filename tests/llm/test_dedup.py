@@ -63,14 +63,14 @@ def test_exact_empty_table(spark):
 
 # --- n-gram Jaccard ----------------------------------------------------------
 
-def shingles(text):
+def shingles(text, width=3):
     w = FIELDS.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
-    return {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+    return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def jaccard_components(pairs):
+def jaccard_components(pairs, width=3, percent=90):
     """(set size, smallest id of the component) of each pair."""
-    sets = [shingles(t) for _, t in pairs]
+    sets = [shingles(t, width) for _, t in pairs]
     parent = list(range(len(pairs)))
 
     def find(i):
@@ -82,7 +82,7 @@ def jaccard_components(pairs):
         for b in range(a):
             if sets[a] and sets[b]:
                 k = len(sets[a] & sets[b])
-                if 100 * k >= 90 * (len(sets[a]) + len(sets[b]) - k):
+                if 100 * k >= percent * (len(sets[a]) + len(sets[b]) - k):
                     parent[find(a)] = find(b)
     names = defaultdict(list)
     for a, (i, _) in enumerate(pairs):
@@ -349,3 +349,53 @@ def test_line_dedup_runs_no_python(spark):
 
 def test_line_dedup_empty_table(spark):
     assert line_dedup.drop_recurring_lines(frame(spark, [])).count() == 0
+
+
+def test_rows_that_stay_whatever_the_other_columns_are_called(spark):
+    from pyspark.sql import functions as F
+
+    from metroflux.llm import exact_dedup, ngram_join
+    words = " ".join(f"w{i}" for i in range(40))
+    pairs = [(1, words), (1, words), (2, words), (3, None), (3, None), (4, ""), (None, words), (5, words + " more")]
+    df = frame(spark, pairs).withColumn("__id", F.lit(7)).withColumn("row_key", F.lit(8)).withColumn("__key", F.lit(9)).withColumn("gone", F.lit(0))
+    exact = exact_dedup.drop_exact_duplicates(df)
+    assert exact.columns == df.columns and sorted((r.doc_id, r.text) for r in exact.collect() if r.text) == [(1, words), (5, words + " more")]
+    assert sorted(r.doc_id for r in exact.collect() if not r.text) == [3]
+    near = ngram_join.drop_near_duplicates(df, width=5, percent=80)
+    assert near.columns == df.columns and sorted(r.doc_id for r in near.collect() if r.text) == [1]
+    assert sorted(r.doc_id for r in near.collect() if not r.text) == [3, 3, 4]
+    for f in (exact_dedup.drop_exact_duplicates, ngram_join.drop_near_duplicates):
+        assert f(df.limit(0)).collect() == []
+
+
+def test_near_duplicate_rule_of_the_pipeline(spark):
+    """Ten of 500 words changed: five-word similarity above 0.8, three-word below 0.9."""
+    import corpus_pipeline
+    from metroflux.llm import ngram_join
+    a = [f"w{i}" for i in range(500)]
+    b = list(a)
+    for i in range(10):
+        b[50 * i + 20] = f"x{i}"
+    df = frame(spark, [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(reversed(a)))])
+    assert sorted(r.doc_id for r in ngram_join.drop_near_duplicates(df).collect()) == [1, 2, 3]
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [1, 3]
+
+
+def test_substring_dedup_of_rows_without_an_id(spark):
+    """Two texts of one 32-bit hash, both without an id."""
+    from pyspark.sql import functions as F
+
+    from metroflux.llm import substring
+    base = " ".join(f"a{i}" for i in range(30))
+    found, n = {}, 0
+    while True:
+        part = [f"{base} t{j} {'z ' * (j % 9)}".strip() for j in range(n, n + 40_000)]
+        n += len(part)
+        hashes = spark.createDataFrame([(t,) for t in part], "t string").select("t", F.hash("t").alias("h")).collect()
+        twice = next(((found[h], t) for t, h in hashes if h in found and len(found[h].split()) != len(t.split()) or found.setdefault(h, t) != t), None)
+        if twice:
+            break
+    out = substring.remove_repeats(frame(spark, [(None, twice[0]), (None, twice[1])])).collect()
+    assert sorted((r.n_words - r.n_removed) for r in out) != [] and sum(r.n_removed for r in out) == 30
+    with pytest.raises(TypeError, match="integer"):
+        substring.remove_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))

@@ -145,7 +145,8 @@ def test_pipeline_exact_stage(stages):
 def test_pipeline_near_duplicate_stage(stages):
     before = [(r.doc_id, r.text) for r in stages[2].select("doc_id", "text").collect()]
     small = [p for p in before if len(p[1]) < 3000]
-    want = {c for _, n, c in jaccard_components(small)}
+    want = {c for _, n, c in jaccard_components(small, 5, 80)}
+    assert want != {c for _, n, c in jaccard_components(small)}
     after = {r.doc_id for r in stages[3].collect()}
     assert after <= {i for i, _ in before}
     assert {i for i, _ in small} & after == want
