@@ -36,8 +36,9 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the smallest id stays."""
-    return ngram_join.drop_near_duplicates(docs)
+    """Of every group of documents linked by 5-word shingles at a similarity
+    of 0.8 or more the one with the smallest id stays."""
+    return ngram_join.drop_near_duplicates(docs, width=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
