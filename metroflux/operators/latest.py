@@ -11,9 +11,12 @@ huge sorted partition).
 from __future__ import annotations
 
 import math
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import labels as L
 from .reports import scoped
@@ -99,17 +102,50 @@ EARTH_RADIUS_M = 6_371_000.0
 MAX_RADIUS_M = 25_000
 
 
+def circle_cover(lat: float, lon: float, radius_m: float) -> tuple[tuple[float, float], list[tuple[float, float]]]:
+    """(latitude range, longitude ranges) that hold every point of a circle,
+    a little wider than it: two ranges where it crosses 180 degrees, none
+    where it holds a pole (every longitude is near)."""
+    slack = 1e-6
+    angle = radius_m / EARTH_RADIUS_M
+    dlat = math.degrees(angle) + slack
+    south, north = lat - dlat, lat + dlat
+    if south <= -90 or north >= 90:
+        return (max(south, -90.0), min(north, 90.0)), []
+    # the widest longitude of a circle is reached a little towards the pole
+    dlon = math.degrees(math.asin(min(1.0, math.sin(angle) / math.cos(math.radians(lat))))) + slack
+    west, east = lon - dlon, lon + dlon
+    if west < -180:
+        return (south, north), [(west + 360, 180.0), (-180.0, east)]
+    if east > 180:
+        return (south, north), [(west, 180.0), (-180.0, east - 360)]
+    return (south, north), [(west, east)]
+
+
+def _between(df: DataFrame, column: str, low: float, high: float) -> Column:
+    """low <= column <= high by literals of the column's type (decimals are
+    rounded outwards)."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.DecimalType):
+        return (F.col(column) >= F.lit(low)) & (F.col(column) <= F.lit(high))
+    step = Decimal(1).scaleb(-kind.scale)
+    bounds = [Decimal(repr(x)).quantize(step, rounding=r) for x, r in ((low, ROUND_FLOOR), (high, ROUND_CEILING))]
+    return (F.col(column) >= F.lit(bounds[0]).cast(kind)) & (F.col(column) <= F.lit(bounds[1]).cast(kind))
+
+
 def within_radius(points: DataFrame, lat: float, lon: float, radius_m: float, limit: int | None = None) -> DataFrame:
     """Points within ``radius_m`` of (lat, lon), nearest first.
 
-    A bounding-box pre-filter on the raw columns is pushed to the scan; the
-    exact haversine distance is then a codegen expression."""
+    The ranges of ``circle_cover`` are compared with the plain columns, as
+    literals of the columns' own type, so that they reach the scan; the exact
+    haversine distance is then a codegen expression."""
     if not 1 <= radius_m <= MAX_RADIUS_M:
         raise ValueError(f"radius must be between 1 and {MAX_RADIUS_M} m, not {radius_m}")
-    dlat = math.degrees(radius_m / EARTH_RADIUS_M)
-    dlon = dlat / max(math.cos(math.radians(lat)), 1e-6)
+    (south, north), longitudes = circle_cover(lat, lon, radius_m)
     la, lo = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    box = (la >= lat - dlat) & (la <= lat + dlat) & (lo >= lon - dlon) & (lo <= lon + dlon)
+    box = _between(points, "latitude", south, north)
+    if longitudes:
+        box = box & reduce(lambda a, b: a | b, [_between(points, "longitude", west, east) for west, east in longitudes])
     p1, p2 = F.radians(F.lit(lat)), F.radians(la)
     a = (F.pow(F.sin((p2 - p1) / 2), 2)
          + F.cos(p1) * F.cos(p2) * F.pow(F.sin((F.radians(lo) - F.radians(F.lit(lon))) / 2), 2))

@@ -74,6 +74,11 @@ def decode(messages: DataFrame, body_col: str = "body") -> DataFrame:
                            *[F.try_variant_get(f"_v_{n}", "$", t).alias(f"_n_{n}") for n, t in INTEGER_FIELDS.items()])
     whole = F.coalesce(F.btrim(body), F.lit(""))
     malformed = (F.col("_m").isNull() & F.col("_j").isNull()) | (F.col("_m").isNotNull() & ~F.endswith(F.rtrim(body), F.lit("}")))
+    # past a closing brace only white space, a comma or another closing bracket may
+    # follow; only bodies with a brace before their last one are looked at
+    inner = F.instr(body, "}") < F.length(F.rtrim(body))
+    bare = F.regexp_replace(body, r'"(?:[^"\\]|\\.)*"', "0")
+    malformed = malformed | F.coalesce(inner & F.when(inner, bare.rlike(r"\}\s*[^\s,}\]]")), F.lit(False))
     other = F.col("_m").isNull() & (whole != "null")      # a JSON null sets no field
     # fenced: what follows uses the parsed fields as columns, never their expressions
     fields = fence(fields.select("*", malformed.alias("_malformed"), other.alias("_other"),

@@ -8,18 +8,18 @@ merged at once:
 * anti / outer join to the table on the key (hash-partitioned on the full
   key, so one hot sensor does not concentrate a partition: the key includes
   the timestamp),
-* union.  ``sources.versioned`` persists the result for the touched days
-  only, as new version directories, then switches a pointer file.
+* union.  Streams keep such tables as batch folders (``sources.batches``).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_lit
+from ..schema import READING_COLUMNS
 
 
 def dedup_batch(batch: DataFrame, key: list[str], arrival: str, keep: str = "last") -> DataFrame:
@@ -41,12 +41,10 @@ def insert_absent(table: DataFrame, batch: DataFrame, key: list[str], arrival: s
     """ON CONFLICT DO NOTHING: the first batch row of a new key is inserted,
     existing keys keep their row.
 
-    The table is only probed with the batch keys (a semi join whose build
-    side is the batch, which AQE broadcasts when it is small), so a large
-    table is filtered in place instead of shuffled for the anti join."""
+    The batch is aggregated once and joined once, to the table's keys alone;
+    the table's rows themselves are not shuffled."""
     first = dedup_batch(batch, key, arrival, "first").drop(arrival)
-    existing = table.select(*key).join(first.select(*key), key, "left_semi")
-    new = first.join(existing, key, "left_anti")
+    new = first.join(table.select(*key), key, "left_anti")
     return table.unionByName(new.select(*table.columns))
 
 
@@ -56,14 +54,18 @@ def merge_columns(table: DataFrame, batch: DataFrame, key: list[str], replace: l
     the (last) batch value, all others keep the table's first-written value;
     unmatched batch rows are inserted whole.
 
-    One left join gives every table row its update, and one anti join of the
-    batch gives the inserts."""
+    One full outer join: the table and the batch are each read once."""
     latest = dedup_batch(batch, key, arrival, "last").drop(arrival)
-    b = latest.select(*key, *[F.col(c).alias("_b_" + c) for c in replace], F.lit(True).alias("_hit"))
-    updated = table.join(b, key, "left").select(
-        *[F.when(F.col("_hit"), F.col("_b_" + c)).otherwise(F.col(c)).alias(c) if c in replace else F.col(c) for c in table.columns])
-    inserted = latest.join(table.select(*key), key, "left_anti").select(*table.columns)
-    return updated.unionByName(inserted)
+    rest = [c for c in table.columns if c not in key]
+    t = table.select(*key, F.struct(*rest).alias("_t"))
+    b = latest.select(*key, F.struct(*rest).alias("_b"))
+    new, old = F.col("_b").isNotNull(), F.col("_t").isNotNull()
+
+    def value(c: str) -> Column:
+        batch_wins = new if c in replace else new & ~old
+        return F.when(batch_wins, F.col("_b")[c]).otherwise(F.col("_t")[c]).alias(c)
+
+    return t.join(b, key, "full_outer").select(*[F.col(c) if c in key else value(c) for c in table.columns])
 
 
 # ------------------------------------------------------------------ archive / retention
@@ -85,6 +87,29 @@ def retention_prune(readings: DataFrame, as_of, days: float = 7, source: str = "
     return readings.filter(~drop)
 
 
+def prune_in_place(spark: SparkSession, path: str, as_of, days: float = 7, source: str = "simulator", metric: str = "NO2",
+                   day: str = "p_date") -> int:
+    """C3 on a stored table partitioned by the day of ``time``: rewrites the
+    days that hold rows to delete, by dynamic partition overwrite, and removes
+    those of which nothing is left; other days' files are not touched.  What
+    reaches the driver is one row a touched day.  Returns the rows deleted;
+    running it again deletes nothing."""
+    table = spark.read.parquet(path)
+    cut = ts_lit(_shift(as_of, -days * 24), table.schema["time"].dataType)
+    drop = (F.col("source") == source) & (F.col("metric") == metric) & (F.col("time") < cut)
+    old = table.filter(F.col(day) <= F.to_date(cut))
+    touched = old.groupBy(day).agg(F.count_if(drop).alias("gone"), F.count_if(~drop).alias("left")).filter("gone > 0").collect()
+    some = [r[day] for r in touched if r["left"]]
+    if some:
+        (old.filter(F.col(day).isin(some) & ~drop).hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(day).parquet(path))
+    for r in touched:
+        if not r["left"]:
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={r[day]}")
+            jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    return sum(r["gone"] for r in touched)
+
+
 def _shift(as_of, hours: float):
     base = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
     return base + _dt.timedelta(hours=hours)
@@ -131,3 +156,31 @@ def reconcile(hot: DataFrame, archive: DataFrame, minimum: int = 1) -> DataFrame
               .when(h != a, "count_mismatch").otherwise("ok"))
     return j.select("source", "metric", "day", h.cast("bigint").alias("hot_rows"), a.cast("bigint").alias("archive_rows"),
                     status.alias("status"))
+
+
+PARTITION = ["source", "metric", "day"]
+
+
+def partition_digests(readings: DataFrame) -> DataFrame:
+    """source, metric, day, rows, checksum: an order-free checksum of the rows'
+    reading columns.  Kept as a manifest beside an archive, it says which days
+    differ without reading them."""
+    def plain(c: str) -> Column:
+        return F.col(c).cast("double") if c in ("value", "latitude", "longitude") else F.unix_micros(F.col(c).cast("timestamp")) if c in ("time", "ingested_at") else F.col(c)
+
+    row = F.xxhash64(*[plain(c) for c in READING_COLUMNS])
+    return (readings.groupBy("source", "metric", F.to_date("time").alias("day"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(row.cast("decimal(20,0)")).alias("checksum")))
+
+
+def differing_partitions(hot: DataFrame, archived: DataFrame) -> DataFrame:
+    """Digests of both sides that are not equal: source, metric, day and a
+    status (missing_in_archive, missing_in_hot, count_mismatch,
+    content_mismatch)."""
+    h = hot.select(*PARTITION, F.col("rows").alias("hot_rows"), F.col("checksum").alias("hot_sum"))
+    a = archived.select(*PARTITION, F.col("rows").alias("archive_rows"), F.col("checksum").alias("archive_sum"))
+    j = h.join(a, PARTITION, "full_outer")
+    status = (F.when(F.col("archive_rows").isNull(), "missing_in_archive").when(F.col("hot_rows").isNull(), "missing_in_hot")
+              .when(F.col("hot_rows") != F.col("archive_rows"), "count_mismatch").when(F.col("hot_sum") != F.col("archive_sum"), "content_mismatch"))
+    return j.select(*PARTITION, F.coalesce("hot_rows", F.lit(0)).alias("hot_rows"), F.coalesce("archive_rows", F.lit(0)).alias("archive_rows"),
+                    status.alias("status")).filter(F.col("status").isNotNull())

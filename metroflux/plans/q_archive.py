@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import reports as RP
+from ..operators import tables as TB
 from ..session import shared_dir
 from ..sources import archive as AR
 from ..sources.fixtures import with_views
@@ -92,6 +93,15 @@ register("archive_table", with_views(f"SELECT {_ARCH_COLS} FROM ({ARCHIVE_SQL})"
 register("archive_export", with_views(f"SELECT * FROM sensor_readings WHERE time >= {ARCH_CUT}", "sensor_readings"))(
     lambda spark, sf: AR.archive_export(R(spark, sf), AR.read_archive(spark, archive_root(spark, sf)), AS_OF,
                                         RETENTION_HOURS, mode="all"))
+
+
+def _export_by_digest(spark, sf):
+    root = archive_root(spark, sf)
+    manifest = TB.partition_digests(TB.archive_dedup(AR.read_archive(spark, root)))
+    return AR.export_by_digest(spark, R(spark, sf), manifest, root)
+
+
+register("export_by_digest", with_views(f"SELECT * FROM sensor_readings WHERE time >= {ARCH_CUT}", "sensor_readings"))(_export_by_digest)
 register("archive_candidates", with_views(f"""SELECT * FROM sensor_readings WHERE time < {ARCH_CUT}
   ORDER BY time, source, metric, sensor_id LIMIT 1000""", "sensor_readings"))(
     lambda spark, sf: AR.export_candidates(R(spark, sf), AS_OF, RETENTION_HOURS, limit=1000))

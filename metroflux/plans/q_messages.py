@@ -61,9 +61,16 @@ _ACC = f"""SELECT * REPLACE (CASE WHEN event_id % 40 = 0 THEN '  ' ELSE sensor_i
     CASE WHEN event_id % 30 = 0 THEN CAST(0 AS SMALLINT) ELSE quality_flag END AS quality_flag,
     CASE WHEN event_id % 101 = 5 THEN TIMESTAMP '0001-01-01' ELSE ingested_at END AS ingested_at)
   FROM readings_arrival WHERE event_id % 50 <> 0 AND NOT {MISMATCH_SQL}"""
-register("decode_validate", with_views(f"""SELECT time, sensor_id, metric, CAST(value AS DOUBLE) AS value, unit, source,
+
+
+def accepted_sql() -> str:
+    """The accepted readings, from the view readings_arrival."""
+    return f"""SELECT time, sensor_id, metric, CAST(value AS DOUBLE) AS value, unit, source,
   CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, quality_flag, ingested_at, schema_version
-  FROM ({_ACC}) WHERE {REASON_SQL} = ''""", "readings_arrival"))(
+  FROM ({_ACC}) WHERE {REASON_SQL} = ''"""
+
+
+register("decode_validate", with_views(accepted_sql(), "readings_arrival"))(
     lambda spark, sf: M.accepted(checked(spark, sf)).withColumn("time", F.col("time").cast("timestamp_ntz"))
     .withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz")))
 

@@ -4,18 +4,24 @@ streaming jobs run with ``availableNow`` and their sink tables are read back."""
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.timefn import ts_lit
+from ..operators import alerts as AL
+from ..operators.reports import with_row
 from ..session import shared_dir
 from ..sources import fixtures as FX
+from ..sources.batches import read_batches
 from ..sources.fixtures import with_views
 from ..streaming import jobs as J
-from .catalog import AS_OF, ASOF, ORACLES, register
-from .q_messages import MISMATCH_SQL, messages
+from .catalog import AS_OF, ASOF, ORACLES, R, register
+from .q_messages import MISMATCH_SQL, accepted_sql, messages
 from .q_quality import REASON_SQL
+from .q_tables import LAST_WEEK, MID, OLDEST
 
 _LANDED: dict[str, str] = {}
 
@@ -53,12 +59,19 @@ def stream_ingest(spark, sf):
 register("stream_ingest", ORACLES["decode_validate"])(stream_ingest)
 
 
+RUNS = (4000, 4000, 10**9)
+
+
 def bounded_consume(spark, sf):
-    """Consume until 5,000 messages were accepted: the first in arrival order."""
+    """Three runs over one landing folder: 4,000 accepted messages, 4,000
+    more, and the rest; how many each run accepted, and the keys of the table
+    after all of them."""
     base = shared_dir(spark, f"bounded-{uuid.uuid4().hex[:8]}")
-    J.bounded_consume(spark, landing_dir(spark, sf), base + "/hot", base + "/dead_letter", base + "/metrics",
-                      limit=5000, checkpoint=base + "/_checkpoint", now=AS_OF)
-    return J.batch_metrics(spark, base + "/metrics").agg(F.sum("accepted").alias("accepted"))
+    for limit in RUNS:
+        J.bounded_consume(spark, landing_dir(spark, sf), base + "/hot", base + "/dead_letter", base + "/metrics", limit, base + "/_checkpoint", now=AS_OF)
+    keys = J.hot_table(spark, base + "/hot").agg(F.count(F.lit(1)).alias("n")).scalar()
+    rejected = J.dead_letters(spark, base + "/dead_letter").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return J.batch_metrics(spark, base + "/metrics").select(F.col("batch_id").alias("run"), "accepted", keys.alias("table_keys"), rejected.alias("all_rejected"))
 
 
 # every 4th message is landed twice
@@ -66,7 +79,10 @@ _LANDED_SQL = "(SELECT * FROM readings_arrival UNION ALL SELECT * FROM readings_
 _GOOD_SQL = f"""(SELECT count(*) FROM (SELECT event_id, {REASON_SQL} AS reason FROM (SELECT * REPLACE (
   CASE WHEN event_id % 40 = 0 THEN '  ' ELSE sensor_id END AS sensor_id, CASE WHEN event_id % 30 = 0 THEN CAST(0 AS SMALLINT) ELSE quality_flag END AS quality_flag)
   FROM {_LANDED_SQL})) WHERE event_id % 50 <> 0 AND NOT {MISMATCH_SQL} AND reason = '')"""
-register("bounded_consume", with_views(f"SELECT CAST(least(5000, {_GOOD_SQL}) AS HUGEINT) AS accepted", "readings_arrival"))(bounded_consume)
+register("bounded_consume", with_views(f"""
+SELECT run, CAST(greatest(0, least(lim, good - used)) AS BIGINT) AS accepted, keys AS table_keys, landed - good AS all_rejected
+FROM (SELECT {_GOOD_SQL} AS good, (SELECT count(*) FROM {_LANDED_SQL}) AS landed, (SELECT count(*) FROM ({accepted_sql()})) AS keys),
+     (VALUES (0::BIGINT, 4000, 0), (1, 4000, 4000), (2, 1000000000, 8000)) r(run, lim, used)""", "readings_arrival"))(bounded_consume)
 
 
 def throughput(spark, sf):
@@ -88,31 +104,95 @@ def _accepted_stream(spark, sf):
 
 def stream_dedup(spark, sf):
     path = shared_dir(spark, f"dedup-{uuid.uuid4().hex[:8]}") + "/out"
-    J.run_to_table(J.dedup_stream(_accepted_stream(spark, sf), "2 hours"), path)
-    return (spark.read.parquet(path).drop("batch_id").withColumn("time", F.col("time").cast("timestamp_ntz"))
+    readings = _accepted_stream(spark, sf)
+    J.drive(readings, J.dedup_batch_sink(spark, path, readings.schema))
+    return (read_batches(spark, path, readings.schema, by_day=True).drop("batch_id", "p_date").withColumn("time", F.col("time").cast("timestamp_ntz"))
             .withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz")))
 
 
 register("stream_dedup", ORACLES["decode_validate"])(stream_dedup)
 
 
+def _weeks(spark, sf):
+    """The readings as a stream that delivers them week by week of the time of
+    ingestion, the oldest week last (two to four weeks late)."""
+    readings = R(spark, sf)
+    path = shared_dir(spark, f"weeks-{uuid.uuid4().hex[:8]}") + "/in"
+    order = [MID, LAST_WEEK, OLDEST, "2024-01-01 00:00:00"]
+    cuts = sorted([*order, AS_OF])
+    for i, start in enumerate(order):
+        end = cuts[cuts.index(start) + 1]
+        at = readings.schema["time"].dataType
+        (readings.filter((F.col("time") >= ts_lit(start, at)) & (F.col("time") < ts_lit(end, at))).coalesce(1)
+         .write.mode("append").parquet(f"{path}/part={i}"))
+    return spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(path + "/part=*"), readings.schema
+
+
 def stream_hourly(spark, sf):
-    ev_stream = (spark.readStream.schema(FX.table(spark, sf, "events").schema)
-                 .option("pathGlobFilter", "events.parquet").parquet(sf))
-    readings = FX._readings_from(ev_stream).drop("event_id")
-    path = shared_dir(spark, f"hourly-{uuid.uuid4().hex[:8]}") + "/out"
-    J.run_to_table(J.hourly_rollup(readings, "2 hours"), path, mode="update")
-    out = spark.read.parquet(path)
-    key = ["bucket", "sensor_id", "metric"]
-    cols = [c for c in out.columns if c not in key + ["batch_id"]]
-    return (out.groupBy(*key).agg(F.max_by(F.struct(*cols), "batch_id").alias("r"))
-            .select(F.col("bucket").cast("timestamp_ntz").alias("bucket"), "sensor_id", "metric",
-                    *[F.col("r." + c).alias(c) for c in cols]))
+    stream, schema = _weeks(spark, sf)
+    base = shared_dir(spark, f"hourly-{uuid.uuid4().hex[:8]}")
+    J.drive(stream, J.hourly_batch(spark, base + "/states", base + "/hours"))
+    return J.hourly_table(spark, base + "/hours", schema["value"].dataType, schema["time"].dataType)
 
 
 register("stream_hourly", ORACLES["hourly_aggregates"])(stream_hourly)
 
 
+def latest_state(spark, sf):
+    """The latest reading of every sensor and metric, kept by a stream."""
+    stream, _ = _weeks(spark, sf)
+    base = shared_dir(spark, f"state-{uuid.uuid4().hex[:8]}")
+    J.drive(stream, J.state_batch(spark, base + "/latest", base + "/sources"))
+    return J.latest_state(spark, base + "/latest").select(
+        F.col("time").cast("timestamp_ntz").alias("time"), "sensor_id", "source", "metric", "value", "unit", "latitude", "longitude", "quality_flag",
+        F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
+
+
+register("latest_state", with_views("""
+SELECT time, sensor_id, source, metric, CAST(value AS DOUBLE) AS value, unit, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+       quality_flag, ingested_at FROM sensor_readings
+QUALIFY row_number() OVER (PARTITION BY sensor_id, metric ORDER BY time DESC, ingested_at DESC, source DESC) = 1""", "sensor_readings"))(latest_state)
+
+
+def alerts_from_state(spark, sf):
+    """E1, E2 and the times of the overview from the kept source times."""
+    stream, _ = _weeks(spark, sf)
+    base = shared_dir(spark, f"state-{uuid.uuid4().hex[:8]}")
+    J.drive(stream, J.state_batch(spark, base + "/latest", base + "/sources"))
+    seen = J.source_state(spark, base + "/sources")
+    row = with_row(AL.alert_no_ingestion(seen, AS_OF).withColumnRenamed("value", "no_ingestion"),
+                   AL.alert_source_freshness(seen, AS_OF).withColumnRenamed("value", "source_freshness"))
+    return with_row(row, seen.agg(F.max("time").cast("timestamp_ntz").alias("latest_reading_at"), F.max("ingested_at").cast("timestamp_ntz").alias("latest_ingested_at")))
+
+
+_MINUTES = f"(epoch_us({ASOF}) - epoch_us(%s)) / 60000000.0"
+register("alerts_from_state", with_views(f"""
+SELECT round({_MINUTES % 'max(i)'}, 6) AS no_ingestion, round(max({_MINUTES % 'i'}), 6) AS source_freshness, max(t) AS latest_reading_at, max(i) AS latest_ingested_at
+FROM (SELECT source, max(time) AS t, max(ingested_at) AS i FROM sensor_readings GROUP BY source)""", "sensor_readings"))(
+    lambda spark, sf: alerts_from_state(spark, sf).withColumn("no_ingestion", F.round("no_ingestion", 6)).withColumn("source_freshness", F.round("source_freshness", 6)))
+
+
+def redelivery(spark, sf):
+    """Messages whose sensor number says how often they fail before they are
+    taken (by % 8): attempts, outcome and the seconds until it."""
+    base = shared_dir(spark, f"redelivery-{uuid.uuid4().hex[:8]}")
+    failures = F.substring("attributes.sensor_id", 3, 9).cast("int") % 8
+    step = J.redelivery(spark, base + "/ledger", base + "/settled", lambda attempt: failures >= attempt)
+    landed = spark.read.schema(J.MESSAGE_FILE_SCHEMA).json(landing_dir(spark, sf))
+    start = dt.datetime.fromisoformat(AS_OF)
+    for number, seconds in enumerate((0, 5, 10, 30, 60, 70, 150, 3600)):  # a clock that ticks, also when nothing is due
+        step(landed if number == 0 else None, number, start + dt.timedelta(seconds=seconds))
+    settled = J.settled_messages(spark, base + "/settled")
+    waited = F.unix_seconds("settled_at") - F.unix_seconds(F.lit(AS_OF).cast("timestamp"))
+    return settled.groupBy(F.col("attributes.sensor_id").alias("sensor_id"), "attempts", "outcome", waited.alias("after_seconds")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+register("redelivery", with_views(f"""
+SELECT sensor_id, CAST(least(k + 1, 5) AS INTEGER) AS attempts, CASE WHEN k < 5 THEN 'accepted' ELSE 'dead_letter' END AS outcome,
+       CAST(10 * (power(2, least(k, 4)) - 1) AS BIGINT) AS after_seconds, count(*) AS messages
+FROM (SELECT sensor_id, CAST(substr(sensor_id, 3) AS INTEGER) % 8 AS k FROM {_LANDED_SQL}) GROUP BY ALL""", "readings_arrival"))(redelivery)
+
+
 def media_notifications(spark, sf):
     raw = FX.media_raw(spark, sf)
     name = F.regexp_replace("media_uri", r"^gs://[^/]+/", "")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_lit
 from ..operators import safety as SF
 from ..operators import tables as TB
+from ..session import shared_dir
 from ..sources import fixtures as FX
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
@@ -170,7 +173,28 @@ SELECT source, metric, day, CAST(coalesce(hot_rows, 0) AS BIGINT) AS hot_rows,
 FROM h FULL OUTER JOIN a USING (source, metric, day)""", "readings_arrival", "sensor_readings"))(
     lambda spark, sf: TB.reconcile(R(spark, sf), TB.archive_dedup(archive_rows(spark, sf))))
 
+# the archive's first days were exported twice: as many keys, another ingestion time
+register("reconcile_content", with_views(f"""
+WITH h AS (SELECT source, metric, CAST(time AS DATE) AS day, count(*) AS hot_rows, sum(epoch_us(ingested_at)) AS hot_sum FROM sensor_readings GROUP BY ALL),
+a AS (SELECT source, metric, CAST(time AS DATE) AS day, count(*) AS archive_rows, sum(epoch_us(ingested_at)) AS archive_sum FROM ({DEDUP_ARCHIVE_SQL}) GROUP BY ALL)
+SELECT * EXCLUDE (hot_sum, archive_sum) FROM (SELECT source, metric, day, coalesce(hot_rows, 0) AS hot_rows, coalesce(archive_rows, 0) AS archive_rows, hot_sum, archive_sum,
+  CASE WHEN archive_rows IS NULL THEN 'missing_in_archive' WHEN hot_rows IS NULL THEN 'missing_in_hot' WHEN hot_rows <> archive_rows THEN 'count_mismatch'
+       WHEN hot_sum <> archive_sum THEN 'content_mismatch' END AS status FROM h FULL OUTER JOIN a USING (source, metric, day)) WHERE status IS NOT NULL""",
+                                         "readings_arrival", "sensor_readings"))(
+    lambda spark, sf: TB.differing_partitions(TB.partition_digests(R(spark, sf)), TB.partition_digests(TB.archive_dedup(archive_rows(spark, sf)))))
+
+
 # ---------------------------------------------------------------- C3 retention_prune
+def _pruned_in_place(spark, sf):
+    """The readings as a table by day, after its rows due for deletion went."""
+    path = shared_dir(spark, f"prune-{uuid.uuid4().hex[:8]}") + "/readings"
+    R(spark, sf).withColumn("p_date", F.to_date("time")).hint("rebalance", "p_date").write.partitionBy("p_date").parquet(path)
+    TB.prune_in_place(spark, path, AS_OF, 7)
+    return spark.read.parquet(path).drop("p_date")
+
+
+register("retention_prune_in_place", with_views(f"""SELECT * FROM sensor_readings
+  WHERE NOT (source = 'simulator' AND metric = 'NO2' AND time < {Q.cutoff(7 * 24)})""", "sensor_readings"))(_pruned_in_place)
 register("retention_prune", with_views(f"""SELECT * FROM sensor_readings
   WHERE NOT (source = 'simulator' AND metric = 'NO2' AND time < {Q.cutoff(7 * 24)})""", "sensor_readings"))(
     lambda spark, sf: TB.retention_prune(R(spark, sf), AS_OF, 7))

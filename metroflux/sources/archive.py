@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import partition_value
 from ..functions.timefn import seconds_between, ts_lit
+from ..operators import tables as TB
 
 ARCHIVE_SCHEMA = T.StructType([
     T.StructField("time", T.TimestampNTZType()), T.StructField("sensor_id", T.StringType()),
@@ -159,6 +160,25 @@ def archive_export(readings: DataFrame, archived: DataFrame | None, as_of, reten
     return due.join(keys, ["time", "sensor_id", "metric"], "left_anti")
 
 
+def export_by_digest(spark: SparkSession, readings: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
+    """C1 by partition digest: rows of the days on which the readings differ
+    from the archive's ``manifest`` (``tables.partition_digests`` of what was
+    archived), without those the archive holds.  Of the archive only the
+    folders of these days are read; their list (source, metric, day) is what
+    reaches the driver."""
+    differing = TB.differing_partitions(TB.partition_digests(readings), manifest).filter(F.col("hot_rows") > 0)
+    days = differing.select(*TB.PARTITION, "archive_rows", partition_value("source").alias("p_source"), partition_value("metric").alias("p_metric")).collect()
+    if not days:
+        return readings.limit(0)
+    listed = spark.createDataFrame([tuple(d)[:3] for d in days], "source string, metric string, day date")
+    due = readings.withColumn("day", F.to_date("time")).join(listed, TB.PARTITION, "left_semi").drop("day")
+    folders = [f"{root}/p_source={d['p_source']}/p_metric={d['p_metric']}/year={d['day']:%Y}/month={d['day']:%m}/day={d['day']:%d}" for d in days if d["archive_rows"]]
+    if not folders:
+        return due
+    held = spark.read.schema(ARCHIVE_SCHEMA).parquet(*folders).select("time", "sensor_id", "metric")
+    return due.join(held, ["time", "sensor_id", "metric"], "left_anti")
+
+
 def expired_partitions(files: DataFrame, as_of, days: int = 365) -> DataFrame:
     """Day partitions older than ``days`` (by partition date)."""
     d = F.try_to_date(F.concat_ws("-", _key("object_name", "year"), _key("object_name", "month"),

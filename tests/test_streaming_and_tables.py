@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from metroflux.operators import sampler as SM
 from metroflux.sources import archive as AR
-from metroflux.sources import versioned as V
+from metroflux.sources import batches as B
 from metroflux.streaming import jobs as J
 from tests.test_reference_cases import BASE, SCHEMA, reading
 
@@ -71,31 +71,159 @@ def test_newer_publish_time_wins_whatever_the_file_order(spark):
         assert J.hot_table(spark, f"{base}/hot{k}").filter(F.col("time") == F.lit(t0)).first().value == 2.0
 
 
-def test_upsert_rewrites_only_touched_days_behind_a_pointer(spark):
-    path = tempfile.mkdtemp(prefix="mf-upsert-") + "/t"
-    t0, key = dt.datetime(2026, 5, 20, 12, 0), ["time", "sensor_id", "metric"]
-
-    def batch(arrival, **values):
-        return reading(spark, **values).withColumn("arrival", F.lit(arrival)).withColumn("p_date", F.to_date("time"))
-
-    schema = reading(spark).schema
-    both = batch(1, time=t0).unionByName(batch(1, time=t0 + dt.timedelta(days=1)))
-    assert V.upsert_table(spark, path, both.limit(0), key) == 0 and V.read_table(spark, path, schema).count() == 0
-    assert V.upsert_table(spark, path, both, key) == 1
-    for _ in range(2):                                                                   # replayed: the same rows
-        V.upsert_table(spark, path, batch(2, time=t0, value=99.0), key)
-        assert sorted(r.value for r in V.read_table(spark, path, schema).collect()) == [12.5, 99.0]
-    number, days = V.pointer(spark, path)
-    assert number == 3 and {d: v.split("-")[0] for d, v in days.items()} == {"2026-05-20": "3", "2026-05-21": "1"}
-    # a write that died before its pointer leaves the table as it was
-    (batch(9, time=t0, value=1.0).drop("arrival").withColumn("version", F.lit("4-dead")).write.mode("append").partitionBy("p_date", "version").parquet(path))
-    assert sorted(r.value for r in V.read_table(spark, path, schema).collect()) == [12.5, 99.0]
-    day = V.read_table(spark, path, schema, ["2026-05-20"])
-    plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "p_date" in plan.split("PartitionFilters: [")[1].split("]")[0] and [r.value for r in day.collect()] == [99.0]
-    assert V.vacuum(spark, path, keep=1) == 2 and V.pointer(spark, path)[0] == 3         # 1 and 2 of the first day; the unfinished 4 is younger
-    assert V.upsert_table(spark, path, batch(3, time=t0, value=99.0), key) == 4 and V.vacuum(spark, path, keep=1) == 2
-    assert sorted(r.value for r in V.read_table(spark, path, schema).collect()) == [12.5, 99.0]
+def test_two_cuts_of_the_same_messages_give_one_table(spark):
+    """An older message in a later batch does not win."""
+    t0 = dt.datetime(2026, 5, 20, 12, 0)
+    new = _messages(spark, [dict(time=t0, value=2.0)], "2026-05-20 12:10:00")
+    old = _messages(spark, [dict(time=t0, value=1.0), dict(time=t0 + dt.timedelta(days=1), value=5.0)], "2026-05-20 12:05:00")
+    tables = []
+    for cut in ([new.unionByName(old)], [new, old], [old, new], [old, new, old]):
+        base = tempfile.mkdtemp(prefix="mf-cut-")
+        sink = J.ingest_batch(spark, base + "/hot", base + "/dead", base + "/metrics")
+        for i, batch in enumerate(cut):
+            sink(batch, i)
+        hot = J.hot_table(spark, base + "/hot")
+        tables.append(sorted(tuple(r) for r in hot.collect()))
+        plan = hot.filter(F.col("p_date") == dt.date(2026, 5, 20))._jdf.queryExecution().executedPlan().toString()
+        assert "p_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(t == tables[0] for t in tables) and [r[3] for r in tables[0]] == [2.0, 5.0]
+
+
+def test_batches_without_a_finished_folder_do_not_count(spark):
+    path = tempfile.mkdtemp(prefix="mf-batches-") + "/t"
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert B.batch_ids(spark, path) == [] and B.read_batches(spark, path, df.schema).count() == 0
+    for _ in range(2):
+        B.write_batch(df, path, 0)
+    B.write_batch(df, path, 2)
+    os.makedirs(path + "/batch_id=7")
+    assert B.batch_ids(spark, path) == [0, 2] and B.last_before(spark, path, 7) == 2 and B.last_before(spark, path, 1) == 0 and B.last_before(spark, path, 0) is None
+    assert B.read_batches(spark, path, df.schema).count() == 2 and B.read_batches(spark, path, df.schema, only=2).count() == 1
+
+
+def test_every_sink_can_run_a_batch_again(spark):
+    t0 = dt.datetime(2026, 5, 20, 12, 0)
+    batches = [reading(spark, time=t0, value=10.0).unionByName(reading(spark, time=t0 + dt.timedelta(minutes=10), value=20.0)),
+               reading(spark, time=t0 - dt.timedelta(days=2), value=1.0).unionByName(reading(spark, time=t0, value=10.0))]
+    results = []
+    for order in ([0, 1], [0, 0, 1, 1], [1, 0]):
+        base = tempfile.mkdtemp(prefix="mf-sinks-")
+        sinks = [J.hourly_batch(spark, base + "/states", base + "/hours"), J.state_batch(spark, base + "/latest", base + "/sources"),
+                 J.dedup_batch_sink(spark, base + "/once", batches[0].schema)]
+        number = {b: i for i, b in enumerate(dict.fromkeys(order))}
+        for b in order:
+            for sink in sinks:
+                sink(batches[b], number[b])
+        kind = batches[0].schema
+        hours = J.hourly_table(spark, base + "/hours", kind["value"].dataType, kind["time"].dataType)
+        results.append([sorted(tuple(r) for r in df.collect()) for df in (
+            hours, J.latest_state(spark, base + "/latest"), J.source_state(spark, base + "/sources"),
+            B.read_batches(spark, base + "/once", kind, by_day=True).drop("batch_id", "p_date"))])
+    assert results[0] == results[1] == results[2]
+    hours, latest, sources, once = results[0]
+    assert [(r[0], r[3], r[6]) for r in hours] == [(t0 - dt.timedelta(days=2), 1.0, 1), (t0, 40 / 3, 3)]     # two days late, and in its hour
+    assert len(once) == 3 and [r[0] for r in latest] == [t0 + dt.timedelta(minutes=10)] and len(sources) == 1
+
+
+def test_alerts_read_the_kept_state_only(spark):
+    from metroflux.operators import alerts as AL
+    base = tempfile.mkdtemp(prefix="mf-state-")
+    sink = J.state_batch(spark, base + "/latest", base + "/sources")
+    for i in range(3):
+        at = dt.datetime(2026, 5, 20, 12, 10 * i)
+        sink(reading(spark, time=at, ingested_at=at), i)
+    state = AL.alert_no_ingestion(J.source_state(spark, base + "/sources"), "2026-05-20 12:50:00")
+    assert state.first().value == 30.0
+    files = state.inputFiles()
+    assert files and all("/sources/batch_id=2/" in f for f in files)
+
+
+def test_redelivery_backs_off_and_gives_up(spark):
+    base = tempfile.mkdtemp(prefix="mf-retry-")
+    fails = {"a": 0, "b": 2, "c": 9}
+    msgs = spark.createDataFrame([(k, {"n": str(v)}, None) for k, v in fails.items()], J.MESSAGE_FILE_SCHEMA)
+    step = J.redelivery(spark, base + "/ledger", base + "/settled", lambda attempt: F.col("attributes")["n"].cast("int") >= attempt)
+    t0, seen = dt.datetime(2026, 5, 20, 12, 0), []
+    for i, s in enumerate([0, 9, 10, 29, 30, 69, 70, 149, 150, 151]):
+        for _ in range(2 if i % 3 == 0 else 1):                                          # some steps run twice
+            step(msgs if i == 0 else None, i, t0 + dt.timedelta(seconds=s))
+        seen.append(B.read_batches(spark, base + "/ledger", J.LEDGER_SCHEMA, only=i).count())
+    settled = {r.body: (r.attempts, r.outcome, (r.settled_at - t0).seconds) for r in J.settled_messages(spark, base + "/settled").collect()}
+    assert settled == {"a": (1, "accepted", 0), "b": (3, "accepted", 30), "c": (5, "dead_letter", 150)}
+    assert seen == [2, 2, 2, 2, 1, 1, 1, 1, 0, 0]
+    waits = spark.range(1, 12).select(J.backoff_seconds(F.col("id").cast("int")).alias("s")).collect()
+    assert [int(r.s) for r in waits] == [10, 20, 40, 80, 160, 320, 600, 600, 600, 600, 600]
+
+
+def test_prune_in_place_touches_only_days_with_rows_to_delete(spark):
+    from metroflux.operators import tables as TB
+    path = tempfile.mkdtemp(prefix="mf-prune-") + "/t"
+    day = lambda d: dt.datetime(2026, 5, d, 12, 0)
+    rows = None
+    for kw in (dict(time=day(1), metric="NO2", unit="ppb"), dict(time=day(2), metric="NO2", unit="ppb"), dict(time=day(2)), dict(time=day(3)), dict(time=day(19), metric="NO2", unit="ppb")):
+        r = reading(spark, **kw)
+        rows = r if rows is None else rows.unionByName(r)
+    rows.withColumn("p_date", F.to_date("time")).write.partitionBy("p_date").parquet(path)
+    before = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("p_date")}
+    assert TB.prune_in_place(spark, path, "2026-05-20 00:00:00", 7) == 2
+    after = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("p_date")}
+    assert set(before) - set(after) == {"p_date=2026-05-01"}
+    assert all(after[d] == before[d] for d in ("p_date=2026-05-03", "p_date=2026-05-19"))
+    assert sorted((r.time.day, r.metric) for r in spark.read.parquet(path).collect()) == [(2, "PM2.5"), (3, "PM2.5"), (19, "NO2")]
+    assert TB.prune_in_place(spark, path, "2026-05-20 00:00:00", 7) == 0
+
+
+def test_export_by_digest_reads_differing_days_only(spark):
+    from metroflux.operators import tables as TB
+    root = tempfile.mkdtemp(prefix="mf-digest-") + "/a"
+    base = reading(spark).select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ("time", "ingested_at") else F.col(c) for c in reading(spark).columns])
+    day = lambda d, h=12, v=1.0: base.withColumn("time", F.lit(dt.datetime(2026, 5, d, h)).cast("timestamp_ntz")).withColumn("value", F.lit(v))
+    archived = day(1).unionByName(day(2)).unionByName(day(3))
+    AR.write_archive(archived, root)
+    manifest = TB.partition_digests(AR.read_archive(spark, root))
+    hot = archived.unionByName(day(2, 13)).unionByName(day(4)).filter(F.dayofmonth("time") != 3).unionByName(day(3, v=9.0))
+    out = AR.export_by_digest(spark, hot, manifest, root)
+    assert sorted((r.time.day, r.time.hour) for r in out.collect()) == [(2, 13), (4, 12)]
+    read = {f.split("day=")[1][:2] for f in out.inputFiles() if root in f}
+    assert read == {"02", "03"}
+    states = {r.day.day: r.status for r in TB.differing_partitions(TB.partition_digests(hot), manifest).collect()}
+    assert states == {2: "count_mismatch", 3: "content_mismatch", 4: "missing_in_archive"}
+    assert AR.export_by_digest(spark, archived, manifest, root).count() == 0
+
+
+def test_radius_across_the_date_line_and_at_the_poles(spark):
+    import math
+
+    from metroflux.operators import latest as LT
+    rnd = random.Random(3)
+    points = [(rnd.uniform(-0.4, 0.4) + la, lo) for la in (-16.0, 65.0) for lo in [rnd.uniform(179.7, 180) * rnd.choice([1, -1]) for _ in range(150)]]
+    points += [(rnd.choice([1, -1]) * rnd.uniform(89.6, 90), rnd.uniform(-180, 180)) for _ in range(200)]
+
+    def far(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * LT.EARTH_RADIUS_M * math.asin(math.sqrt(h))
+    path = tempfile.mkdtemp(prefix="mf-radius-") + "/p"
+    kinds = (("double", "double"), ("decimal(9,6)", "decimal(9,6)"))
+    for i, (a, b) in enumerate(kinds):
+        df = spark.createDataFrame([(f"{n:04d}", round(x, 6), round(y, 6)) for n, (x, y) in enumerate(points)], "sensor_id string, latitude double, longitude double")
+        df.select("sensor_id", F.col("latitude").cast(a).alias("latitude"), F.col("longitude").cast(b).alias("longitude")).write.parquet(f"{path}{i}")
+        stored = spark.read.parquet(f"{path}{i}")
+        for lat, lon in ((-16.0, 179.9995), (-16.1, -179.99), (65.2, 180.0), (89.9, 12.0), (-89.95, -100.0), (90.0, 0.0)):
+            got = LT.within_radius(stored, lat, lon, 20_000)
+            want = sorted(f"{n:04d}" for n, (x, y) in enumerate(points) if round(far(lat, lon, round(x, 6), round(y, 6)), 3) <= 20_000)
+            assert sorted(r.sensor_id for r in got.collect()) == want and want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(latitude" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_a_second_json_value_in_a_body_is_rejected(spark):
+    from metroflux.operators import messages as M
+    good = _messages(spark, [dict(value=1.0)], "2026-05-20 12:30:00").first().body
+    bodies = {good: True, good + "  ": True, good + good: False, good + " " + good: False, good + ' [1] ' + good: False, good + ' "x" ' + good: False,
+              good[:-1] + ',"note":{"a":{"b":"}{"}}}': True, good[:-1] + ',"note":[{"a":1},{"b":"\\\\"}]}': True, good[:-1] + ',"note":"} {"}': True}
+    df = spark.createDataFrame([(b, {}, None) for b in bodies], J.MESSAGE_FILE_SCHEMA)
+    assert {r.body: r.decode_error is None for r in M.decode(df).collect()} == bodies
 
 
 def test_archive_write_empty_and_one_row(spark):
@@ -160,17 +288,40 @@ def test_csv_export_and_listing(spark):
     assert rows == {"ds/Assault/a.png": 10, "ds/Robbery/b.png": 0, "ds/Normal/c.png": 0}
 
 
-def test_bounded_consume_stops_after_limit(spark):
+def test_bounded_runs_lose_nothing(spark):
+    """Ten messages and a bad one, runs of 4, 4 and 100; nothing new between them."""
+    import pytest
     base = tempfile.mkdtemp(prefix="mf-bounded-")
     land = os.path.join(base, "landing")
     t0 = dt.datetime(2026, 5, 20, 12, 0)
-    for f in range(3):
-        _land(spark, [dict(time=t0 + dt.timedelta(minutes=10 * f + i), value=1.0) for i in range(2)], land)
-    got = J.bounded_consume(spark, land, base + "/hot", base + "/dead", base + "/metrics", limit=3,
-                            checkpoint=base + "/ckpt")
-    assert got == 3
-    minutes = sorted(r.time.minute for r in J.hot_table(spark, base + "/hot").collect())
-    assert minutes[:2] == [0, 1] and minutes[2:] in ([10], [11])                         # the first in arrival order; the second file is a tie
+    _land(spark, [dict(time=t0 + dt.timedelta(minutes=i), ingested_at=t0 + dt.timedelta(minutes=i)) for i in range(5)], land)
+    _land(spark, [dict(time=t0 + dt.timedelta(minutes=i), ingested_at=t0 + dt.timedelta(minutes=i)) for i in range(5, 10)] + [dict(sensor_id=" ")], land)
+    args = (spark, land, base + "/hot", base + "/dead", base + "/metrics")
+    got = [J.bounded_consume(*args, n, base + "/ckpt") for n in (4, 4, 100, 100)]
+    assert got == [4, 4, 2, 0]
+    assert sorted(r.time.minute for r in J.hot_table(spark, base + "/hot").collect()) == list(range(10))
+    assert J.dead_letters(spark, base + "/dead").count() == 1
+    _land(spark, [dict(time=t0 + dt.timedelta(minutes=30))] * 3, land)                  # equal messages count one by one
+    assert [J.bounded_consume(*args, 2, base + "/ckpt") for _ in range(2)] == [2, 1]
+    for bad in (0, -1):
+        with pytest.raises(ValueError, match="limit"):
+            J.bounded_consume(*args, bad, base + "/ckpt")
+
+
+def test_a_bounded_run_that_died_is_done_again(spark, monkeypatch):
+    import pytest
+    base = tempfile.mkdtemp(prefix="mf-died-")
+    land = os.path.join(base, "landing")
+    t0 = dt.datetime(2026, 5, 20, 12, 0)
+    _land(spark, [dict(time=t0 + dt.timedelta(minutes=i)) for i in range(6)], land)
+    args = (spark, land, base + "/hot", base + "/dead", base + "/metrics")
+    assert J.bounded_consume(*args, 2, base + "/ckpt") == 2
+    with monkeypatch.context() as m:
+        m.setattr(J.M, "dead_letter", lambda checked: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            J.bounded_consume(*args, 3, base + "/ckpt")
+    assert [J.bounded_consume(*args, 3, base + "/ckpt") for _ in range(2)] == [3, 1]
+    assert J.hot_table(spark, base + "/hot").count() == 6
 
 
 def test_archive_expiry_deletes_old_partitions(spark):
@@ -233,13 +384,13 @@ def test_archive_age_expiry_job_and_manifest(spark):
 def test_reports_prune_days_and_unused_fallbacks(spark):
     from metroflux.operators import reports as RP
     path = tempfile.mkdtemp(prefix="mf-days-") + "/t"
-    t0, key = dt.datetime(2026, 5, 1, 12, 0), ["time", "sensor_id", "metric"]
+    t0 = dt.datetime(2026, 5, 1, 12, 0)
     rows = None
     for d in range(20):
-        r = reading(spark, time=t0 + dt.timedelta(days=d), ingested_at=t0 + dt.timedelta(days=d)).withColumn("arrival", F.lit(1)).withColumn("p_date", F.to_date("time"))
+        r = reading(spark, time=t0 + dt.timedelta(days=d), ingested_at=t0 + dt.timedelta(days=d)).withColumn("p_date", F.to_date("time"))
         rows = r if rows is None else rows.unionByName(r)
-    V.upsert_table(spark, path, rows, key)
-    hot = V.read_table(spark, path, reading(spark).schema)
+    B.write_batch(rows, path, 0, by_day=True)
+    hot = B.read_batches(spark, path, reading(spark).schema, by_day=True)
     summary = RP.source_summary(hot, "2026-05-20 13:00:00", 48)
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert "p_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
