@@ -110,14 +110,31 @@ def classes(n: int, percent: int = PERCENT) -> list[int]:
     return list(range(own, most + 1))
 
 
+def slab_plan(percent: int) -> tuple[int, float]:
+    """(shingles from which a slab tells enough, slabs for each one that the
+    differences of linked sets can spoil at most).  At a high similarity slabs
+    are large, and few of them tell little.  At a lower one they are smaller;
+    with half as many again and a lower bar, the equal ones outnumber those
+    that tell little in nearly every set."""
+    return (FEW, 1.0) if percent >= 90 else (2, 1.5)
+
+
 def cells(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Cells of a set: hashes of the telling ones, (hash, class) of the
-    others."""
+    others.
+
+    Two sets that link differ in at most ``away`` shingles, each of which
+    spoils one slab, so at least ``slabs - away`` slabs are equal.  A set with
+    fewer slabs that tell little than that shares a telling one with every
+    partner, and its others need not be looked at."""
     telling, others = [], []
+    few, spread = slab_plan(percent)
     for c in classes(len(s), percent):
-        slabs = 2 * int(UPPER[c]) * (100 - percent) // (100 + percent) + 1
-        if slabs == 1:
+        most = 2 * int(UPPER[c]) * (100 - percent) // (100 + percent)
+        if most == 0:
             continue  # so small that only equal sets link
+        slabs = int(spread * (most + 1))
+        away = (len(s) + min(int(UPPER[c]), 100 * len(s) // percent)) * (100 - percent) // (100 + percent)
         place = mix(s ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(20)  # 44 bits
         slab = (place % np.uint64(slabs)).astype(np.int64)
         group = (place // np.uint64(slabs)) % np.uint64(SLAB_GROUPS)
@@ -127,8 +144,9 @@ def cells(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[tuple
         np.add.at(value, slab, weight)
         size = np.bincount(slab, minlength=slabs)
         cell = mix(value + np.arange(slabs, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(c << 48))
-        telling.append(cell[size >= FEW])
-        others += [(int(x), c) for x in cell[size < FEW].view(np.int64)]
+        telling.append(cell[size >= few])
+        if np.count_nonzero(size < few) >= slabs - away:
+            others += [(int(x), c) for x in cell[size < few].view(np.int64)]
     return (np.concatenate(telling) if telling else np.zeros(0, dtype=np.uint64)), others
 
 

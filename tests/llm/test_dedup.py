@@ -399,3 +399,21 @@ def test_substring_dedup_of_rows_without_an_id(spark):
     assert sorted((r.n_words - r.n_removed) for r in out) != [] and sum(r.n_removed for r in out) == 30
     with pytest.raises(TypeError, match="integer"):
         substring.remove_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_cell(percent):
+    rng = np.random.default_rng(0)
+    seen = 0
+    for _ in range(1500):
+        n = int(rng.integers(5, 400))
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        other = base.copy()
+        k = int(rng.integers(0, max(1, n // 7) + 1))
+        other[:k] = rng.integers(0, 2**63, k)
+        a, b = np.unique(base), np.unique(other[int(rng.integers(0, max(1, n // 8))):])
+        if ngram_join.links(len(np.intersect1d(a, b)), len(a), len(b), percent) and ngram_join.node_of(a) != ngram_join.node_of(b):
+            (ta, oa), (tb, ob) = ngram_join.cells(a, percent), ngram_join.cells(b, percent)
+            assert set(ta.tolist()) & set(tb.tolist()) or set(oa) & set(ob)
+            seen += 1
+    assert seen > 200
