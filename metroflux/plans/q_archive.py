@@ -22,7 +22,7 @@ from .catalog import AS_OF, HOURS, IM, R, register
 from .q_quality import FRESH_SQL, SOURCE_NAME
 from .q_reports import SOURCE_SUMMARY_SQL
 from .q_safety import PRED_SQL, preds
-from .q_tables import ARCH_CUT, ARCHIVE_SQL, RETENTION_HOURS, archive_rows
+from .q_tables import ARCH_CUT, ARCHIVE_SQL, DEDUP_ARCHIVE_SQL, RETENTION_HOURS, archive_rows
 
 _ROOTS: dict = {}
 ARCHIVE_LAYOUT = "two-runs-oldest-rows-v2"   # changes when the export runs change
@@ -60,6 +60,15 @@ def _fresh_write(spark, sf):
     return back.groupBy(*AR.PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("rows"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
 
 
+def _bucketed(spark, sf):
+    """The two export runs in a bucketed archive of their own."""
+    tag = uuid.uuid4().hex[:8]
+    table = f"archive_{tag}"
+    AR.bucketed_archive(spark, table, shared_dir(spark, f"archive-bucketed-{tag}"))
+    AR.append_bucketed(archive_rows(spark, sf), table)
+    return spark.table(table)
+
+
 def _part(c):
     return f"coalesce(nullif(regexp_replace({c}, '[^A-Za-z0-9._-]', '_', 'g'), ''), 'unknown')"
 
@@ -95,6 +104,12 @@ register("archive_export", with_views(f"SELECT * FROM sensor_readings WHERE time
                                         RETENTION_HOURS, mode="all"))
 
 
+register("archive_dedup_bucketed", with_views(f"SELECT {_ARCH_COLS} FROM ({DEDUP_ARCHIVE_SQL})", "readings_arrival"))(
+    lambda spark, sf: TB.archive_dedup(_bucketed(spark, sf)))
+register("archive_export_bucketed", with_views(f"SELECT * FROM sensor_readings WHERE time >= {ARCH_CUT}", "sensor_readings"))(
+    lambda spark, sf: AR.archive_export(R(spark, sf), _bucketed(spark, sf), AS_OF, RETENTION_HOURS, mode="all"))
+
+
 def _export_by_digest(spark, sf):
     root = archive_root(spark, sf)
     manifest = TB.partition_digests(TB.archive_dedup(AR.read_archive(spark, root)))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 
-from .. import schema as S
-from ..operators import latest as LT
 from pyspark.sql import functions as F
 
+from .. import schema as S
+from ..functions.timefn import ts_lit
+from ..operators import daily as DY
+from ..operators import latest as LT
 from ..operators import reports as RP
+from ..session import shared_dir
 from ..sources.fixtures import with_views
 from . import sqlkit as Q
 from .catalog import ALL_METRICS, AS_OF, CUT, HOURS, IM, R, STALE_CUT, STALE_HOURS, register
@@ -195,3 +200,33 @@ register("top_latest", with_views(f"SELECT * FROM ({LATEST_SQL}) ORDER BY value
     lambda spark, sf: LT.top_latest(LT.latest_readings(R(spark, sf), AS_OF, HOURS), 12))
 register("quality_exceptions", with_views(f"{SCOPE} AND quality_flag <> 1", "sensor_readings"))(
     lambda spark, sf: LT.quality_exceptions(R(spark, sf), AS_OF, HOURS))
+
+
+# ------------------------------------------------------- A1, A3, A7, A9 from the states of days
+SPAN = HOURS + 7.5      # a window that starts inside a day
+
+
+def _windows(spark, sf, hours):
+    """The states of a window, from sensors numbered and days written in two
+    parts (the second adds its sensors and replaces only its own days)."""
+    r, base = R(spark, sf), shared_dir(spark, f"days-{uuid.uuid4().hex[:8]}")
+    old = r.filter(F.col("time") < ts_lit(DAYS_CUT, r.schema["time"].dataType))
+    for part, days in ((old, None), (r, [dt.date.fromisoformat(DAYS_CUT[:10]) + dt.timedelta(days=i) for i in range(31)])):
+        numbers = DY.number_sensors(spark, part, base + "/numbers")
+        DY.write_days(spark, part, numbers, base + "/days", days)
+    return DY.window_states(spark.read.parquet(base + "/days"), r, numbers, AS_OF, hours)
+
+
+DAYS_CUT = "2024-01-20 00:00:00"
+_SPAN = f"SELECT * FROM sensor_readings WHERE time >= {Q.cutoff(SPAN)}"
+register("source_summary_by_day", with_views(SOURCE_SUMMARY_SQL, "sensor_readings"))(
+    lambda spark, sf: DY.source_summary(_windows(spark, sf, HOURS)))
+register("source_metric_counts_by_day", with_views(f"""SELECT source, metric, COUNT(*) AS readings, COUNT(DISTINCT sensor_id) AS sensors,
+  MAX(time) AS latest_reading_at FROM ({_SPAN}) GROUP BY source, metric""", "sensor_readings"))(
+    lambda spark, sf: DY.source_metric_counts(_windows(spark, sf, SPAN)))
+register("metric_coverage_by_day", with_views(f"""SELECT metric, COUNT(DISTINCT source) AS sources, COUNT(DISTINCT sensor_id) AS sensors, COUNT(*) AS readings,
+  MIN(time) AS first_reading_at, MAX(time) AS latest_reading_at FROM ({_SPAN}) GROUP BY metric""", "sensor_readings"))(
+    lambda spark, sf: DY.metric_coverage(_windows(spark, sf, SPAN)))
+register("window_totals_by_day", with_views(f"""SELECT COUNT(*) AS total_readings, COUNT(DISTINCT sensor_id) AS active_sensors, COUNT(DISTINCT metric) AS metrics,
+  COUNT(DISTINCT source) AS sources, {VP} AS valid_pct FROM ({_SPAN})""", "sensor_readings"))(
+    lambda spark, sf: DY.window_totals(_windows(spark, sf, SPAN)))

@@ -31,6 +31,7 @@ ARCHIVE_SCHEMA = T.StructType([
     T.StructField("schema_version", T.IntegerType()),
 ])
 ARCHIVE_COLUMNS = [f.name for f in ARCHIVE_SCHEMA.fields]
+READING_KEY = ["time", "sensor_id", "metric"]
 PARTITION_COLUMNS = ["p_source", "p_metric", "year", "month", "day"]
 
 
@@ -157,7 +158,12 @@ def archive_export(readings: DataFrame, archived: DataFrame | None, as_of, reten
     if mode == "retention":     # the due days bound what has to be read of the archive
         end = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
         keys = keys.filter(F.col("time") < ts_lit(end - _dt.timedelta(hours=retention_hours), archived.schema["time"].dataType))
-    return due.join(keys, ["time", "sensor_id", "metric"], "left_anti")
+    kind = keys.schema["time"].dataType
+    if kind == due.schema["time"].dataType:
+        return due.join(keys, READING_KEY, "left_anti")
+    # the cast is on the side of the readings: one on the archive's would undo its buckets
+    held = keys.select(*[F.col(c).alias(f"_{c}") for c in READING_KEY])
+    return due.join(held, (F.col("time").cast(kind) == F.col("_time")) & (F.col("sensor_id") == F.col("_sensor_id")) & (F.col("metric") == F.col("_metric")), "left_anti")
 
 
 def export_by_digest(spark: SparkSession, readings: DataFrame, manifest: DataFrame, root: str) -> DataFrame:
@@ -179,6 +185,30 @@ def export_by_digest(spark: SparkSession, readings: DataFrame, manifest: DataFra
     return due.join(held, ["time", "sensor_id", "metric"], "left_anti")
 
 
+def bucketed_archive(spark: SparkSession, table: str, path: str, buckets: int | None = None) -> DataFrame:
+    """An archive whose files are bucketed and sorted by the reading key,
+    declared as ``table`` over ``path`` (in every session that uses it).
+    ``archive_dedup`` of it stays inside a bucket, and an anti join moves the
+    other side only.  ``buckets`` is fixed for the table's life; it defaults
+    to the session's shuffle partitions, and fewer than those would make
+    Spark shuffle the archive again.  A key that is exported very often stays
+    in one bucket; exports that leave out what is held do not repeat keys."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = ", ".join(READING_KEY)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARCHIVE_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
+def append_bucketed(readings: DataFrame, table: str) -> None:
+    """Append an export run to a bucketed archive: one shuffle by the key with
+    the table's own number of buckets, so a run adds one file a bucket."""
+    spark = readings.sparkSession
+    spec = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    (archive_frame(readings).select(*ARCHIVE_COLUMNS).repartition(int(spec["Num Buckets"]), *READING_KEY).write.insertInto(table))
+    spark.catalog.refreshTable(table)
+
+
 def expired_partitions(files: DataFrame, as_of, days: int = 365) -> DataFrame:
     """Day partitions older than ``days`` (by partition date)."""
     d = F.try_to_date(F.concat_ws("-", _key("object_name", "year"), _key("object_name", "month"),

@@ -420,3 +420,56 @@ def test_export_batches_and_radius_limits(spark):
     for bad in (0, 25_001):
         with pytest.raises(ValueError, match="radius"):
             LT.within_radius(rows, 41.9, -87.6, bad)
+
+
+def test_bucketed_archive_stays_in_its_buckets(spark):
+    from metroflux.operators import tables as TB
+    path, t0 = tempfile.mkdtemp(prefix="mf-bucket-") + "/t", dt.datetime(2026, 5, 1)
+    rows = None
+    for i in range(12):
+        r = reading(spark, sensor_id=f"S{i % 6}", time=t0 + dt.timedelta(hours=i % 6), ingested_at=t0 + dt.timedelta(days=1 + i // 6), value=float(i))
+        rows = r if rows is None else rows.unionByName(r)
+    AR.bucketed_archive(spark, "archive_test", path)
+    AR.append_bucketed(rows.filter("value < 6"), "archive_test")
+    AR.append_bucketed(rows.filter("value >= 6"), "archive_test")
+    held = spark.table("archive_test")
+    once = TB.archive_dedup(held)
+    assert sorted((r.sensor_id, r.value) for r in once.collect()) == [(f"S{i}", i + 6.0) for i in range(6)]
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    more = spark.createDataFrame(rows.unionByName(reading(spark, sensor_id="S9")).collect(), rows.schema)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        due = AR.archive_export(more, held, "2026-06-01 00:00:00", mode="all")
+        plan = due._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and [r.sensor_id for r in due.collect()] == ["S9"]     # the readings' side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_day_states_equal_the_reports(spark):
+    from metroflux.operators import daily as DY
+    from metroflux.operators import reports as RP
+    base, t0 = tempfile.mkdtemp(prefix="mf-states-"), dt.datetime(2026, 5, 1, 0, 30)
+    rows = spark.range(3000).select(
+        (F.lit(t0).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int") * 7)).alias("time"),
+        F.when(F.col("id") % 97 == 0, F.lit(None)).otherwise(F.concat(F.lit("S"), F.col("id") * 131 % 211)).alias("sensor_id"),
+        F.concat(F.lit("m"), F.col("id") % 3).alias("metric"), F.col("id").cast("double").alias("value"), F.lit("u").alias("unit"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("src"), F.col("id") % 2)).alias("source"), F.lit(1.0).alias("latitude"), F.lit(1.0).alias("longitude"),
+        (F.col("id") % 2).cast("smallint").alias("quality_flag"), F.lit(t0).cast("timestamp").alias("ingested_at"), F.lit(1).alias("schema_version"))
+    first = rows.filter("value < 1500")
+    DY.write_days(spark, first, DY.number_sensors(spark, first, base + "/n"), base + "/d")
+    numbers = DY.number_sensors(spark, rows, base + "/n")        # some more sensors, days added to
+    touched = [r[0] for r in rows.filter("value >= 1500").select(F.to_date("time")).distinct().collect()]
+    DY.write_days(spark, rows, numbers, base + "/d", touched)
+    assert sorted(r.number for r in numbers.collect()) == list(range(1, rows.filter("sensor_id is not null").select("sensor_id").distinct().count() + 1))
+    for hours in (24 * 6, 24 * 3 + 5.5, 24 * 300):
+        states = DY.window_states(spark.read.parquet(base + "/d"), rows, numbers, "2026-05-15 00:00:00", hours)
+        at = ("2026-05-15 00:00:00", hours)
+        for got, want in ((DY.source_summary(states), RP.source_summary(rows, *at)), (DY.source_metric_counts(states), RP.source_metric_counts(rows, *at)),
+                          (DY.metric_coverage(states), RP.metric_coverage(rows, *at))):
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect())) != []
+    whole = DY.window_states(spark.read.parquet(base + "/d"), rows, numbers, "2026-05-15 00:00:00", 48)
+    assert "Range" not in whole._jdf.queryExecution().executedPlan().toString()      # no reading is read
+    empty = DY.window_totals(DY.window_states(spark.read.parquet(base + "/d"), rows, numbers, "2027-05-15 00:00:00", 48)).first()
+    assert tuple(empty) == (0, 0, 0, 0, 0.0)
