@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_lit
 from ..operators import alerts as AL
+from ..operators import normalize as N
 from ..operators.reports import with_row
 from ..session import shared_dir
 from ..sources import fixtures as FX
+from ..sources import payloads as P
 from ..sources.batches import read_batches
 from ..sources.fixtures import with_views
+from ..streaming import alerting as AT
 from ..streaming import jobs as J
-from .catalog import AS_OF, ASOF, ORACLES, R, register
+from . import sqlkit as Q
+from .catalog import AS_OF, ASOF, IM, ORACLES, R, register
+from .q_alerts import EARLY, START, STATES_SQL
 from .q_messages import MISMATCH_SQL, accepted_sql, messages
+from .q_normalize import AQ_SQL, BIKE_SQL, READING_COLS, STATS_SQL, WX_SQL
 from .q_quality import REASON_SQL
 from .q_tables import LAST_WEEK, MID, OLDEST
 
@@ -219,3 +225,76 @@ FROM media_raw WHERE event_id % 97 = 0 OR event_id % 13 = 0""", "media_raw")
 
 
 register("media_notifications", _notifications_sql())(media_notifications)
+
+
+# ---------------------------------------------------------------- N6 / N7: a stream a source
+def _polled(spark, sf, broken=()):
+    """The payloads of the four sources landed as JSON lines, in a ``broken``
+    source every 50th or so cut off, and polled each by its own stream.  Station
+    and sensor listings are read beside their streams.  (base, failures)"""
+    base = shared_dir(spark, f"sources-{uuid.uuid4().hex[:8]}")
+
+    def landed(name, kind, payload):
+        at = f"{base}/landing/{name}"
+        body = F.to_json(F.struct(*payload.columns))
+        if name in broken:
+            body = F.when(F.xxhash64(body) % 50 == 0, F.lit("{cut off")).otherwise(body)
+        payload.select(body.alias("value")).write.text(at)
+        return lambda: spark.readStream.schema(P.SCHEMAS[kind]).option("mode", "FAILFAST").json(at)
+
+    sensors, stations = P.aq_sensors_fixture(spark, sf), P.gbfs_info_fixture(spark, sf)
+    sources = {
+        "openaq": J.Source(landed("openaq", "aq_latest", P.aq_latest_fixture(spark, sf)), lambda b: N.normalize_air_quality(b, sensors, AS_OF), F.size("results")),
+        "openmeteo": J.Source(landed("openmeteo", "weather", P.weather_fixture(spark, sf)), lambda b: N.normalize_weather(b, AS_OF), F.lit(1)),
+        "gbfs": J.Source(landed("gbfs", "gbfs_status", P.gbfs_status_fixture(spark, sf)), lambda b: N.normalize_bike_share(stations, b, AS_OF), F.size("data.stations")),
+        "usgs": J.Source(landed("usgs", "usgs", P.usgs_fixture(spark, sf)), lambda b: N.normalize_river(b, AS_OF), F.size("value.timeSeries")),
+    }
+    return base, sources, J.poll_sources(spark, sources, base)
+
+
+def polled_sources(spark, sf):
+    """Received (time series, stations, measurements, requests), published
+    and skipped by source, observed while the readings were written."""
+    base, sources, _ = _polled(spark, sf)
+    return J.poll_counts(spark, base, sources).groupBy("source").agg(*[F.sum(c).alias(c) for c in ("received", "published", "skipped")])
+
+
+register("polled_sources", f"SELECT s.*, (SELECT count(*) FROM events) AS received FROM ({STATS_SQL}) s")(polled_sources)
+
+
+def sources_apart(spark, sf):
+    """N6 with river payloads that cannot be read: the others' readings, and
+    whether the source failed."""
+    base, sources, failures = _polled(spark, sf, broken=("usgs",))
+    readings = J.polled_readings(spark, base, [s for s in sources if s != "usgs"], N.published(N.normalize_river(P.usgs_fixture(spark, sf), AS_OF)).schema)
+    rows = _pub_columns(readings).withColumn("failed", F.lit(False))
+    return rows.unionByName(failures.select(F.col("source"), F.lit(True).alias("failed")), allowMissingColumns=True)
+
+
+def _pub_columns(readings):
+    return readings.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ("time", "ingested_at") else F.col(c) for c in READING_COLS])
+
+
+register("sources_apart", " UNION ALL BY NAME ".join([f"SELECT *, false AS failed FROM ({q})" for q in (AQ_SQL, WX_SQL, BIKE_SQL)]
+                                                     + ["SELECT 'usgs' AS source, true AS failed"]))(sources_apart)
+
+
+# ---------------------------------------------------------------- E5 as a running evaluation
+TICKS = 10
+
+
+def alert_ticks(spark, sf):
+    """The rules evaluated at every minute of the last ten, each tick from the
+    state of the one before and the rows ingested since."""
+    path = shared_dir(spark, f"alerts-{uuid.uuid4().hex[:8]}") + "/state"
+    readings = R(spark, sf).select("source", "ingested_at", "quality_flag")
+    metrics = IM(spark, sf).select("recorded_at", "dropped_readings_total")
+    step, end = AT.alert_tick(spark, path, lambda: readings, lambda: metrics), dt.datetime.fromisoformat(AS_OF)
+    for number in range(TICKS):
+        step(number, end - dt.timedelta(minutes=TICKS - 1 - number))
+    return AT.alert_history(spark, path).withColumn("eval_time", F.col("eval_time").cast("timestamp_ntz"))
+
+
+_FIRST = dt.datetime.fromisoformat(AS_OF) - dt.timedelta(minutes=TICKS - 1)
+register("alert_ticks", with_views(STATES_SQL.replace(EARLY, Q.ts(_FIRST - dt.timedelta(minutes=15))).replace(START, Q.ts(_FIRST)),
+                                   "sensor_readings", "ingestion_metrics"))(alert_ticks)

@@ -15,12 +15,17 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import messages as M
+from ..operators import normalize as N
 from ..operators import safety as SF
 from ..operators.messages import fill_pct
 from ..session import shared_dir
@@ -318,6 +323,69 @@ def dedup_batch_sink(spark: SparkSession, path: str, schema: T.StructType):
     return run
 
 
+# --- N6 one stream a source, N7 / T5 observed counts ---------------------------------
+
+POLL_SCHEMA = T.StructType([T.StructField("received", T.LongType()), T.StructField("published", T.LongType()), T.StructField("skipped", T.LongType())])
+ERROR_SCHEMA = T.StructType([T.StructField("source", T.StringType()), T.StructField("error", T.StringType())])
+
+
+@dataclass(frozen=True)
+class Source:
+    """A source that is polled on its own: ``open`` makes its stream,
+    ``normalise`` turns a batch of payloads into readings with skip reasons,
+    ``received`` counts what a payload holds (time series, stations, ...)."""
+    open: Callable[[], DataFrame]
+    normalise: Callable[[DataFrame], DataFrame]
+    received: Column
+
+
+def source_batch(source: Source, readings_path: str, polls_path: str):
+    """The foreachBatch sink of one source: the readings' batch folder, and
+    the poll's counts, observed while that folder is written - the payloads
+    are read and normalised once."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        taken, made = Observation(f"received-{uuid.uuid4().hex}"), Observation(f"made-{uuid.uuid4().hex}")
+        checked = source.normalise(batch.observe(taken, F.sum(source.received).alias("received")))
+        checked = checked.observe(made, F.count(F.lit(1)).alias("rows"), F.count("skip_reason").alias("skipped"))
+        write_batch(N.published(checked), readings_path, batch_id)
+        row = (taken.get["received"] or 0, made.get["rows"] - made.get["skipped"], made.get["skipped"])
+        write_batch(batch.sparkSession.createDataFrame([row], POLL_SCHEMA), polls_path, batch_id)
+    return run
+
+
+def poll_sources(spark: SparkSession, sources: dict[str, Source], base: str) -> DataFrame:
+    """Every source as a running query of its own, with its own
+    checkpoint, to the end of what is available.  A source that fails keeps
+    what its earlier batches wrote, stops no other, and goes on from its
+    checkpoint at the next call.  Returns the failures (source, error): at
+    most one row a source."""
+    running, errors = {}, []
+    for name, source in sources.items():
+        try:
+            running[name] = (source.open().writeStream.foreachBatch(source_batch(source, f"{base}/readings/source={name}", f"{base}/polls/source={name}"))
+                             .option("checkpointLocation", f"{base}/offsets/{name}").trigger(availableNow=True).start())
+        except AnalysisException as e:      # a source that cannot even be opened
+            errors.append((name, str(e)))
+    for name, query in running.items():
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as e:
+            errors.append((name, str(e)))
+    return spark.createDataFrame(errors, ERROR_SCHEMA)
+
+
+def polled_readings(spark: SparkSession, base: str, sources: Iterable[str], schema: T.StructType) -> DataFrame:
+    """The readings of all sources."""
+    parts = [read_batches(spark, f"{base}/readings/source={name}", schema).drop("batch_id") for name in sources]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def poll_counts(spark: SparkSession, base: str, sources: Iterable[str]) -> DataFrame:
+    """source, batch_id, received, published, skipped of every poll."""
+    parts = [read_batches(spark, f"{base}/polls/source={name}", POLL_SCHEMA).select(F.lit(name).alias("source"), "batch_id", *POLL_SCHEMA.fieldNames()) for name in sources]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def drive(df: DataFrame, sink, checkpoint: str | None = None) -> None:
     """Run a streaming frame to the end of what is available into ``sink``."""
     checkpoint = checkpoint or shared_dir(df.sparkSession, f"stream-{uuid.uuid4().hex[:8]}")

@@ -473,3 +473,61 @@ def test_day_states_equal_the_reports(spark):
     assert "Range" not in whole._jdf.queryExecution().executedPlan().toString()      # no reading is read
     empty = DY.window_totals(DY.window_states(spark.read.parquet(base + "/d"), rows, numbers, "2027-05-15 00:00:00", 48)).first()
     assert tuple(empty) == (0, 0, 0, 0, 0.0)
+
+
+def test_a_failing_source_stops_no_other_and_goes_on_later(spark):
+    base = tempfile.mkdtemp(prefix="mf-apart-")
+    schema = "sensor string, value double"
+
+    def write(name, file, *lines):
+        os.makedirs(f"{base}/in/{name}", exist_ok=True)
+        with open(f"{base}/in/{name}/{file}.json", "w") as f:
+            f.write("\n".join(lines))
+
+    def normalise(batch):
+        r = reading(spark).drop("sensor_id", "value")
+        return batch.crossJoin(r).withColumnsRenamed({"sensor": "sensor_id"}).withColumn("skip_reason", F.when(F.col("value") < 0, "negative"))
+
+    def source(name):
+        return J.Source(lambda: spark.readStream.schema(schema).option("mode", "FAILFAST").option("maxFilesPerTrigger", 1).json(f"{base}/in/{name}"), normalise, F.lit(1))
+
+    write("a", "1", '{"sensor": "A", "value": 1}', '{"sensor": "B", "value": -1}')
+    write("b", "1", '{"sensor": "C", "value": 1}')
+    write("b", "2", "{broken")
+    sources = {"a": source("a"), "b": source("b"), "c": source("c")}        # c has no folder
+    failed = {r.source: r.error for r in J.poll_sources(spark, sources, base + "/out").collect()}
+    assert set(failed) == {"b", "c"}
+    seen = J.polled_readings(spark, base + "/out", sources, reading(spark).schema)
+    assert {r.sensor_id for r in seen.collect()} == {"A", "C"}             # b's first file was stored
+    write("b", "2", '{"sensor": "D", "value": 1}')
+    write("c", "1", '{"sensor": "E", "value": 1}')
+    assert J.poll_sources(spark, sources, base + "/out").count() == 0
+    seen = J.polled_readings(spark, base + "/out", sources, reading(spark).schema)
+    assert sorted(r.sensor_id for r in seen.collect()) == ["A", "C", "D", "E"]
+    counts = J.poll_counts(spark, base + "/out", sources).filter("source = 'a'").collect()
+    assert [(r.received, r.published, r.skipped) for r in counts] == [(2, 1, 1)]
+
+
+def test_alerts_fire_when_nothing_arrives(spark):
+    import time
+
+    from metroflux.streaming import alerting as AT
+    t0 = dt.datetime(2026, 5, 1, 12, 0)
+    rows = reading(spark, ingested_at=t0)
+    none = spark.createDataFrame([], "recorded_at timestamp, dropped_readings_total long")
+    base = tempfile.mkdtemp(prefix="mf-alerts-")
+    step = AT.alert_tick(spark, base + "/s", lambda: rows, lambda: none)
+    for i, minute in enumerate((1, 20, 21, 24, 26, 26)):
+        step(min(i, 4), t0 + dt.timedelta(minutes=minute))       # the last tick runs again
+    states = [r.state for r in AT.alert_history(spark, base + "/s").filter("rule = 'no_recent_ingestion'").orderBy("eval_time").collect()]
+    assert states == ["normal", "normal", "pending", "pending", "firing"]
+    ticks = iter(range(100))
+    query = AT.run_alerts(spark, AT.alert_tick(spark, base + "/c", lambda: rows, lambda: none), base + "/ck", "1 second",
+                          lambda: t0 + dt.timedelta(minutes=21 + 6 * next(ticks)))
+    for _ in range(60):
+        time.sleep(1)
+        if len(B.batch_ids(spark, base + "/c")) >= 2:
+            break
+    query.stop()
+    states = [r.state for r in AT.alert_history(spark, base + "/c").filter("rule = 'no_recent_ingestion'").orderBy("eval_time").limit(2).collect()]
+    assert states == ["pending", "firing"]
