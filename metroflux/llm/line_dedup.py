@@ -9,8 +9,15 @@ tokens are constant, the line's template is its constants and their places;
 else, if that share has no digit, the line with its digit tokens
 generalised; else the line itself.
 
-A template that occurs in at least ``MIN_DOCS`` documents recurs; all its
-lines but the first (smallest id, then line number) are dropped.
+A template recurs from ``MIN_DOCS`` documents on; all its lines but the first
+(smallest id, then line number) are dropped.  Two more rules go by evidence:
+a line with a smaller share of constants, but one at least, is also counted
+with its digit tokens generalised, and that recurs from ``SPARSE_DOCS``
+documents on (page numbers); lines of ``LONG_TOKENS`` or more tokens that are
+equal token for token recur from ``LONG_DOCS`` documents on.  Tokens without a
+digit are never generalised in the former, or lines of prose with the same
+first words would be one template.  A line stays only if it is the first of
+each of its templates that recur.
 
 Lines are keyed by hashes in one pass; only lines of leaves with several
 different lines are taken apart into tokens, and all counts are aggregated
@@ -33,6 +40,9 @@ DEPTH = 3
 SUPPORT = 2
 SIMILARITY = 0.7
 MIN_DOCS = 3
+SPARSE_DOCS = 10
+LONG_TOKENS = 20
+LONG_DOCS = 2
 FIELD = "<*>"
 
 
@@ -93,7 +103,8 @@ def generalised(docs: DataFrame, keys: DataFrame, depth: int = DEPTH, support: i
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, support: int = SUPPORT,
-                         similarity: float = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
+                         similarity: float = SIMILARITY, min_docs: int = MIN_DOCS, sparse_docs: int = SPARSE_DOCS,
+                         long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept (the other lines) for every row of
     ``docs``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -102,11 +113,17 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # a table of its own, so that a hot pattern's join can be split
     patterns = materialise(generalised(rows, keys, depth, support, similarity), "generalised")
     templates = keys.join(patterns, ["leaf", "pattern"], "left")
-    plain = F.when(F.col("plain_tokens") >= F.lit(similarity) * F.col("n"), F.xxhash64("pattern", F.lit("pattern"))).otherwise(F.xxhash64("own", F.lit("line")))
-    lines = materialise(templates.select("doc_id", "dk", "line", F.coalesce("template", plain).alias("template")), "templates")
+    dense, general, long = F.col("plain_tokens") >= F.lit(similarity) * F.col("n"), F.col("template").isNotNull(), F.col("n") >= long_tokens
+    plain = F.when(dense, F.xxhash64("pattern", F.lit("pattern"))).otherwise(F.xxhash64("own", F.lit("line")))
+    literal = ~general & (~dense | (F.col("plain_tokens") == F.col("n")))
+    own = F.struct(F.coalesce("template", plain).alias("template"), F.when(long & literal, long_docs).otherwise(min_docs).alias("need"))
+    sparse = F.when(~general & ~dense & (F.col("plain_tokens") > 0), F.struct(F.xxhash64("pattern", F.lit("sparse")).alias("template"), F.lit(sparse_docs).alias("need")))
+    equal = F.when(long & ~literal, F.struct(F.xxhash64("own", F.lit("equal")).alias("template"), F.lit(long_docs).alias("need")))
+    keyed = templates.select("doc_id", "dk", "line", F.explode(F.array(own, sparse, equal)).alias("key")).where("key IS NOT NULL")
+    lines = materialise(keyed.select("doc_id", "dk", "line", "key.template", "key.need"), "templates")
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("dk").alias("dk"), F.col("line").alias("line"))
-    recurring = (lines.groupBy("template", "doc_id", "dk").agg(F.min("line").alias("line")).groupBy("template")
-                 .agg(F.count(F.lit(1)).alias("docs"), F.min(place).alias("first")).where(F.col("docs") >= min_docs).select("template", "first"))
+    recurring = (lines.groupBy("template", "need", "doc_id", "dk").agg(F.min("line").alias("line")).groupBy("template", "need")
+                 .agg(F.count(F.lit(1)).alias("docs"), F.min(place).alias("first")).where("docs >= need").select("template", "first"))
     recurring = materialise(recurring, "recurring")  # a table of its own, so that a hot template's join can be split
     dropped = (lines.join(recurring, "template").where(place != F.col("first")).groupBy(F.col("doc_id").alias("d"), F.col("dk").alias("x"))
                .agg(F.collect_set("line").alias("drop")))
@@ -128,11 +145,16 @@ g AS (SELECT tok.n, tok.lead, m, string_agg(CASE WHEN i <= 3 OR c.w IS NOT NULL
              count(CASE WHEN tok.w <> '<*>' AND (i <= 3 OR c.w IS NOT NULL) THEN 1 END) AS k
       FROM tok LEFT JOIN c USING (n, lead, i, w) GROUP BY tok.n, tok.lead, m
       HAVING count(CASE WHEN c.w IS NOT NULL THEN 1 END) > 0),
-x AS (SELECT doc_id, line, CASE WHEN g.k >= 0.7 * len(t.m) THEN 'g ' || g.s
-             WHEN len(list_filter(t.m, lambda y: y <> '<*>')) >= 0.7 * len(t.m) THEN 'p ' || array_to_string(t.m, ' ') ELSE 'l ' || plain END AS template
-      FROM t LEFT JOIN g ON g.m = t.m),
-r AS (SELECT template, min((doc_id, line)) AS head FROM x GROUP BY template HAVING count(DISTINCT doc_id) >= 3),
-gone AS (SELECT doc_id, line FROM x JOIN r USING (template) WHERE (doc_id, line) <> head),
+y AS (SELECT *, general OR (dense AND c < n) AS loose FROM (
+      SELECT doc_id, line, plain, array_to_string(t.m, ' ') AS ms, g.s, len(t.m) AS n, len(list_filter(t.m, lambda z: z <> '<*>')) AS c,
+             coalesce(g.k >= 0.7 * len(t.m), false) AS general, len(list_filter(t.m, lambda z: z <> '<*>')) >= 0.7 * len(t.m) AS dense
+      FROM t LEFT JOIN g ON g.m = t.m)),
+x AS (SELECT doc_id, line, CASE WHEN general THEN 'g ' || s WHEN dense THEN 'p ' || ms ELSE 'l ' || plain END AS template,
+             CASE WHEN n >= 20 AND NOT loose THEN 2 ELSE 3 END AS need FROM y
+      UNION ALL SELECT doc_id, line, 's ' || ms, 10 FROM y WHERE NOT general AND NOT dense AND c > 0
+      UNION ALL SELECT doc_id, line, 'e ' || plain, 2 FROM y WHERE n >= 20 AND loose),
+r AS (SELECT template, min((doc_id, line)) AS head FROM x GROUP BY template HAVING count(DISTINCT doc_id) >= min(need)),
+gone AS (SELECT DISTINCT doc_id, line FROM x JOIN r USING (template) WHERE (doc_id, line) <> head),
 k AS (SELECT doc_id, count(*) AS n_lines, count(gone.line) AS n_dropped, string_agg(CASE WHEN gone.line IS NULL THEN raw END, chr(10) ORDER BY line) AS kept
       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line FROM documents WHERE text <> '') a
       LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id)

@@ -269,7 +269,7 @@ def test_substring_empty_table(spark):
 
 # --- lines -------------------------------------------------------------------
 
-def line_brute(pairs, depth=3, support=2, similarity=0.7, min_docs=3):
+def line_brute(pairs, depth=3, support=2, similarity=0.7, min_docs=3, sparse_docs=10, long_tokens=20, long_docs=2):
     keys, docs = [], {}
     for i, t in pairs:
         docs[(last(i), t or "")] = (t or "").split("\n") if t else []
@@ -284,19 +284,24 @@ def line_brute(pairs, depth=3, support=2, similarity=0.7, min_docs=3):
             if m[p] != "<*>":
                 count[len(m), m[:depth], p, m[p]] += 1
 
-    def template(own, m):
+    def templates(own, m):
+        """(documents asked for, template) of a line."""
         g = [x if p < depth or count[len(m), m[:depth], p, x] >= support else "<*>" for p, x in enumerate(m)]
-        n = len(m)
+        n, constants = len(m), sum(x != "<*>" for x in m)
+        exact = [(long_docs, ("equal", *own))] if n >= long_tokens else []
         if any(x != "<*>" for x in g[depth:]) and sum(x != "<*>" for x in g) >= similarity * n:
-            return ("g", *g)
-        return ("p", *m) if sum(x != "<*>" for x in m) >= similarity * n else ("l", *own)
+            return [(min_docs, ("g", *g)), *exact]
+        if constants >= similarity * n:
+            return [(min_docs, ("p", *m)), *exact]
+        return [(min_docs, ("l", *own)), *exact, *[(sparse_docs, ("s", *m))][:constants]]
 
     where = defaultdict(list)
     for key, k, own, m in keys:
-        where[template(own, m)].append((key, k))
+        for asked in templates(own, m):
+            where[asked].append((key, k))
     gone = defaultdict(set)
-    for places in where.values():
-        if len({key for key, _ in places}) >= min_docs:
+    for (asked, _), places in where.items():
+        if len({key for key, _ in places}) >= asked:
             for key, k in sorted(places)[1:]:
                 gone[key].add(k)
     out = []
@@ -327,7 +332,22 @@ def test_line_templates(spark):
     assert Counter(r[:3] for r in got) == Counter(w[:3] for w in want)
     assert Counter(got) == Counter(want)
     dropped = {r[0]: r[2] for r in got}
-    assert dropped[5] == 1  # the licence line; "page 5 of 40" is half fields and stays
+    assert dropped[5] == 2  # the licence line, and "page 5 of 40", which is half fields but stands in 40 documents
+
+
+def test_sparse_templates_and_long_equal_lines(spark):
+    import random
+    rng = random.Random(8)
+    long, dated = sentence(rng, 24), sentence(rng, 21) + " 1999 " + sentence(rng, 3)
+    pairs = [(i, f"{sentence(rng, 9)}\nchapter {i}") for i in range(9)]                 # nine documents: too few
+    pairs += [(20 + i, f"{sentence(rng, 9)}\nitem {i}\n{i}") for i in range(10)]           # ten: recurs; numbers alone never do
+    pairs += [(40, long), (41, f"own line here\n  {long.replace(' ', '   ')}"), (42, dated), (43, dated), (44, dated.replace("1999", "2001"))]
+    pairs += [(50, sentence(rng, 19)), (52, sentence(rng, 24)), (None, None)]
+    pairs += [(51, pairs[-3][1]), (52, pairs[-2][1])]                                   # 19 tokens twice; a repeated row
+    want = line_brute(pairs)
+    assert Counter(records(line_dedup.drop_recurring_lines(frame(spark, pairs).repartition(3)))) == Counter(want)
+    gone = {w[0]: w[2] for w in want}
+    assert [gone[i] for i in (0, 8, 20, 21, 29, 40, 41, 42, 43, 44, 50, 51, 52)] == [0, 0, 0, 1, 1, 0, 1, 0, 1, 1, 0, 0, 0]
 
 
 def test_repeated_rows_make_no_token_constant(spark):
