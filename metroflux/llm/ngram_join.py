@@ -19,12 +19,16 @@ task has linked stands for it in the shuffle.  The other cells link as they
 are.  Equal sets are one node throughout, and a task sends a cell once.
 
 Verification.  Connected cells make blocking groups (supersets of the
-result's components).  Each group's texts meet in one task (a group of more
-than ``PART_BYTES`` is cut in parts, and every pair of parts meets in a
-task), where an R-tree over the vectors gives the pairs that pass the bound
-and the sets decide; documents already linked to the same component are not
-compared again.  The result is the connected components of the verified
-links.
+result's components).  Each group's texts meet in one task, where an R-tree
+over the vectors gives the pairs that pass the bound and the sets decide;
+documents already linked to the same component are not compared again.  A
+group of more than ``PART_BYTES`` or ``PART_ROWS`` is cut in parts, each linked
+inside itself first.  Then the heads of the group's ``HEADS`` largest components
+visit all its parts, which joins what belongs to a large group of copies; last,
+the documents that are not in the group's largest component by then visit all
+parts.  Visitors stream past a part, so a task holds one part at a time, and
+no two members of the largest component are compared across parts.  The
+result is the connected components of the verified links.
 
 Words: A-Z lower-cased, ``[^\\x20\\x09-\\x0D]+``, whole texts; with fewer than
 ``width`` words the whole sequence is the one shingle.
@@ -38,10 +42,11 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroflux.llm.common import LOWER_WORDS, keep_rows, materialise, mix, text_blocks, word_hashes
@@ -54,6 +59,13 @@ FEW = 3
 SLAB_GROUPS = 4096
 CELL_GROUP = 1_500_000
 PART_BYTES = 8 << 20
+PART_ROWS = 2048
+#: components of a cut group whose heads visit all its parts (a short cut: what they miss is compared after)
+HEADS = 16
+#: groups of the vectors that texts are compared by in a task, at most (fewer make a weaker bound, no other result)
+MOST_GROUPS = 8192
+#: visitors of a part that a task holds at a time
+VISITORS = 256
 LEAF = 32
 
 _U = [0]
@@ -382,8 +394,106 @@ def few_edges(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return (rows.mapInArrow(page, _PAGE + ", members array<binary>").repartition("cell").sortWithinPartitions("cell").mapInArrow(meet, "a binary, b binary"))
 
 
+def _node_sets(rows: list[tuple[bytes, str]], width: int) -> tuple[list[int], list[np.ndarray]]:
+    """Places of the rows (node, text) whose text has the node's set (a
+    namesake row may not), and the sets."""
+    sets: list[np.ndarray] = []
+    for _, _, data, offsets in text_blocks(pa.array([t for _, t in rows], pa.string())):
+        sets += shingle_sets(data, offsets, width)
+    at = [k for k, ((node, _), s) in enumerate(zip(rows, sets, strict=True)) if node_of(s) == node]
+    return at, [sets[k] for k in at]
+
+
+def _overlap(s: np.ndarray, t: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    return int(np.count_nonzero(s[np.minimum(np.searchsorted(s, t), len(s) - 1)] == t))
+
+
+def _vectors(sets: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+    groups = min(vector_groups(int(size.max())), MOST_GROUPS)
+    return np.stack([count_vector(s, groups) for s in sets])
+
+
+def _links_inside(rows: list[tuple[bytes, str]], width: int, percent: int) -> Iterator[tuple[bytes, bytes]]:
+    """Stars that span the components of one part."""
+    at, sets = _node_sets(rows, width)
+    if len(at) < 2:
+        return
+    size = np.array([len(s) for s in sets])
+    component = linked(_vectors(sets, size), size, lambda p, of: np.array([bool(links(_overlap(sets[p], sets[q]), size[p], size[q], percent)) for q in of.tolist()]), percent)
+    for k, c in enumerate(component.tolist()):
+        if k != c:
+            yield rows[at[k]][0], rows[at[c]][0]
+
+
+class _Part:
+    """A part's members (node, label, text), searched by visitors."""
+
+    def __init__(self, members: list[tuple[bytes, bytes, str]], width: int, percent: int):
+        at, self.sets = _node_sets([(node, text) for node, _, text in members], width)
+        self.node, self.label = [members[k][0] for k in at], [members[k][1] for k in at]
+        self.width, self.percent = width, percent
+        if at:
+            size = np.array([len(s) for s in self.sets])
+            self.tree = CountTree(_vectors(self.sets, size), size, percent)
+
+    def links(self, visitors: list[tuple[bytes, bytes, str]]) -> Iterator[tuple[bytes, bytes]]:
+        """One link of each visitor to each label that is not its own."""
+        if not self.node:
+            return
+        groups, largest = self.tree.high.shape[1], int(self.tree.size.max())
+        at, sets = _node_sets([(node, text) for node, _, text in visitors], self.width)
+        for k, s in zip(at, sets, strict=True):
+            if self.percent * len(s) > 100 * largest:
+                continue  # larger than any partner here
+            node, met = visitors[k][0], {visitors[k][1]}
+            for q in self.tree.search(count_vector(s, groups).astype(np.int32), len(s)).tolist():
+                if self.label[q] not in met and links(_overlap(s, self.sets[q]), len(s), len(self.sets[q]), self.percent):
+                    met.add(self.label[q])
+                    yield node, self.node[q]
+
+
+def _edge_rows(edges: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.binary()) for k in range(3)], ["component", "a", "b"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+
+
+def links_inside(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(component, a, b): links inside each (component, part) of ``texts``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (component, _), rows in groupby(_rows(batches), key=lambda r: r[:2]):
+            yield _edge_rows([(component, a, b) for a, b in _links_inside([r[2:] for r in rows], width, percent)])
+
+    return (texts.repartition("component", "part").sortWithinPartitions("component", "part").select("component", "part", "node", "text")
+            .mapInArrow(run, "component binary, a binary, b binary"))
+
+
+def links_across(members: DataFrame, visitors: DataFrame, width: int, percent: int) -> DataFrame:
+    """(component, a, b): links between visitors and members of a part
+    (component, part, node, label, text) with other labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, part = None, None
+        for (component, number, visit), rows in groupby(_rows(batches), key=lambda r: r[:3]):
+            if not visit:
+                held, part = (component, number), _Part([r[3:] for r in rows], width, percent)
+                continue
+            while block := [r[3:] for r in islice(rows, VISITORS)]:
+                if held == (component, number):
+                    yield _edge_rows([(component, a, b) for a, b in part.links(block)])
+
+    rows = members.withColumn("visit", F.lit(False)).unionByName(visitors.withColumn("visit", F.lit(True)))
+    return (rows.repartition("component", "part").sortWithinPartitions("component", "part", "visit").select("component", "part", "visit", "node", "label", "text")
+            .mapInArrow(run, "component binary, a binary, b binary"))
+
+
 def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col: str, text_col: str, part_bytes: int = PART_BYTES,
-                   width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+                   width: int = SHINGLE, percent: int = PERCENT, part_rows: int = PART_ROWS) -> DataFrame:
     """A spanning set of the true links (a, b) inside the blocking groups
     (node, component)."""
     row = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
@@ -394,41 +504,39 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
              .join(named, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key"))).select("component", "node", "text", "copied"))
     texts = materialise(texts, "candidates")
     texts = texts.where("not copied").unionByName(texts.where("copied").dropDuplicates(["component", "node"])).drop("copied")  # a node's text once
-    parts = texts.groupBy("component").agg((F.sum(F.octet_length("text")) / part_bytes).cast("int").alias("extra")).where("extra > 0")
-    split = texts.join(parts, "component", "left").withColumn("extra", F.coalesce("extra", F.lit(0)))
-    own = F.pmod(F.xxhash64("node"), F.col("extra") + 1).cast("int")
-    met = split.withColumn("p", own).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("extra")))).select(
-        "component", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "node", "text")
-
-    def check(rows: list[tuple[bytes, str]]) -> Iterator[tuple[bytes, bytes]]:
-        sets: list[np.ndarray] = []
-        for _, _, data, offsets in text_blocks(pa.array([t for _, t in rows], pa.string())):
-            sets += shingle_sets(data, offsets, width)
-        by_node = {node: s for (node, _), s in zip(rows, sets, strict=True) if node_of(s) == node}  # not a namesake row
-        nodes, sets = list(by_node), list(by_node.values())
-        if len(nodes) < 2:
-            return
-        size = np.array([len(s) for s in sets])
-        groups = vector_groups(int(size.max()))
-        component = linked(np.stack([count_vector(s, groups) for s in sets]), size, lambda p, at: np.array(
-            [bool(links(np.count_nonzero(sets[p][np.minimum(np.searchsorted(sets[p], sets[q]), len(sets[p]) - 1)] == sets[q]), size[p], size[q], percent)) for q in at.tolist()]), percent)
-        for k, c in enumerate(component.tolist()):
-            if k != c:
-                yield nodes[k], nodes[c]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, out = None, [], []
-        for b in batches:
-            for comp, i, j, node, text in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
-                if (comp, i, j) != held:
-                    out += check(rows)
-                    held, rows = (comp, i, j), []
-                rows.append((node, text))
-        out += check(rows)
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], ["a", "b"])
-
-    return (met.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").select("component", "i", "j", "node", "text")
-            .mapInArrow(run, "a binary, b binary"))
+    parts = materialise(texts.groupBy("component").agg(F.greatest(F.sum(F.octet_length("text")) / part_bytes, F.count(F.lit(1)) / part_rows).cast("int").alias("extra"))
+                        .where("extra > 0"), "parts")
+    part = F.pmod(F.xxhash64("node"), F.coalesce("extra", F.lit(0)) + 1).cast("int").alias("part")
+    inside = materialise(links_inside(texts.join(parts, "component", "left").select("component", part, "node", "text"), width, percent), "inside")
+    if parts.isEmpty():
+        return inside.select("a", "b")
+
+    cut = materialise(texts.join(parts, "component").select("component", part, "node", "text"), "cut")
+    known = inside.join(parts, "component", "left_semi").select("a", "b")
+
+    def labelled(found: DataFrame) -> DataFrame:
+        """component, part, node, label of the cut groups' nodes."""
+        return materialise(cut.select("component", "part", "node").join(connected_components(found).withColumnRenamed("component", "star"), "node", "left").select(
+            "component", "part", "node", F.coalesce("star", "node").alias("label")), "labels")
+
+    def guests(nodes: DataFrame) -> DataFrame:
+        """The rows of ``nodes`` (component, node, label), with texts, in every part of their groups."""
+        return (cut.drop("part").join(nodes, ["component", "node"]).join(parts, "component")
+                .select("component", F.explode(F.sequence(F.lit(0), F.col("extra"))).alias("part"), "node", "label", "text"))
+
+    def across(labels: DataFrame, nodes: DataFrame) -> DataFrame:
+        members = cut.join(labels.select("node", "label"), "node").select("component", "part", "node", "label", "text")
+        return materialise(links_across(members, guests(nodes), width, percent), "across").select("a", "b")
+
+    labels = labelled(known)
+    largest = Window.partitionBy("component").orderBy(F.desc("count"), "label")
+    heads = (labels.groupBy("component", "label").count().withColumn("place", F.row_number().over(largest)).where(F.col("place") <= HEADS)
+             .select("component", F.col("label").alias("node"), "label"))
+    by_heads = across(labels, heads)
+    labels = labelled(known.unionByName(by_heads))
+    main = labels.groupBy("component", "label").count().groupBy("component").agg(F.max(F.struct("count", "label")).alias("m")).select("component", F.col("m.label").alias("main"))
+    others = labels.join(main, "component").where("label <> main").select("component", "node", "label")
+    return inside.select("a", "b").unionByName(by_heads).unionByName(across(labels, others))
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int, width: int, percent: int) -> DataFrame:

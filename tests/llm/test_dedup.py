@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from metroflux.llm import exact_dedup, line_dedup, ngram_join, substring
 from tests.llm.fixtures import DOCS, frame, records, rows, sentence
@@ -221,6 +222,52 @@ def test_ngram_rows_without_an_id_of_their_own_are_fetched_once(spark, monkeypat
     assert sent["candidates"].count() == 60
 
 
+def chained_copies():
+    """One blocking group: chains that link only neighbour to neighbour, and
+    near copies of one original."""
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 300)]
+    pairs = []
+    for chain in range(3):
+        for step in range(14):
+            w = list(base)
+            for k in range(40 * chain):  # a chain starts far from the others
+                w[7 * k % 300] = f"chain{chain}at{k}"
+            for k in range(2 * step):
+                w[3 + 11 * k % 290] = f"c{chain}s{k}"
+            pairs.append((900 - 20 * chain - step, " ".join(w)))
+    for i in range(60):
+        w = list(base)
+        for k in rng.integers(0, 300, 3).tolist():
+            w[k] = f"n{i}k{k}"
+        pairs.append((2000 + i, " ".join(w)))
+    return pairs
+
+
+@pytest.mark.parametrize("heads,part_rows", [(16, 9), (1, 9), (0, 25)])
+def test_ngram_groups_cut_in_parts(spark, monkeypatch, heads, part_rows):
+    """Whatever the heads join, the visits after them find every link left."""
+    pairs = chained_copies()
+    monkeypatch.setattr(ngram_join, "HEADS", heads)
+    monkeypatch.setattr(ngram_join, "VISITORS", 5)
+    docs, keep, seen = frame(spark, pairs).repartition(3), ngram_join.materialise, []
+
+    def spy(df, name):
+        seen.append(name)
+        return keep(df, name)
+
+    monkeypatch.setattr(ngram_join, "materialise", spy)
+    sets = keep(ngram_join.document_sets(docs, "doc_id", "text"), "sets")
+    group = sets.select("node", F.lit(b"g").alias("component")).distinct()  # all documents may link
+    edges = ngram_join.verified_links(docs, sets, group, "doc_id", "text", part_rows=part_rows)
+    named = sets.select("doc_id", "node").join(ngram_join.connected_components(edges), "node", "left").select("doc_id", F.coalesce("component", "node").alias("c")).collect()
+    least = {}
+    for r in named:
+        least[r.c] = min(least.get(r.c, r.doc_id), r.doc_id)
+    assert seen.count("across") == 2
+    assert sorted((r.doc_id, least[r.c]) for r in named) == sorted((i, c) for i, _, c in jaccard_components(pairs))
+
+
 def test_ngram_empty_table(spark):
     assert ngram_join.ngram_components(frame(spark, [])).count() == 0
 
