@@ -59,11 +59,11 @@ FEW = 3
 SLAB_GROUPS = 4096
 CELL_GROUP = 1_500_000
 PART_BYTES = 8 << 20
-PART_ROWS = 2048
+PART_ROWS = 16384
 #: components of a cut group whose heads visit all its parts (a short cut: what they miss is compared after)
 HEADS = 16
 #: groups of the vectors that texts are compared by in a task, at most (fewer make a weaker bound, no other result)
-MOST_GROUPS = 8192
+MOST_GROUPS = 1024
 #: visitors of a part that a task holds at a time
 VISITORS = 256
 LEAF = 32
