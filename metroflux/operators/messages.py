@@ -142,5 +142,6 @@ def delivery_lag_ms(publish_time: str | Column, now: Column) -> Column:
 
 
 def fill_pct(queued: Column, capacity: Column) -> Column:
-    """T5: floor(100 * queued / capacity), 0 when capacity is 0."""
-    return F.when(capacity > 0, F.floor(F.lit(100) * queued / capacity)).otherwise(F.lit(0)).cast("smallint")
+    """T5: floor(100 * queued / capacity), 0 when capacity is 0; a long, since
+    a batch may hold any number of times the capacity."""
+    return F.when(capacity > 0, F.floor(F.lit(100) * queued / capacity)).otherwise(F.lit(0)).cast("bigint")
