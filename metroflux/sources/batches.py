@@ -21,12 +21,19 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, by_day: bool = False) -> None:
-    """Write ``df`` as the whole of the batch's folder."""
+def write_batch(df: DataFrame, path: str, batch_id: int, by_day: bool = False, by: str | None = None) -> None:
+    """Write ``df`` as the whole of the batch's folder, by the day or by a
+    column of few values."""
     if by_day:
-        df = df.hint("rebalance", DAY)  # AQE splits hot days
+        df, by = df.hint("rebalance", DAY), DAY  # AQE splits hot days
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (w.partitionBy(DAY) if by_day else w).parquet(f"{path}/{BATCH}={batch_id}")
+    (w.partitionBy(by) if by else w).parquet(f"{path}/{BATCH}={batch_id}")
+
+
+def drop_part(spark: SparkSession, path: str, batch_id: int, part: str) -> None:
+    """Delete the folder ``part`` of the batch, if it is there."""
+    fs, jpath = _fs(spark, f"{path}/{BATCH}={batch_id}/{part}")
+    fs.delete(jpath, True)
 
 
 def batch_ids(spark: SparkSession, path: str) -> list[int]:

@@ -29,7 +29,7 @@ from ..operators import normalize as N
 from ..operators import safety as SF
 from ..operators.messages import fill_pct
 from ..session import shared_dir
-from ..sources.batches import DAY, batch_ids, last_before, newest, read_batches, write_batch
+from ..sources.batches import DAY, batch_ids, drop_part, last_before, newest, read_batches, write_batch
 
 MESSAGE_FILE_SCHEMA = T.StructType([
     T.StructField("body", T.StringType()),
@@ -213,6 +213,7 @@ _PROGRESS = T.StructType([T.StructField("upto", T.LongType())])
 
 #: fixed values: attempts before dead letter, first and longest delay in seconds
 MAX_ATTEMPTS, MIN_BACKOFF_S, MAX_BACKOFF_S = 5, 10, 600
+WAITING = "waiting"
 LEDGER_SCHEMA = T.StructType([*MESSAGE_FILE_SCHEMA.fields, T.StructField("attempts", T.IntegerType()), T.StructField("next_attempt_at", T.TimestampType())])
 SETTLED_SCHEMA = T.StructType([*MESSAGE_FILE_SCHEMA.fields, T.StructField("attempts", T.IntegerType()), T.StructField("outcome", T.StringType()),
                                T.StructField("settled_at", T.TimestampType())])
@@ -231,31 +232,32 @@ def redelivery(spark: SparkSession, ledger_path: str, settled_path: str, failing
     failed message waits in the ledger, after ``MAX_ATTEMPTS`` it is a dead
     letter.  The ledger holds open messages only; a step reads that of the
     step before and writes its own, so it can run again.  A step without new
-    messages is how waiting ones come due."""
+    messages is how waiting ones come due.  What a step attempts is decided
+    once and stored by outcome, not held in memory; the ledger is written from
+    the part that failed, which then goes."""
+    names = MESSAGE_FILE_SCHEMA.fieldNames()
+
     def step(messages: DataFrame | None, number: int, now) -> None:
         clock = F.lit(str(now)).cast("timestamp")
         before = last_before(spark, ledger_path, number)
         ledger = read_batches(spark, ledger_path, LEDGER_SCHEMA, only=-1 if before is None else before).drop("batch_id")
         due = ledger.filter(F.col("next_attempt_at") <= clock)
         if messages is not None:
-            due = due.unionByName(messages.select(*MESSAGE_FILE_SCHEMA.fieldNames(), F.lit(0).alias("attempts"), clock.alias("next_attempt_at")))
+            due = due.unionByName(messages.select(*names, F.lit(0).alias("attempts"), clock.alias("next_attempt_at")))
         tried = due.withColumn("attempts", F.col("attempts") + 1)
         outcome = (F.when(~F.coalesce(failing(F.col("attempts")), F.lit(False)), "accepted")
-                   .when(F.col("attempts") >= MAX_ATTEMPTS, "dead_letter").otherwise("waiting"))
-        tried = tried.withColumn("outcome", outcome).persist()
-        try:
-            settled = tried.filter(F.col("outcome") != "waiting").select(*MESSAGE_FILE_SCHEMA.fieldNames(), "attempts", "outcome", clock.alias("settled_at"))
-            write_batch(settled, settled_path, number)
-            again = F.timestamp_micros(F.unix_micros(clock) + (backoff_seconds(F.col("attempts")) * 1_000_000).cast("bigint"))
-            waiting = tried.filter(F.col("outcome") == "waiting").withColumn("next_attempt_at", again).drop("outcome")
-            write_batch(ledger.filter(F.col("next_attempt_at") > clock).unionByName(waiting), ledger_path, number)
-        finally:
-            tried.unpersist()
+                   .when(F.col("attempts") >= MAX_ATTEMPTS, "dead_letter").otherwise(WAITING))
+        write_batch(tried.select(*names, "attempts", outcome.alias("outcome"), clock.alias("settled_at")), settled_path, number, by="outcome")
+        again = F.timestamp_micros(F.unix_micros(clock) + (backoff_seconds(F.col("attempts")) * 1_000_000).cast("bigint"))
+        waiting = (read_batches(spark, settled_path, SETTLED_SCHEMA, only=number).filter(F.col("outcome") == WAITING)
+                   .select(*names, "attempts", again.alias("next_attempt_at")))
+        write_batch(ledger.filter(F.col("next_attempt_at") > clock).unionByName(waiting), ledger_path, number)
+        drop_part(spark, settled_path, number, f"outcome={WAITING}")
     return step
 
 
 def settled_messages(spark: SparkSession, path: str) -> DataFrame:
-    return read_batches(spark, path, SETTLED_SCHEMA)
+    return read_batches(spark, path, SETTLED_SCHEMA).filter(F.col("outcome") != WAITING).select(*SETTLED_SCHEMA.fieldNames(), "batch_id")
 
 
 # --- T8 hourly aggregate, T9 dedup, T7 late data -----------------------------------

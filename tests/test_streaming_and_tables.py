@@ -165,6 +165,24 @@ def test_redelivery_backs_off_and_gives_up(spark):
     assert seen == [2, 2, 2, 2, 1, 1, 1, 1, 0, 0]
 
 
+def test_redelivery_holds_no_attempts_in_memory(spark, monkeypatch):
+    """A task reads a file split at most, no cached partition; what is drawn
+    at an attempt is drawn once, so no message is lost or doubled."""
+    base = tempfile.mkdtemp(prefix="mf-draw-")
+    msgs = spark.range(2000).select(F.col("id").cast("string").alias("body"), F.create_map(F.lit("n"), F.lit("1")).alias("attributes"), F.lit(None).cast("timestamp").alias("publish_time"))
+    step, t0 = J.redelivery(spark, base + "/ledger", base + "/settled", lambda attempt: F.rand() < 0.5), dt.datetime(2026, 5, 20, 12, 0)
+    with monkeypatch.context() as m:
+        m.setattr(type(msgs), "persist", lambda df, *a: (_ for _ in ()).throw(AssertionError("held in memory")))
+        for i, s in enumerate([0, 10, 30, 70, 150]):
+            step(msgs if i == 0 else None, i, t0 + dt.timedelta(seconds=s))
+    settled = J.settled_messages(spark, base + "/settled")
+    assert settled.count() == settled.select("body").distinct().count() == 2000
+    assert {r[0] for r in settled.select("outcome").distinct().collect()} == {"accepted", "dead_letter"}
+    assert not [f for _, d, _ in os.walk(base + "/settled") for f in d if "waiting" in f]
+    waits = spark.range(1, 12).select(J.backoff_seconds(F.col("id").cast("int")).alias("s")).collect()
+    assert [int(r.s) for r in waits] == [10, 20, 40, 80, 160, 320, 600, 600, 600, 600, 600]
+
+
 def test_prune_in_place_touches_only_days_with_rows_to_delete(spark):
     from metroflux.operators import tables as TB
     path = tempfile.mkdtemp(prefix="mf-prune-") + "/t"
