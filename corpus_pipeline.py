@@ -4,7 +4,8 @@ benchmark decontamination, byte-level BPE.
 Every stage takes (spark, docs, sf_dir), works on all rows its predecessor
 kept, and returns the columns of ``documents``; the last returns the
 encoding's digests.  ``run`` writes each stage's rows as Parquet in the
-shared folder and reads them back for the next one.
+shared folder and reads them back for the next one; what a stage stored on
+the way, and its predecessor's rows, go when its own are written.
 
 No ``ORACLE_SQL``: language ID is a trained model.  ``tests/llm`` holds the
 stages against brute force.
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroflux.llm import bpe, decontaminate, exact_dedup, langid, ngram_join
-from metroflux.llm.common import materialise, table
+from metroflux.llm.common import discard, materialise, scratch, table
 from metroflux.llm.linear import fold
 
 #: a document whose most likely language is less likely than this is rejected
@@ -63,7 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, stored = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        with scratch() as keep:
+            docs = keep(materialise(stage(spark, docs, sf_dir), name))
+        discard(*stored)
+        stored = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

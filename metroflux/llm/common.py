@@ -4,7 +4,8 @@ vectorised word hashing over Arrow text columns."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +30,45 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: shuffle files go when the query ends that made them
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scopes: list[list[DataFrame]] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back:
-    the lineage is cut, and a lost executor costs no recomputation."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    the lineage is cut, and a lost executor costs no recomputation.  The write
+    runs once, so its shuffle files go with it."""
+    spark = df.sparkSession
+    path, before = shared_path(spark, name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    stored = spark.read.schema(df.schema).parquet(path)
     stored.stored_path = path
+    if _scopes:
+        _scopes[-1].append(stored)
     return stored
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables of ``materialise`` made inside are deleted at the end, except
+    those given to the function this yields; they belong to the scope around."""
+    made, kept = [], []
+    _scopes.append(made)
+    try:
+        yield lambda df: kept.append(df) or df
+    finally:
+        _scopes.pop()
+        paths = {df.stored_path for df in kept}
+        discard(*[df for df in made if df.stored_path not in paths])
+        if _scopes:
+            _scopes[-1] += kept
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or the first longer form of it that is no column of ``df``."""
     taken = {c.lower() for c in df.columns}

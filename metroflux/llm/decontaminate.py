@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import ALNUM_WORDS, materialise, ranges, text_blocks, unused, word_hashes
+from metroflux.llm.common import ALNUM_WORDS, materialise, ranges, scratch, text_blocks, unused, word_hashes
 
 WINDOW = 13
 SLICE_WORDS = 2_000_000
@@ -260,7 +260,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows of ``docs``, all columns, that are not contaminated."""
     name = unused(docs, "row_key")
     keyed = docs.withColumn(name, F.xxhash64(F.col(id_col), F.col(text_col)))
-    gone = contamination(keyed, benchmark, name, text_col).where("contaminated").select(F.col("doc_id").alias("gone")).distinct()
+    with scratch() as keep:
+        gone = keep(materialise(contamination(keyed, benchmark, name, text_col).where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "gone"))
     return keyed.join(gone, keyed[name] == gone["gone"], "left_anti").drop(name)
 
 

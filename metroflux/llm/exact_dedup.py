@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import keep_rows, materialise
+from metroflux.llm.common import keep_rows, materialise, scratch
 
 SPACES = r"[\x20\x09-\x0D]+"
 K = 1024
@@ -88,11 +88,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: the texts are
     read where they are, and only rows that go are named."""
-    rows = materialise(exact_duplicates(docs, id_col, text_col, k).where("not kept"), "duplicates")
-    winner = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    keys = rows.select("doc_id", F.col("text_sha256").alias("key"), winner.alias("winner"))
-    gone = keys.where("not winner").select("doc_id", "key").distinct()
-    repeated = keys.where("winner").select("doc_id", "key").distinct()
+    with scratch() as keep:
+        rows = materialise(exact_duplicates(docs, id_col, text_col, k).where("not kept"), "duplicates")
+        winner = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+        keys = rows.select("doc_id", F.col("text_sha256").alias("key"), winner.alias("winner"))
+        gone = keep(materialise(keys.where("not winner").select("doc_id", "key").distinct(), "gone"))
+        repeated = keep(materialise(keys.where("winner").select("doc_id", "key").distinct(), "repeated"))
     return keep_rows(docs, id_col, digest(F.col(text_col)), gone, repeated)
 
 

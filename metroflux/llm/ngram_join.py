@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import LOWER_WORDS, keep_rows, materialise, mix, text_blocks, word_hashes
+from metroflux.llm.common import LOWER_WORDS, discard, keep_rows, materialise, mix, scratch, text_blocks, word_hashes
 from metroflux.llm.components import connected_components
 
 SHINGLE = 3
@@ -502,8 +502,8 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
              .agg(F.min(F.struct("at", "rows")).alias("m")).join(groups, "node").select("node", "component", F.col("m.at.id").alias("at"), F.col("m.at.key").alias("at_key"), (F.col("m.rows") > 1).alias("copied")))
     texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("key"))
              .join(named, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key"))).select("component", "node", "text", "copied"))
-    texts = materialise(texts, "candidates")
-    texts = texts.where("not copied").unionByName(texts.where("copied").dropDuplicates(["component", "node"])).drop("copied")  # a node's text once
+    candidates = materialise(texts, "candidates")
+    texts = candidates.where("not copied").unionByName(candidates.where("copied").dropDuplicates(["component", "node"])).drop("copied")  # a node's text once
     parts = materialise(texts.groupBy("component").agg(F.greatest(F.sum(F.octet_length("text")) / part_bytes, F.count(F.lit(1)) / part_rows).cast("int").alias("extra"))
                         .where("extra > 0"), "parts")
     part = F.pmod(F.xxhash64("node"), F.coalesce("extra", F.lit(0)) + 1).cast("int").alias("part")
@@ -512,6 +512,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
         return inside.select("a", "b")
 
     cut = materialise(texts.join(parts, "component").select("component", part, "node", "text"), "cut")
+    discard(candidates)
     known = inside.join(parts, "component", "left_semi").select("a", "b")
 
     def labelled(found: DataFrame) -> DataFrame:
@@ -542,8 +543,10 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
 def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int, width: int, percent: int) -> DataFrame:
     """doc_id, key, n, c (a node that names the component) of every row."""
     sets = materialise(document_sets(docs, id_col, text_col, width, percent), "sets")
-    blocking = connected_components(telling_edges(sets).unionByName(few_edges(sets, percent)))
-    found = connected_components(verified_links(docs, sets, blocking, id_col, text_col, part_bytes, width, percent))
+    with scratch() as keep:
+        blocking = connected_components(telling_edges(sets).unionByName(few_edges(sets, percent)))
+        verified = keep(materialise(verified_links(docs, sets, blocking, id_col, text_col, part_bytes, width, percent), "verified"))
+    found = connected_components(verified)
     return sets.select("doc_id", "key", "n", "node").join(found, "node", "left").select("doc_id", "key", "n", F.coalesce("component", "node").alias("c"))
 
 
@@ -561,11 +564,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs``, all columns, of which each component keeps the
     one with the smallest id, and one of that one's repeated rows; documents
     without words stay."""
-    named = materialise(_components(docs, id_col, text_col, part_bytes, width, percent).where("n > 0"), "components")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
-    first = materialise(named.groupBy("c").agg(F.min(place).alias("first")), "first")
-    gone = named.join(first, "c").where(place != F.col("first")).select("doc_id", "key").distinct()
-    repeated = named.groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
+    with scratch() as keep:
+        named = materialise(_components(docs, id_col, text_col, part_bytes, width, percent).where("n > 0"), "components")
+        place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("key").alias("key"))
+        first = materialise(named.groupBy("c").agg(F.min(place).alias("first")), "first")
+        gone = keep(materialise(named.join(first, "c").where(place != F.col("first")).select("doc_id", "key").distinct(), "gone"))
+        repeated = keep(materialise(named.groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key"), "repeated"))
     return keep_rows(docs, id_col, row_key(id_col, text_col), gone, repeated)
 
 

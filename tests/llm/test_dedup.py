@@ -1,7 +1,9 @@
 """Exact, near-duplicate, substring and line dedup against brute force."""
 
 import hashlib
+import os
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -435,6 +437,31 @@ def test_rows_that_stay_whatever_the_other_columns_are_called(spark):
         assert f(df.limit(0)).collect() == []
 
 
+def test_what_dedup_stores_on_the_way_goes(spark):
+    """Only the names of rows that go are left, and no query's shuffle files."""
+    from metroflux.llm.common import CLEANUP, materialise, scratch
+    from metroflux.session import shared_dir
+    folder = shared_dir(spark, "llm")
+    df = frame(spark, [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "h i j k l m n"), (3, "h i j k l m n"), (4, "o p q r s t u")])
+    for f in (exact_dedup.drop_exact_duplicates, ngram_join.drop_near_duplicates):
+        before = set(os.listdir(folder))
+        out = f(df)
+        assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
+        assert {x.split("-")[0] for x in set(os.listdir(folder)) - before} <= {"gone", "repeated"}
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {x for x in str(manager.getAllFiles().mkString(" ")).split() if "/shuffle_" in x}
+    old = shuffles()
+    with scratch() as keep:
+        a = materialise(spark.range(1000).repartition(7), "a")
+        b = keep(materialise(a.groupBy((a.id % 5).alias("k")).count(), "b"))
+    for _ in range(50):
+        if not shuffles() - old:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - old and spark.conf.get(CLEANUP) == "false"
+    assert not os.path.exists(a.stored_path) and b.count() == 5
+
+
 def test_near_duplicate_rule_of_the_pipeline(spark):
     """Ten of 500 words changed: five-word similarity above 0.8, three-word below 0.9."""
     import corpus_pipeline
