@@ -542,9 +542,11 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
 
 def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int, width: int, percent: int) -> DataFrame:
     """doc_id, key, n, c (a node that names the component) of every row."""
-    sets = materialise(document_sets(docs, id_col, text_col, width, percent), "sets")
     with scratch() as keep:
-        blocking = connected_components(telling_edges(sets).unionByName(few_edges(sets, percent)))
+        cells_too = materialise(document_sets(docs, id_col, text_col, width, percent), "cells")
+        sets = keep(materialise(cells_too.select("doc_id", "key", "n", "node"), "sets"))
+        blocking = connected_components(telling_edges(cells_too).unionByName(few_edges(cells_too, percent)))
+        discard(cells_too)  # the cells are most of it, and only their links are needed from here
         verified = keep(materialise(verified_links(docs, sets, blocking, id_col, text_col, part_bytes, width, percent), "verified"))
     found = connected_components(verified)
     return sets.select("doc_id", "key", "n", "node").join(found, "node", "left").select("doc_id", "key", "n", F.coalesce("component", "node").alias("c"))
