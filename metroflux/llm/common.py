@@ -15,6 +15,8 @@ from metroflux.session import shared_dir
 
 #: text bytes that one vectorised step holds at a time (a longer text is one step)
 BLOCK_BYTES = 2 << 20
+#: bytes that words are hashed from at a time (a longer word is one piece)
+PIECE_BYTES = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -191,10 +193,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, words: tuple[np.ndarray,
     ends_at = offsets[1:] - 1
     after[ends_at[ends_at >= 0]] = False
     ends = np.flatnonzero(m & ~after) + 1
-    power, inverse = _power_table(_P, n + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((value[data].astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
+    h = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):  # piece by piece: a word's hash does not depend on where its piece begins
+        lo = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, lo + PIECE_BYTES, side="right")))
+        size = int(ends[j - 1]) - lo
+        power, inverse = _power_table(_P, max(size, PIECE_BYTES) + 1)
+        total = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum((value[data[lo:lo + size]].astype(np.uint64) + np.uint64(1)) * power[:size], out=total[1:])
+        h[i:j] = (total[ends[i:j] - lo] - total[starts[i:j] - lo]) * inverse[starts[i:j] - lo]
+        i = j
     h = mix(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)))
     return h, starts, ends, np.searchsorted(starts, offsets)
 

@@ -236,8 +236,8 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int = SHIN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for b in batches:
-            out = ([], [], [], [])
-            for _, _, data, offsets in text_blocks(b.column(1)):
+            for i, j, data, offsets in text_blocks(b.column(1)):
+                out = ([], [], [], [])
                 for s in shingle_sets(data, offsets, width):
                     node = node_of(s)
                     telling, few = (np.zeros(0, np.uint64), []) if node in seen or not len(s) else cells(s, percent)
@@ -248,9 +248,9 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int = SHIN
                     out[1].append(node)
                     out[2].append(telling.tobytes())
                     out[3].append([{"cell": x, "class": c, "size": len(s), "high": count_vector(s, vector_groups(int(UPPER[c]))).tobytes()} for x, c in few])
-            kind = pa.list_(pa.struct([("cell", pa.int64()), ("class", pa.int32()), ("size", pa.int64()), ("high", pa.binary())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), pa.array(out[3], kind)],
-                                             ["doc_id", "key", "n", "node", "telling", "few"])
+                kind = pa.list_(pa.struct([("cell", pa.int64()), ("class", pa.int32()), ("size", pa.int64()), ("high", pa.binary())]))
+                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, j - i) for c in (0, 2)], pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), pa.array(out[3], kind)],
+                                                 ["doc_id", "key", "n", "node", "telling", "few"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col], docs[text_col].cast("string"), row_key(id_col, text_col).alias("key")).mapInArrow(
@@ -275,6 +275,13 @@ def _heads(label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, head, np.repeat(head, np.diff(np.append(head, len(label))))
 
 
+def _stars(who: np.ndarray, n: int, order: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (place, head's place) of what shares a label with its head;
+    ``who`` gives the places, below ``n``, of the labels that ``_heads`` ordered."""
+    rest = np.flatnonzero(np.arange(len(order)) != of)
+    return np.divmod(np.unique(who[order[rest]].astype(np.int64) * n + who[order[of[rest]]]), max(n, 1))
+
+
 def telling_edges(sets: DataFrame) -> DataFrame:
     """Edges between nodes that share a telling cell: a star in every task,
     and one of its nodes in the cell's group."""
@@ -290,9 +297,8 @@ def telling_edges(sets: DataFrame) -> DataFrame:
             nodes = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64).reshape(-1, 2)
             label, who = np.frombuffer(b"".join(blobs), np.uint64), np.repeat(np.arange(len(blobs)), count)
             order, head, of = _heads(label)
-            rest = np.flatnonzero(np.arange(len(order)) != of)
-            if len(rest):
-                local = np.unique(np.stack([who[order[rest]], who[order[of[rest]]]]), axis=1)
+            local = _stars(who, len(blobs), order, of)
+            if len(local[0]):
                 yield pa.RecordBatch.from_arrays([pa.array([int(label[0] % np.uint64(groups))], pa.int32()), pa.array([nodes[local[0]].tobytes()]),
                                                   pa.array([nodes[local[1]].tobytes()]), pa.array([b""])], ["grp", "nodes", "other", "cells"])
             first = order[head]
@@ -307,14 +313,16 @@ def telling_edges(sets: DataFrame) -> DataFrame:
                                                  ["grp", "nodes", "other", "cells"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, labels, nodes = None, [], []
+        held, labels, nodes, counts = None, [], [], []
 
         def finish():
             if labels:
                 label, node = np.concatenate(labels), np.concatenate(nodes)
+                labels.clear()
+                who = np.repeat(np.arange(len(node), dtype=np.int32), np.concatenate(counts))
                 order, _, of = _heads(label)
-                rest = np.flatnonzero(np.arange(len(order)) != of)
-                yield _edge_batch(node[order[rest]], node[order[of[rest]]])
+                a, b = _stars(who, len(node), order, of)
+                yield _edge_batch(node[a], node[b])
 
         for b in batches:
             for r in b.to_pylist():
@@ -324,9 +332,10 @@ def telling_edges(sets: DataFrame) -> DataFrame:
                     continue
                 if r["grp"] != held:
                     yield from finish()
-                    held, labels, nodes = r["grp"], [], []
+                    held, labels, nodes, counts = r["grp"], [], [], []
                 labels.append(np.frombuffer(r["cells"], np.uint64))
-                nodes.append(np.repeat(node, np.frombuffer(r["other"], np.int32), axis=0))
+                nodes.append(node)
+                counts.append(np.frombuffer(r["other"], np.int32))
         yield from finish()
 
     sent = sets.select("node", "telling").where("octet_length(telling) > 0").mapInArrow(send, "grp int, nodes binary, other binary, cells binary")
