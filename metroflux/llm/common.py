@@ -10,6 +10,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metroflux.session import shared_dir
 
@@ -79,21 +80,46 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: words, of 64 bits, that a map of ids has at most
+MARKS = 1 << 18
+
+
+def _by_marks(docs: DataFrame, id_col: str, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two: rows whose id is none of ``gone``'s, and the others,
+    with few besides.  Decided where the rows are, by a bit map of the ids'
+    hashes whose size is bounded; a fuller one lets more rows into the second."""
+    word, bits = unused(docs, "word"), unused(docs, "bits")
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(MARKS))
+
+    def bit(c: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(F.xxhash64(c), 58).cast("int"))
+
+    marks = gone.groupBy(place(gone["doc_id"]).alias(word)).agg(F.bit_or(bit(gone["doc_id"])).alias(bits))
+    looked = docs.join(F.broadcast(marks), place(docs[id_col]) == F.col(word), "left")
+    named = F.coalesce(F.col(bits).bitwiseAND(bit(docs[id_col])) != 0, F.lit(False))
+    return looked.where(~named).drop(word, bits), looked.where(named).drop(word, bits)
+
+
 def keep_rows(docs: DataFrame, id_col: str, key: Column, gone: DataFrame, repeated: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without those that ``gone`` (doc_id,
-    key; distinct) names, and one row of each that ``repeated`` names."""
+    key; distinct) names, and one row of each that ``repeated`` names.  Only
+    rows that may go are shuffled."""
     name = unused(docs, "row_key")
-    marked = docs.withColumn(name, key)
 
-    def same(named: DataFrame) -> Column:
-        return marked[id_col].eqNullSafe(named["doc_id"]) & (marked[name] == named["key"])
+    def same(rows: DataFrame, named: DataFrame) -> Column:
+        return rows[id_col].eqNullSafe(named["doc_id"]) & (rows[name] == named["key"])
 
-    stay = marked.join(gone, same(gone), "left_anti")
+    stay, may_go = _by_marks(docs, id_col, gone)
+    may_go = may_go.withColumn(name, key)
+    stay = stay.unionByName(may_go.join(gone, same(may_go, gone), "left_anti").drop(name))
     repeated = materialise(repeated, "repeated")
     if repeated.isEmpty():
-        return stay.drop(name)
-    once = stay.join(repeated, same(repeated), "left_semi").dropDuplicates([id_col, name])
-    return stay.join(repeated, same(repeated), "left_anti").unionByName(once).drop(name)
+        return stay
+    marked = stay.withColumn(name, key)
+    once = marked.join(repeated, same(marked, repeated), "left_semi").dropDuplicates([id_col, name])
+    return marked.join(repeated, same(marked, repeated), "left_anti").unionByName(once).drop(name)
 
 
 def discard(*tables: DataFrame) -> None:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from metroflux.llm import exact_dedup, line_dedup, ngram_join, substring
+from metroflux.llm import common, exact_dedup, line_dedup, ngram_join, substring
 from tests.llm.fixtures import DOCS, frame, records, rows, sentence
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -511,3 +511,20 @@ def test_linked_sets_share_a_cell(percent):
             assert set(ta.tolist()) & set(tb.tolist()) or set(oa) & set(ob)
             seen += 1
     assert seen > 200
+
+
+@pytest.mark.parametrize("marks", [1, 1 << 18])
+def test_rows_that_stay_for_sure_are_not_shuffled(spark, monkeypatch, marks):
+    monkeypatch.setattr(common, "MARKS", marks)
+    pairs = [(i, f"text {i}") for i in range(2000)] + [(None, "none"), (None, "other"), (7, "another text of 7"), (8, "text 8")]
+    docs = frame(spark, pairs)
+    key = F.col("text")
+    gone = spark.createDataFrame([(i, f"text {i}") for i in range(0, 2000, 100)] + [(7, "text 7"), (None, "none")], "doc_id long, key string")
+    kept = common.keep_rows(docs, "doc_id", key, gone, spark.createDataFrame([(8, "text 8")], "doc_id long, key string"))
+    named = {tuple(r) for r in gone.collect()}
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(dict.fromkeys((p for p in pairs if p not in named), 1))
+    stay, may_go = common._by_marks(docs, "doc_id", gone)
+    assert stay.count() + may_go.count() == len(pairs)
+    assert {i for i, _ in named} <= {r.doc_id for r in may_go.collect()}
+    assert marks == 1 or may_go.count() < 40
