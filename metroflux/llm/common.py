@@ -60,18 +60,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Tables of ``materialise`` made inside are deleted at the end, except
     those given to the function this yields; they belong to the scope around."""
-    made, kept = [], []
-    _scopes.append(made)
+    kept = []
+    _scopes.append([])
     try:
         yield lambda df: kept.append(df) or df
     finally:
-        _scopes.pop()
+        made = _scopes.pop()
         paths = {df.stored_path for df in kept}
         discard(*[df for df in made if df.stored_path not in paths])
         if _scopes:
             _scopes[-1] += kept
 
 
+def outlive(df: DataFrame) -> None:
+    """A table of the present scope belongs to the scope around it from now
+    on, or stays until the application ends."""
+    if _scopes:
+        own = [x for x in _scopes[-1] if x.stored_path == df.stored_path]
+        _scopes[-1] = [x for x in _scopes[-1] if x.stored_path != df.stored_path]
+        if len(_scopes) > 1:
+            _scopes[-2] += own
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or the first longer form of it that is no column of ``df``."""
     taken = {c.lower() for c in df.columns}
@@ -84,7 +94,7 @@ def unused(df: DataFrame, name: str) -> str:
 MARKS = 1 << 18
 
 
-def _by_marks(docs: DataFrame, id_col: str, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+def by_marks(docs: DataFrame, id_col: str, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs`` in two: rows whose id is none of ``gone``'s, and the others,
     with few besides.  Decided where the rows are, by a bit map of the ids'
     hashes whose size is bounded; a fuller one lets more rows into the second."""
@@ -111,7 +121,7 @@ def keep_rows(docs: DataFrame, id_col: str, key: Column, gone: DataFrame, repeat
     def same(rows: DataFrame, named: DataFrame) -> Column:
         return rows[id_col].eqNullSafe(named["doc_id"]) & (rows[name] == named["key"])
 
-    stay, may_go = _by_marks(docs, id_col, gone)
+    stay, may_go = by_marks(docs, id_col, gone)
     may_go = may_go.withColumn(name, key)
     stay = stay.unionByName(may_go.join(gone, same(may_go, gone), "left_anti").drop(name))
     repeated = materialise(repeated, "repeated")

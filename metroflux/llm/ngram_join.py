@@ -12,21 +12,26 @@ coordinate minima, and their symmetric difference is at most t = (|A| +
 Routing.  The vector of a size class (sizes within a factor ``STEP``; a
 document that can link upwards also stands in the next class) is cut into
 t + 1 slabs, so linked documents agree on all counts of at least one slab.
-Equal (class, slab, counts) is a cell.  A slab with fewer than
+Equal (class, slab, counts) is a cell; a slab has so many groups that unlike
+shingles hardly ever give equal counts.  A slab with fewer than
 ``FEW`` shingles tells little, so its cell is an R-tree over the documents'
 coarser vectors, whose pages are pruned by the bound; the rectangle of what a
 task has linked stands for it in the shuffle.  The other cells link as they
-are.  Equal sets are one node throughout, and a task sends a cell once.
+are: they go from the texts straight to the shuffle, with the place of their
+node in what its task sent.  Equal sets are one node throughout, and a task
+sends a cell once.
 
 Verification.  Connected cells make blocking groups (supersets of the
 result's components).  Each group's texts meet in one task, where an R-tree
 over the vectors gives the pairs that pass the bound and the sets decide;
 documents already linked to the same component are not compared again.  A
-group of more than ``PART_BYTES`` or ``PART_ROWS`` is cut in parts, each linked
-inside itself first.  Then the heads of the group's ``HEADS`` largest components
+group of more than ``PART_BYTES`` or ``PART_ROWS`` is routed once more by the
+finer plan of slabs, which parts what shares a passage only.  If it is still too
+large it is cut in parts, each linked inside itself first.  Then the heads of the group's ``HEADS`` largest components
 visit all its parts, which joins what belongs to a large group of copies; last,
 the documents that are not in the group's largest component by then visit all
-parts.  Visitors stream past a part, so a task holds one part at a time, and
+parts.  Visitors come in rounds that store no more than the groups have (or
+``ROUND_BYTES``) and stream past a part, so a task holds one part at a time, and
 no two members of the largest component are compared across parts.  The
 result is the connected components of the verified links.
 
@@ -42,24 +47,32 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby, islice
+from functools import reduce
+from hashlib import blake2b
+from itertools import combinations, groupby, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import LOWER_WORDS, discard, keep_rows, materialise, mix, scratch, text_blocks, word_hashes
+from metroflux.llm.common import LOWER_WORDS, by_marks, discard, keep_rows, materialise, mix, outlive, scratch, text_blocks, word_hashes
 from metroflux.llm.components import connected_components
 
 SHINGLE = 3
 PERCENT = 90
 STEP = 1.15
 FEW = 3
-SLAB_GROUPS = 4096
 CELL_GROUP = 1_500_000
+#: telling cells that a task sends at a time, more or less, and documents, at most 65,536
+SEND_CELLS = 500_000
+SEND_ROWS = 1 << 15
+#: bytes of a cell's label that are sent, of 8 (its group tells the rest, or nearly)
+LABEL_BYTES = 6
 PART_BYTES = 8 << 20
 PART_ROWS = 16384
+#: bytes of visitors that are dealt to parts at a time, if the groups have no more
+ROUND_BYTES = 128 << 20
 #: components of a cut group whose heads visit all its parts (a short cut: what they miss is compared after)
 HEADS = 16
 #: groups of the vectors that texts are compared by in a task, at most (fewer make a weaker bound, no other result)
@@ -122,43 +135,55 @@ def classes(n: int, percent: int = PERCENT) -> list[int]:
     return list(range(own, most + 1))
 
 
-def slab_plan(percent: int) -> tuple[int, float]:
-    """(shingles from which a slab tells enough, slabs for each one that the
-    differences of linked sets can spoil at most).  At a high similarity slabs
-    are large, and few of them tell little.  At a lower one they are smaller;
-    with half as many again and a lower bar, the equal ones outnumber those
-    that tell little in nearly every set."""
-    return (FEW, 1.0) if percent >= 90 else (2, 1.5)
+def slab_plan(percent: int, finer: bool = False) -> tuple[float, int, int, int]:
+    """(slabs for each one that the differences of linked sets can spoil at
+    most, neighbouring slabs that are a block, slabs of a block that are a cell,
+    shingles from which a cell tells enough).
 
+    At a high similarity slabs are large, and few of them tell little.  At a
+    lower one they are smaller; with half as many again and a lower bar, the
+    equal ones outnumber those that tell little in nearly every set.  The finer
+    plan takes any three slabs of five: unlike texts that share a passage
+    hardly ever agree on so many shingles, at three times the cells."""
+    if finer:
+        return 2.0, 5, 3, FEW
+    return (1.0, 1, 1, FEW) if percent >= 90 else (1.5, 1, 1, 2)
 
-def cells(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[tuple[int, int]]]:
+
+def cells(s: np.ndarray, percent: int = PERCENT, finer: bool = False) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Cells of a set: hashes of the telling ones, (hash, class) of the
     others.
 
     Two sets that link differ in at most ``away`` shingles, each of which
-    spoils one slab, so at least ``slabs - away`` slabs are equal.  A set with
-    fewer slabs that tell little than that shares a telling one with every
-    partner, and its others need not be looked at."""
+    spoils one slab.  A set whose telling cells outlast any ``away`` spoiled
+    slabs shares one with every partner, and its others need not be looked at:
+    those are single slabs, of which two linked sets agree on one."""
     telling, others = [], []
-    few, spread = slab_plan(percent)
+    spread, block, take, few = slab_plan(percent, finer)
     for c in classes(len(s), percent):
         most = 2 * int(UPPER[c]) * (100 - percent) // (100 + percent)
         if most == 0:
             continue  # so small that only equal sets link
-        slabs = int(spread * (most + 1))
+        slabs = -(-int(spread * (most + 1)) // block) * block
         away = (len(s) + min(int(UPPER[c]), 100 * len(s) // percent)) * (100 - percent) // (100 + percent)
-        place = mix(s ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(20)  # 44 bits
+        place = mix(s ^ np.uint64(0xA24BAED4963EE407 + block)) >> np.uint64(20)  # 44 bits: the slab, and one of its groups
         slab = (place % np.uint64(slabs)).astype(np.int64)
-        group = (place // np.uint64(slabs)) % np.uint64(SLAB_GROUPS)
         # the counts of a slab's groups, as one value: a sum of the groups' random weights
-        weight = mix((slab.astype(np.uint64) * np.uint64(SLAB_GROUPS) + group + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25))
         value = np.zeros(slabs, dtype=np.uint64)
-        np.add.at(value, slab, weight)
+        np.add.at(value, slab, mix((place + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25)))
         size = np.bincount(slab, minlength=slabs)
         cell = mix(value + np.arange(slabs, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(c << 48))
-        telling.append(cell[size >= few])
-        if np.count_nonzero(size < few) >= slabs - away:
-            others += [(int(x), c) for x in cell[size < few].view(np.int64)]
+        cell_of, size_of = cell.reshape(-1, block), size.reshape(-1, block)
+        for some in combinations(range(block), take):
+            tells = size_of[:, some].sum(axis=1) >= few
+            name = cell_of[tells][:, some]
+            telling.append(name[:, 0] if take == 1 else mix((name * np.arange(1, 2 * take, 2, dtype=np.uint64)).sum(axis=1)))
+        # slabs of a block that must be spoiled until none of its cells is left
+        by_size = np.sort(size_of, axis=1)
+        outlast = sum(np.count_nonzero(by_size[:, k - take:k].sum(axis=1) >= few) for k in range(take, block + 1))
+        if outlast <= away:
+            rest = cell[size < few] if take == 1 else mix(cell[:most + 1])
+            others += [(int(x), c) for x in rest.view(np.int64)]
     return (np.concatenate(telling) if telling else np.zeros(0, dtype=np.uint64)), others
 
 
@@ -229,9 +254,9 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, key, n, node and cells of every row; a task gives the cells of
-    a node once in a while only."""
+def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE, percent: int = PERCENT, finer: bool = False) -> DataFrame:
+    """doc_id, key, n, node, number of telling cells and other cells of every
+    row; a task gives the cells of a node once in a while only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -240,29 +265,21 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, width: int = SHIN
                 out = ([], [], [], [])
                 for s in shingle_sets(data, offsets, width):
                     node = node_of(s)
-                    telling, few = (np.zeros(0, np.uint64), []) if node in seen or not len(s) else cells(s, percent)
+                    telling, few = (np.zeros(0, np.uint64), []) if node in seen or not len(s) else cells(s, percent, finer)
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(node)
                     out[0].append(len(s))
                     out[1].append(node)
-                    out[2].append(telling.tobytes())
+                    out[2].append(len(telling))
                     out[3].append([{"cell": x, "class": c, "size": len(s), "high": count_vector(s, vector_groups(int(UPPER[c]))).tobytes()} for x, c in few])
                 kind = pa.list_(pa.struct([("cell", pa.int64()), ("class", pa.int32()), ("size", pa.int64()), ("high", pa.binary())]))
-                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, j - i) for c in (0, 2)], pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), pa.array(out[3], kind)],
+                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, j - i) for c in (0, 2)], pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()), pa.array(out[3], kind)],
                                                  ["doc_id", "key", "n", "node", "telling", "few"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col], docs[text_col].cast("string"), row_key(id_col, text_col).alias("key")).mapInArrow(
-        run, f"doc_id {kind}, key long, n long, node binary, telling binary, few array<struct<cell: long, class: int, size: long, high: binary>>")
-
-
-def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """Distinct edges between nodes given as (n, 2) uint64."""
-    pair = np.unique(np.concatenate([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 4), np.uint64)
-    pair = pair[(pair[:, 0] != pair[:, 2]) | (pair[:, 1] != pair[:, 3])]
-    sides = [pa.Array.from_buffers(pa.binary(16), len(pair), [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary()) for x in (pair[:, :2], pair[:, 2:])]
-    return pa.RecordBatch.from_arrays(sides, ["a", "b"])
+        run, f"doc_id {kind}, key long, n long, node binary, telling long, few array<struct<cell: long, class: int, size: long, high: binary>>")
 
 
 def _heads(label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,64 +299,113 @@ def _stars(who: np.ndarray, n: int, order: np.ndarray, of: np.ndarray) -> tuple[
     return np.divmod(np.unique(who[order[rest]].astype(np.int64) * n + who[order[of[rest]]]), max(n, 1))
 
 
-def telling_edges(sets: DataFrame) -> DataFrame:
-    """Edges between nodes that share a telling cell: a star in every task,
-    and one of its nodes in the cell's group."""
-    total = sets.agg(F.sum(F.octet_length("telling")) / 8).first()[0] or 0
+_SENT = "grp int, batch long, at binary, cells binary, nodes binary"
+
+
+def _sent(nodes: list[bytes], found: list[np.ndarray], groups: int) -> Iterator[tuple]:
+    """Rows of ``_SENT`` for a batch of nodes and the telling cells of each:
+    the batch's nodes, once, with a star of its own for each cell that some of
+    them share; and for every group of cells, their labels and the places in
+    the batch of the nodes that have them.  So a cell takes the same bytes in
+    however many groups a node's cells lie."""
+    blob = b"".join(nodes)
+    batch = int.from_bytes(blake2b(blob, digest_size=8).digest(), "little", signed=True)
+    label, who = np.concatenate(found), np.repeat(np.arange(len(nodes)), [len(x) for x in found])
+    order, head, of = _heads(label)
+    a, b = _stars(who, len(nodes), order, of)
+    yield batch % groups, batch, np.stack([a, b], axis=1).astype(np.uint16).tobytes(), b"", blob
+    first = order[head]
+    grp = (label[first] % np.uint64(groups)).astype(np.int64)
+    by = np.lexsort((first, grp))
+    first, grp = first[by], grp[by]
+    short = (label[first] // np.uint64(groups)).view(np.uint8).reshape(-1, 8)[:, :LABEL_BYTES]
+    cuts = np.flatnonzero(np.diff(grp, prepend=-1)).tolist()
+    for i, j in zip(cuts, [*cuts[1:], len(first)], strict=True):
+        yield int(grp[i]), batch, who[first[i:j]].astype(np.uint16).tobytes(), short[i:j].tobytes(), None
+
+
+def _meet(rows: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, ...]:
+    """Distinct links (batch, place, other batch, other place) of the nodes
+    that share a cell in one group: (batch, places, labels) of each batch."""
+    held = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, LABEL_BYTES)
+    label = np.zeros((len(held), 8), dtype=np.uint8)
+    label[:, :LABEL_BYTES] = held
+    places = [np.frombuffer(r[1], np.uint16).astype(np.int64) for r in rows]
+    base = np.cumsum([0, *[int(x.max()) + 1 for x in places]])
+    order, _, of = _heads(label.view(np.uint64).ravel())
+    batch, out = np.array([r[0] for r in rows], dtype=np.int64), []
+    for x in _stars(np.concatenate([x + b for x, b in zip(places, base[:-1], strict=True)]), int(base[-1]), order, of):
+        k = np.searchsorted(base, x, side="right") - 1
+        out += [batch[k], (x - base[k]).astype(np.int32)]
+    return tuple(out)
+
+
+def telling_edges(docs: DataFrame, text_col: str, total: int, width: int = SHINGLE, percent: int = PERCENT, finer: bool = False) -> DataFrame:
+    """Edges (a, b) between nodes that share a telling cell, of which there are
+    ``total`` or so: a star in every batch that a task sends, and one of its
+    nodes in the cell's group.  The cells are hashed from the texts once more
+    and go straight to the shuffle; stored, they would be larger than the texts."""
     groups = int(total // CELL_GROUP) + 1
+    names = [x.split()[0] for x in _SENT.split(", ")]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        nodes, found, size = [], [], 0
+
+        def flush():
+            rows = list(_sent(nodes, found, groups))
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
         for b in batches:
-            blobs = b.column(1).to_pylist()
-            count = np.array([len(x) // 8 for x in blobs], dtype=np.int64)
-            if not count.sum():
-                continue
-            nodes = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64).reshape(-1, 2)
-            label, who = np.frombuffer(b"".join(blobs), np.uint64), np.repeat(np.arange(len(blobs)), count)
-            order, head, of = _heads(label)
-            local = _stars(who, len(blobs), order, of)
-            if len(local[0]):
-                yield pa.RecordBatch.from_arrays([pa.array([int(label[0] % np.uint64(groups))], pa.int32()), pa.array([nodes[local[0]].tobytes()]),
-                                                  pa.array([nodes[local[1]].tobytes()]), pa.array([b""])], ["grp", "nodes", "other", "cells"])
-            first = order[head]
-            first = first[np.lexsort((first, label[first] % np.uint64(groups)))]
-            grp = (label[first] % np.uint64(groups)).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(grp, prepend=-1)).tolist()
-            for i, j in zip(cuts, [*cuts[1:], len(first)], strict=True):
-                k = first[i:j]
-                run = np.flatnonzero(np.diff(who[k], prepend=-1))
-                yield pa.RecordBatch.from_arrays([pa.array([int(grp[i])], pa.int32()), pa.array([nodes[who[k[run]]].tobytes()]),
-                                                  pa.array([np.diff(np.append(run, len(k))).astype(np.int32).tobytes()]), pa.array([label[k].tobytes()])],
-                                                 ["grp", "nodes", "other", "cells"])
+            for _, _, data, offsets in text_blocks(b.column(0)):
+                for s in shingle_sets(data, offsets, width):
+                    node = node_of(s)
+                    if node in seen or not len(s):
+                        continue
+                    if len(seen) > 1_000_000:
+                        seen.clear()
+                    seen.add(node)
+                    telling = cells(s, percent, finer)[0]
+                    if not len(telling):
+                        continue
+                    nodes.append(node)
+                    found.append(telling)
+                    size += len(telling)
+                    if size >= SEND_CELLS or len(nodes) >= SEND_ROWS:
+                        yield flush()
+                        nodes, found, size = [], [], 0
+        if nodes:
+            yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, labels, nodes, counts = None, [], [], []
-
-        def finish():
-            if labels:
-                label, node = np.concatenate(labels), np.concatenate(nodes)
-                labels.clear()
-                who = np.repeat(np.arange(len(node), dtype=np.int32), np.concatenate(counts))
-                order, _, of = _heads(label)
-                a, b = _stars(who, len(node), order, of)
-                yield _edge_batch(node[a], node[b])
+        def links_of(a, at, b, bt):
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(at, pa.int32()), pa.array(b, pa.int64()), pa.array(bt, pa.int32()), pa.nulls(len(a), pa.binary())], ["a", "at", "b", "bt", "nodes"])
 
-        for b in batches:
-            for r in b.to_pylist():
-                node = np.frombuffer(r["nodes"], np.uint64).reshape(-1, 2)
-                if not r["cells"]:
-                    yield _edge_batch(node, np.frombuffer(r["other"], np.uint64).reshape(-1, 2))
+        for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            held = []
+            for _, batch, at, labels, nodes in rows:
+                if nodes is None:
+                    held.append((batch, at, labels))
                     continue
-                if r["grp"] != held:
-                    yield from finish()
-                    held, labels, nodes, counts = r["grp"], [], [], []
-                labels.append(np.frombuffer(r["cells"], np.uint64))
-                nodes.append(node)
-                counts.append(np.frombuffer(r["other"], np.int32))
-        yield from finish()
-
-    sent = sets.select("node", "telling").where("octet_length(telling) > 0").mapInArrow(send, "grp int, nodes binary, other binary, cells binary")
-    return sent.repartitionById(groups, "grp").sortWithinPartitions("grp").mapInArrow(meet, "a binary, b binary")
+                pair = np.frombuffer(at, np.uint16).reshape(-1, 2)
+                own = np.full(len(pair), batch, dtype=np.int64)
+                yield links_of(own, pair[:, 0], own, pair[:, 1])
+                yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([nodes], pa.binary())], ["a", "at", "b", "bt", "nodes"])
+            if held:
+                yield links_of(*_meet(held))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, nodes in _rows(batches):
+            each = [nodes[k:k + 16] for k in range(0, len(nodes), 16)]
+            yield pa.RecordBatch.from_arrays([pa.array([batch] * len(each), pa.int64()), pa.array(range(len(each)), pa.int32()), pa.array(each, pa.binary())], ["batch", "place", "node"])
+
+    met = materialise(docs.select(F.col(text_col).cast("string")).mapInArrow(send, _SENT).repartitionById(groups, "grp").sortWithinPartitions("grp")
+                      .mapInArrow(meet, "a long, at int, b long, bt int, nodes binary"), "met")
+    named = met.where("nodes is not null").select("a", "nodes").mapInArrow(name, "batch long, place int, node binary")
+    pairs = met.where("nodes is null").select("a", "at", "b", "bt").distinct()
+    ends = [named.select(F.col("batch").alias(x), F.col("place").alias(y), F.col("node").alias(z)).distinct() for x, y, z in (("a", "at", "from"), ("b", "bt", "to"))]
+    return pairs.join(ends[0], ["a", "at"]).join(ends[1], ["b", "bt"]).select(F.col("from").alias("a"), F.col("to").alias("b"))
 
 
 _PAGE = "cell long, class int, size long, node binary, high binary"
@@ -403,6 +469,13 @@ def few_edges(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return (rows.mapInArrow(page, _PAGE + ", members array<binary>").repartition("cell").sortWithinPartitions("cell").mapInArrow(meet, "a binary, b binary"))
 
 
+def blocking_groups(docs: DataFrame, text_col: str, sets: DataFrame, width: int, percent: int, finer: bool = False) -> DataFrame:
+    """(node, component): connected cells.  ``sets`` has the sets of ``docs``
+    by the same plan."""
+    total = sets.agg(F.sum("telling")).first()[0] or 0
+    return connected_components(telling_edges(docs, text_col, total, width, percent, finer).unionByName(few_edges(sets, percent)))
+
+
 def _node_sets(rows: list[tuple[bytes, str]], width: int) -> tuple[list[int], list[np.ndarray]]:
     """Places of the rows (node, text) whose text has the node's set (a
     namesake row may not), and the sets."""
@@ -509,19 +582,35 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
     # one row a node, pre-aggregated, before anything is joined to it
     named = (sets.groupBy("node", row.alias("at")).agg(F.count(F.lit(1)).alias("rows")).groupBy("node")
              .agg(F.min(F.struct("at", "rows")).alias("m")).join(groups, "node").select("node", "component", F.col("m.at.id").alias("at"), F.col("m.at.key").alias("at_key"), (F.col("m.rows") > 1).alias("copied")))
-    texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("key"))
+    named = materialise(named, "named")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("key"))
+    texts = (by_marks(rows, "doc_id", named.select(F.col("at").alias("doc_id")))[1]
              .join(named, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key"))).select("component", "node", "text", "copied"))
     candidates = materialise(texts, "candidates")
     texts = candidates.where("not copied").unionByName(candidates.where("copied").dropDuplicates(["component", "node"])).drop("copied")  # a node's text once
-    parts = materialise(texts.groupBy("component").agg(F.greatest(F.sum(F.octet_length("text")) / part_bytes, F.count(F.lit(1)) / part_rows).cast("int").alias("extra"))
-                        .where("extra > 0"), "parts")
+
+    def too_large(texts: DataFrame) -> DataFrame:
+        """(component, extra): groups to cut, and their parts but one."""
+        return materialise(texts.groupBy("component").agg(F.greatest(F.sum(F.octet_length("text")) / part_bytes, F.count(F.lit(1)) / part_rows).cast("int").alias("extra"))
+                           .where("extra > 0"), "parts")
+
+    parts = too_large(texts)
+    if parts.isEmpty():
+        outlive(candidates)
+    else:  # what shares a passage only falls apart by finer cells
+        large = texts.join(parts.select("component"), "component", "left_semi").select("node", "text")
+        sets = materialise(document_sets(large, "node", "text", width, percent, True), "finer-sets")
+        finer = blocking_groups(large, "text", sets, width, percent, True)
+        texts = materialise(texts.join(parts, "component", "left_anti").select("component", "node", "text")
+                            .unionByName(large.join(finer, "node").select("component", "node", "text")), "texts")
+        discard(candidates, sets)
+        parts = too_large(texts)
     part = F.pmod(F.xxhash64("node"), F.coalesce("extra", F.lit(0)) + 1).cast("int").alias("part")
     inside = materialise(links_inside(texts.join(parts, "component", "left").select("component", part, "node", "text"), width, percent), "inside")
     if parts.isEmpty():
         return inside.select("a", "b")
 
     cut = materialise(texts.join(parts, "component").select("component", part, "node", "text"), "cut")
-    discard(candidates)
     known = inside.join(parts, "component", "left_semi").select("a", "b")
 
     def labelled(found: DataFrame) -> DataFrame:
@@ -535,8 +624,19 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
                 .select("component", F.explode(F.sequence(F.lit(0), F.col("extra"))).alias("part"), "node", "label", "text"))
 
     def across(labels: DataFrame, nodes: DataFrame) -> DataFrame:
-        members = cut.join(labels.select("node", "label"), "node").select("component", "part", "node", "label", "text")
-        return materialise(links_across(members, guests(nodes), width, percent), "across").select("a", "b")
+        """Links to ``nodes`` from every part.  Their copies are as many times
+        as a group has parts, so they go in rounds, each to some of the parts
+        and with no more bytes than the groups or ``ROUND_BYTES``."""
+        members, visitors = cut.join(labels.select("node", "label"), "node").select("component", "part", "node", "label", "text"), guests(nodes)
+        own = cut.agg(F.sum(F.octet_length("text"))).first()[0]
+        copies = (cut.join(nodes.select("component", "node"), ["component", "node"]).groupBy("component").agg(F.sum(F.octet_length("text")).alias("size"))
+                  .join(parts, "component").agg(F.sum(F.col("size") * (F.col("extra") + 1))).first()[0] or 0)
+        rounds = min(-(-copies // max(own, ROUND_BYTES)) or 1, parts.agg(F.max("extra")).first()[0] + 1)
+        found = []
+        for k in range(rounds):
+            now = F.col("part") % rounds == k
+            found.append(materialise(links_across(members.where(now), visitors.where(now), width, percent), "across").select("a", "b"))
+        return reduce(DataFrame.unionByName, found)
 
     labels = labelled(known)
     largest = Window.partitionBy("component").orderBy(F.desc("count"), "label")
@@ -554,8 +654,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, part_bytes: int, wi
     with scratch() as keep:
         cells_too = materialise(document_sets(docs, id_col, text_col, width, percent), "cells")
         sets = keep(materialise(cells_too.select("doc_id", "key", "n", "node"), "sets"))
-        blocking = connected_components(telling_edges(cells_too).unionByName(few_edges(cells_too, percent)))
-        discard(cells_too)  # the cells are most of it, and only their links are needed from here
+        blocking = blocking_groups(docs, text_col, cells_too, width, percent)
+        discard(cells_too)  # only the cells' links are needed from here
         verified = keep(materialise(verified_links(docs, sets, blocking, id_col, text_col, part_bytes, width, percent), "verified"))
     found = connected_components(verified)
     return sets.select("doc_id", "key", "n", "node").join(found, "node", "left").select("doc_id", "key", "n", F.coalesce("component", "node").alias("c"))

@@ -270,6 +270,105 @@ def test_ngram_groups_cut_in_parts(spark, monkeypatch, heads, part_rows):
     assert sorted((r.doc_id, least[r.c]) for r in named) == sorted((i, c) for i, _, c in jaccard_components(pairs))
 
 
+def sets_of(rng, rows, n, shared=0):
+    same = rng.integers(0, 1 << 63, shared).astype(np.uint64)
+    return [np.unique(np.concatenate([same, rng.integers(0, 1 << 63, n - shared).astype(np.uint64)])) for _ in range(rows)]
+
+
+def sharing(sets, percent, finer=False):
+    """Sets that share a telling cell with another set."""
+    who = defaultdict(set)
+    for k, s in enumerate(sets):
+        for x in (ngram_join.cells(s, percent, finer) if finer else ngram_join.cells(s, percent))[0].tolist():
+            who[x].add(k)
+    return set().union(*(x for x in who.values() if len(x) > 1))
+
+
+def test_sets_without_a_common_shingle_share_no_telling_cell():
+    """However many there are: else unlike documents chain to one group at size."""
+    assert not sharing(sets_of(np.random.default_rng(3), 4000, 60), 80)
+
+
+def test_finer_cells_part_documents_that_share_a_passage():
+    sets = sets_of(np.random.default_rng(4), 1500, 300, shared=30)
+    assert len(sharing(sets, 80)) > 900
+    assert len(sharing(sets, 80, True)) < 15
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_a_finer_cell(percent):
+    rng, seen = np.random.default_rng(6), 0
+    for _ in range(600):
+        n = int(rng.integers(3, 500))
+        s = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        gone = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+        t = np.unique(np.concatenate([s[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, gone + 1))).astype(np.uint64)]))
+        k = len(np.intersect1d(s, t))
+        if ngram_join.links(k, len(s), len(t), percent) and max(len(s), len(t)) != k:
+            (ta, oa), (tb, ob) = ngram_join.cells(s, percent, True), ngram_join.cells(t, percent, True)
+            assert set(ta.tolist()) & set(tb.tolist()) or set(oa) & set(ob)
+            seen += 1
+    assert seen > 200
+
+
+def test_a_cell_takes_the_same_bytes_in_any_number_of_groups():
+    """Sent with its node, it took three times as many at 1,000 groups as at 10."""
+    rng = np.random.default_rng(5)
+    nodes = [rng.bytes(16) for _ in range(1000)]
+    found = [rng.integers(0, 1 << 63, 300).astype(np.uint64) for _ in nodes]
+    for groups in (1, 10, 1000):
+        rows = list(ngram_join._sent(nodes, found, groups))
+        assert sum(len(r[2]) + len(r[3]) + len(r[4] or b"") for r in rows) <= 300_000 * 8 + 16_000
+        assert [r[4] for r in rows if r[4] is not None] == [b"".join(nodes)] and len(rows) == groups + 1
+
+
+def test_links_of_more_nodes_than_a_place_counts():
+    """Batches of a group with over 65,536 nodes between them: the nodes of a
+    cell are linked to one of them, and no others."""
+    rng, rows, who = np.random.default_rng(9), [], defaultdict(set)
+    for batch in range(5):
+        label = rng.integers(0, 200_000, 30_000)
+        for k, x in enumerate(label.tolist()):
+            who[x].add((batch - 2, k))
+        rows.append((batch - 2, np.arange(30_000, dtype=np.uint16).tobytes(), label.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :ngram_join.LABEL_BYTES].tobytes()))
+    got = defaultdict(set)
+    for a, at, b, bt in zip(*(x.tolist() for x in ngram_join._meet(rows)), strict=True):
+        got[b, bt].add((a, at))
+    assert sorted(sorted(x | {head}) for head, x in got.items()) == sorted(sorted(x) for x in who.values() if len(x) > 1)
+
+
+def test_ngram_small_batches_and_many_groups(spark, monkeypatch):
+    pairs = chained_copies()
+    monkeypatch.setattr(ngram_join, "CELL_GROUP", 40)
+    monkeypatch.setattr(ngram_join, "SEND_CELLS", 100)
+    got = records(ngram_join.ngram_components(frame(spark, pairs).repartition(3)))
+    assert Counter(got) == Counter(jaccard_components(pairs))
+
+
+def test_ngram_visitors_go_in_rounds(spark, monkeypatch):
+    """The copies of a cut group's visitors are as many times as it has parts:
+    they are dealt out in rounds that store no more than the group."""
+    pairs, keep, seen = chained_copies(), ngram_join.materialise, []
+    monkeypatch.setattr(ngram_join, "HEADS", 0)
+    monkeypatch.setattr(ngram_join, "ROUND_BYTES", 1)
+
+    def spy(df, name):
+        seen.append(name)
+        return keep(df, name)
+
+    monkeypatch.setattr(ngram_join, "materialise", spy)
+    docs = frame(spark, pairs).repartition(3)
+    sets = keep(ngram_join.document_sets(docs, "doc_id", "text"), "sets")
+    group = sets.select("node", F.lit(b"g").alias("component")).distinct()
+    edges = ngram_join.verified_links(docs, sets, group, "doc_id", "text", part_rows=9)
+    named = sets.select("doc_id", "node").join(ngram_join.connected_components(edges), "node", "left").select("doc_id", F.coalesce("component", "node").alias("c")).collect()
+    least = {}
+    for r in named:
+        least[r.c] = min(least.get(r.c, r.doc_id), r.doc_id)
+    assert seen.count("across") > 3
+    assert sorted((r.doc_id, least[r.c]) for r in named) == sorted((i, c) for i, _, c in jaccard_components(pairs))
+
+
 def test_ngram_empty_table(spark):
     assert ngram_join.ngram_components(frame(spark, [])).count() == 0
 
