@@ -94,7 +94,7 @@ def unused(df: DataFrame, name: str) -> str:
 MARKS = 1 << 18
 
 
-def by_marks(docs: DataFrame, id_col: str, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _by_marks(docs: DataFrame, id_col: str, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs`` in two: rows whose id is none of ``gone``'s, and the others,
     with few besides.  Decided where the rows are, by a bit map of the ids'
     hashes whose size is bounded; a fuller one lets more rows into the second."""
@@ -112,6 +112,12 @@ def by_marks(docs: DataFrame, id_col: str, gone: DataFrame) -> tuple[DataFrame,
     return looked.where(~named).drop(word, bits), looked.where(named).drop(word, bits)
 
 
+def likely_rows(docs: DataFrame, id_col: str, named: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is one of ``named``'s (doc_id), with few
+    besides, picked where they are."""
+    return _by_marks(docs, id_col, named)[1]
+
+
 def keep_rows(docs: DataFrame, id_col: str, key: Column, gone: DataFrame, repeated: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without those that ``gone`` (doc_id,
     key; distinct) names, and one row of each that ``repeated`` names.  Only
@@ -121,7 +127,7 @@ def keep_rows(docs: DataFrame, id_col: str, key: Column, gone: DataFrame, repeat
     def same(rows: DataFrame, named: DataFrame) -> Column:
         return rows[id_col].eqNullSafe(named["doc_id"]) & (rows[name] == named["key"])
 
-    stay, may_go = by_marks(docs, id_col, gone)
+    stay, may_go = _by_marks(docs, id_col, gone)
     may_go = may_go.withColumn(name, key)
     stay = stay.unionByName(may_go.join(gone, same(may_go, gone), "left_anti").drop(name))
     repeated = materialise(repeated, "repeated")

@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import LOWER_WORDS, by_marks, discard, keep_rows, materialise, mix, outlive, scratch, text_blocks, word_hashes
+from metroflux.llm.common import LOWER_WORDS, discard, keep_rows, likely_rows, materialise, mix, outlive, scratch, text_blocks, word_hashes
 from metroflux.llm.components import connected_components
 
 SHINGLE = 3
@@ -584,7 +584,7 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
              .agg(F.min(F.struct("at", "rows")).alias("m")).join(groups, "node").select("node", "component", F.col("m.at.id").alias("at"), F.col("m.at.key").alias("at_key"), (F.col("m.rows") > 1).alias("copied")))
     named = materialise(named, "named")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("key"))
-    texts = (by_marks(rows, "doc_id", named.select(F.col("at").alias("doc_id")))[1]
+    texts = (likely_rows(rows, "doc_id", named.select(F.col("at").alias("doc_id")))
              .join(named, F.col("doc_id").eqNullSafe(F.col("at")) & (F.col("key") == F.col("at_key"))).select("component", "node", "text", "copied"))
     candidates = materialise(texts, "candidates")
     texts = candidates.where("not copied").unionByName(candidates.where("copied").dropDuplicates(["component", "node"])).drop("copied")  # a node's text once
