@@ -598,12 +598,13 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, id_col:
     if parts.isEmpty():
         outlive(candidates)
     else:  # what shares a passage only falls apart by finer cells
-        large = texts.join(parts.select("component"), "component", "left_semi").select("node", "text")
+        # stored: a task that runs again must send the same batches
+        large = materialise(texts.join(parts.select("component"), "component", "left_semi").select("node", "text"), "large")
         sets = materialise(document_sets(large, "node", "text", width, percent, True), "finer-sets")
         finer = blocking_groups(large, "text", sets, width, percent, True)
         texts = materialise(texts.join(parts, "component", "left_anti").select("component", "node", "text")
                             .unionByName(large.join(finer, "node").select("component", "node", "text")), "texts")
-        discard(candidates, sets)
+        discard(candidates, large, sets)
         parts = too_large(texts)
     part = F.pmod(F.xxhash64("node"), F.coalesce("extra", F.lit(0)) + 1).cast("int").alias("part")
     inside = materialise(links_inside(texts.join(parts, "component", "left").select("component", part, "node", "text"), width, percent), "inside")
